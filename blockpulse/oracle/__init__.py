@@ -31,6 +31,7 @@ def compose(body: str) -> str:
         return body.strip()
     parts = ",\n".join(f"{n} AS ({CTES[n]})" for n in reversed(needed))
     body = body.strip()
-    if body.upper().startswith("WITH "):
-        return f"WITH {parts},\n{body[5:]}"
+    for opening in ("WITH RECURSIVE ", "WITH "):
+        if body.upper().startswith(opening):
+            return f"{opening}{parts},\n{body[len(opening):]}"
     return f"WITH {parts}\n{body}"
