@@ -166,10 +166,10 @@ def lag_scan(wide: DataFrame, ts: str, target: str, features: Sequence[str], max
     strongest = F.array_max(
         F.transform(
             F.filter("scan", lambda s: s["correlation"].isNotNull()),
-            lambda s: F.struct(F.abs(s["correlation"]).alias("a"), (-s["lag"]).alias("l")),
+            lambda s: F.named_struct(F.lit("size"), F.abs(s["correlation"]), F.lit("minus_lag"), -s["lag"]),
         )
     )
-    best = (-strongest["l"]).alias("best_lag")
+    best = (-strongest["minus_lag"]).alias("best_lag")
     return scans.select("feature", best, F.inline("scan"))
 
 
