@@ -29,4 +29,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Plan], Plan]:
 
 
 def load_all() -> None:
-    from blockpulse.plans import causality, documents, market, panels, property_sales, rides, securities, series  # noqa: F401
+    from blockpulse.plans import causality, documents, market, panels, property_sales, rides, securities, series, sources_sinks, streams  # noqa: F401
