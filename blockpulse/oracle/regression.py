@@ -74,3 +74,28 @@ def granger_sql(pairs: str, keys: str, lags: list[int], prefix: str) -> tuple[li
         finals.append(final)
     steps.append((f"{prefix}_all", " UNION ALL ".join(finals)))
     return steps, f_tail(f"SELECT * FROM {prefix}_all")
+
+
+def least_squares_sql(
+    source: str, keys: str, carry: list[str], features: list[str], target: str, train: str, prefix: str
+) -> tuple[list[tuple[str, str]], str]:
+    """Named steps leaving (carry, t, h): residual and leverage of a fit on the rows where `train` holds.
+
+    Pivots are swept with coefficients from the training rows only, so `t` is the out-of-sample
+    residual on the other rows.
+    """
+    part = f"(PARTITION BY {keys})" if keys else "()"
+    lead = ", ".join(([keys] if keys else []) + carry)
+    columns = ["v0", *[f"v{i + 1}" for i in range(len(features))]]
+    first = ", ".join([f"1.0 AS v0", *[f"CAST({f} AS DOUBLE) AS v{i + 1}" for i, f in enumerate(features)]])
+    steps = [(f"{prefix}_0", f"SELECT {lead}, {train} AS tr, {first}, CAST({target} AS DOUBLE) AS t, 0.0 AS h FROM {source}")]
+    for j, pivot in enumerate(columns):
+        norm = f"NULLIF(SUM(CASE WHEN tr THEN {pivot} * {pivot} END) OVER {part}, 0)"
+        rest = [*columns[j + 1 :], "t"]
+        swept = ", ".join(
+            f"{c} - COALESCE(SUM(CASE WHEN tr THEN {c} * {pivot} END) OVER {part} / {norm}, 0) * {pivot} AS {c}" for c in rest
+        )
+        steps.append(
+            (f"{prefix}_{j + 1}", f"SELECT {lead}, tr, {swept}, h + {pivot} * {pivot} / {norm} AS h FROM {prefix}_{j}")
+        )
+    return steps, f"{prefix}_{len(columns)}"

@@ -29,4 +29,6 @@ def query(name: str, sql: str | None = None) -> Callable[[Plan], Plan]:
 
 
 def load_all() -> None:
-    from blockpulse.plans import causality, documents, market, panels, property_sales, rides, securities, series, sources_sinks, streams  # noqa: F401
+    # Registration order: quick panel queries first, model fits last.
+    from blockpulse.plans import panels, market, property_sales, rides, securities  # noqa: F401, I001
+    from blockpulse.plans import series, documents, sources_sinks, causality, streams, models  # noqa: F401

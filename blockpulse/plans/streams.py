@@ -45,8 +45,9 @@ def scrape_stream(spark, sf):
 def stream_latest_per_key(spark, sf):
     """Newest document per listing, merged micro-batch by micro-batch."""
     path, checkpoint = shared_path(spark, "newest"), shared_path(spark, "newest-checkpoint")
-    job = jobs.stream_newest(scrape_stream(spark, sf), "zpid", "extract_ts", path, checkpoint)
-    return jobs.last_version(spark, path, job)
+    scrapes = scrape_stream(spark, sf)
+    job = jobs.stream_newest(scrapes, "zpid", "extract_ts", path, checkpoint, compact_every=2)
+    return jobs.current_newest(job, spark, scrapes.schema, "zpid", "extract_ts", path, compact_every=2)
 
 
 @query(

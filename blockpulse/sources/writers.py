@@ -38,3 +38,9 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> None:
 def store_panel(panel: DataFrame, path: str, day: str) -> None:
     """The daily panel as files partitioned by year: a date filter reads only its years."""
     panel.withColumn("year", F.year(day)).write.mode("overwrite").partitionBy("year").parquet(path)
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write a frame once and go on from the files: lineage ends here and sizes are known."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

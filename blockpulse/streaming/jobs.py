@@ -62,28 +62,49 @@ def current_counts(spark: SparkSession, path: str) -> DataFrame:
     return updates.groupBy("event_date", "feed").agg(F.max_by("n", "batch_id").alias("n"))
 
 
-def stream_newest(documents: DataFrame, key: str, stamp: str, path: str, checkpoint: str):
+COMPACT_EVERY = 10
+
+
+def stream_newest(
+    documents: DataFrame, key: str, stamp: str, path: str, checkpoint: str, compact_every: int = COMPACT_EVERY
+) -> StreamingQuery:
     """Keep the newest row per key.
 
-    Each batch is reduced to its newest rows, merged with the last version and written as a new
-    version; a replayed batch starts again from the version before it.
+    A batch writes only its own newest rows. Every `compact_every` batches the last compacted
+    version and the batches since then are merged into a new version, so the cost of a batch
+    follows its size and the reader never faces more than a few small folders. Folder names
+    depend on the batch id alone, which makes a replayed batch overwrite its earlier attempt.
     """
     schema = documents.schema
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = newest_scrape(batch, key, stamp)
-        if batch_id > 0:
-            known = spark.read.schema(schema).parquet(f"{path}/version={batch_id - 1}")
-            fresh = newest_scrape(known.unionByName(fresh), key, stamp)
-        fresh.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+    def write(batch: DataFrame, batch_id: int) -> None:
+        newest_scrape(batch, key, stamp).write.mode("overwrite").parquet(f"{path}/delta/{batch_id}")
+        if (batch_id + 1) % compact_every == 0:
+            state = _newest_as_of(batch.sparkSession, schema, key, stamp, path, batch_id, compact_every, False)
+            state.write.mode("overwrite").parquet(f"{path}/base/{batch_id}")
 
-    return run_available(documents, merge, checkpoint, "append")
+    return run_available(documents, write, checkpoint, "append")
 
 
-def last_version(spark: SparkSession, path: str, job: StreamingQuery) -> DataFrame:
-    done = [p["batchId"] for p in job.recentProgress if p["numInputRows"] > 0]
-    return spark.read.parquet(f"{path}/version={max(done)}")
+def _newest_as_of(
+    spark: SparkSession, schema: T.StructType, key: str, stamp: str, path: str, batch_id: int, every: int, compacted: bool
+) -> DataFrame:
+    """State after `batch_id`; `compacted` tells whether that batch's own version may be used."""
+    done = batch_id + 1 if compacted else batch_id
+    base = done // every * every - 1
+    folders = [f"{path}/delta/{b}" for b in range(base + 1, batch_id + 1)]
+    if base >= 0:
+        folders.append(f"{path}/base/{base}")
+    return newest_scrape(spark.read.schema(schema).parquet(*folders), key, stamp)
+
+
+def current_newest(
+    job: StreamingQuery, spark: SparkSession, schema: T.StructType, key: str, stamp: str, path: str,
+    compact_every: int = COMPACT_EVERY,
+) -> DataFrame:
+    """Newest row per key after the last finished batch of a job."""
+    last = max(p["batchId"] for p in job.recentProgress if p["numInputRows"] > 0)
+    return _newest_as_of(spark, schema, key, stamp, path, last, compact_every, True)
 
 
 def stream_route(documents: DataFrame, in_city: Column, path: str, checkpoint: str):
