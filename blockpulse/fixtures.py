@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -122,6 +122,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Feeds that are slices of the line items.
+LINE_FEEDS = ["complaints", "businesses", "evictions", "restaurants", "health_inspections"]
+
+
+def line_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, Column]]:
+    """The line items once, as (date, tract, score, ..), and the condition that picks each feed."""
+    lines = table(spark, sf_dir, "lineitem")
+    score = ADAPTERS["health_inspections"].columns["score"]
+    rows = lines.selectExpr(
+        *[f"{expr} AS {name}" for name, expr in _LINE_FEED.items()], f"{score} AS score",
+        "l_returnflag", "l_linestatus", "l_linenumber",
+    )
+    return rows, {name: F.expr(ADAPTERS[name].where) for name in LINE_FEEDS}
+
+
 def feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One adapted feed as a DataFrame."""
     if name in _US_TEXT:

@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from blockpulse.functions import numeric
 from blockpulse.operators.moments import gram
@@ -21,6 +22,10 @@ from blockpulse.operators.series import difference
 ALPHA = 0.05
 
 
+def _doubles(*names: str) -> T.StructType:
+    return T.StructType([T.StructField(n, T.DoubleType()) for n in names])
+
+
 def paired(long: DataFrame, target: str, features: Sequence[str] | None = None) -> DataFrame:
     """(feature, ts, x, y): each series next to the target on the same date, both present."""
     present = long.where("value IS NOT NULL")
@@ -75,7 +80,7 @@ def _lag_vectors(pairs: DataFrame, keys: Sequence[str], max_lag: int) -> DataFra
     return rows.select(*keys, "ts", "lag", vector.alias("v"), F.element_at("_dp", F.col("lag")).alias("start"))
 
 
-@F.pandas_udf("f_stat double, p_value double")
+@F.pandas_udf(_doubles("f_stat", "p_value"))
 def _granger(grams: pd.Series, n: pd.Series, lag: pd.Series) -> pd.DataFrame:
     out = []
     for g, rows, lags in zip(grams, n, lag):
@@ -136,7 +141,7 @@ def granger_starts(pairs: DataFrame, max_lag: int) -> DataFrame:
     )
 
 
-@F.pandas_udf("f_stat double, p_value double")
+@F.pandas_udf(_doubles("f_stat", "p_value"))
 def _granger_upper(grams: pd.Series, n: pd.Series, lag: pd.Series) -> pd.DataFrame:
     out = []
     for g, rows, lags in zip(grams, n, lag):
@@ -206,7 +211,7 @@ def _adf_vector(lags: Column) -> Column:
     return F.concat(F.array(F.lit(1.0), F.col("level")), F.slice("past", F.lit(1), lags), F.array("d"))
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def _best_lag(grams: pd.Series, n: pd.Series, max_lag: pd.Series) -> pd.Series:
     return pd.Series(
         [
@@ -217,7 +222,7 @@ def _best_lag(grams: pd.Series, n: pd.Series, max_lag: pd.Series) -> pd.Series:
     )
 
 
-@F.pandas_udf("statistic double, p_value double")
+@F.pandas_udf(_doubles("statistic", "p_value"))
 def _adf(grams: pd.Series, n: pd.Series, lags: pd.Series) -> pd.DataFrame:
     out = []
     for g, rows, k in zip(grams, n, lags):
@@ -286,7 +291,7 @@ def make_stationary(
     return options.join(needed, ["series_id", "order"]).where("value IS NOT NULL")
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def _pacf(acf: pd.Series) -> pd.Series:
     return pd.Series([numeric.partial_autocorrelations(list(r)) for r in acf])
 
@@ -352,7 +357,7 @@ def optimize_shifts(
     return solved.select(*features, mae.alias("mae"))
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def _solve_subset(grams: pd.Series, columns: pd.Series) -> pd.Series:
     if not len(grams):
         return pd.Series([], dtype=object)

@@ -22,6 +22,7 @@ from pyspark.ml.regression import (
 )
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from blockpulse.functions import numeric
 from blockpulse.operators.moments import gram
@@ -197,7 +198,7 @@ METRIC_NAMES = ["mae", "mse", "rmse", "r2", "mape", "smape", "rmsle"]
 # --- least squares on moments, many targets at once -------------------------------------------
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def _least_squares(grams: pd.Series) -> pd.Series:
     out = []
     for g in grams:

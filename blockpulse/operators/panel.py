@@ -1,8 +1,9 @@
 """Aligning many event feeds on one calendar key.
 
-All feeds are stacked into one narrow (key, feed, measure) frame and reduced in a single
-aggregation: the map side collapses each partition to one row per calendar key before the only
-shuffle, so neither a busy day nor a busy feed can overload a task, and no join is needed.
+All feeds are stacked into one narrow frame and reduced in a single aggregation: the map side
+collapses each partition to one row per calendar key before the only shuffle, so neither a busy
+day nor a busy feed can overload a task, and no join is needed. Feeds that are slices of one
+event table share one scan of it.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from pyspark.sql import functions as F
 class Feed:
     """One feed: its rows, its date column and the panel columns it contributes.
 
-    `value_as` passes a pre-aggregated value through; such a feed must hold one row per key.
+    `where` picks the feed's rows out of a table that several feeds share. `value_as` passes a
+    pre-aggregated value through; such a feed must hold one row per key.
     """
 
     name: str
@@ -29,26 +31,43 @@ class Feed:
     mean_as: str | None = None
     value_as: str | None = None
     measure: Column | None = None
+    where: Column | None = None
+
+
+def _shared(feeds: Sequence[Feed]) -> list[list[Feed]]:
+    """Feeds grouped by the frame and date column they read."""
+    groups: dict[tuple[int, str], list[Feed]] = {}
+    for f in feeds:
+        groups.setdefault((id(f.rows), str(f.day)), []).append(f)
+    return list(groups.values())
+
+
+def slices(feeds: Sequence[Feed]) -> DataFrame:
+    """The rows any of the feeds wants, from one shared frame."""
+    rows, wanted = feeds[0].rows, [f.where for f in feeds]
+    return rows if any(w is None for w in wanted) else rows.where(reduce(lambda a, b: a | b, wanted))
 
 
 def _stacked(feeds: Sequence[Feed], key: Callable[[Column], Column], key_name: str) -> DataFrame:
+    """(key, one hit flag per feed, one measure per measured feed)."""
     parts = []
-    for f in feeds:
-        measure = F.lit(None) if f.measure is None else f.measure
-        parts.append(
-            f.rows.select(
-                key(f.day).alias(key_name),
-                F.lit(f.name).alias("feed"),
-                measure.cast("double").alias("measure"),
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+    for group in _shared(feeds):
+        columns = [key(group[0].day).alias(key_name)]
+        for f in group:
+            hit = F.lit(True) if f.where is None else F.coalesce(f.where, F.lit(False))
+            columns.append(hit.alias(f"hit_{f.name}"))
+            if f.measure is not None:
+                columns.append(F.when(hit, f.measure.cast("double")).alias(f"value_{f.name}"))
+        parts.append(slices(group).select(*columns))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _rows_of(f: Feed) -> Column:
+    return F.count(F.when(F.col(f"hit_{f.name}"), 1))
 
 
 def _feed_columns(f: Feed) -> list[Column]:
-    mine = F.col("feed") == f.name
-    n = F.count(F.when(mine, 1))
-    value = F.when(mine, F.col("measure"))
+    n, value = _rows_of(f), F.col(f"value_{f.name}")
     out = []
     if f.count_as:
         out.append(F.nullif(n, F.lit(0)).alias(f.count_as))
@@ -68,7 +87,7 @@ def aligned_panel(
 ) -> DataFrame:
     """One row per key present in the `spine` feed; NULL where another feed has no row."""
     columns = [c for f in feeds for c in _feed_columns(f)]
-    in_spine = F.count(F.when(F.col("feed") == spine, 1))
+    in_spine = _rows_of(next(f for f in feeds if f.name == spine))
     panel = (
         _stacked(feeds, key, key_name)
         .where(F.col(key_name).isNotNull())
@@ -78,9 +97,16 @@ def aligned_panel(
     return panel.where("spine_rows > 0").drop("spine_rows")
 
 
-def key_counts(rows: DataFrame, key: Column, key_name: str, count_as: str) -> DataFrame:
-    """COUNT(*) per key of one feed."""
-    return rows.groupBy(key.alias(key_name)).agg(F.count("*").alias(count_as))
+def tagged_events(feeds: Sequence[Feed], columns: dict[str, Column]) -> DataFrame:
+    """Every event as (feed, columns); a row that belongs to several feeds appears once for each."""
+    parts = []
+    for group in _shared(feeds):
+        names = [
+            F.lit(f.name) if f.where is None else F.when(f.where, F.lit(f.name)) for f in group
+        ]
+        tagged = slices(group).select(F.explode(F.array_compact(F.array(*names))).alias("feed"), "*")
+        parts.append(tagged.select("feed", group[0].day.alias("date"), *[c.alias(n) for n, c in columns.items()]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def mean_by(panel: DataFrame, key: Column, key_name: str, means: dict[str, str]) -> DataFrame:

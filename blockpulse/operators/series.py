@@ -9,15 +9,20 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from blockpulse.functions.calendar import period_end, period_spine
 from blockpulse.operators.aggregates import safe_corr
 from blockpulse.operators.windows import in_order
 
-BY_SERIES = Window.partitionBy("series_id")
-IN_SERIES = BY_SERIES.orderBy("ts")
+
+def by_series() -> WindowSpec:
+    return Window.partitionBy("series_id")
+
+
+def in_series() -> WindowSpec:
+    return by_series().orderBy("ts")
 
 
 def to_long(wide: DataFrame, ts: str, columns: Sequence[str]) -> DataFrame:
@@ -41,7 +46,7 @@ def resample(long: DataFrame, freq: str) -> DataFrame:
 def block_average(long: DataFrame, rows: int) -> DataFrame:
     """Mean of each run of `rows` consecutive present values."""
     present = long.where("value IS NOT NULL")
-    block = F.floor((F.row_number().over(IN_SERIES) - 1) / rows).cast("bigint")
+    block = F.floor((F.row_number().over(in_series()) - 1) / rows).cast("bigint")
     return present.withColumn("block", block).groupBy("series_id", "block").agg(F.avg("value").alias("value"))
 
 
@@ -58,14 +63,15 @@ def zscore(long: DataFrame, start: date | None = None, by: Sequence[str] = ("ser
 def minmax(long: DataFrame) -> DataFrame:
     """Scale to [0, 1]; a series already inside is left alone, a constant one becomes 0."""
     x = F.col("value")
-    lo, hi = F.min(x).over(BY_SERIES), F.max(x).over(BY_SERIES)
+    lo, hi = F.min(x).over(by_series()), F.max(x).over(by_series())
     inside = (lo >= 0) & (hi <= 1)
     scaled = F.when(lo == hi, F.when(x.isNotNull(), 0.0)).otherwise((x - lo) / F.nullif(hi - lo, F.lit(0.0)))
     return long.withColumn("value", F.when(inside, x).otherwise(scaled))
 
 
-def difference(x: Column, order: int, over=IN_SERIES) -> Column:
+def difference(x: Column, order: int, over: WindowSpec | None = None) -> Column:
     """n-th order difference by the binomial sum of lags (window functions do not nest)."""
+    over = over if over is not None else in_series()
     out, sign, ways = x, -1, 1
     for k in range(1, order + 1):
         ways = ways * (order - k + 1) // k
@@ -78,7 +84,7 @@ def diff_n(long: DataFrame, order: int, untouched: Sequence[str] = ()) -> DataFr
     """Difference every series except the listed ones; the first `order` rows are dropped."""
     x = F.col("value")
     kept = F.col("series_id").isin(list(untouched)) if untouched else F.lit(False)
-    position = F.row_number().over(IN_SERIES)
+    position = F.row_number().over(in_series())
     out = long.withColumns({"_d": F.when(kept, x).otherwise(difference(x, order)), "_pos": position})
     return out.where(F.col("_pos") > order).select("series_id", "ts", F.col("_d").alias("value"))
 
@@ -92,7 +98,7 @@ def shift_features(wide: DataFrame, ts: str, shifts: Mapping[str, int]) -> DataF
 def _with_lags(long: DataFrame, lags: Sequence[int], column: str = "value") -> DataFrame:
     """One row per (series, ts, lag) with the value `lag` rows earlier."""
     past = F.array(
-        *[F.struct(F.lit(k).cast("int").alias("lag"), F.lag(F.col(column), k).over(IN_SERIES).alias("past")) for k in lags]
+        *[F.struct(F.lit(k).cast("int").alias("lag"), F.lag(F.col(column), k).over(in_series()).alias("past")) for k in lags]
     )
     return long.select("series_id", "ts", F.col(column), past.alias("_past")).select(
         "series_id", "ts", column, F.inline("_past")
@@ -107,7 +113,7 @@ def autocorr(long: DataFrame, max_lag: int = 7) -> DataFrame:
 
 def acf(long: DataFrame, max_lag: int) -> DataFrame:
     """Autocorrelation with the global mean and the full sum of squares, lags 0..max_lag."""
-    centred = long.where("value IS NOT NULL").withColumn("value", F.col("value") - F.avg("value").over(BY_SERIES))
+    centred = long.where("value IS NOT NULL").withColumn("value", F.col("value") - F.avg("value").over(by_series()))
     lagged = _with_lags(centred, range(0, max_lag + 1))
     total = F.sum(F.col("value") * F.col("value"))
     return lagged.groupBy("series_id", "lag").agg(
@@ -121,15 +127,15 @@ def seasonal_decompose(long: DataFrame, period: int = 7) -> DataFrame:
         raise ValueError("the centred average needs an odd period")
     half = period // 2
     x = F.col("value")
-    frame = IN_SERIES.rowsBetween(-half, half)
+    frame = in_series().rowsBetween(-half, half)
     trend = F.when(F.count(x).over(frame) == period, F.avg(x).over(frame))
-    rows = long.withColumns({"trend": trend, "phase": (F.row_number().over(IN_SERIES) - 1) % period})
+    rows = long.withColumns({"trend": trend, "phase": (F.row_number().over(in_series()) - 1) % period})
     by_phase = Window.partitionBy("series_id", "phase")
     rows = rows.withColumns({
         "phase_mean": F.avg(x - F.col("trend")).over(by_phase),
         "phase_rows": F.count(F.lit(1)).over(by_phase),
     })
-    overall = F.sum(F.col("phase_mean") / F.col("phase_rows")).over(BY_SERIES) / period
+    overall = F.sum(F.col("phase_mean") / F.col("phase_rows")).over(by_series()) / period
     rows = rows.withColumn("seasonal", F.col("phase_mean") - overall)
     return rows.select(
         "series_id", "ts", "value", "trend", "seasonal", (x - F.col("trend") - F.col("seasonal")).alias("residual")
@@ -204,7 +210,7 @@ def ar_forecast(long: DataFrame, steps: int = 12) -> DataFrame:
     """Forecast of a once-differenced first-order autoregression, `steps` rows ahead, closed form."""
     present = long.where("value IS NOT NULL")
     step = difference(F.col("value"), 1)
-    rows = present.withColumn("d", step).withColumn("d1", F.lag("d").over(IN_SERIES))
+    rows = present.withColumn("d", step).withColumn("d1", F.lag("d").over(in_series()))
     fit = rows.groupBy("series_id").agg(
         F.regr_slope("d", "d1").alias("phi"),
         F.regr_intercept("d", "d1").alias("c"),

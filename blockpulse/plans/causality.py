@@ -94,7 +94,7 @@ def causality_table(spark, sf):
 
 def tract_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Complaints count (x) and mean price (y) per month for the first six tract bins."""
-    counts = monthly_tract_counts(spark, sf).where("feed = 'complaints'")
+    counts = monthly_tract_counts(spark, sf, ["complaints"])
     counts = counts.where(F.col("tract_grp").isin(TRACT_GROUPS))
     both = tract_prices(spark, sf).where("avg_price IS NOT NULL").join(counts, ["month", "tract_grp"])
     return both.select("tract_grp", F.col("month").alias("ts"), F.col("n").cast("double").alias("x"), F.col("avg_price").alias("y"))

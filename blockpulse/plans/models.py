@@ -408,9 +408,13 @@ def fund_months(spark: SparkSession, sf: str) -> DataFrame:
     """(ticker, month, y, last month's signals and price): monthly mean price of every ticker."""
     lines = table(spark, sf, "lineitem").select("l_partkey", "l_shipdate", "l_extendedprice")
     brands = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("ticker"))
+    # Sums per part and month first: a part with many lines reaches the join as one row per month.
     day = F.col("l_shipdate").cast("date")
-    prices = lines.join(brands, "l_partkey").groupBy("ticker", cal.month_start(day).alias("month")).agg(
-        F.avg("l_extendedprice").alias("y")
+    per_part = lines.groupBy("l_partkey", cal.month_start(day).alias("month")).agg(
+        F.sum("l_extendedprice").alias("total"), F.count("l_extendedprice").alias("n")
+    )
+    prices = per_part.join(brands, "l_partkey").groupBy("ticker", "month").agg(
+        (F.sum("total") / F.nullif(F.sum("n"), F.lit(0))).alias("y")
     )
     both = prices.join(signals(spark, sf), "month")
     over = Window.partitionBy("ticker").orderBy("month")
@@ -489,7 +493,7 @@ def model_diff_summary(spark, sf):
 
 @query(
     "prediction_frame",
-    f"""{_FUND_HEAD} SELECT ticker, month, ROUND(y, 6) AS actual, ROUND(y - t, 3) AS predicted,
+    f"""{_FUND_HEAD} SELECT ticker, month, ROUND(y) AS actual, ROUND(y - t, 3) AS predicted,
     CASE WHEN tr THEN ROUND(y - t, 3) END AS train, CASE WHEN NOT tr THEN ROUND(y - t, 3) END AS test FROM {_TREAT}""",
 )
 def prediction_frame(spark, sf):
@@ -498,6 +502,6 @@ def prediction_frame(spark, sf):
     scored = mod.grouped_least_squares(rows, ["ticker"], [*SIGNAL_FEATURES, "own"], "y", F.col("is_train"))
     p = F.round("predicted", 3)
     return scored.select(
-        "ticker", "month", F.round("y", 6).alias("actual"), p.alias("predicted"),
+        "ticker", "month", F.round("y").alias("actual"), p.alias("predicted"),
         F.when(F.col("is_train"), p).alias("train"), F.when(~F.col("is_train"), p).alias("test"),
     )

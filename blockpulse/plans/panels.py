@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockpulse.fixtures import feed, table
+from blockpulse.fixtures import LINE_FEEDS, feed, line_events, table
 from blockpulse.functions import calendar as cal
 from blockpulse.operators import aggregates, filters
-from blockpulse.operators.panel import Feed, aligned_panel
+from blockpulse.operators.panel import Feed, aligned_panel, tagged_events
 from blockpulse.oracle import define
 from blockpulse.plans.registry import query
 
@@ -32,38 +30,51 @@ MEASURES = [
 CORE_MEASURES = MEASURES[:-1]
 
 
+# Panel columns of the counted line feeds.
+_COUNT_NAMES = {
+    "complaints": "complaints",
+    "businesses": "new_businesses",
+    "evictions": "evictions",
+    "restaurants": "new_restaurants",
+}
+
+
+def line_feeds(spark: SparkSession, sf: str) -> list[Feed]:
+    """Five feeds that are slices of one event table."""
+    rows, where = line_events(spark, sf)
+    day = F.col("date")
+    counted = [Feed(n, rows, day, count_as=c, where=where[n]) for n, c in _COUNT_NAMES.items()]
+    inspections = Feed(
+        "health_inspections", rows, day, "total_inspections", "avg_health_inspection",
+        measure=F.col("score"), where=where["health_inspections"],
+    )
+    return [*counted, inspections]
+
+
 def city_feeds(spark: SparkSession, sf: str) -> list[Feed]:
     """The six feeds that have a plain date column."""
-    day = F.col("date")
+    sales = feed(spark, sf, "sales")
     return [
-        Feed("sales", feed(spark, sf, "sales"), F.col("sale_date"), "total_sales", "avg_price", measure=F.col("sale_price")),
-        Feed("complaints", feed(spark, sf, "complaints"), day, "complaints"),
-        Feed("businesses", feed(spark, sf, "businesses"), day, "new_businesses"),
-        Feed("evictions", feed(spark, sf, "evictions"), day, "evictions"),
-        Feed("restaurants", feed(spark, sf, "restaurants"), day, "new_restaurants"),
-        Feed(
-            "health_inspections",
-            feed(spark, sf, "health_inspections"),
-            day,
-            "total_inspections",
-            "avg_health_inspection",
-            measure=F.col("score"),
-        ),
+        Feed("sales", sales, F.col("sale_date"), "total_sales", "avg_price", measure=F.col("sale_price")),
+        *line_feeds(spark, sf),
+    ]
+
+
+def dated_feeds(spark: SparkSession, sf: str) -> list[Feed]:
+    """The two feeds whose dates are text."""
+    arrests, jobs = feed(spark, sf, "nypd_arrests"), feed(spark, sf, "job_application_filings")
+    return [
+        Feed("arrests", arrests, cal.us_date(F.col("arrest_date")), "num_arrests"),
+        Feed("jobs", jobs, cal.us_date(F.col("pre_filing_date")), "jobs_filed"),
     ]
 
 
 def all_feeds(spark: SparkSession, sf: str) -> list[Feed]:
+    rides = feed(spark, sf, "citibike_daily")
     return [
         *city_feeds(spark, sf),
-        Feed("arrests", feed(spark, sf, "nypd_arrests"), cal.us_date(F.col("arrest_date")), "num_arrests"),
-        Feed("jobs", feed(spark, sf, "job_application_filings"), cal.us_date(F.col("pre_filing_date")), "jobs_filed"),
-        Feed(
-            "rides",
-            feed(spark, sf, "citibike_daily"),
-            F.col("date"),
-            value_as="citibike_rides",
-            measure=F.col("num_rides"),
-        ),
+        *dated_feeds(spark, sf),
+        Feed("rides", rides, F.col("date"), value_as="citibike_rides", measure=F.col("num_rides")),
     ]
 
 
@@ -79,10 +90,6 @@ def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
     return df.withColumns({n: F.round(F.col(n), digits) for n in doubles})
 
 
-def feed_day_sql(name: str, day: str = "date") -> str:
-    return f"SELECT {day} AS event_date, COUNT(*) AS n FROM {name} GROUP BY 1"
-
-
 define("us_arrests", "SELECT CAST(try_strptime(arrest_date, '%m/%d/%Y') AS DATE) AS date FROM nypd_arrests")
 define("us_jobs", "SELECT CAST(try_strptime(pre_filing_date, '%m/%d/%Y') AS DATE) AS date FROM job_application_filings")
 define(
@@ -134,31 +141,16 @@ def weekly_panel(spark, sf):
     return rounded(weeks)
 
 
-COUNTED_FEEDS = {
-    "complaints": "date",
-    "businesses": "date",
-    "evictions": "date",
-    "restaurants": "date",
-    "health_inspections": "date",
-    "us_arrests": "date",
-    "us_jobs": "date",
-}
-
-
-def _counted(spark, sf) -> dict[str, DataFrame]:
-    arrests = feed(spark, sf, "nypd_arrests").select(cal.us_date(F.col("arrest_date")).alias("date"))
-    jobs = feed(spark, sf, "job_application_filings").select(cal.us_date(F.col("pre_filing_date")).alias("date"))
-    plain = [n for n in COUNTED_FEEDS if not n.startswith("us_")]
-    return {**{n: feed(spark, sf, n).select("date") for n in plain}, "us_arrests": arrests, "us_jobs": jobs}
+# Counted feeds and the oracle's name for each.
+COUNTED_FEEDS = {**{n: n for n in LINE_FEEDS}, "arrests": "us_arrests", "jobs": "us_jobs"}
 
 
 def feed_events(spark: SparkSession, sf: str) -> DataFrame:
     """All dated events of the counted feeds as (feed, date)."""
-    parts = [df.select(F.lit(n).alias("feed"), "date") for n, df in _counted(spark, sf).items()]
-    return reduce(DataFrame.unionByName, parts)
+    return tagged_events([*line_feeds(spark, sf), *dated_feeds(spark, sf)], {})
 
 
-_EVENTS_SQL = " UNION ALL ".join(f"SELECT '{n}' AS feed, date FROM {n}" for n in COUNTED_FEEDS)
+_EVENTS_SQL = " UNION ALL ".join(f"SELECT '{n}' AS feed, date FROM {source}" for n, source in COUNTED_FEEDS.items())
 
 
 @query(

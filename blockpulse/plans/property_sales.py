@@ -13,7 +13,8 @@ from blockpulse.functions import calendar as cal
 from blockpulse.functions import values as val
 from blockpulse.operators import aggregates, filters, joins
 from blockpulse.oracle import define
-from blockpulse.plans.panels import rounded
+from blockpulse.operators.panel import tagged_events
+from blockpulse.plans.panels import line_feeds, rounded
 from blockpulse.plans.registry import query
 
 _KEPT = ", ".join(str(n) for n in val.KEPT_CLASSES)
@@ -149,22 +150,27 @@ TRACT_AGGREGATIONS = [
 
 
 def tract_feed_counts(spark: SparkSession, sf: str, periods: dict[str, list[str]]) -> DataFrame:
-    """(feed, freq, period, tract_grp, n) for {feed: periods}; each feed is read once."""
-    parts = []
-    for name, wanted in periods.items():
-        day = F.col("date")
-        keys = {"year": F.year(day).cast("string"), "month": cal.month_text(day)}
-        entries = F.array(*[F.struct(F.lit(p).alias("freq"), keys[p].alias("period")) for p in wanted])
-        rows = feed(spark, sf, name).select(
-            F.lit(name).alias("feed"), "tract", val.tract_bin(F.col("tract")).alias("tract_grp"), F.inline(entries)
+    """(feed, freq, period, tract_grp, n) for {feed: periods}, from one scan of the events."""
+    feeds = [f for f in line_feeds(spark, sf) if f.name in periods]
+    events = tagged_events(feeds, {"tract": F.col("tract")})
+    day = F.col("date")
+    keys = {"year": F.year(day).cast("string"), "month": cal.month_text(day)}
+    entries = [
+        F.when(
+            F.col("feed").isin([n for n, wanted in periods.items() if p in wanted]),
+            F.struct(F.lit(p).alias("freq"), keys[p].alias("period")),
         )
-        parts.append(rows)
-    stacked = reduce(DataFrame.unionByName, parts).where("tract_grp IS NOT NULL AND period IS NOT NULL")
-    return stacked.groupBy("feed", "freq", "period", "tract_grp").agg(F.count("tract").alias("n"))
+        for p in keys
+    ]
+    keyed = events.select(
+        "feed", "tract", val.tract_bin(F.col("tract")).alias("tract_grp"), F.inline(F.array_compact(F.array(*entries)))
+    )
+    keyed = keyed.where("tract_grp IS NOT NULL AND period IS NOT NULL")
+    return keyed.groupBy("feed", "freq", "period", "tract_grp").agg(F.count("tract").alias("n"))
 
 
-def monthly_tract_counts(spark: SparkSession, sf: str) -> DataFrame:
-    counts = tract_feed_counts(spark, sf, {name: ["month"] for name in TRACT_FEEDS})
+def monthly_tract_counts(spark: SparkSession, sf: str, feeds: list[str] | None = None) -> DataFrame:
+    counts = tract_feed_counts(spark, sf, {name: ["month"] for name in feeds or TRACT_FEEDS})
     return counts.drop("freq").withColumnRenamed("period", "month")
 
 

@@ -206,7 +206,7 @@ def zscore_normalize(spark, sf):
     """,
 )
 def zscore_by_tract(spark, sf):
-    counts = monthly_tract_counts(spark, sf).where("feed = 'complaints'").select("month", "tract_grp", "n")
+    counts = monthly_tract_counts(spark, sf, ["complaints"]).select("month", "tract_grp", "n")
     return rounded(ser.zscore(counts, by=["tract_grp"], value="n"), 6)
 
 
@@ -337,7 +337,7 @@ def shift_gain(spark, sf):
     """,
 )
 def pre_post_effect(spark, sf):
-    counts = monthly_tract_counts(spark, sf).where("feed = 'complaints'").drop("feed")
+    counts = monthly_tract_counts(spark, sf, ["complaints"]).drop("feed")
     both = tract_prices(spark, sf).join(counts, ["month", "tract_grp"])
     return rounded(ser.pre_post_effect(both, "tract_grp", "month", "n", "avg_price"))
 

@@ -103,34 +103,33 @@ def list_inputs(spark, sf):
     return readers.select_inputs(listing)
 
 
-EVENT_HEADER = "event_id,user_id,event_type,value"
+EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value"]
 
 
 def event_archives(events: DataFrame) -> DataFrame:
-    """(path, content): one zip with one CSV member per Arrow batch, and one damaged archive per batch."""
+    """(path, content): one zip per Arrow batch, headers alternating, and one damaged archive per batch."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for i, batch in enumerate(batches):
             name = f"JC-{int(batch['event_id'].min())}"
+            table_ = batch.rename(columns={"event_id": "Event ID"} if i % 2 else {"event_id": "id"})
             buffer = io.BytesIO()
             with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr(f"{name}.csv", EVENT_HEADER + "\n" + batch.to_csv(index=False, header=False))
+                archive.writestr(f"{name}.csv", table_.to_csv(index=False))
                 archive.writestr("readme.txt", "not a table")
             rows = [(f"{name}.csv.zip", buffer.getvalue()), (f"{name}-damaged.csv.zip", b"PK but not an archive")]
             yield pd.DataFrame(rows, columns=["path", "content"])
 
-    return events.select("event_id", "user_id", "event_type", "value").mapInPandas(pack, "path string, content binary")
+    return events.select(*EVENT_COLUMNS).mapInPandas(pack, "path string, content binary")
 
 
 @query("read_zip_csv", "SELECT event_id, user_id, event_type, value FROM events")
 def read_zip_csv(spark, sf):
     """Events packed into zip archives, expanded and parsed again; damaged archives are set aside."""
-    rows, _ = readers.read_zip_csv(
-        event_archives(table(spark, sf, "events")),
-        "event_id bigint, user_id bigint, event_type string, value double",
-        EVENT_HEADER,
-    )
-    return rows.drop("path", "member")
+    archives = event_archives(table(spark, sf, "events"))
+    rows = readers.read_zip_csv(archives, EVENT_COLUMNS, {"id": "event_id", "Event ID": "event_id"})
+    kinds = {"event_id": "bigint", "user_id": "bigint", "event_type": "string", "value": "double"}
+    return rows.where("error IS NULL").select(*[F.col(c).cast(kinds[c]).alias(c) for c in EVENT_COLUMNS])
 
 
 @query("read_table", "SELECT date AS day, num_rides FROM citibike_daily")

@@ -89,48 +89,46 @@ def select_inputs(listing: DataFrame, suffix: str = ".csv.zip", containing: str
     return wanted.join(tail, "path", "left_anti").orderBy("path")
 
 
-ARCHIVE_SCHEMA = "path string, member string, lines array<string>, error string"
-LINES_PER_ROW = 5000
+ROWS_PER_CHUNK = 50_000
 
 
-def expand_archives(archives: DataFrame) -> DataFrame:
-    """CSV members of zip archives as chunks of lines; a bad archive or member becomes an error row.
+def read_zip_csv(archives: DataFrame, columns: Sequence[str], rename: Mapping[str, str] | None = None) -> DataFrame:
+    """CSV members of zip archives: (path, member, error, columns as text).
 
-    Archives are spread over tasks, one is open at a time, and members are decompressed as a
-    stream, so memory holds one archive's bytes and one chunk of lines.
+    `archives` holds (path, content), as the binaryFile source gives them. Every member's own
+    header is brought to `columns` by the rename map; a column it lacks is NULL. An archive or
+    member that cannot be read becomes one row with the reason in `error`. Archives are spread
+    over tasks; a task holds one archive and one chunk of rows at a time.
     """
+    wanted, names = list(columns), dict(rename or {})
+    layout = ["path", "member", "error", *wanted]
+
+    def failure(path: str, member: str | None, problem: Exception) -> pd.DataFrame:
+        return pd.DataFrame([{"path": path, "member": member, "error": f"{type(problem).__name__}: {problem}"}]).reindex(columns=layout)
+
+    def member_rows(archive: zipfile.ZipFile, path: str, member: str) -> Iterator[pd.DataFrame]:
+        with archive.open(member) as raw:
+            for chunk in pd.read_csv(raw, dtype=str, keep_default_na=False, na_values=[""], chunksize=ROWS_PER_CHUNK):
+                yield chunk.rename(columns=names).assign(path=path, member=member, error=None).reindex(columns=layout)
 
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["path", "member", "lines", "error"]
+        problems = (zipfile.BadZipFile, UnicodeDecodeError, ValueError, OSError, EOFError)
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                member = None
                 try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                        for member in (m for m in archive.namelist() if m.endswith(".csv")):
-                            with archive.open(member) as raw:
-                                chunk: list[str] = []
-                                for line in io.TextIOWrapper(raw, encoding="utf-8"):
-                                    chunk.append(line.rstrip("\r\n"))
-                                    if len(chunk) == LINES_PER_ROW:
-                                        yield pd.DataFrame([(path, member, chunk, None)], columns=columns)
-                                        chunk = []
-                                if chunk:
-                                    yield pd.DataFrame([(path, member, chunk, None)], columns=columns)
-                except (zipfile.BadZipFile, UnicodeDecodeError, OSError, EOFError) as e:
-                    yield pd.DataFrame([(path, member, [], f"{type(e).__name__}: {e}")], columns=columns)
-
-    return archives.select("path", "content").mapInPandas(expand, ARCHIVE_SCHEMA)
-
-
-def read_zip_csv(archives: DataFrame, schema: str, header: str) -> tuple[DataFrame, DataFrame]:
-    """(rows, rejects) of zipped CSV files: rows parsed with the schema, header lines removed."""
-    chunks = expand_archives(archives)
-    lines = chunks.where("error IS NULL").select("path", "member", F.explode("lines").alias("line"))
-    lines = lines.where(F.col("line") != header)
-    parsed = lines.select("path", "member", F.from_csv("line", schema).alias("r"))
-    rejects = chunks.where("error IS NOT NULL").select("path", "member", "error")
-    return parsed.select("path", "member", "r.*"), rejects
+                    archive = zipfile.ZipFile(io.BytesIO(content))
+                except problems as e:
+                    yield failure(path, None, e)
+                    continue
+                with archive:
+                    for member in (m for m in archive.namelist() if m.endswith(".csv")):
+                        try:
+                            yield from member_rows(archive, path, member)
+                        except problems as e:
+                            yield failure(path, member, e)
+
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in layout])
+    return archives.select("path", "content").mapInPandas(expand, schema)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
