@@ -107,9 +107,12 @@ def read_zip_csv(archives: DataFrame, columns: Sequence[str], rename: Mapping[st
         return pd.DataFrame([{"path": path, "member": member, "error": f"{type(problem).__name__}: {problem}"}]).reindex(columns=layout)
 
     def member_rows(archive: zipfile.ZipFile, path: str, member: str) -> Iterator[pd.DataFrame]:
+        as_text = {"dtype": object, "keep_default_na": False, "na_values": [""]}
         with archive.open(member) as raw:
-            for chunk in pd.read_csv(raw, dtype=str, keep_default_na=False, na_values=[""], chunksize=ROWS_PER_CHUNK):
-                yield chunk.rename(columns=names).assign(path=path, member=member, error=None).reindex(columns=layout)
+            for chunk in pd.read_csv(raw, chunksize=ROWS_PER_CHUNK, **as_text):
+                named = chunk.rename(columns=names).assign(path=path, member=member, error=None)
+                rows = named.reindex(columns=layout).astype(object)
+                yield rows.where(rows.notna(), None)
 
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         problems = (zipfile.BadZipFile, UnicodeDecodeError, ValueError, OSError, EOFError)
