@@ -104,7 +104,8 @@ def read_zip_csv(archives: DataFrame, columns: Sequence[str], rename: Mapping[st
     layout = ["path", "member", "error", *wanted]
 
     def failure(path: str, member: str | None, problem: Exception) -> pd.DataFrame:
-        return pd.DataFrame([{"path": path, "member": member, "error": f"{type(problem).__name__}: {problem}"}]).reindex(columns=layout)
+        row = [path, member, f"{type(problem).__name__}: {problem}", *[None] * len(wanted)]
+        return pd.DataFrame([row], columns=layout, dtype=object)
 
     def member_rows(archive: zipfile.ZipFile, path: str, member: str) -> Iterator[pd.DataFrame]:
         as_text = {"dtype": object, "keep_default_na": False, "na_values": [""]}
