@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blockpulse.fixtures import table
+from blockpulse.operators.documents import listing_document
 from blockpulse.oracle import define
-from blockpulse.sources.listing_schema import PAYLOAD, DOCUMENT, ddl_schema, field_names
+from blockpulse.sources import listing_schema as ls
 
 
 def _items(count: str, struct: str, most: int = 4) -> str:
@@ -23,6 +24,11 @@ def _struct(**fields: str) -> str:
     return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields.items()) + ")"
 
 
+def _entity(keys: list[str], **known: str) -> str:
+    """Struct of all keys of an entity; keys without a value are NULL."""
+    return _struct(**{k: f"CAST({known.get(k, 'NULL')} AS {ls.key_type(k)})" for k in keys})
+
+
 _HOME = _struct(
     zpid="n * 10 + i", price="CAST(100000 * i AS BIGINT)",
     address=_struct(streetAddress="i || ' Side St'", city="'Albany'", state="'NY'", zipcode="'12201'"),
@@ -72,7 +78,8 @@ _VALUES: dict[str, str] = {
     "pageViewCount": "n % 211",
     "coreLogicId": "'cl' || n",
     "postingUrl": "'listing/' || n",
-    "resoFacts": _struct(
+    "resoFacts": _entity(
+        ls.FEATURE_KEYS,
         hoaFee="CASE n % 4 WHEN 0 THEN 'HOA Fee: $' || format_number(n, 0) || ' monthly' WHEN 1 THEN '$' || n || '.5' "
         "WHEN 2 THEN 'nan' END",
         bedrooms="CAST(1 + FLOOR(amount / 120000) AS BIGINT)",
@@ -83,7 +90,8 @@ _VALUES: dict[str, str] = {
         parkingCapacity="n % 4",
         yearBuilt="1900 + c % 120",
     ),
-    "attributionInfo": _struct(
+    "attributionInfo": _entity(
+        ls.AGENT_KEYS,
         agentName="CASE n % 5 WHEN 0 THEN NULL WHEN 1 THEN 'Solo' || c ELSE 'Ann ' || c || ' Lee' END",
         agentEmail="'a' || c || '@mail.test'",
         brokerName="'Broker ' || c % 97",
@@ -100,42 +108,29 @@ _VALUES: dict[str, str] = {
 }
 
 
+def _field(name: str):
+    """One payload field; structs are built key by key so that unused ones can be pruned."""
+    kind = ls.PAYLOAD_TYPES[name]
+    if name not in _VALUES:
+        return F.lit(None).cast(kind).alias(name)
+    value = F.expr(_VALUES[name])
+    return (value if kind.startswith("struct") else value.cast(kind)).alias(name)
+
+
 def payloads(spark: SparkSession, sf: str) -> DataFrame:
     """(scrape_id, scraped_at, p): one payload struct per order."""
     rows = table(spark, sf, "orders").selectExpr(
         "o_orderkey AS n", "o_custkey AS c", "o_totalprice AS amount",
         "timestamp_seconds(unix_seconds(CAST(o_orderdate AS TIMESTAMP)) + o_orderkey % 86400) AS scraped_at",
     )
-    values = [F.expr(_VALUES[k]).alias(k) if k in _VALUES else F.lit(None).alias(k) for k in field_names(PAYLOAD)]
-    shaped = rows.select(F.col("n").alias("scrape_id"), "scraped_at", F.struct(*values).alias("raw"))
-    # Nested structs carry only the fields they have; a JSON round trip is avoided by naming the rest.
-    return shaped.select("scrape_id", "scraped_at", _conform("raw", ddl_schema(PAYLOAD), shaped).alias("p"))
-
-
-def _conform(name: str, target, df: DataFrame):
-    """The column with every field of the target type, absent ones NULL."""
-    from pyspark.sql import types as T
-
-    def build(col, source, wanted):
-        if isinstance(wanted, T.StructType) and isinstance(source, T.StructType):
-            fields = {f.name: f.dataType for f in source}
-            parts = [
-                (build(col[f.name], fields[f.name], f.dataType) if f.name in fields else F.lit(None))
-                .cast(f.dataType)
-                .alias(f.name)
-                for f in wanted
-            ]
-            return F.when(col.isNotNull(), F.struct(*parts))
-        return col.cast(wanted)
-
-    return build(F.col(name), df.schema[name].dataType, target)
+    return rows.select(
+        F.col("n").alias("scrape_id"), "scraped_at", F.struct(*[_field(k) for k in ls.PAYLOAD_TYPES]).alias("p")
+    )
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
     """Scraped documents: one `root` struct per scrape."""
-    from blockpulse.operators.documents import listing_document
-
-    return listing_document(payloads(spark, sf), "p", "scraped_at", ddl_schema(DOCUMENT))
+    return listing_document(payloads(spark, sf), "p", "scraped_at")
 
 
 define(

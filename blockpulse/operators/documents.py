@@ -34,7 +34,9 @@ def flatten_struct(df: DataFrame, separator: str = ".") -> DataFrame:
 
 def whitelist(source: Column, available: list[str], keys: list[str]) -> Column:
     """Struct of exactly these keys; a key the source lacks becomes NULL."""
-    return F.struct(*[(source[k] if k in available else F.lit(None)).alias(k) for k in keys])
+    return F.struct(
+        *[(source[k] if k in available else F.lit(None).cast(ls.key_type(k))).alias(k) for k in keys]
+    )
 
 
 def picture_urls(photos: Column, width: int = ls.PHOTO_WIDTH) -> Column:
@@ -85,7 +87,7 @@ def agent_details(payload: Column) -> Column:
 
 def listing_entities(payload: Column) -> dict[str, Column]:
     """The parts of a listing, from its payload."""
-    top = ls.field_names(ls.PAYLOAD)
+    top = list(ls.PAYLOAD_TYPES)
     return {
         "location": whitelist(payload, top, ls.LOCATION_KEYS).withField(
             "nearbyCities", nested.pluck(payload["nearbyCities"], "name")
@@ -111,11 +113,9 @@ def scrape_stamp(moment: Column) -> Column:
     return F.date_format(moment, "dd/MM/yyyy HH:mm:ss")
 
 
-def typed_listing(rows: DataFrame, payload: str, moment: str) -> DataFrame:
-    """The full listing document as one `root` struct."""
+def _rooted(rows: DataFrame, payload: str, moment: str, parts: dict[str, Column]) -> DataFrame:
     p, stamp = F.col(payload), scrape_stamp(F.col(moment))
-    parts = listing_entities(p)
-    overview = F.struct(*[p[k].alias(k) for k in ls.field_names(ls.OVERVIEW)])
+    overview = F.struct(*[p[k].alias(k) for k in ls.OVERVIEW_KEYS])
     return rows.select(
         F.struct(
             content_id(p["zpid"], stamp).alias("hash_md5"),
@@ -128,27 +128,25 @@ def typed_listing(rows: DataFrame, payload: str, moment: str) -> DataFrame:
     )
 
 
-def listing_document(rows: DataFrame, payload: str, moment: str, schema: T.StructType) -> DataFrame:
-    """Documents as they are stored: whitelisted entities under the document schema."""
-    p, stamp = F.col(payload), scrape_stamp(F.col(moment))
-    top = ls.field_names(ls.PAYLOAD)
-    prop = F.struct(
-        F.struct(*[p[k].alias(k) for k in ls.field_names(ls.OVERVIEW)]).alias("overview"),
-        whitelist(p, top, ls.LOCATION_KEYS).alias("location"),
-        p["resoFacts"].alias("propertyFeatures"),
-        whitelist(p, top, ls.PRICING_KEYS).alias("pricing"),
-        p["attributionInfo"].alias("listingAgent"),
-        F.struct(p["schools"].alias("schools")).alias("schools"),
-    )
-    root = F.struct(
-        content_id(p["zpid"], stamp).alias("hash_md5"),
-        stamp.alias("extractTimestamp"),
-        F.substring(stamp, 1, 10).alias("scrapeDate"),
-        F.substring(stamp, 12, 8).alias("scrapeTime"),
-        p["zpid"].alias("zpid"),
-        prop.alias("property"),
-    )
-    return rows.select(root.cast(schema["root"].dataType).alias("root"))
+def typed_listing(rows: DataFrame, payload: str, moment: str) -> DataFrame:
+    """The full listing document as one `root` struct."""
+    return _rooted(rows, payload, moment, listing_entities(F.col(payload)))
+
+
+def listing_document(rows: DataFrame, payload: str, moment: str) -> DataFrame:
+    """Documents as they are stored: whitelisted entities under the document schema.
+
+    Every struct is built field by field, so a query that needs one field computes one field.
+    """
+    p, top = F.col(payload), list(ls.PAYLOAD_TYPES)
+    parts = {
+        "location": whitelist(p, top, ls.LOCATION_KEYS),
+        "propertyFeatures": p["resoFacts"],
+        "pricing": whitelist(p, top, ls.PRICING_KEYS),
+        "listingAgent": p["attributionInfo"],
+        "schools": F.struct(p["schools"].alias("schools")),
+    }
+    return _rooted(rows, payload, moment, parts)
 
 
 def newest_scrape(df: DataFrame, key: str, stamp: str) -> DataFrame:

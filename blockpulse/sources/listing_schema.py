@@ -93,10 +93,8 @@ _TOP_LEVEL |= {
 }
 PAYLOAD = "struct<" + ", ".join(f"{k}: {t}" for k, t in _TOP_LEVEL.items()) + ">"
 
-OVERVIEW = (
-    "struct<price: bigint, state: string, zpid: bigint, daysListed: bigint, favoriteCount: bigint, "
-    "pageViewCount: bigint, coreLogicId: string>"
-)
+OVERVIEW_KEYS = ["price", "state", "zpid", "daysListed", "favoriteCount", "pageViewCount", "coreLogicId"]
+OVERVIEW = "struct<" + ", ".join(f"{k}: {_TOP_LEVEL[k]}" for k in OVERVIEW_KEYS) + ">"
 DOCUMENT = (
     "struct<root: struct<hash_md5: string, extractTimestamp: string, scrapeDate: string, scrapeTime: string, "
     f"zpid: bigint, property: struct<overview: {OVERVIEW}, location: {entity(LOCATION_KEYS)}, "
@@ -105,9 +103,13 @@ DOCUMENT = (
 )
 
 
-def ddl_schema(ddl: str) -> T.DataType:
-    return T._parse_datatype_string(ddl)
+def key_type(key: str) -> str:
+    """Type of an entity key; text unless listed."""
+    return _TYPES.get(key, "string")
+
 
+PAYLOAD_TYPES = _TOP_LEVEL
 
-def field_names(ddl: str) -> list[str]:
-    return ddl_schema(ddl).names
+
+def ddl_schema(ddl: str) -> T.DataType:
+    return T._parse_datatype_string(ddl)
