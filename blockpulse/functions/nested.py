@@ -51,8 +51,14 @@ def parse_python_text(text: Column, schema) -> Column:
     return parsed
 
 
+STRIPPED = "!<>-\\"  # fixed value: characters cut from both ends of a script body
+
+
 def script_body(html: Column, marker: str) -> Column:
-    """Text inside the script tag whose attributes contain `marker`; NULL when there is none."""
-    pattern = rf"(?s)<script[^>]*{marker}[^>]*>(.*?)</script>"
+    """Text inside the script tag whose attributes contain `marker`; NULL when there is none.
+
+    Pages without the marker skip the pattern; the body is matched in runs up to the next `<`.
+    """
+    pattern = rf"<script[^>]*{marker}[^>]*>((?:[^<]++|<(?!/script>))*+)</script>"
     body = F.regexp_extract(html, pattern, 1)
-    return F.nullif(F.regexp_replace(body, r"^[!<>\\-]+|[!<>\\-]+$", ""), F.lit(""))
+    return F.when(html.contains(marker), F.nullif(F.btrim(body, F.lit(STRIPPED)), F.lit("")))

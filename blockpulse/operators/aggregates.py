@@ -21,34 +21,51 @@ def safe_corr(a: Column, b: Column) -> Column:
     return F.when(varies, F.covar_samp(x, y) / F.nullif(spread, F.lit(0.0)))
 
 
-def corr_row(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """All pairwise correlations in one pass: a single row with one column `a|b` per pair."""
-    return df.agg(*[safe_corr(F.col(a), F.col(b)).alias(f"{a}|{b}") for a, b in combinations(columns, 2)])
+def correlations(df: DataFrame, pairs: Mapping[str, tuple[Column, Column]]) -> DataFrame:
+    """One row with a map {pair name: correlation}, from a single pass and one small shuffle.
+
+    Each row is unfolded into its pairs and reduced on the map side, so what is shuffled is one
+    partial result per pair and task.
+    """
+    entries = [
+        F.struct(F.lit(name).alias("pair"), x.cast("double").alias("x"), y.cast("double").alias("y"))
+        for name, (x, y) in pairs.items()
+    ]
+    unfolded = df.select(F.inline(F.array(*entries)))
+    each = unfolded.groupBy("pair").agg(safe_corr(F.col("x"), F.col("y")).alias("correlation"))
+    return each.agg(F.map_from_entries(F.collect_list(F.struct("pair", "correlation"))).alias("corr"))
+
+
+def found(name: str) -> Column:
+    """Correlation of a named pair; NULL when there were no rows for it."""
+    return F.try_element_at("corr", F.lit(name))
+
+
+def _all_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return correlations(df, {f"{a}|{b}": (F.col(a), F.col(b)) for a, b in combinations(columns, 2)})
 
 
 def _pair(a: str, b: str, columns: Sequence[str]) -> Column:
     if a == b:
         return F.lit(1.0)
     first, second = sorted((a, b), key=list(columns).index)
-    return F.col(f"`{first}|{second}`")
+    return found(f"{first}|{second}")
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str], label: str = "feature") -> DataFrame:
-    """Symmetric matrix, one row per feature. The single aggregate row is unfolded, nothing joined."""
+    """Symmetric matrix, one row per feature. The single result row is unfolded, nothing joined."""
     rows = [
         F.struct(F.lit(a).alias(label), *[_pair(a, b, columns).alias(b) for b in columns]) for a in columns
     ]
-    return corr_row(df, columns).select(F.inline(F.array(*rows)))
+    return _all_pairs(df, columns).select(F.inline(F.array(*rows)))
 
 
 def corr_table(df: DataFrame, primary: str, columns: Sequence[str]) -> DataFrame:
     """(col_name, correlation) of one column against every listed column."""
-    others = [c for c in columns if c != primary]
-    one = df.agg(*[safe_corr(F.col(primary), F.col(c)).alias(c) for c in others])
+    one = correlations(df, {c: (F.col(primary), F.col(c)) for c in columns if c != primary})
     rows = [
         F.struct(
-            F.lit(c).alias("col_name"),
-            (F.lit(1.0) if c == primary else F.col(f"`{c}`")).alias("correlation"),
+            F.lit(c).alias("col_name"), (F.lit(1.0) if c == primary else found(c)).alias("correlation")
         )
         for c in columns
     ]
@@ -62,7 +79,7 @@ def corr_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         for a in columns
         for b in columns
     ]
-    return corr_row(df, columns).select(F.inline(F.array(*rows)))
+    return _all_pairs(df, columns).select(F.inline(F.array(*rows)))
 
 
 def corr_to_target(df: DataFrame, target: str, features: Sequence[str]) -> DataFrame:
@@ -98,14 +115,15 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 25) -> DataFram
     ).scalar()
 
     def bucket(c: str) -> Column:
-        lo, hi = bounds[f"{c}_lo"], bounds[f"{c}_hi"]
+        lo, hi = F.col(f"_bounds.{c}_lo"), F.col(f"_bounds.{c}_hi")
         raw = F.width_bucket(F.col(c).cast("double"), lo, hi, F.lit(bins))
         return F.when(F.col(c).isNotNull(), F.when(lo == hi, F.lit(1)).otherwise(F.least(raw, F.lit(bins))))
 
     entries = F.array(
         *[F.struct(F.lit(c).alias("feature"), bucket(c).cast("bigint").alias("bin")) for c in columns]
     )
-    return df.select(F.inline(entries)).where("bin IS NOT NULL").groupBy("feature", "bin").agg(F.count("*").alias("n"))
+    bounded = df.select(*columns, bounds.alias("_bounds"))
+    return bounded.select(F.inline(entries)).where("bin IS NOT NULL").groupBy("feature", "bin").agg(F.count("*").alias("n"))
 
 
 def tract_counts(rows: DataFrame, tract: str, period: Column, period_name: str, count_as: str = "n") -> DataFrame:

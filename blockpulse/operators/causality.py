@@ -162,12 +162,11 @@ def start_summary(starts: DataFrame, alpha: float = ALPHA) -> DataFrame:
 
 
 def best_start(starts: DataFrame) -> DataFrame:
-    """Start with the smallest mean p-value per feature, the earliest on ties, and its p-values."""
-    summary = start_summary(starts).where("mean_p IS NOT NULL")
-    best = summary.groupBy("feature").agg(
-        F.min_by(F.col("start"), F.struct("mean_p", "start")).alias("start"), F.min("mean_p").alias("mean_p")
-    )
-    return starts.join(best, ["feature", "start"])
+    """Rows of the start with the smallest mean p-value per feature, the earliest on ties."""
+    scored = starts.withColumn("mean_p", F.avg("p_value").over(Window.partitionBy("feature", "start")))
+    candidate = F.when(F.col("mean_p").isNotNull(), F.struct("mean_p", "start"))
+    best = F.min(candidate).over(Window.partitionBy("feature"))
+    return scored.withColumn("_best", best).where(F.col("start") == F.col("_best.start")).drop("_best")
 
 
 def causality_table(tests: DataFrame, max_lag: int, alpha: float = ALPHA) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from blockpulse.functions.calendar import period_end, period_spine
-from blockpulse.operators.aggregates import safe_corr
+from blockpulse.operators.aggregates import correlations, found, safe_corr
 from blockpulse.operators.windows import in_order
 
 
@@ -149,19 +149,14 @@ def lag_scan(wide: DataFrame, ts: str, target: str, features: Sequence[str], max
         F.col(target).alias("_y"),
         *[F.lag(F.col(f), k).over(over).alias(f"{f}@{k}") for f in features for k in range(1, max_lag + 1)],
     )
-    one = lagged.agg(
-        *[
-            safe_corr(F.col("_y"), F.col(f"`{f}@{k}`")).alias(f"{f}@{k}")
-            for f in features
-            for k in range(1, max_lag + 1)
-        ]
-    )
+    pairs = {f"{f}@{k}": (F.col("_y"), F.col(f"`{f}@{k}`")) for f in features for k in range(1, max_lag + 1)}
+    one = correlations(lagged, pairs)
     rows = [
         F.struct(
             F.lit(f).alias("feature"),
             F.array(
                 *[
-                    F.struct(F.lit(k).alias("lag"), F.col(f"`{f}@{k}`").alias("correlation"))
+                    F.struct(F.lit(k).alias("lag"), found(f"{f}@{k}").alias("correlation"))
                     for k in range(1, max_lag + 1)
                 ]
             ).alias("scan"),

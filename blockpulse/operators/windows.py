@@ -72,7 +72,11 @@ def supervised_windows(df: DataFrame, order: str, features: Sequence[str], targe
     return framed.where(F.col("_pos") > look_back).drop("_pos")
 
 
-def global_stats(df: DataFrame, aggs: dict[str, Column]) -> dict[str, Column]:
-    """Whole-frame aggregates as scalar subqueries: computed once, then used as constants."""
+def with_global_stats(df: DataFrame, aggs: dict[str, Column]) -> DataFrame:
+    """Whole-frame aggregates next to every row, as fields of a struct `stats`.
+
+    They are computed once by a scalar subquery and then used as a constant: no join, and no
+    window over the whole frame.
+    """
     packed = df.agg(F.struct(*[c.alias(name) for name, c in aggs.items()]).alias("s")).scalar()
-    return {name: packed[name] for name in aggs}
+    return df.withColumn("stats", packed)

@@ -164,10 +164,8 @@ def granger_start_search(spark, sf):
 )
 def argmin_per_group(spark, sf):
     summary = cau.start_summary(_starts(spark, sf)).where("mean_p IS NOT NULL")
-    best = summary.groupBy("feature").agg(
-        F.min_by(F.col("start"), F.struct("mean_p", "start")).alias("start"), F.min("mean_p").alias("mean_p")
-    )
-    return best.select("feature", "start", F.round("mean_p", 6).alias("mean_p"))
+    best = summary.groupBy("feature").agg(F.min(F.struct("mean_p", "start")).alias("b"))
+    return best.select("feature", "b.start", F.round("b.mean_p", 6).alias("mean_p"))
 
 
 @query(

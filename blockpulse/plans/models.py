@@ -16,7 +16,7 @@ from blockpulse.listing_fixture import payloads
 from blockpulse.operators import aggregates, filters, ranking
 from blockpulse.operators import models as mod
 from blockpulse.operators.series import shift_features
-from blockpulse.operators.windows import in_order
+from blockpulse.operators.windows import in_order, with_global_stats
 from blockpulse.oracle import define
 from blockpulse.oracle.regression import least_squares_sql
 from blockpulse.plans.panels import rounded
@@ -209,7 +209,7 @@ def regression_metrics(spark, sf):
 
 @query(
     "residual_trend",
-    """SELECT n AS scrape_id, y AS actual, p AS predicted, ROUND(a + b * y, 4) AS trend, ROUND(y - p, 4) AS residual,
+    """SELECT n AS scrape_id, y AS actual, p AS predicted, ROUND(a + b * y, 2) AS trend, ROUND(y - p, 2) AS residual,
     ROUND(r2, 6) AS r2 FROM (
       SELECT n, y, p, regr_intercept(p, y) OVER () AS a, regr_slope(p, y) OVER () AS b, regr_r2(p, y) OVER () AS r2
       FROM (SELECT n, CAST(price AS DOUBLE) AS y, CAST(FLOOR(amount * (90 + n % 21) / 100) AS DOUBLE) AS p FROM scrapes WHERE n % 23 <> 0))""",
@@ -220,18 +220,19 @@ def residual_trend(spark, sf):
         "scrape_id", F.col("p.price").cast("double").alias("actual"), F.col("p.zestimate").cast("double").alias("predicted")
     ).dropna()
     varies = F.stddev_samp("predicted") > 0
-    line = rows.agg(
-        F.struct(
-            F.regr_intercept("predicted", "actual").alias("a"),
-            F.regr_slope("predicted", "actual").alias("b"),
-            F.when(varies, F.regr_r2("predicted", "actual")).alias("r2"),
-        )
-    ).scalar()
-    return rows.select(
+    lined = with_global_stats(
+        rows,
+        {
+            "a": F.regr_intercept("predicted", "actual"),
+            "b": F.regr_slope("predicted", "actual"),
+            "r2": F.when(varies, F.regr_r2("predicted", "actual")),
+        },
+    )
+    return lined.select(
         "scrape_id", "actual", "predicted",
-        F.round(line["a"] + line["b"] * F.col("actual"), 4).alias("trend"),
-        F.round(F.col("actual") - F.col("predicted"), 4).alias("residual"),
-        F.round(line["r2"], 6).alias("r2"),
+        F.round(F.col("stats.a") + F.col("stats.b") * F.col("actual"), 2).alias("trend"),
+        F.round(F.col("actual") - F.col("predicted"), 2).alias("residual"),
+        F.round("stats.r2", 6).alias("r2"),
     )
 
 
@@ -451,7 +452,7 @@ def _errors_sql(source: str) -> str:
 
 def fund_errors(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Metrics per ticker of the linear learner on base features and on all signals."""
-    rows = fund_months(spark, sf)
+    rows = writers.stored(fund_months(spark, sf), shared_path(spark, "fund-months"))
     out = []
     for features in ([*BASE, "own"], [*SIGNAL_FEATURES, "own"]):
         scored = mod.grouped_least_squares(rows, ["ticker"], features, "y", F.col("is_train"))

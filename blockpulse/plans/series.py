@@ -307,13 +307,13 @@ def shift_gain(spark, sf):
     over = win.in_order("month")
     both = both.withColumns({f"{f}_s": F.lag(F.col(f), k).over(over) for f, k in SHIFTS.items()})
     y = F.col("avg_sales")
-    one = both.agg(*[aggregates.safe_corr(y, F.col(c)).alias(c) for f in SHIFTS for c in (f, f"{f}_s")])
+    one = aggregates.correlations(both, {c: (y, F.col(c)) for f in SHIFTS for c in (f, f"{f}_s")})
     rows = [
         F.struct(
             F.lit(f).alias("feature"),
-            F.col(f).alias("unshifted"),
-            F.col(f"{f}_s").alias("shifted"),
-            (F.col(f"{f}_s") - F.col(f)).alias("difference"),
+            aggregates.found(f).alias("unshifted"),
+            aggregates.found(f"{f}_s").alias("shifted"),
+            (aggregates.found(f"{f}_s") - aggregates.found(f)).alias("difference"),
         )
         for f in SHIFTS
     ]
