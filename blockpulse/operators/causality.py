@@ -27,13 +27,16 @@ def _doubles(*names: str) -> T.StructType:
 
 
 def paired(long: DataFrame, target: str, features: Sequence[str] | None = None) -> DataFrame:
-    """(feature, ts, x, y): each series next to the target on the same date, both present."""
-    present = long.where("value IS NOT NULL")
-    y = present.where(F.col("series_id") == target).select("ts", F.col("value").alias("y"))
-    x = present.where(F.col("series_id") != target)
+    """(feature, ts, x, y): each series next to the target on the same date, both present.
+
+    The target's value is spread over its date by a window, so the series are read once.
+    """
+    is_target = F.col("series_id") == target
+    y = F.max(F.when(is_target, F.col("value"))).over(Window.partitionBy("ts"))
+    rows = long.withColumn("y", y).where(~is_target & F.col("value").isNotNull() & F.col("y").isNotNull())
     if features is not None:
-        x = x.where(F.col("series_id").isin(list(features)))
-    return x.join(y, "ts").select(F.col("series_id").alias("feature"), "ts", F.col("value").alias("x"), "y")
+        rows = rows.where(F.col("series_id").isin(list(features)))
+    return rows.select(F.col("series_id").alias("feature"), "ts", F.col("value").alias("x"), "y")
 
 
 def block_means(pairs: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
