@@ -99,3 +99,103 @@ def least_squares_sql(
             (f"{prefix}_{j + 1}", f"SELECT {lead}, tr, {swept}, h + {pivot} * {pivot} / {norm} AS h FROM {prefix}_{j}")
         )
     return steps, f"{prefix}_{len(columns)}"
+
+
+def normal_cdf(x: str, points: int = 1000) -> str:
+    """Scalar expression: standard normal distribution function by Simpson's rule."""
+    return (
+        f"(0.5 + (SELECT SUM((CASE WHEN i IN (0, {points}) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) "
+        f"* exp(-pow(({x}) * i / {points}, 2) / 2)) FROM range(0, {points} + 1) g(i)) * ({x}) / {points} / 3 / sqrt(2 * pi()))"
+    )
+
+
+def adf_sql(source: str, keys: str, most: int, prefix: str) -> tuple[list[tuple[str, str]], str]:
+    """Unit-root test of (keys, ts, value): named steps and the name of (keys, used_lag, n, statistic, p_value).
+
+    `most` is at least the longest lag any group may use.
+    """
+    part, order = f"(PARTITION BY {keys})", f"(PARTITION BY {keys} ORDER BY ts)"
+    past = ", ".join(f"LAG(d, {k}) OVER {order} AS d{k}" for k in range(1, most + 1))
+    steps = [
+        (
+            f"{prefix}_change",
+            f"SELECT {keys}, ts, value - LAG(value) OVER {order} AS d, LAG(value) OVER {order} AS level, "
+            f"COUNT(*) OVER {part} AS nv FROM {source} WHERE value IS NOT NULL",
+        ),
+        (
+            f"{prefix}_rows",
+            f"SELECT {keys}, ts, d, level, ROW_NUMBER() OVER {order} AS pos, {past}, "
+            "GREATEST(LEAST(CEIL(12 * POW(nv / 100, 0.25)), FLOOR(nv / 2) - 2), 0) AS max_lag "
+            f"FROM {prefix}_change WHERE d IS NOT NULL",
+        ),
+    ]
+    # One chain over the common sample gives the residual length after every further lag.
+    regressors = ["1.0 AS v0", "level AS v1", *[f"d{k} AS v{k + 1}" for k in range(1, most + 1)]]
+    steps.append(
+        (f"{prefix}_c0", f"SELECT {keys}, max_lag, {', '.join(regressors)}, d AS t FROM {prefix}_rows WHERE pos > max_lag")
+    )
+    carry = ["max_lag"]
+    for j in range(most + 2):
+        rest = [f"v{k}" for k in range(j + 1, most + 2)] + ["t"]
+        sql = _sweep(f"{prefix}_c{j}", keys, rest, f"v{j}", carry)
+        if j >= 1:
+            sql = f"SELECT *, t AS s{j - 1} FROM ({sql})"
+            carry = [*carry, f"s{j - 1}"]
+        steps.append((f"{prefix}_c{j + 1}", sql))
+    scores = " UNION ALL ".join(
+        f"SELECT {keys}, {k} AS k, COUNT(*) * ln(SUM(s{k} * s{k}) / COUNT(*)) + 2 * ({k} + 2) AS aic "
+        f"FROM {prefix}_c{most + 2} WHERE max_lag >= {k} GROUP BY ALL"
+        for k in range(most + 1)
+    )
+    steps.append((f"{prefix}_aic", scores))
+    steps.append(
+        (f"{prefix}_best", f"SELECT {keys}, k FROM {prefix}_aic QUALIFY ROW_NUMBER() OVER (PARTITION BY {keys} ORDER BY aic, k) = 1")
+    )
+    finals = []
+    for k in range(most + 1):
+        name = f"{prefix}_f{k}_"
+        columns = ["1.0 AS v0", *[f"d{i} AS v{i}" for i in range(1, k + 1)], f"level AS v{k + 1}"]
+        steps.append(
+            (
+                f"{name}0",
+                f"SELECT {keys}, {', '.join(columns)}, d AS t FROM {prefix}_rows JOIN {prefix}_best USING ({keys}) "
+                f"WHERE k = {k} AND pos > {k}",
+            )
+        )
+        carry = []
+        for j in range(k + 2):
+            rest = [f"v{i}" for i in range(j + 1, k + 2)] + ["t"]
+            source_ = f"{name}{j}"
+            if j == k + 1:
+                source_ = f"(SELECT *, t AS r, v{j} AS lv FROM {source_})"
+                carry = ["r", "lv"]
+            steps.append((f"{name}{j + 1}", _sweep(source_, keys, rest, f"v{j}", carry)))
+        finals.append(
+            f"SELECT {keys}, {k} AS used_lag, COUNT(*) AS n, SIGN(SUM(r * lv)) * SQRT(GREATEST(SUM(r * r) - SUM(t * t), 0) "
+            f"/ (SUM(t * t) / (COUNT(*) - {k + 2}))) AS statistic FROM {name}{k + 2} GROUP BY ALL"
+        )
+    steps.append((f"{prefix}_stat", " UNION ALL ".join(finals)))
+    low = "2.1659 + 1.4412 * statistic + 0.038269 * statistic ** 2"
+    high = "1.7339 + 0.93202 * statistic - 0.12745 * statistic ** 2 - 0.010368 * statistic ** 3"
+    steps.append(
+        (
+            f"{prefix}_z",
+            f"SELECT *, CASE WHEN statistic <= -1.61 THEN {low} ELSE {high} END AS z FROM {prefix}_stat",
+        )
+    )
+    steps.append(
+        (
+            f"{prefix}_test",
+            f"SELECT * EXCLUDE z, CASE WHEN statistic > 2.74 THEN 1.0 WHEN statistic < -18.83 THEN 0.0 ELSE {normal_cdf('z')} END "
+            f"AS p_value FROM {prefix}_z",
+        )
+    )
+    return steps, f"{prefix}_test"
+
+
+def difference_sql(source: str, order: int) -> str:
+    """(series_id, "order", ts, value): n-th difference of (series_id, ts, value) by repeated subtraction."""
+    sql = f"SELECT series_id, ts, value FROM {source} WHERE value IS NOT NULL"
+    for _ in range(order):
+        sql = f"SELECT series_id, ts, value - LAG(value) OVER (PARTITION BY series_id ORDER BY ts) AS value FROM ({sql})"
+    return f'SELECT series_id, {order} AS "order", ts, value FROM ({sql}) WHERE value IS NOT NULL'

@@ -11,11 +11,14 @@ from blockpulse.operators import causality as cau
 from blockpulse.operators import filters
 from blockpulse.operators import series as ser
 from blockpulse.oracle import define
-from blockpulse.oracle.regression import granger_sql
+from blockpulse.oracle.regression import adf_sql, difference_sql, granger_sql
 from blockpulse.plans.panels import MEASURES, panel, rounded
 from blockpulse.plans.property_sales import monthly_tract_counts, tract_prices
 from blockpulse.plans.registry import query
-from blockpulse.plans.series import FEATURES, QUIET_SHIFT, SHIFTS, long_signals, signals
+from blockpulse.plans.series import (
+    ACF_STEPS as _ACF_STEPS,
+)
+from blockpulse.plans.series import FEATURES, QUIET_SHIFT, SHIFTS, long_signals, quiet_hit_sql, signals
 
 TARGET = "avg_sales"
 MAX_LAG = 11
@@ -68,7 +71,16 @@ def granger(spark, sf):
     return tests.select("feature", "lag", "n", F.round("f_stat", 4).alias("f_stat"), F.round("p_value", 6).alias("p_value"))
 
 
-@query("granger_reverse")
+define("reversed_pairs", "SELECT feature, ts, y AS x, x AS y FROM scaled_pairs")
+_REVERSE_STEPS, _REVERSE = granger_sql("reversed_pairs", "feature", list(range(1, MAX_LAG + 1)), "rg")
+
+
+@query(
+    "granger_reverse",
+    _materialised(
+        _REVERSE_STEPS, f"SELECT feature, lag, n, ROUND(f, 4) AS f_stat, ROUND(p, 6) AS p_value FROM ({_REVERSE})"
+    ),
+)
 def granger_reverse(spark, sf):
     """The opposite direction: does the price lead the signal?"""
     swapped = signal_pairs(spark, sf).select("feature", "ts", F.col("y").alias("x"), F.col("x").alias("y"))
@@ -183,7 +195,45 @@ def significant_lag_count(spark, sf):
 # --- unit root -------------------------------------------------------------------------------
 
 
-@query("adf_test")
+ADF_LAGS = 12  # lags that eighty months allow
+
+
+def _orders(source: str, orders: int) -> list[tuple[str, str]]:
+    return [(f"{source}_orders", " UNION ALL ".join(difference_sql(source, k) for k in range(orders + 1)))]
+
+
+def _first_differenced(source: str, name: str) -> str:
+    return (
+        f"SELECT series_id, ts, CASE WHEN series_id = '{name}' THEN value - LAG(value) OVER (PARTITION BY series_id ORDER BY ts) "
+        f"ELSE value END AS value FROM {source}"
+    )
+
+
+def _steady_sql(source: str, prefix: str) -> list[tuple[str, str]]:
+    """Steps ending in `<prefix>_steady`: each series at the first order that passes the test."""
+    steps, test = adf_sql(f"{source}_orders", 'series_id, "order"', ADF_LAGS, prefix)
+    return [
+        *_orders(source, cau.MAX_ORDER),
+        *steps,
+        (
+            f"{prefix}_needed",
+            f'SELECT series_id, COALESCE(MIN(CASE WHEN p_value < 0.05 THEN "order" END), {cau.MAX_ORDER}) AS "order" '
+            f"FROM {test} GROUP BY 1",
+        ),
+        (f"{prefix}_steady", f'SELECT * FROM {source}_orders JOIN {prefix}_needed USING (series_id, "order")'),
+    ]
+
+
+_ADF_STEPS, _ADF_TEST = adf_sql("long_signals_orders", 'series_id, "order"', ADF_LAGS, "adf")
+
+
+@query(
+    "adf_test",
+    _materialised(
+        [*_orders("long_signals", 1), *_ADF_STEPS],
+        f'SELECT series_id, "order", used_lag, n, ROUND(statistic, 6) AS statistic, ROUND(p_value, 6) AS p_value FROM {_ADF_TEST}',
+    ),
+)
 def adf_test(spark, sf):
     """Unit-root test of every monthly signal and of its first difference."""
     options = cau.differenced_orders(long_signals(spark, sf), 1)
@@ -191,7 +241,13 @@ def adf_test(spark, sf):
     return rounded(tests, 6)
 
 
-@query("make_stationary")
+@query(
+    "make_stationary",
+    _materialised(
+        [("citi_signals", _first_differenced("long_signals", "target_citi")), *_steady_sql("citi_signals", "ms")],
+        'SELECT series_id, "order", ts, ROUND(value, 4) AS value FROM ms_steady',
+    ),
+)
 def make_stationary(spark, sf):
     return rounded(cau.make_stationary(long_signals(spark, sf), ["target_citi"]))
 
@@ -205,12 +261,46 @@ def preprocessed(spark: SparkSession, sf: str, freq: str = "M") -> DataFrame:
     return ser.zscore(steady, date(1996, 1, 1))
 
 
-@query("preprocess")
+define(
+    "quiet_long",
+    " UNION ALL ".join(
+        f"SELECT '{m}' AS series_id, event_date AS ts, CAST(CASE WHEN {quiet_hit_sql(m)} THEN NULL ELSE {m} END AS DOUBLE) AS value FROM panel"
+        for m in MEASURES
+    ),
+)
+
+
+@query(
+    "preprocess",
+    _materialised(
+        [
+            ("pp_months", "SELECT series_id, last_day(ts) AS ts, AVG(value) AS value FROM quiet_long GROUP BY 1, 2"),
+            ("pp_months_rides", _first_differenced("pp_months", "citibike_rides")),
+            *_steady_sql("pp_months_rides", "pp"),
+        ],
+        """SELECT series_id, ts, ROUND((value - AVG(value) OVER w) / NULLIF(STDDEV_SAMP(value) OVER w, 0), 6) AS value
+        FROM pp_steady WHERE ts > DATE '1996-01-01' WINDOW w AS (PARTITION BY series_id)""",
+    ),
+)
 def preprocess(spark, sf):
     return rounded(preprocessed(spark, sf, "M"), 6)
 
 
-@query("pacf")
+@query(
+    "pacf",
+    f"""
+    WITH RECURSIVE {_ACF_STEPS},
+    curve AS (SELECT series_id, list(acf ORDER BY lag) AS r FROM raw_acf GROUP BY 1),
+    level AS (
+      SELECT series_id, r, 0 AS k, CAST([] AS DOUBLE[]) AS phi, CAST(1 AS DOUBLE) AS v, CAST(1 AS DOUBLE) AS p FROM curve
+      UNION ALL
+      SELECT series_id, r, k + 1, list_append(list_transform(range(1, k + 1), lambda j: phi[j] - a * phi[k + 1 - j]), a),
+             v * (1 - a * a), a
+      FROM (SELECT *, (r[k + 2] - COALESCE(list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[k + 2 - j])), 0)) / v AS a
+            FROM level WHERE k < 20))
+    SELECT series_id, CAST(k AS INTEGER) AS lag, ROUND(p, 6) AS pacf FROM level
+    """,
+)
 def pacf(spark, sf):
     return rounded(cau.pacf(ser.acf(long_signals(spark, sf), 20)), 6)
 

@@ -35,7 +35,6 @@ ALL_SIGNALS = list(SIGNALS)
 QUIET_SHIFT = -21
 START = date(1997, 1, 1)
 
-# Alternating-year view of the rules keeps them readable in the oracle.
 _RULES = [r.shifted(QUIET_SHIFT) for r in filters.QUIET_RANGES if r.column in MEASURES]
 
 
@@ -68,14 +67,19 @@ define("long_signals", _unpivot_sql("signals", "month", ALL_SIGNALS))
 define("long_panel", _unpivot_sql("panel", "event_date", MEASURES))
 
 
-def _quiet_sql(column: str) -> str:
+def quiet_hit_sql(column: str) -> str:
+    """Condition of the days on which a measure is not trusted."""
     hits = [
         f"(event_date <= DATE '{r.last}'" + (f" AND event_date >= DATE '{r.first}'" if r.first else "") + ")"
         for r in _RULES
         if r.column == column
     ]
+    return " OR ".join(hits) or "FALSE"
+
+
+def _quiet_sql(column: str) -> str:
     shown = f"ROUND({column}, 4)" if column.startswith("avg_") else column
-    return f"CASE WHEN {' OR '.join(hits)} THEN NULL ELSE {shown} END AS {column}" if hits else f"{shown} AS {column}"
+    return f"CASE WHEN {quiet_hit_sql(column)} THEN NULL ELSE {shown} END AS {column}"
 
 
 @query("nullify_ranges", "SELECT event_date, " + ", ".join(_quiet_sql(m) for m in MEASURES) + " FROM panel")
@@ -238,18 +242,16 @@ def autocorr(spark, sf):
     return rounded(ser.autocorr(long_signals(spark, sf), 7), 6)
 
 
-_ACF_SQL = """
-    WITH c AS (SELECT series_id, value - AVG(value) OVER (PARTITION BY series_id) AS v,
+ACF_STEPS = """centred AS (SELECT series_id, value - AVG(value) OVER (PARTITION BY series_id) AS v,
                       ROW_NUMBER() OVER (PARTITION BY series_id ORDER BY ts) AS pos
-               FROM long_signals WHERE value IS NOT NULL)
-    SELECT a.series_id, CAST(k AS INTEGER) AS lag,
-           ROUND(SUM(a.v * b.v) / (SELECT SUM(v * v) FROM c WHERE c.series_id = a.series_id), 6) AS acf
-    FROM c a JOIN range(0, 21) r(k) ON TRUE JOIN c b ON a.series_id = b.series_id AND b.pos = a.pos - k
-    GROUP BY 1, 2
-"""
+               FROM long_signals WHERE value IS NOT NULL),
+    raw_acf AS (SELECT a.series_id, CAST(k AS INTEGER) AS lag,
+                       SUM(a.v * b.v) / (SELECT SUM(v * v) FROM centred WHERE centred.series_id = a.series_id) AS acf
+                FROM centred a JOIN range(0, 21) r(k) ON TRUE JOIN centred b ON a.series_id = b.series_id AND b.pos = a.pos - k
+                GROUP BY 1, 2)"""
 
 
-@query("acf", _ACF_SQL)
+@query("acf", f"WITH {ACF_STEPS} SELECT series_id, lag, ROUND(acf, 6) AS acf FROM raw_acf")
 def acf(spark, sf):
     return rounded(ser.acf(long_signals(spark, sf), 20), 6)
 

@@ -180,7 +180,18 @@ AUDITED = ["sales", "complaints", "businesses", "evictions", "restaurants", "hea
 DATE_COLUMNS = ["sale_date", "date", "arrest_date", "pre_filing_date"]
 
 
-@query("schema_audit")
+_TEXT_DATES = {"nypd_arrests": "arrest_date", "job_application_filings": "pre_filing_date"}
+
+
+@query(
+    "schema_audit",
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, '{c}' AS column_name, "
+        f"CASE typeof({c}) WHEN 'VARCHAR' THEN 'string' ELSE lower(typeof({c})) END AS data_type FROM (SELECT * FROM {n} LIMIT 1)"
+        for n in [*AUDITED, "citibike_daily"]
+        for c in [{"sales": "sale_date", **_TEXT_DATES}.get(n, "date")]
+    ),
+)
 def schema_audit(spark, sf):
     """Type of every date column of the feeds, before any cast."""
     frames = {n: feed(spark, sf, n) for n in [*AUDITED, "citibike_daily"]}
@@ -188,8 +199,8 @@ def schema_audit(spark, sf):
 
 
 def _cast_sql(name: str) -> str:
-    column = {"sales": "sale_date", "nypd_arrests": "arrest_date", "job_application_filings": "pre_filing_date"}.get(name, "date")
-    text = column in ("arrest_date", "pre_filing_date")
+    column = {"sales": "sale_date", **_TEXT_DATES}.get(name, "date")
+    text = name in _TEXT_DATES
     day = f"CAST(try_strptime({column}, '%m/%d/%Y') AS DATE)" if text else column
     return f"SELECT '{name}' AS table_name, {day} AS day, COUNT(*) AS n FROM {name} GROUP BY ALL"
 
