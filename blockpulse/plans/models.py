@@ -268,24 +268,31 @@ def gbt_zestimate(spark, sf):
     return rounded(mod.predictions(model, test, ["scrape_id"]))
 
 
-def _linear_sql() -> tuple[str, str]:
-    encoded = ", ".join(f"DENSE_RANK() OVER (ORDER BY {c}) - 1 AS {c}" for c in ENCODED)
-    rating = "CASE WHEN rating - FLOOR(rating) = 0.5 THEN 2 * ROUND(rating / 2) ELSE ROUND(rating) END AS avgSchoolRating"
-    frame = f"SELECT * REPLACE ({encoded}), {rating} FROM tax_filled"
-    steps, last = least_squares_sql(
-        "encoded_rows", "", ["scrape_id", "price"], LINEAR_FEATURES, "price",
-        "CAST('0x' || substr(md5(CAST(scrape_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 >= 20", "lin",
-    )
-    named = [("encoded_rows", frame), *steps]
-    return "WITH " + ", ".join(f"{n} AS MATERIALIZED ({s})" for n, s in named), last
-
-
 # Garage and parking are tied to the scrape key in the test tables, so one column is enough.
 LINEAR_FEATURES = [
     "bedrooms", "bathrooms", "yearBuilt", "daysListed", "favoriteCount", "pageViewCount", "avgPriceChange", "avgSchoolRating",
     "sellingSoon", "zipcode", "homeType",
 ]
-_LINEAR_HEAD, _LINEAR_LAST = _linear_sql()
+_TRAIN_SQL = "CAST('0x' || substr(md5(CAST(scrape_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 >= 20"
+_ENCODED_SQL = (
+    "SELECT * REPLACE (" + ", ".join(f"DENSE_RANK() OVER (ORDER BY {c}) - 1 AS {c}" for c in ENCODED) + "), "
+    "CASE WHEN rating - FLOOR(rating) = 0.5 THEN 2 * ROUND(rating / 2) ELSE ROUND(rating) END AS avgSchoolRating FROM tax_filled"
+)
+
+
+def _with_fits(fits: dict[str, list[str]]) -> tuple[str, dict[str, list[str]]]:
+    """Opening of a statement with one fit per prefix, and the step names of each fit."""
+    named = [("encoded_rows", _ENCODED_SQL)]
+    names = {}
+    for prefix, features in fits.items():
+        steps, _ = least_squares_sql("encoded_rows", "", ["scrape_id", "price"], features, "price", _TRAIN_SQL, prefix)
+        named += steps
+        names[prefix] = [n for n, _ in steps]
+    return "WITH " + ", ".join(f"{n} AS MATERIALIZED ({s})" for n, s in named), names
+
+
+_LINEAR_HEAD, _LINEAR_STEPS = _with_fits({"lin": LINEAR_FEATURES})
+_LINEAR_LAST = _LINEAR_STEPS["lin"][-1]
 
 
 @query(
@@ -300,7 +307,19 @@ def linear_price(spark, sf):
     return rounded(mod.predictions(model, test, ["scrape_id"]), 2)
 
 
-@query("linear_coefficients")
+def _coefficients_sql() -> str:
+    """Coefficient of each feature from a fit in which it is swept last."""
+    fits = {f"co{i}": [*(g for g in LINEAR_FEATURES if g != f), f] for i, f in enumerate(LINEAR_FEATURES)}
+    head, names = _with_fits(fits)
+    last = f"v{len(LINEAR_FEATURES)}"
+    rows = " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, SUM(t * {last}) / SUM({last} * {last}) AS importance FROM {names[f'co{i}'][-2]} WHERE tr"
+        for i, f in enumerate(LINEAR_FEATURES)
+    )
+    return f"{head} SELECT feature, ROUND(importance, 3) AS importance FROM ({rows}) WHERE importance > 0"
+
+
+@query("linear_coefficients", _coefficients_sql())
 def linear_coefficients(spark, sf):
     rows = mod.assemble(encoded_frame(spark, sf), LINEAR_FEATURES, "price", ["scrape_id"])
     train, _ = mod.hash_split(rows, "scrape_id")
@@ -323,12 +342,26 @@ def model_leaderboard(spark, sf):
     return mod.leaderboard(train, test)
 
 
-@query("model_history")
+HISTORY_RUNS = ((), ("bedrooms",))
+
+
+def _history_sql() -> str:
+    fits = {f"hi{i}": [f for f in LINEAR_FEATURES if f not in out] for i, out in enumerate(HISTORY_RUNS)}
+    head, names = _with_fits(fits)
+    runs = " UNION ALL ".join(
+        f"SELECT 'price' AS target, ROUND(1 - SUM(t * t) / (VAR_POP(price) * COUNT(*)), 6) AS r2, ROUND(AVG(t * t), -3) AS mse, "
+        f"'{','.join(out)}' AS excluded_features, 'linear' AS model FROM {names[f'hi{i}'][-1]} WHERE NOT tr"
+        for i, out in enumerate(HISTORY_RUNS)
+    )
+    return f"{head} {runs}"
+
+
+@query("model_history", _history_sql())
 def model_history(spark, sf):
     """Two runs appended to a log and read back."""
     path = shared_path(spark, "history")
     frame = encoded_frame(spark, sf)
-    for excluded in ((), ("bedrooms",)):
+    for excluded in HISTORY_RUNS:
         features = [f for f in LINEAR_FEATURES if f not in excluded]
         rows = mod.assemble(frame, features, "price", ["scrape_id"])
         train, test = mod.hash_split(rows, "scrape_id")
@@ -338,7 +371,8 @@ def model_history(spark, sf):
             F.lit("linear").alias("model"),
         )
         mod.append_history(run, path)
-    return spark.read.parquet(path)
+    log = spark.read.parquet(path)
+    return log.withColumns({"r2": F.round("r2", 6), "mse": F.round("mse", -3)})
 
 
 @query("save_load_model", f"{_LINEAR_HEAD} SELECT scrape_id, ROUND(price - t, 2) AS predicted FROM {_LINEAR_LAST} WHERE NOT tr")
