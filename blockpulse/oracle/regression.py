@@ -88,7 +88,8 @@ def least_squares_sql(
     lead = ", ".join(([keys] if keys else []) + carry)
     columns = ["v0", *[f"v{i + 1}" for i in range(len(features))]]
     first = ", ".join([f"1.0 AS v0", *[f"CAST({f} AS DOUBLE) AS v{i + 1}" for i, f in enumerate(features)]])
-    steps = [(f"{prefix}_0", f"SELECT {lead}, {train} AS tr, {first}, CAST({target} AS DOUBLE) AS t, 0.0 AS h FROM {source}")]
+    present = " AND ".join(f"{c} IS NOT NULL" for c in [*features, target])
+    steps = [(f"{prefix}_0", f"SELECT {lead}, {train} AS tr, {first}, CAST({target} AS DOUBLE) AS t, 0.0 AS h FROM {source} WHERE {present}")]
     for j, pivot in enumerate(columns):
         norm = f"NULLIF(SUM(CASE WHEN tr THEN {pivot} * {pivot} END) OVER {part}, 0)"
         rest = [*columns[j + 1 :], "t"]
