@@ -1,7 +1,10 @@
 """Lookups and mappings.
 
 No join here carries a broadcast hint: Spark broadcasts a side on its own when its measured
-size is below the threshold, and otherwise shuffles with adaptive skew splitting.
+size is below the threshold, and otherwise shuffles with adaptive skew splitting. A reference
+side that had to be aggregated first is written once, for two reasons: the size of the files
+decides about the broadcast, and a side that comes straight from a shuffle of its own is what
+the skew splitting needs to cut a hot key of the other side into several tasks.
 """
 
 from __future__ import annotations
@@ -14,6 +17,8 @@ from pyspark.sql import functions as F
 
 from blockpulse.functions.values import cusip8
 from blockpulse.operators.windows import newest_per_key
+from blockpulse.session import shared_path
+from blockpulse.sources.writers import stored
 
 
 def unique_by(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -25,9 +30,14 @@ def unique_by(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> Dat
     return df.groupBy(*keys).agg(*checked)
 
 
+def reference(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Unique reference rows, written to the shared folder."""
+    return stored(unique_by(df, keys, columns), shared_path(df.sparkSession, "reference"))
+
+
 def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Left join that can never change the number of left rows."""
-    return left.join(unique_by(right, keys, columns), list(keys), "left")
+    return left.join(reference(right, keys, columns), list(keys), "left")
 
 
 def normalised(text: Column) -> Column:
@@ -35,12 +45,12 @@ def normalised(text: Column) -> Column:
 
 
 def geocode_lookup(
-    rows: DataFrame, reference: DataFrame, keys: Sequence[str], columns: Sequence[str]
+    rows: DataFrame, known: DataFrame, keys: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:
     """Match addresses to a reference table on normalised parts; unmatched rows are left out."""
     parts = {f"_k_{k}": normalised(F.col(k).cast("string")) for k in keys}
-    ref = reference.select(*[c.alias(n) for n, c in parts.items()], *columns)
-    matched = unique_by(ref, list(parts), columns)
+    ref = known.select(*[c.alias(n) for n, c in parts.items()], *columns)
+    matched = reference(ref, list(parts), columns)
     return rows.withColumns(parts).join(matched, list(parts)).drop(*parts)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -187,15 +188,22 @@ _TEXT_DATES = {"nypd_arrests": "arrest_date", "job_application_filings": "pre_fi
     "schema_audit",
     " UNION ALL ".join(
         f"SELECT '{n}' AS table_name, '{c}' AS column_name, "
-        f"CASE typeof({c}) WHEN 'VARCHAR' THEN 'string' ELSE lower(typeof({c})) END AS data_type FROM (SELECT * FROM {n} LIMIT 1)"
+        f"MAX(CASE typeof({c}) WHEN 'VARCHAR' THEN 'string' ELSE lower(typeof({c})) END) AS data_type, COUNT({c}) AS filled FROM {n}"
         for n in [*AUDITED, "citibike_daily"]
         for c in [{"sales": "sale_date", **_TEXT_DATES}.get(n, "date")]
     ),
 )
 def schema_audit(spark, sf):
-    """Type of every date column of the feeds, before any cast."""
+    """Type and number of values of every date column of the feeds, before any cast."""
     frames = {n: feed(spark, sf, n) for n in [*AUDITED, "citibike_daily"]}
-    return readers.schema_audit(frames, DATE_COLUMNS)
+    listed = readers.schema_audit(frames, DATE_COLUMNS).collect()
+    counted = [
+        frames[r["table_name"]].agg(F.count(r["column_name"]).alias("filled")).select(
+            *[F.lit(r[c]).alias(c) for c in ("table_name", "column_name", "data_type")], "filled"
+        )
+        for r in listed
+    ]
+    return reduce(DataFrame.unionByName, counted)
 
 
 def _cast_sql(name: str) -> str:
@@ -213,7 +221,5 @@ def cast_dates(spark, sf):
     for name, df in frames.items():
         column = next(c for c in DATE_COLUMNS if c in df.columns)
         parts.append(df.select(F.lit(name).alias("table_name"), F.col(column).alias("day")))
-    stacked = parts[0]
-    for part in parts[1:]:
-        stacked = stacked.unionByName(part)
+    stacked = reduce(DataFrame.unionByName, parts)
     return stacked.groupBy("table_name", "day").agg(F.count("*").alias("n"))

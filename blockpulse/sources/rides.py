@@ -23,33 +23,47 @@ RIDE_COLUMNS = [
     "end_station_latitude",
 ]
 
-# Headers of the first two generations that differ by more than letter case.
-_FIRST_SPECIAL = {"start_time": "starttime", "stop_time": "stoptime", "user_type": "usertype"}
-# Headers of the third generation that differ from the output names.
-_THIRD_SPECIAL = {
-    "start_time": "started_at",
-    "stop_time": "ended_at",
-    "start_station_latitude": "start_lat",
-    "start_station_longitude": "start_lng",
-    "end_station_latitude": "end_lat",
-    "end_station_longitude": "end_lng",
-    "user_type": "member_casual",
-}
-
-
-def _spaced(name: str) -> str:
-    return name.replace("_", " ")
-
-
-def _title(name: str) -> str:
-    return _spaced(name).title().replace(" Id", " ID")
-
-
-# {file header: output name}, one map per generation: lower case, title case, snake case.
+# Fixed values: {file header: output name}, one map per generation of files.
 ERAS: list[dict[str, str]] = [
-    {_FIRST_SPECIAL.get(c, _spaced(c)): c for c in RIDE_COLUMNS},
-    {_title(c): c for c in RIDE_COLUMNS},
-    {_THIRD_SPECIAL.get(c, c): c for c in RIDE_COLUMNS},
+    {
+        "starttime": "start_time",
+        "stoptime": "stop_time",
+        "start station id": "start_station_id",
+        "start station name": "start_station_name",
+        "start station latitude": "start_station_latitude",
+        "start station longitude": "start_station_longitude",
+        "end station id": "end_station_id",
+        "end station name": "end_station_name",
+        "end station latitude": "end_station_latitude",
+        "end station longitude": "end_station_longitude",
+        "usertype": "user_type",
+    },
+    {
+        "Start Time": "start_time",
+        "Stop Time": "stop_time",
+        "Start Station ID": "start_station_id",
+        "Start Station Name": "start_station_name",
+        "Start Station Latitude": "start_station_latitude",
+        "Start Station Longitude": "start_station_longitude",
+        "End Station ID": "end_station_id",
+        "End Station Name": "end_station_name",
+        "End Station Latitude": "end_station_latitude",
+        "End Station Longitude": "end_station_longitude",
+        "User Type": "user_type",
+    },
+    {
+        "started_at": "start_time",
+        "ended_at": "stop_time",
+        "start_station_id": "start_station_id",
+        "start_station_name": "start_station_name",
+        "start_lat": "start_station_latitude",
+        "start_lng": "start_station_longitude",
+        "end_station_id": "end_station_id",
+        "end_station_name": "end_station_name",
+        "end_lat": "end_station_latitude",
+        "end_lng": "end_station_longitude",
+        "member_casual": "user_type",
+    },
 ]
 HEADERS: dict[str, str] = {old: new for era in ERAS for old, new in era.items()}
 

@@ -53,15 +53,46 @@ def test_panel_with_a_hot_day_has_one_shuffle(spark, skewed):
         assert r["mean"] == pytest.approx(mine.mean())
 
 
-def test_lookup_of_a_hot_key_without_broadcast(spark, skewed):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        stations = spark.range(500).select(F.col("id").alias("k"), (F.col("id") % 7).alias("block"))
-        joined = joins.lookup(skewed, stations, ["k"], ["block"])
-        assert joined.count() == N
-        assert joined.where("block IS NULL").count() == skewed.where("k >= 500").count()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+@pytest.fixture
+def small_thresholds(spark):
+    """Settings under which this little data counts as too large to broadcast and as skewed."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k in settings:
+        spark.conf.unset(k)
+
+
+def test_lookup_splits_a_hot_key(spark, skewed, small_thresholds):
+    rows = skewed.repartition(6, "id")
+    stations = spark.range(500).select(F.col("id").alias("k"), (F.col("id") % 7).alias("block"))
+    joined = joins.lookup(rows, stations, ["k"], ["block"])
+    assert len(joined.collect()) == N
+    assert "skew=true" in plan_of(joined)
+    assert joined.where("block IS NULL").count() == skewed.where("k >= 500").count()
+
+
+def test_geocoding_splits_a_hot_address(spark, skewed, small_thresholds):
+    rows = skewed.repartition(6, "id").select("id", F.concat(F.col("k").cast("string"), F.lit(" Main  st")).alias("street"))
+    known = spark.range(997).select(F.concat(F.lit(" "), F.col("id").cast("string"), F.lit(" MAIN ST")).alias("street"), F.col("id").alias("tract"))
+    placed = joins.geocode_lookup(rows, known, ["street"], ["tract"])
+    assert len(placed.collect()) == N
+    assert "skew=true" in plan_of(placed)
+
+
+def test_security_rows_of_a_hot_code(spark, skewed, small_thresholds):
+    market = skewed.repartition(6, "id").select(F.col("k").alias("infocode"), F.lit(date(2020, 1, 1)).alias("marketdate"), "id")
+    mapping = spark.range(997).select(F.col("id").alias("infocode"), F.lit("T").alias("ticker"))
+    daily = joins.security_daily(market, mapping, date(2019, 1, 1), date(2021, 1, 1))
+    assert len(daily.collect()) == N
+    assert "skew=true" in plan_of(daily)
 
 
 def test_codes_of_a_hot_value(spark, skewed):
