@@ -12,10 +12,19 @@ def field_values(items: Column, field: str) -> Column:
 
 
 def mean_of_field(items: Column, field: str, digits: int | None = None) -> Column:
-    """Mean of the non-null values of a field; NULL for a NULL array or no values."""
-    values = field_values(items, field)
-    total = F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v.cast("double"))
-    mean = F.when(F.size(values) > 0, total / F.size(values))
+    """Mean of the non-null values of a field; NULL for a NULL array or no values.
+
+    Sum and count are kept in one accumulator, so the array is walked once.
+    """
+    start = F.named_struct(F.lit("total"), F.lit(0.0), F.lit("n"), F.lit(0))
+
+    def add(acc: Column, x: Column) -> Column:
+        value = x[field].cast("double")
+        return F.when(
+            value.isNotNull(), F.named_struct(F.lit("total"), acc["total"] + value, F.lit("n"), acc["n"] + 1)
+        ).otherwise(acc)
+
+    mean = F.aggregate(items, start, add, lambda acc: F.when(acc["n"] > 0, acc["total"] / acc["n"]))
     return mean if digits is None else F.round(mean, digits)
 
 
@@ -55,10 +64,10 @@ STRIPPED = "!<>-\\"  # fixed value: characters cut from both ends of a script bo
 
 
 def script_body(html: Column, marker: str) -> Column:
-    """Text inside the script tag whose attributes contain `marker`; NULL when there is none.
+    """Text inside the script tag whose attributes contain `marker`; empty or NULL when there is none.
 
     Pages without the marker skip the pattern; the body is matched in runs up to the next `<`.
     """
     pattern = rf"<script[^>]*{marker}[^>]*>((?:[^<]++|<(?!/script>))*+)</script>"
     body = F.regexp_extract(html, pattern, 1)
-    return F.when(html.contains(marker), F.nullif(F.btrim(body, F.lit(STRIPPED)), F.lit("")))
+    return F.when(html.contains(marker), F.btrim(body, F.lit(STRIPPED)))

@@ -69,9 +69,9 @@ def encoded_frame(spark: SparkSession, sf: str) -> DataFrame:
     The cleaned rows and the encoded rows are each written once: fitting reads its input many
     times, and a narrow stored frame is cheaper to read again than nested documents.
     """
-    filled = mod.replace_zero_with_mean(model_frame(spark, sf), "propertyTaxRate")
-    cleaned = writers.stored(filled, shared_path(spark, "model-frame"))
-    return writers.stored(ranking.label_encode(cleaned, ENCODED), shared_path(spark, "encoded-frame"))
+    cleaned = writers.stored(model_frame(spark, sf), shared_path(spark, "model-frame"))
+    filled = mod.replace_zero_with_mean(cleaned, "propertyTaxRate")
+    return writers.stored(ranking.label_encode(filled, ENCODED), shared_path(spark, "encoded-frame"))
 
 
 define(
