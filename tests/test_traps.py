@@ -207,6 +207,12 @@ def test_nan_becomes_null_on_entry(spark):
     assert [r["value"] for r in ser.to_long(df, "d", ["x"]).orderBy("ts").collect()] == [None, 1.0]
 
 
+def test_long_and_wide_forms_agree(spark):
+    wide = spark.createDataFrame([(date(2020, 1, 1), 1.0, None), (date(2020, 1, 2), 2.0, 5.0)], "ts date, a double, b double")
+    back = ser.to_wide(ser.to_long(wide, "ts", ["a", "b"]), ["a", "b"]).orderBy("ts")
+    assert [tuple(r) for r in back.collect()] == [tuple(r) for r in wide.collect()]
+
+
 def test_constant_series_scale(spark):
     df = spark.createDataFrame([("c", date(2020, 1, d), 7.0) for d in (1, 2, 3)], "series_id string, ts date, value double")
     assert [r["value"] for r in ser.minmax(df).collect()] == [0.0, 0.0, 0.0]
