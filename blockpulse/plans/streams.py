@@ -21,7 +21,7 @@ def stream_daily_counts(spark, sf):
     """Daily event counts kept up to date by a stream; equal to the batch counts."""
     path, checkpoint = shared_path(spark, "counts"), shared_path(spark, "counts-checkpoint")
     schema = table(spark, sf, "events").schema
-    events = jobs.file_stream(spark, sf, schema, "events.parquet")
+    events = jobs.file_stream(jobs.state_session(spark), sf, schema, "events.parquet")
     jobs.stream_daily_counts(events, "ts", "event_type", path, checkpoint, delay="400 days")
     return jobs.current_counts(spark, path)
 
@@ -67,6 +67,6 @@ def stream_late_audit(spark, sf):
     folder, path = shared_path(spark, "disordered"), shared_path(spark, "audit")
     events = table(spark, sf, "events")
     events.repartition(FILES, "user_id").write.parquet(folder)
-    stream = jobs.file_stream(spark, folder, events.schema, files_per_batch=1)
+    stream = jobs.file_stream(jobs.state_session(spark), folder, events.schema, files_per_batch=1)
     jobs.stream_daily_counts(stream, "ts", "event_type", path, shared_path(spark, "audit-checkpoint"), delay="1 day")
     return jobs.late_rows(events, "ts", "event_type", jobs.current_counts(spark, path))

@@ -16,6 +16,21 @@ from pyspark.sql.streaming import StreamingQuery
 from blockpulse.operators.documents import newest_scrape, routed
 
 
+STATE_PARTITIONS = 8
+
+
+def state_session(spark: SparkSession, partitions: int = STATE_PARTITIONS) -> SparkSession:
+    """A session for a stateful stream, with its own number of state partitions.
+
+    The number is fixed when a checkpoint is first written. The state of the daily counts is one
+    row per day and feed, so a few partitions hold it; every partition is a task in every batch.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    return own
+
+
 def file_stream(
     spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet", files_per_batch: int = 4
 ) -> DataFrame:
