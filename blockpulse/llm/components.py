@@ -1,4 +1,4 @@
-"""Connected components of a link table, by alternating large and small stars."""
+"""Connected components of a link table, by repeated contraction."""
 
 from __future__ import annotations
 
@@ -8,52 +8,48 @@ from pyspark.sql import functions as F
 from blockpulse.llm.scratch import Scratch
 
 
-def _signature(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def roots(links: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, root) for every node of `links` (a, b: different longs, each pair once).
 
-
-def star_edges(links: DataFrame, scratch: Scratch) -> DataFrame:
-    """(u, v): every linked node but the smallest of its component, with that smallest node.
-
-    `links` holds two long columns a, b. Each round lets every node point its larger neighbours,
-    then its smaller ones, at the smallest node in sight; links to the same end are merged at once.
-    Minima are written before they are joined back, so that a node with very many links is a skewed
-    side of a plain join, which Spark splits.
+    In each round every node picks the first node in its neighbourhood, itself included, in the order
+    of a hash, and links are moved to the picked nodes. Links inside a neighbourhood vanish, so groups
+    of copies are done in a round or two and long chains shrink by a constant factor. Picks are written
+    before they are joined to the links: a node with very many links is then a skewed side of a plain
+    join, which Spark splits.
     """
-    edges = scratch.write(
-        links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links"
-    )
-    seen = _signature(edges)
-    while seen[0]:
-        both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        nearest = scratch.write(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "nearest")
-        large = scratch.write(both.where("v > u").join(nearest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
-        lowest = scratch.write(large.groupBy("u").agg(F.min("v").alias("m")), "lowest")
-        moved = large.join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        step = scratch.write(moved.unionAll(lowest.select("u", F.col("m").alias("v"))).distinct(), "stars")
-        scratch.drop(edges, nearest, large, lowest)
-        edges, before = step, seen
-        seen = _signature(edges)
-        if seen == before:
-            break
-    return edges
+    picks: list[DataFrame] = []
+    edges, written = links, False
+    while not edges.isEmpty():
+        ends = edges.unionAll(edges.select("b", "a")).toDF("node", "other")
+        mine, first = F.struct(F.xxhash64("node"), "node"), F.min(F.struct(F.xxhash64("other"), "other"))
+        best = ends.groupBy("node").agg(first.alias("first"))
+        pick = scratch.write(best.select("node", F.when(mine < F.col("first"), F.col("node")).otherwise(F.col("first.other")).alias("pick")), "picks")
+        moved = edges.join(pick.toDF("a", "to_a"), "a").join(pick.toDF("b", "to_b"), "b").where("to_a <> to_b")
+        step = scratch.write(moved.select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b")).distinct(), "links")
+        if written:
+            scratch.drop(edges)
+        edges, written = step, True
+        picks.append(pick)
+    if not picks:
+        return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    found = picks[0].toDF("node", "root")
+    for pick in picks[1:]:
+        later = pick.toDF("root", "later")
+        found = found.join(later, "root", "left").select("node", F.coalesce("later", "root").alias("root"))
+    return found
 
 
 def smallest_ids(nodes: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
-    """(node, root, component_id): the smallest node and the smallest id of each node's component.
+    """(node, root, component_id): one node, and the smallest id, of each node's component.
 
     `nodes` holds one row per node: node long, id (its own smallest id; may be NULL).
     """
-    stars = star_edges(links, scratch)
-    linked = stars.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    roots = stars.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-    members = scratch.write(linked.unionAll(roots).join(nodes, "node"), "members")
+    members = scratch.write(roots(links, scratch).join(nodes, "node"), "members")
     smallest = scratch.write(members.groupBy("root").agg(F.min("id").alias("component_id")), "smallest")
     relabelled = members.join(smallest, "root").select("node", "root", "component_id")
     out = nodes.join(relabelled, "node", "left").select(
         "node", F.coalesce("root", "node").alias("root"), F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id")
     )
     table = scratch.write(out, "classes")
-    scratch.drop(stars, members, smallest)
+    scratch.drop(members, smallest)
     return table

@@ -27,10 +27,13 @@ class Scratch:
         self._count = 0
         _RUNS.setdefault(spark.sparkContext.applicationId, []).append(self.root)
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, merged: bool = True) -> DataFrame:
+        """`merged`: for narrow tables that come out of a shuffle, one task and file per core; many
+        small shuffle partitions would else become as many small files."""
         self._count += 1
         path = f"{self.root}/{self._count:03d}-{name}"
-        df.write.parquet(path)
+        out = df.coalesce(self.spark.sparkContext.defaultParallelism) if merged else df
+        out.write.parquet(path)
         table = self.spark.read.schema(df.schema).parquet(path)
         table._scratch_path = path
         return table

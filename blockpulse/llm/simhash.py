@@ -26,7 +26,7 @@ BITS = 64
 #: Shingle words, largest bit distance of a link and number of blocks a fingerprint is split into.
 WIDTH, DISTANCE, BLOCKS = 3, 2, 4
 #: Buckets up to this many fingerprints are compared pair by pair; larger ones meet at their midpoints.
-PAIR_BUCKET = 32
+PAIR_BUCKET = 256
 _CHUNK = 1 << 15
 
 
@@ -97,15 +97,17 @@ def close_pairs(prints: DataFrame, scratch: Scratch, distance: int = DISTANCE, b
     right = small.select("choice", "key", F.col("fp").alias("b"))
     paired = left.join(right, ["choice", "key"]).where("a < b")
 
-    large = members.where(F.col("n") > PAIR_BUCKET).select("fp").distinct()
-    met = scratch.write(_meetings(large, distance), "meetings")
-    centres = scratch.write(met.groupBy("value").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n"), "centres")
-    joined = met.join(centres, "value").where("a < fp").select("a", F.col("fp").alias("b"))
+    links = paired.select("a", "b")
 
-    links = paired.select("a", "b").where(_bit_distance("a", "b") <= distance)
-    links = links.unionAll(joined.where(_bit_distance("a", "b") <= distance)).distinct()
-    out = scratch.write(links, "close")
-    scratch.drop(sizes, members, met, centres)
+    met = None
+    if not sizes.where(F.col("n") > PAIR_BUCKET).isEmpty():
+        large = members.where(F.col("n") > PAIR_BUCKET).select("fp").distinct()
+        met = scratch.write(_meetings(large, distance), "meetings")
+        centres = scratch.write(met.groupBy("value").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n"), "centres")
+        links = links.unionAll(met.join(centres, "value").where("a < fp").select("a", F.col("fp").alias("b")))
+
+    out = scratch.write(links.where(_bit_distance("a", "b") <= distance).distinct(), "close")
+    scratch.drop(sizes, members, *([met, centres] if met else []))
     return out
 
 
@@ -136,7 +138,7 @@ def near_duplicates(
 ) -> DataFrame:
     """(id, fp, component_id) for every row; component_id is the smallest id reachable by links."""
     scratch = Scratch(docs.sparkSession, "simhash")
-    rows = scratch.write(fingerprints(docs, width, id_col, text_col), "fingerprints")
+    rows = scratch.write(fingerprints(docs, width, id_col, text_col), "fingerprints", merged=False)
     classes = _classes(rows, scratch, distance, blocks)
     return rows.join(classes, rows.fp == classes.node).select("id", "fp", "component_id")
 
@@ -160,7 +162,7 @@ def keep_first(
     only such rows go through an aggregation of whole rows.
     """
     scratch = Scratch(docs.sparkSession, "simhash-keep")
-    rows = scratch.write(fingerprints(docs, width, id_col, text_col), "fingerprints")
+    rows = scratch.write(fingerprints(docs, width, id_col, text_col), "fingerprints", merged=False)
     classes = _classes(rows, scratch, distance, blocks)
     found = rows.join(classes, rows.fp == classes.node)
     kept = found.where("id = component_id").groupBy(F.col("id").alias("_kept")).agg(F.count("*").alias("_rows"))
