@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockpulse.llm import simhash
+from blockpulse.llm import simhash, stream_bpe
 
 Plan = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Plan] = {}
@@ -33,3 +34,11 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its fingerprint and the smallest id of its class of near copies."""
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query("op4_stream_bpe")
+def op4_stream_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts and digests of every document, encoded and decoded again."""
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    found = stream_bpe.encode_documents(_table(spark, sf_dir, "documents"), vocabulary, with_ids=False)
+    return found.withColumnRenamed("id", "doc_id")

@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 #: Characters fed to the transducer at once; longest word kept in the cache, and words kept.
 WINDOW, CACHED_WORD, CACHED_WORDS = 1 << 16, 64, 300_000
 _SHIFT = 20
-#: Fixed values of the vocabulary's pre-tokenizer: contractions, letters, single digits, other marks.
+#: The vocabulary's pre-tokenizer: contractions, runs of letters, single digits, runs of other marks.
+#: Code points that Unicode assigned after version 16 may be classed otherwise than by the library.
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
 _RUNS = (regex.compile(r"\p{L}+"), regex.compile(r"[^\p{White_Space}\p{L}\p{N}]+"))
 
