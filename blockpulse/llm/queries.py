@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockpulse.llm import simhash, stream_bpe
+from blockpulse.llm import prefix_counts, simhash, stream_bpe
 
 Plan = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Plan] = {}
@@ -42,3 +42,18 @@ def op4_stream_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     found = stream_bpe.encode_documents(_table(spark, sf_dir, "documents"), vocabulary, with_ids=False)
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query("op10_prefix_token_counts")
+def op10_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document, and the longest prefix within 4096 tokens."""
+    limit, model = 4096, public_tokenizers.path("piece_bpe_32k.model")
+    found = prefix_counts.count_documents(_table(spark, sf_dir, "documents"), model, budget=limit)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        "n_tokens",
+        (F.col("n_tokens") > limit).alias("over_limit"),
+        F.col("fitting_chars").alias("kept_chars"),
+        F.col("fitting_tokens").alias("kept_tokens"),
+    )
