@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockpulse.llm import prefix_counts, simhash, stream_bpe
+from blockpulse.llm import prefix_counts, simhash, slot_shards, source_mix, stream_bpe
 
 Plan = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Plan] = {}
@@ -57,3 +57,70 @@ def op10_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("fitting_chars").alias("kept_chars"),
         F.col("fitting_tokens").alias("kept_tokens"),
     )
+
+
+@query("op3_slot_shards")
+def op3_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its shard of 40 and its place there; the map balances bytes.
+
+    Under this law there is no `grown_shard`; `next_shard` is the shard after the map is edited for 41.
+    """
+    placed = slot_shards.shard_documents(_table(spark, sf_dir, "documents"), shards=40)
+    return placed.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        F.col("place").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+        "virtual_slot",
+        "map_version",
+        "next_shard",
+    )
+
+
+OP5_SQL = r"""
+WITH d AS (
+    SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+           CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '-' || md5(coalesce(text, '')))), 1, 15) AS BIGINT) AS h
+    FROM documents
+), s AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+           [1, 2, 3][1 + (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3] AS weight
+    FROM d GROUP BY source
+), ranked AS (
+    SELECT *, row_number() OVER (ORDER BY source_size / weight, encode(source) NULLS LAST) AS k FROM s
+), cut AS (
+    SELECT r.k, CAST((SELECT sum(source_size) FROM s) - 3 * coalesce(sum(p.source_size), 0) AS DOUBLE) AS l,
+           CAST((SELECT sum(weight) FROM s) - coalesce(sum(p.weight), 0) AS DOUBLE) AS w
+    FROM ranked r LEFT JOIN ranked p ON p.k < r.k GROUP BY r.k
+), open_ AS (
+    SELECT cut.k, l, w FROM cut JOIN ranked USING (k) WHERE weight * l <= 3 * source_size * w ORDER BY cut.k LIMIT 1
+), t AS (
+    SELECT source, source_size, CASE WHEN o.k IS NULL OR r.k < o.k THEN CAST(3 * source_size AS DOUBLE)
+                                     ELSE least(o.l * weight / o.w, CAST(3 * source_size AS DOUBLE)) END AS target
+    FROM ranked r LEFT JOIN open_ o ON TRUE
+), c AS (
+    SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS copies FROM t
+), g AS (
+    SELECT source, h, sum(size) AS size, sum(sum(size)) OVER (PARTITION BY source ORDER BY h) - sum(size) AS spent
+    FROM d GROUP BY source, h
+), b AS (
+    SELECT c.source, max(CASE WHEN g.spent <= c.target - c.copies * c.source_size THEN g.h END) AS h
+    FROM c JOIN g ON c.source IS NOT DISTINCT FROM g.source GROUP BY c.source
+), e AS (
+    SELECT c.*, CASE WHEN target - copies * source_size <= 0 THEN 0
+                     WHEN 2 * (target - copies * source_size - g.spent) >= g.size THEN b.h + 1 ELSE b.h END AS below
+    FROM c JOIN b ON c.source IS NOT DISTINCT FROM b.source JOIN g ON g.source IS NOT DISTINCT FROM b.source AND g.h = b.h
+)
+SELECT doc_id, size, source_size, target, CAST((copies + CASE WHEN h < below THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
+FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source
+"""
+
+
+@query("op5_source_mix", OP5_SQL)
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the words that a mix by source weights takes of it."""
+    found = source_mix.taken_words(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
