@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockpulse.llm import prefix_counts, simhash, slot_shards, source_mix, stream_bpe
+from blockpulse.llm import prefix_counts, secret_scan, simhash, slot_shards, source_mix, stream_bpe
 
 Plan = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Plan] = {}
@@ -124,3 +124,18 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the words that a mix by source weights takes of it."""
     found = source_mix.taken_words(_table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+def _listed(spans: Column) -> Column:
+    """Spans as kind:start:end, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+@query("op2_secret_scan")
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, digest and places of the secrets of every document."""
+    found = secret_scan.scan(_table(spark, sf_dir, "documents"))
+    kinds = [rule.kind for rule in secret_scan.BASE_RULES]
+    counts = [F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in kinds]
+    base = F.filter("spans", lambda s: s["kind"].isin(kinds))
+    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
