@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockpulse.llm import prefix_counts, secret_scan, simhash, slot_shards, source_mix, stream_bpe
+from blockpulse.llm import nb_svm, prefix_counts, secret_scan, simhash, slot_shards, source_mix, stream_bpe
 
 Plan = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Plan] = {}
@@ -139,3 +139,17 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in kinds]
     base = F.filter("spans", lambda s: s["kind"].isin(kinds))
     return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
+
+
+@query("op6_nb_svm_quality")
+def op6_nb_svm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document; labels are learned outside the held-out fold."""
+    docs = _table(spark, sf_dir, "documents")
+    model = nb_svm.train(docs, _table(spark, sf_dir, "labels"))
+    scored = nb_svm.score_documents(docs, model)
+    return scored.select(
+        F.col("id").alias("doc_id"),
+        nb_svm.is_held_out(F.col("id")).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
