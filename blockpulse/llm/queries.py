@@ -136,8 +136,12 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, digest and places of the secrets of every document."""
     found = secret_scan.scan(_table(spark, sf_dir, "documents"))
     kinds = [rule.kind for rule in secret_scan.BASE_RULES]
-    counts = [F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in kinds]
-    base = F.filter("spans", lambda s: s["kind"].isin(kinds))
+
+    def of(*wanted: str) -> Column:
+        return F.filter("spans", lambda s: s["kind"].isin(*wanted))
+
+    counts = [F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in kinds]
+    base = of(*kinds)
     return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
 
 
