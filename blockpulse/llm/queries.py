@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockpulse.llm import nb_svm, prefix_counts, secret_scan, simhash, slot_shards, source_mix, stream_bpe
+from blockpulse.llm import cell_dedup, nb_svm, partition_ann, prefix_counts, secret_scan, simhash, slot_shards, source_mix, stream_bpe
 
 Plan = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Plan] = {}
@@ -157,3 +157,15 @@ def op6_nb_svm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
     )
+
+
+@query("op1_partition_ann")
+def op1_partition_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors found for every hundredth one."""
+    return partition_ann.search(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
+@query("op7_cell_dedup")
+def op7_cell_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its links and the smallest id of its group of near copies."""
+    return cell_dedup.near_duplicates(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
