@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockpulse.llm import cell_dedup, nb_svm, partition_ann, prefix_counts, secret_scan, simhash, slot_shards, source_mix, stream_bpe
+from blockpulse.llm import cell_dedup, nb_svm, partition_ann, perspectives, prefix_counts, secret_scan, simhash, slot_shards, source_mix, stream_bpe
 
 Plan = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Plan] = {}
@@ -169,3 +169,34 @@ def op1_partition_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_cell_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector with its links and the smallest id of its group of near copies."""
     return cell_dedup.near_duplicates(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+OP9_SQL = """
+WITH t AS (
+    SELECT conv_id, role, coalesce(text, '') AS said,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role NULLS FIRST, md5(coalesce(text, ''))) - 1 AS place
+    FROM conversations
+), p AS (
+    SELECT DISTINCT conv_id, role AS speaker FROM conversations WHERE role <> 'system'
+), r AS (
+    SELECT t.conv_id, speaker, CAST(place // 64 AS INTEGER) AS part, place, coalesce(role = speaker, FALSE) AS own,
+           '<|im_start|>' || CASE WHEN role = speaker THEN 'assistant' WHEN role = 'system' THEN 'system'
+                                  ELSE 'user name=' || coalesce(role, 'unnamed') END || chr(10) AS header,
+           said || '<|im_end|>' AS body
+    FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id
+), o AS (
+    SELECT *, sum(length(header) + length(body) + 1) OVER (PARTITION BY conv_id, speaker, part ORDER BY place) - length(body) - 1 AS begun FROM r
+)
+SELECT conv_id, speaker, part, CAST(count(*) AS INTEGER) AS n_turns, CAST(count(*) FILTER (own) AS INTEGER) AS n_own,
+       string_agg(header || body || chr(10), '' ORDER BY place) AS text,
+       coalesce(string_agg(CASE WHEN own THEN begun || ':' || (begun + length(body)) END, ',' ORDER BY place), '') AS mask
+FROM o GROUP BY conv_id, speaker, part
+"""
+
+
+@query("op9_perspective_rotation", OP9_SQL)
+def op9_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every dialogue from each speaker's perspective, with the spans that speaker is trained on."""
+    shown = perspectives.rotate(_table(spark, sf_dir, "conversations"))
+    mask = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    return shown.select(F.col("conv").alias("conv_id"), "speaker", "part", "n_turns", "n_own", "text", mask.alias("mask"))
