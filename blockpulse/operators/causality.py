@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from blockpulse.functions import numeric
 from blockpulse.operators.moments import gram
 from blockpulse.operators.series import difference
+from blockpulse.operators.windows import in_order
 
 ALPHA = 0.05
 
@@ -114,46 +115,27 @@ def granger(pairs: DataFrame, max_lag: int, keys: Sequence[str] = ("feature",),
 def granger_starts(pairs: DataFrame, max_lag: int) -> DataFrame:
     """The same test for every start date: (feature, start, lag, n, f_stat, p_value).
 
-    A start keeps the rows whose lags also lie on or after it. The sums of products are running
-    totals from the end of the series, one window per (feature, lag, matrix entry), so no suffix
-    is scanned twice.
+    A start keeps the rows whose lags also lie on or after it. A feature's series is as long as the
+    calendar; its products are summed once from the end, so no suffix is added up twice.
     """
-    vectors = _lag_vectors(pairs, ["feature"], max_lag)
-    size = F.size("v")
-    upper = F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), size),
-            lambda i: F.transform(
-                F.sequence(i, size), lambda j: F.element_at("v", i) * F.element_at("v", j)
-            ),
-        )
-    )
-    entries = vectors.select("feature", "lag", "start", F.posexplode(upper).alias("entry", "product"))
-    tail = Window.partitionBy("feature", "lag", "entry").orderBy(F.desc("start")).rowsBetween(Window.unboundedPreceding, 0)
-    totals = entries.withColumns({"total": F.sum("product").over(tail), "n": F.count(F.lit(1)).over(tail)})
-    packed = totals.groupBy("feature", "lag", "start", "n").agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("entry", "total"))), lambda e: e["total"]
-        ).alias("gram")
-    )
-    result = packed.withColumn("_r", _granger_upper("gram", "n", "lag"))
-    return result.select(
-        "feature", "start", "lag", "n",
-        F.nanvl(F.col("_r.f_stat"), F.lit(None)).alias("f_stat"),
-        F.nanvl(F.col("_r.p_value"), F.lit(None)).alias("p_value"),
-    )
-
-
-@F.pandas_udf(_doubles("f_stat", "p_value"))
-def _granger_upper(grams: pd.Series, n: pd.Series, lag: pd.Series) -> pd.DataFrame:
-    out = []
-    for g, rows, lags in zip(grams, n, lag):
-        size = 2 * lags + 2
-        full = np.zeros((size, size))
-        full[np.triu_indices(size)] = g
-        full = full + np.triu(full, 1).T
-        out.append(numeric.granger_f(full, rows, lags))
-    return pd.DataFrame(out, columns=["f_stat", "p_value"])
+    ts = pairs.schema["ts"].dataType.simpleString()
+    schema = f"feature string, start {ts}, lag int, n bigint, f_stat double, p_value double"
+
+    def tests(series: pd.DataFrame) -> pd.DataFrame:
+        series = series.sort_values("ts")
+        x, y, dates = series["x"].to_numpy(float), series["y"].to_numpy(float), series["ts"].to_numpy()
+        out = []
+        for lag in range(1, min(max_lag, len(y) - 1) + 1):
+            past = [v[lag - k : len(v) - k] for v in (y, x) for k in range(1, lag + 1)]
+            rows = np.column_stack([np.ones(len(y) - lag), *past, y[lag:]])
+            totals = np.cumsum((rows[:, :, None] * rows[:, None, :])[::-1], axis=0)[::-1]
+            for i, total in enumerate(totals):
+                f, p = numeric.granger_f(total, len(rows) - i, lag)
+                out.append((series["feature"].iloc[0], dates[i], lag, len(rows) - i, f, p))
+        return pd.DataFrame(out, columns=["feature", "start", "lag", "n", "f_stat", "p_value"])
+
+    result = _standardised(pairs, ["feature"]).groupBy("feature").applyInPandas(tests, schema)
+    return result.withColumns({c: F.nanvl(F.col(c), F.lit(None)) for c in ("f_stat", "p_value")})
 
 
 def start_summary(starts: DataFrame, alpha: float = ALPHA) -> DataFrame:
@@ -182,18 +164,16 @@ def causality_table(tests: DataFrame, max_lag: int, alpha: float = ALPHA) -> Dat
 
 # --- unit root -------------------------------------------------------------------------------
 
-LAG_WINDOW = 64  # longest lag frame kept per row; enough for series of about 80,000 values
+MOST_LAGS = 64  # the rule below reaches it at about 80,000 values
 
 
-def _lag_limit(n: Column) -> Column:
-    """Lags tried for n values: ceil(12 (n/100)^(1/4)), at most n/2 - 2."""
+def _lag_limit(n: Column, most_lags: int) -> Column:
+    """Lags tried for n values: ceil(12 (n/100)^(1/4)), at most n/2 - 2 and `most_lags`."""
     rule = F.ceil(12 * F.pow(n / 100, F.lit(0.25)))
-    limit = F.greatest(F.least(rule, F.floor(n / 2) - 2), F.lit(0)).cast("int")
-    too_long = F.raise_error(F.lit("series too long for the unit-root lag window"))
-    return F.when(limit > LAG_WINDOW, too_long).otherwise(limit)
+    return F.greatest(F.least(rule, F.floor(n / 2) - 2, F.lit(most_lags)), F.lit(0)).cast("int")
 
 
-def _adf_rows(long: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _adf_rows(long: DataFrame, keys: Sequence[str], most_lags: int) -> DataFrame:
     """(keys, ts, level, d, past, max_lag): change, previous level and earlier changes, newest first."""
     part = Window.partitionBy(*keys)
     order = part.orderBy("ts")
@@ -203,9 +183,9 @@ def _adf_rows(long: DataFrame, keys: Sequence[str]) -> DataFrame:
         "d": step,
         "level": F.lag("value").over(order),
         "n_values": F.count(F.lit(1)).over(part),
-    }).withColumn("max_lag", _lag_limit(F.col("n_values")))
+    }).withColumn("max_lag", _lag_limit(F.col("n_values"), most_lags))
     rows = rows.where("d IS NOT NULL")
-    past = F.reverse(F.collect_list("d").over(order.rowsBetween(-LAG_WINDOW, -1)))
+    past = F.reverse(F.collect_list("d").over(order.rowsBetween(-most_lags, -1)))
     return rows.select(*keys, "ts", "level", "d", past.alias("past"), "max_lag")
 
 
@@ -233,13 +213,15 @@ def _adf(grams: pd.Series, n: pd.Series, lags: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["statistic", "p_value"])
 
 
-def adf_test(long: DataFrame, keys: Sequence[str] = ("series_id",)) -> DataFrame:
-    """(keys, used_lag, n, statistic, p_value): unit-root test with a constant, lag count by AIC.
+def adf_test(long: DataFrame, keys: Sequence[str] = ("series_id",), most_lags: int = MOST_LAGS) -> DataFrame:
+    """(keys, used_lag, n, statistic, p_value, status): unit-root test with a constant, lag count by AIC.
 
-    Lag counts are compared on one common sample; the chosen one is refitted on all its rows.
+    Lag counts up to `most_lags` are compared on one common sample; the chosen one is refitted on all
+    its rows. Every series is in the result: one whose test cannot be computed (constant, exactly
+    linear, too short) has the status `untestable` and NULL figures, the others `tested`.
     """
     keys = list(keys)
-    rows = _adf_rows(long, keys)
+    rows = _adf_rows(long, keys, most_lags)
     common = rows.where(F.size("past") >= F.col("max_lag")).withColumn("v", _adf_vector(F.col("max_lag")))
     chosen = gram(common, [*keys, "max_lag"], "v").select(
         *keys, _best_lag("gram", "n", "max_lag").alias("used_lag")
@@ -250,11 +232,11 @@ def adf_test(long: DataFrame, keys: Sequence[str] = ("series_id",)) -> DataFrame
         .withColumn("v", _adf_vector(F.col("used_lag")))
     )
     result = gram(refit, [*keys, "used_lag"], "v").withColumn("_r", _adf("gram", "n", "used_lag"))
-    return result.select(
-        *keys, "used_lag", "n",
-        F.nanvl(F.col("_r.statistic"), F.lit(None)).alias("statistic"),
-        F.nanvl(F.col("_r.p_value"), F.lit(None)).alias("p_value"),
+    tested = result.where(~F.isnan("_r.statistic")).select(
+        *keys, "used_lag", "n", F.col("_r.statistic").alias("statistic"), F.col("_r.p_value").alias("p_value")
     )
+    status = F.when(F.col("statistic").isNull(), "untestable").otherwise("tested")
+    return long.select(*keys).distinct().join(tested, keys, "left").withColumn("status", status)
 
 
 MAX_ORDER = 3
@@ -275,10 +257,11 @@ def differenced_orders(long: DataFrame, max_order: int = MAX_ORDER) -> DataFrame
 def make_stationary(
     long: DataFrame, first_differenced: Sequence[str] = (), max_order: int = MAX_ORDER, alpha: float = ALPHA
 ) -> DataFrame:
-    """Difference each series until the unit-root test passes: (series_id, order, ts, value).
+    """Difference each series until the unit-root test passes: (series_id, order, ts, value, stationary).
 
-    The listed series are differenced once before anything else. A series that never passes is
-    returned at the highest order.
+    The listed series are differenced once before anything else. No series is left out: one that
+    passes at no order up to `max_order` is returned at that order with `stationary` false, and one
+    that cannot be tested at any order is returned as it is with `stationary` NULL.
     """
     if first_differenced:
         order = Window.partitionBy("series_id").orderBy("ts")
@@ -287,10 +270,14 @@ def make_stationary(
         long = long.withColumn("value", F.when(listed, step).otherwise(F.col("value")))
     options = differenced_orders(long, max_order)
     tests = adf_test(options, ["series_id", "order"])
-    needed = tests.groupBy("series_id").agg(
-        F.coalesce(F.min(F.when(F.col("p_value") < alpha, F.col("order"))), F.lit(max_order)).alias("order")
+    passed = F.min(F.when(F.col("p_value") < alpha, F.col("order")))
+    needed = tests.groupBy("series_id").agg(passed.alias("passed"), F.count("p_value").alias("tested"))
+    chosen = needed.select(
+        "series_id",
+        F.coalesce("passed", F.when(F.col("tested") > 0, max_order).otherwise(0)).alias("order"),
+        F.when(F.col("tested") > 0, F.col("passed").isNotNull()).alias("stationary"),
     )
-    return options.join(needed, ["series_id", "order"]).where("value IS NOT NULL")
+    return options.join(chosen, ["series_id", "order"]).where("value IS NOT NULL")
 
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
@@ -313,50 +300,36 @@ def optimize_shifts(
     wide: DataFrame, ts: str, target: str, features: Sequence[str], fixed: dict[str, int], max_shift: int = 7,
     train_share: float = 0.8,
 ) -> DataFrame:
-    """Test error of a linear model for every combination of feature shifts.
+    """Test error of a linear model for every combination of feature shifts: (shift per feature, mae).
 
     All lags of all features enter one Gram matrix over the training rows; a combination is a
-    sub-matrix of it. Returns (shift per feature, mae), one row per combination.
+    sub-matrix of it. The fitted combinations, `max_shift` to the number of free features, whatever
+    the length of the series, meet each held-out row, and errors are averaged by combination.
     """
-    over = Window.partitionBy().orderBy(ts)
+    over = in_order(ts)
     free = [f for f in features if f not in fixed]
     slots = [(f, k) for f in free for k in range(1, max_shift + 1)] + list(fixed.items())
     lagged = [F.lag(F.col(f), k).over(over) for f, k in slots]
     rows = wide.select(F.col(ts).alias("ts"), F.array(F.lit(1.0), *lagged, F.col(target)).alias("v"))
     rows = rows.where(F.forall("v", lambda x: x.isNotNull()))
-    rows = rows.withColumn("_share", F.percent_rank().over(Window.partitionBy().orderBy("ts")))
+    rows = rows.withColumn("_share", F.percent_rank().over(in_order("ts")))
     train, test = rows.where(F.col("_share") <= train_share), rows.where(F.col("_share") > train_share)
-
     moments = gram(train.withColumn("one", F.lit(1)), ["one"], "v").select("gram").scalar()
-    held_out = test.agg(F.collect_list("v").alias("rows")).scalar()
 
     position = {slot: i + 1 for i, slot in enumerate(slots)}
-    number = F.col("id")
-    shift_columns = {}
-    for i, f in enumerate(free):
-        shift_columns[f] = (F.floor(number / max_shift**i) % max_shift + 1).cast("int")
-    for f, k in fixed.items():
-        shift_columns[f] = F.lit(k)
-    spark = wide.sparkSession
-    grid = spark.range(max_shift ** len(free)).select(*[c.alias(f) for f, c in shift_columns.items()])
-    columns = F.array(
-        F.lit(0),
-        *[
-            (F.lit(position[(f, 1)]) + F.col(f) - 1) if f in free else F.lit(position[(f, fixed[f])])
-            for f in features
-        ],
-    ).cast("array<int>")
-    # Both constants are bounded by the calendar: one matrix, and the held-out months.
-    solved = grid.withColumns({"_cols": columns, "_gram": moments, "_rows": held_out})
-    solved = solved.withColumn("_beta", _solve_subset("_gram", "_cols"))
-
-    def miss(row: Column) -> Column:
-        terms = F.zip_with("_beta", "_cols", lambda b, c: b * F.get(row, c))
-        return F.abs(F.element_at(row, -1) - F.aggregate(terms, F.lit(0.0), lambda a, t: a + t))
-
-    errors = F.transform("_rows", miss)
-    mae = F.aggregate(errors, F.lit(0.0), lambda a, t: a + t) / F.nullif(F.size("_rows"), F.lit(0))
-    return solved.select(*features, mae.alias("mae"))
+    shift_columns = {f: (F.floor(F.col("id") / max_shift**i) % max_shift + 1).cast("int") for i, f in enumerate(free)}
+    shift_columns |= {f: F.lit(k) for f, k in fixed.items()}
+    grid = wide.sparkSession.range(max_shift ** len(free)).select("id", *[shift_columns[f].alias(f) for f in features])
+    columns = [F.lit(position[(f, 1)]) + F.col(f) - 1 if f in free else F.lit(position[(f, fixed[f])]) for f in features]
+    solved = grid.withColumns({"_cols": F.array(F.lit(0), *columns).cast("array<int>"), "_gram": moments})
+    solved = solved.select("id", *features, "_cols", _solve_subset("_gram", "_cols").alias("_beta"))
+
+    models = solved.agg(F.collect_list(F.struct("id", "_cols", "_beta")).alias("models")).scalar()
+    tried = test.select("v", F.inline(models))
+    terms = F.zip_with("_beta", "_cols", lambda b, c: b * F.get("v", c))
+    miss = F.abs(F.element_at("v", -1) - F.aggregate(terms, F.lit(0.0), lambda a, t: a + t))
+    errors = tried.select("id", miss.alias("miss")).groupBy("id").agg(F.avg("miss").alias("mae"))
+    return solved.join(errors, "id", "left").select(*features, "mae")
 
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))

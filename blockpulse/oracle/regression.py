@@ -111,7 +111,7 @@ def normal_cdf(x: str, points: int = 1000) -> str:
 
 
 def adf_sql(source: str, keys: str, most: int, prefix: str) -> tuple[list[tuple[str, str]], str]:
-    """Unit-root test of (keys, ts, value): named steps and the name of (keys, used_lag, n, statistic, p_value).
+    """Unit-root test of (keys, ts, value): named steps and the name of (keys, used_lag, n, statistic, p_value, status).
 
     `most` is at least the longest lag any group may use.
     """
@@ -144,13 +144,13 @@ def adf_sql(source: str, keys: str, most: int, prefix: str) -> tuple[list[tuple[
             carry = [*carry, f"s{j - 1}"]
         steps.append((f"{prefix}_c{j + 1}", sql))
     scores = " UNION ALL ".join(
-        f"SELECT {keys}, {k} AS k, COUNT(*) * ln(SUM(s{k} * s{k}) / COUNT(*)) + 2 * ({k} + 2) AS aic "
+        f"SELECT {keys}, {k} AS k, COUNT(*) * ln(NULLIF(SUM(s{k} * s{k}), 0) / COUNT(*)) + 2 * ({k} + 2) AS aic "
         f"FROM {prefix}_c{most + 2} WHERE max_lag >= {k} GROUP BY ALL"
         for k in range(most + 1)
     )
     steps.append((f"{prefix}_aic", scores))
     steps.append(
-        (f"{prefix}_best", f"SELECT {keys}, k FROM {prefix}_aic QUALIFY ROW_NUMBER() OVER (PARTITION BY {keys} ORDER BY aic, k) = 1")
+        (f"{prefix}_best", f"SELECT {keys}, k FROM {prefix}_aic WHERE aic IS NOT NULL QUALIFY ROW_NUMBER() OVER (PARTITION BY {keys} ORDER BY aic, k) = 1")
     )
     finals = []
     for k in range(most + 1):
@@ -172,8 +172,9 @@ def adf_sql(source: str, keys: str, most: int, prefix: str) -> tuple[list[tuple[
                 carry = ["r", "lv"]
             steps.append((f"{name}{j + 1}", _sweep(source_, keys, rest, f"v{j}", carry)))
         finals.append(
-            f"SELECT {keys}, {k} AS used_lag, COUNT(*) AS n, SIGN(SUM(r * lv)) * SQRT(GREATEST(SUM(r * r) - SUM(t * t), 0) "
-            f"/ (SUM(t * t) / (COUNT(*) - {k + 2}))) AS statistic FROM {name}{k + 2} GROUP BY ALL"
+            f"SELECT {keys}, {k} AS used_lag, COUNT(*) AS n, CASE WHEN COUNT(*) > {k + 2} THEN SIGN(SUM(r * lv)) "
+            f"* SQRT(GREATEST(SUM(r * r) - SUM(t * t), 0) / (NULLIF(SUM(t * t), 0) / (COUNT(*) - {k + 2}))) END AS statistic "
+            f"FROM {name}{k + 2} GROUP BY ALL"
         )
     steps.append((f"{prefix}_stat", " UNION ALL ".join(finals)))
     low = "2.1659 + 1.4412 * statistic + 0.038269 * statistic ** 2"
@@ -186,9 +187,17 @@ def adf_sql(source: str, keys: str, most: int, prefix: str) -> tuple[list[tuple[
     )
     steps.append(
         (
-            f"{prefix}_test",
+            f"{prefix}_found",
             f"SELECT * EXCLUDE z, CASE WHEN statistic > 2.74 THEN 1.0 WHEN statistic < -18.83 THEN 0.0 ELSE {normal_cdf('z')} END "
-            f"AS p_value FROM {prefix}_z",
+            f"AS p_value FROM {prefix}_z WHERE statistic IS NOT NULL",
+        )
+    )
+    # Series without a statistic stay, as untestable.
+    steps.append(
+        (
+            f"{prefix}_test",
+            f"SELECT *, CASE WHEN statistic IS NULL THEN 'untestable' ELSE 'tested' END AS status "
+            f"FROM (SELECT DISTINCT {keys} FROM {source}) LEFT JOIN {prefix}_found USING ({keys})",
         )
     )
     return steps, f"{prefix}_test"

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from blockpulse.operators import causality as cau
 from blockpulse.operators import filters
 from blockpulse.operators import series as ser
+from blockpulse.operators.windows import in_order
 from blockpulse.oracle import define
-from blockpulse.oracle.regression import adf_sql, difference_sql, granger_sql
+from blockpulse.oracle.regression import adf_sql, difference_sql, granger_sql, least_squares_sql
 from blockpulse.plans.panels import MEASURES, panel, rounded
 from blockpulse.plans.property_sales import monthly_tract_counts, tract_prices
 from blockpulse.plans.registry import query
@@ -21,8 +22,9 @@ from blockpulse.plans.series import (
 from blockpulse.plans.series import FEATURES, QUIET_SHIFT, SHIFTS, long_signals, quiet_hit_sql, signals
 
 TARGET = "avg_sales"
+PRICE = "avg_price"
 MAX_LAG = 11
-START_LAGS = 3
+START_LAGS = 11
 TRACT_LAGS = 10
 TRACT_GROUPS = list(range(1, 7))
 CUTOFFS = {f: d.replace(year=d.year + QUIET_SHIFT) for f, d in filters.FEATURE_CUTOFFS.items()}
@@ -133,65 +135,6 @@ def granger_by_group(spark, sf):
     return tests.select("tract_grp", "lag", "n", F.round("f_stat", 4).alias("f_stat"), F.round("p_value", 6).alias("p_value"))
 
 
-# --- start search ----------------------------------------------------------------------------
-
-define("start_pairs", """SELECT s.feature AS feature, s.ts AS start, p.ts, p.x, p.y FROM scaled_pairs s
-    JOIN scaled_pairs p ON p.feature = s.feature AND p.ts >= s.ts""")
-_START_STEPS, _START_GRANGER = granger_sql("start_pairs", "feature, start", list(range(1, START_LAGS + 1)), "sg")
-_START_STEPS.append(("start_p", f"SELECT * REPLACE (ROUND(p, 6) AS p) FROM ({_START_GRANGER})"))
-
-
-def _starts(spark, sf) -> DataFrame:
-    starts = cau.granger_starts(signal_pairs(spark, sf), START_LAGS)
-    return starts.withColumn("p_value", F.round("p_value", 6))
-
-
-@query(
-    "granger_start_search",
-    _materialised(
-        [
-            *_START_STEPS,
-            ("mean_start", "SELECT feature, start, AVG(p) AS mean_p FROM start_p GROUP BY 1, 2 HAVING AVG(p) IS NOT NULL"),
-            ("best", "SELECT * FROM mean_start QUALIFY ROW_NUMBER() OVER (PARTITION BY feature ORDER BY mean_p, start) = 1"),
-        ],
-        "SELECT feature, start, lag, n, p AS p_value, ROUND(mean_p, 6) AS mean_p FROM start_p JOIN best USING (feature, start)",
-    ),
-)
-def granger_start_search(spark, sf):
-    """Start date with the smallest mean p-value per signal, and its p-values."""
-    best = cau.best_start(_starts(spark, sf))
-    return best.select("feature", "start", "lag", "n", "p_value", F.round("mean_p", 6).alias("mean_p"))
-
-
-@query(
-    "argmin_per_group",
-    _materialised(
-        [
-            *_START_STEPS,
-            ("mean_start", "SELECT feature, start, AVG(p) AS mean_p FROM start_p GROUP BY 1, 2 HAVING AVG(p) IS NOT NULL"),
-        ],
-        "SELECT feature, start, ROUND(mean_p, 6) AS mean_p FROM mean_start "
-        "QUALIFY ROW_NUMBER() OVER (PARTITION BY feature ORDER BY mean_p, start) = 1",
-    ),
-)
-def argmin_per_group(spark, sf):
-    summary = cau.start_summary(_starts(spark, sf)).where("mean_p IS NOT NULL")
-    best = summary.groupBy("feature").agg(F.min(F.struct("mean_p", "start")).alias("b"))
-    return best.select("feature", "b.start", F.round("b.mean_p", 6).alias("mean_p"))
-
-
-@query(
-    "significant_lag_count",
-    _materialised(
-        _START_STEPS,
-        "SELECT feature, start, ROUND(AVG(p), 6) AS mean_p, COUNT(*) FILTER (p < 0.05) AS significant_lags "
-        "FROM start_p GROUP BY 1, 2",
-    ),
-)
-def significant_lag_count(spark, sf):
-    return rounded(cau.start_summary(_starts(spark, sf)), 6)
-
-
 # --- unit root -------------------------------------------------------------------------------
 
 
@@ -217,26 +160,50 @@ def _steady_sql(source: str, prefix: str) -> list[tuple[str, str]]:
         *steps,
         (
             f"{prefix}_needed",
-            f'SELECT series_id, COALESCE(MIN(CASE WHEN p_value < 0.05 THEN "order" END), {cau.MAX_ORDER}) AS "order" '
-            f"FROM {test} GROUP BY 1",
+            f'SELECT series_id, COALESCE(MIN(CASE WHEN p_value < 0.05 THEN "order" END), CASE WHEN COUNT(p_value) > 0 '
+            f'THEN {cau.MAX_ORDER} ELSE 0 END) AS "order", '
+            f"CASE WHEN COUNT(p_value) > 0 THEN MIN(p_value) < 0.05 END AS stationary FROM {test} GROUP BY 1",
         ),
         (f"{prefix}_steady", f'SELECT * FROM {source}_orders JOIN {prefix}_needed USING (series_id, "order")'),
     ]
 
 
-_ADF_STEPS, _ADF_TEST = adf_sql("long_signals_orders", 'series_id, "order"', ADF_LAGS, "adf")
+def probed_signals(spark: SparkSession, sf: str) -> DataFrame:
+    """The monthly signals, and three series of the same months that cannot be tested."""
+    long = long_signals(spark, sf)
+    month = F.months_between("ts", F.lit(date(1990, 1, 1)))
+    probes = F.array(
+        F.struct(F.lit("probe_constant").alias("series_id"), F.lit(1.0).alias("value")),
+        F.struct(F.lit("probe_line").alias("series_id"), F.round(month).alias("value")),
+        F.struct(F.lit("probe_short").alias("series_id"), F.when(F.col("place") <= 3, F.round(month) ** 2).alias("value")),
+    )
+    months = long.where(F.col("series_id") == TARGET).withColumn("place", F.row_number().over(in_order("ts")))
+    extra = months.select("ts", F.inline(probes)).where("value IS NOT NULL")
+    return long.unionByName(extra)
+
+
+_MONTH_NUMBER = "(year(ts) - 1990) * 12 + month(ts) - 1"
+define(
+    "probed_signals",
+    f"""SELECT series_id, ts, value FROM long_signals
+    UNION ALL SELECT 'probe_constant', ts, 1.0 FROM long_signals WHERE series_id = '{TARGET}'
+    UNION ALL SELECT 'probe_line', ts, {_MONTH_NUMBER} FROM long_signals WHERE series_id = '{TARGET}'
+    UNION ALL (SELECT 'probe_short', ts, ({_MONTH_NUMBER}) ** 2 FROM long_signals WHERE series_id = '{TARGET}' ORDER BY ts LIMIT 3)""",
+)
+_ADF_STEPS, _ADF_TEST = adf_sql("probed_signals_orders", 'series_id, "order"', ADF_LAGS, "adf")
 
 
 @query(
     "adf_test",
     _materialised(
-        [*_orders("long_signals", 1), *_ADF_STEPS],
-        f'SELECT series_id, "order", used_lag, n, ROUND(statistic, 6) AS statistic, ROUND(p_value, 6) AS p_value FROM {_ADF_TEST}',
+        [*_orders("probed_signals", 1), *_ADF_STEPS],
+        'SELECT series_id, "order", used_lag, n, ROUND(statistic, 6) AS statistic, ROUND(p_value, 6) AS p_value, status '
+        f"FROM {_ADF_TEST}",
     ),
 )
 def adf_test(spark, sf):
-    """Unit-root test of every monthly signal and of its first difference."""
-    options = cau.differenced_orders(long_signals(spark, sf), 1)
+    """Unit-root test of every monthly signal and of its first difference; untestable series stay."""
+    options = cau.differenced_orders(probed_signals(spark, sf), 1).where("value IS NOT NULL")
     tests = cau.adf_test(options, ["series_id", "order"])
     return rounded(tests, 6)
 
@@ -244,12 +211,12 @@ def adf_test(spark, sf):
 @query(
     "make_stationary",
     _materialised(
-        [("citi_signals", _first_differenced("long_signals", "target_citi")), *_steady_sql("citi_signals", "ms")],
-        'SELECT series_id, "order", ts, ROUND(value, 4) AS value FROM ms_steady',
+        [("citi_signals", _first_differenced("probed_signals", "target_citi")), *_steady_sql("citi_signals", "ms")],
+        'SELECT series_id, "order", ts, ROUND(value, 4) AS value, stationary FROM ms_steady',
     ),
 )
 def make_stationary(spark, sf):
-    return rounded(cau.make_stationary(long_signals(spark, sf), ["target_citi"]))
+    return rounded(cau.make_stationary(probed_signals(spark, sf), ["target_citi"]))
 
 
 def preprocessed(spark: SparkSession, sf: str, freq: str = "M") -> DataFrame:
@@ -257,7 +224,7 @@ def preprocessed(spark: SparkSession, sf: str, freq: str = "M") -> DataFrame:
     rules = [r.shifted(QUIET_SHIFT) for r in filters.QUIET_RANGES]
     days = filters.nullify_ranges(panel(spark, sf), "event_date", rules)
     binned = ser.resample(ser.to_long(days, "event_date", MEASURES), freq)
-    steady = cau.make_stationary(binned, ["citibike_rides"]).drop("order")
+    steady = cau.make_stationary(binned, ["citibike_rides"]).drop("order", "stationary")
     return ser.zscore(steady, date(1996, 1, 1))
 
 
@@ -270,20 +237,99 @@ define(
 )
 
 
+_PREPROCESS_STEPS = [
+    ("pp_months", "SELECT series_id, last_day(ts) AS ts, AVG(value) AS value FROM quiet_long GROUP BY 1, 2"),
+    ("pp_months_rides", _first_differenced("pp_months", "citibike_rides")),
+    *_steady_sql("pp_months_rides", "pp"),
+    (
+        "pp_scaled",
+        """SELECT series_id, ts, (value - AVG(value) OVER w) / NULLIF(STDDEV_SAMP(value) OVER w, 0) AS value
+        FROM pp_steady WHERE ts > DATE '1996-01-01' WINDOW w AS (PARTITION BY series_id)""",
+    ),
+]
+
+
+@query("preprocess", _materialised(_PREPROCESS_STEPS, "SELECT series_id, ts, ROUND(value, 6) AS value FROM pp_scaled"))
+def preprocess(spark, sf):
+    return rounded(preprocessed(spark, sf, "M"), 6)
+
+
+# --- start search ----------------------------------------------------------------------------
+
+_START_TESTS, _START_GRANGER = granger_sql("start_pairs", "feature, start", list(range(1, START_LAGS + 1)), "sg")
+_START_STEPS = [
+    *_PREPROCESS_STEPS,
+    (
+        "steady_pairs",
+        f"""SELECT a.series_id AS feature, a.ts, a.value AS x, b.value AS y FROM pp_scaled a
+        JOIN pp_scaled b ON a.ts = b.ts AND b.series_id = '{PRICE}' WHERE a.series_id <> '{PRICE}' AND a.value IS NOT NULL AND b.value IS NOT NULL""",
+    ),
+    (
+        "steady_scaled",
+        """SELECT feature, ts, COALESCE((x - AVG(x) OVER w) / NULLIF(STDDEV_SAMP(x) OVER w, 0), 0) AS x,
+        COALESCE((y - AVG(y) OVER w) / NULLIF(STDDEV_SAMP(y) OVER w, 0), 0) AS y FROM steady_pairs WINDOW w AS (PARTITION BY feature)""",
+    ),
+    (
+        "start_pairs",
+        """SELECT s.feature AS feature, s.ts AS start, p.ts, p.x, p.y FROM steady_scaled s
+        JOIN steady_scaled p ON p.feature = s.feature AND p.ts >= s.ts""",
+    ),
+    *_START_TESTS,
+    ("start_p", f"SELECT * REPLACE (ROUND(p, 6) AS p) FROM ({_START_GRANGER})"),
+]
+
+
+def _starts(spark, sf, max_lag: int = START_LAGS) -> DataFrame:
+    """Every start date of every preprocessed monthly measure, tested against the price."""
+    starts = cau.granger_starts(cau.paired(preprocessed(spark, sf, "M"), PRICE), max_lag)
+    return starts.withColumn("p_value", F.round("p_value", 6))
+
+
 @query(
-    "preprocess",
+    "granger_start_search",
     _materialised(
         [
-            ("pp_months", "SELECT series_id, last_day(ts) AS ts, AVG(value) AS value FROM quiet_long GROUP BY 1, 2"),
-            ("pp_months_rides", _first_differenced("pp_months", "citibike_rides")),
-            *_steady_sql("pp_months_rides", "pp"),
+            *_START_STEPS,
+            ("mean_start", "SELECT feature, start, AVG(p) AS mean_p FROM start_p GROUP BY 1, 2 HAVING AVG(p) IS NOT NULL"),
+            ("best", "SELECT * FROM mean_start QUALIFY ROW_NUMBER() OVER (PARTITION BY feature ORDER BY mean_p, start) = 1"),
         ],
-        """SELECT series_id, ts, ROUND((value - AVG(value) OVER w) / NULLIF(STDDEV_SAMP(value) OVER w, 0), 6) AS value
-        FROM pp_steady WHERE ts > DATE '1996-01-01' WINDOW w AS (PARTITION BY series_id)""",
+        "SELECT feature, start, lag, n, p AS p_value, ROUND(mean_p, 9) AS mean_p FROM start_p JOIN best USING (feature, start)",
     ),
 )
-def preprocess(spark, sf):
-    return rounded(preprocessed(spark, sf, "M"), 6)
+def granger_start_search(spark, sf):
+    """Start date with the smallest mean p-value per signal, and its p-values."""
+    best = cau.best_start(_starts(spark, sf))
+    return best.select("feature", "start", "lag", "n", "p_value", F.round("mean_p", 9).alias("mean_p"))
+
+
+@query(
+    "argmin_per_group",
+    _materialised(
+        [
+            *_START_STEPS,
+            ("mean_start", "SELECT feature, start, AVG(p) AS mean_p FROM start_p GROUP BY 1, 2 HAVING AVG(p) IS NOT NULL"),
+        ],
+        "SELECT feature, start, ROUND(mean_p, 9) AS mean_p FROM mean_start "
+        "QUALIFY ROW_NUMBER() OVER (PARTITION BY feature ORDER BY mean_p, start) = 1",
+    ),
+)
+def argmin_per_group(spark, sf):
+    summary = cau.start_summary(_starts(spark, sf)).where("mean_p IS NOT NULL")
+    best = summary.groupBy("feature").agg(F.min(F.struct("mean_p", "start")).alias("b"))
+    return best.select("feature", "b.start", F.round("b.mean_p", 9).alias("mean_p"))
+
+
+@query(
+    "significant_lag_count",
+    _materialised(
+        _START_STEPS,
+        "SELECT feature, start, ROUND(AVG(p), 9) AS mean_p, COUNT(*) FILTER (p < 0.05) AS significant_lags "
+        "FROM start_p GROUP BY 1, 2",
+    ),
+)
+def significant_lag_count(spark, sf):
+    return rounded(cau.start_summary(_starts(spark, sf)), 9)
+
 
 
 @query(
@@ -305,8 +351,36 @@ def pacf(spark, sf):
     return rounded(cau.pacf(ser.acf(long_signals(spark, sf), 20)), 6)
 
 
-@query("optimize_shifts")
+_SHIFT_NAMES = [f"s_{f}" for f in FEATURES]
+_SHIFT_STEPS, _SHIFT_LAST = least_squares_sql(
+    "shifted_rows", ", ".join(_SHIFT_NAMES), [], [f"x_{f}" for f in FEATURES], TARGET, "share <= 0.8", "os"
+)
+
+
+def _shift_sql() -> str:
+    """Every combination of shifts joined to the months on which all lags exist, one fit per combination."""
+    lags = [(f, k) for f in FEATURES for k in (range(1, 8) if f != FEATURES[-1] else [SHIFTS[f]])]
+    lagged = ", ".join(f"LAG({f}, {k}) OVER (ORDER BY month) AS {f}_{k}" for f, k in lags)
+    present = " AND ".join([*[f"{f}_{k} IS NOT NULL" for f, k in lags], f"{TARGET} IS NOT NULL"])
+    free = FEATURES[:-1]
+    grid = "SELECT " + ", ".join(f"g{i}.k AS s_{f}" for i, f in enumerate(free)) + f", {SHIFTS[FEATURES[-1]]} AS s_{FEATURES[-1]} FROM "
+    grid += ", ".join(f"range(1, 8) g{i}(k)" for i in range(len(free)))
+    picks = ", ".join(
+        "CASE s_{f} ".format(f=f) + " ".join(f"WHEN {k} THEN {f}_{k}" for g, k in lags if g == f) + f" END AS x_{f}" for f in FEATURES
+    )
+    steps = [
+        ("lagged_rows", f"SELECT month, {TARGET}, {lagged} FROM signals"),
+        ("shared_rows", f"SELECT *, PERCENT_RANK() OVER (ORDER BY month) AS share FROM lagged_rows WHERE {present}"),
+        ("shift_grid", grid),
+        ("shifted_rows", f"SELECT {', '.join(_SHIFT_NAMES)}, share, {TARGET}, {picks} FROM shared_rows JOIN shift_grid ON TRUE"),
+        *_SHIFT_STEPS,
+    ]
+    shown = ", ".join(f"CAST(s_{f} AS INTEGER) AS {f}" for f in FEATURES)
+    return _materialised(steps, f"SELECT {shown}, ROUND(AVG(ABS(t)) FILTER (NOT tr), 4) AS mae FROM {_SHIFT_LAST} GROUP BY {', '.join(_SHIFT_NAMES)}")
+
+
+@query("optimize_shifts", _shift_sql())
 def optimize_shifts(spark, sf):
-    """The ten best of all feature shift combinations by test error of a linear model."""
+    """Test error of a linear model for every combination of feature shifts; the smallest is the choice."""
     grid = cau.optimize_shifts(signals(spark, sf), "month", TARGET, FEATURES, {FEATURES[-1]: SHIFTS[FEATURES[-1]]})
-    return rounded(grid.orderBy("mae", *FEATURES).limit(10))
+    return rounded(grid)

@@ -188,11 +188,11 @@ def daily_inspections(spark, sf):
 
 @query(
     "weekly_counts",
-    f"SELECT feed, strftime(date, '%G-%V') AS yr_week, COUNT(*) AS n FROM ({_EVENTS_SQL}) "
-    "WHERE date IS NOT NULL GROUP BY 1, 2",
+    f"SELECT feed, strftime(date, '%G-%V') AS yr_week, COUNT(*) AS n FROM ({_EVENTS_SQL}) GROUP BY 1, 2",
 )
 def weekly_counts(spark, sf):
-    rows = feed_events(spark, sf).where("date IS NOT NULL")
+    """COUNT(*) per ISO week for each feed; unreadable dates form a NULL week of their own."""
+    rows = feed_events(spark, sf)
     return rows.groupBy("feed", cal.iso_week(F.col("date")).alias("yr_week")).agg(F.count("*").alias("n"))
 
 

@@ -96,14 +96,13 @@ def sales_etl(spark, sf):
 
 @query(
     "union_all",
-    "SELECT sale_id, sale_date, sale_price, CAST(year(sale_date) AS INTEGER) AS year FROM sales "
-    "WHERE sale_price IS NOT NULL",
+    "SELECT sale_id, sale_date, sale_price, CAST(year(sale_date) AS INTEGER) AS year FROM sales",
 )
 def union_all(spark, sf):
     """The earlier and the later sales files, concatenated by column name."""
-    sales = feed(spark, sf, "sales").where("sale_price IS NOT NULL").select("sale_id", "sale_date", "sale_price")
-    cut = F.lit(date(2000, 1, 1))
-    parts = [sales.where(F.col("sale_date") < cut), sales.where(F.col("sale_date") >= cut)]
+    sales = feed(spark, sf, "sales").select("sale_id", "sale_date", "sale_price")
+    early = F.coalesce(F.col("sale_date") < F.lit(date(2000, 1, 1)), F.lit(False))
+    parts = [sales.where(early), sales.where(~early)]
     return reduce(DataFrame.unionByName, parts).withColumn("year", F.year("sale_date"))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from blockpulse.fixtures import feed, table
 from blockpulse.functions import calendar as cal
+from blockpulse.oracle import define
 from blockpulse.plans.panels import PANEL_OUT, panel, rounded
 from blockpulse.plans.registry import query
 from blockpulse.session import shared_path
@@ -51,33 +52,41 @@ def read_sources(spark, sf):
 def sheet_lines(sales: DataFrame) -> DataFrame:
     """Sales as comma-separated lines in the positional layout."""
     text = {
-        "BOROUGH": F.col("borough"),
+        "BOROUGH": F.when(F.col("sale_id") % 31 != 0, F.col("borough")),
         "BUILDING_CLASS_CATEGORY": F.col("building_class_category"),
         "ADDRESS": F.col("address"),
         "ZIP_CODE": F.col("zip_code"),
         "TOTAL_UNITS": F.col("total_units"),
         "GROSS_SF": F.col("gross_sf"),
         "SALE_PRICE": F.col("sale_price"),
-        "SALE_DATE": cal.day_text(F.col("sale_date")),
+        "SALE_DATE": F.when(F.col("sale_id") % 29 != 0, cal.day_text(F.col("sale_date"))),
         "LOT": F.col("sale_id"),
     }
     cells = [F.coalesce(text[c].cast("string"), F.lit("")) if c in text else F.lit("") for c in readers.SHEET_COLUMNS]
     return sales.select(F.concat_ws(",", *cells).alias("value"))
 
 
-@query(
-    "read_positional",
-    """SELECT CAST(borough AS INTEGER) AS borough, building_class_category, CAST(sale_id AS VARCHAR) AS lot, address, zip_code,
-    total_units, gross_sf, sale_price, sale_date FROM sales""",
+_TITLES = 10
+define(
+    "sheet_rows",
+    """SELECT CASE WHEN sale_id % 31 <> 0 THEN CAST(borough AS INTEGER) END AS borough, building_class_category, CAST(sale_id AS VARCHAR) AS lot,
+    address, zip_code, total_units, gross_sf, sale_price, CASE WHEN sale_id % 29 <> 0 THEN sale_date END AS sale_date FROM sales""",
 )
-def read_positional(spark, sf):
-    """Sheets without a header and with ten title lines above the data."""
+
+
+def _sheet(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Sheets with ten title lines above the data and some blank boroughs and dates, read again."""
     path = shared_path(spark, "sheet")
     sales = feed(spark, sf, "sales")
-    first = sales.where("sale_id = 0").select(F.explode(F.sequence(F.lit(1), F.lit(10))).alias("i"))
-    title = first.select(F.concat(F.lit("Rolling sales, title line "), F.col("i").cast("string")).alias("value"))
-    title.unionByName(sheet_lines(sales)).write.mode("overwrite").text(path)
-    sheet = readers.read_positional(spark, path)
+    titles = spark.range(_TITLES).select(F.concat(F.lit("Rolling sales, title line "), F.col("id").cast("string")).alias("value"))
+    titles.unionByName(sheet_lines(sales)).write.mode("overwrite").text(path)
+    return readers.read_positional(spark, path)
+
+
+@query("read_positional", "SELECT * FROM sheet_rows")
+def read_positional(spark, sf):
+    """Sheets without a header; data lines with a blank borough or date stay."""
+    sheet, _ = _sheet(spark, sf)
     wanted = {
         "BOROUGH": "borough", "BUILDING_CLASS_CATEGORY": "building_class_category", "LOT": "lot", "ADDRESS": "address",
         "ZIP_CODE": "zip_code", "TOTAL_UNITS": "total_units", "GROSS_SF": "gross_sf", "SALE_PRICE": "sale_price",
@@ -86,6 +95,18 @@ def read_positional(spark, sf):
     return sheet.select(*[F.col(c).alias(n) for c, n in wanted.items()])
 
 
+@query(
+    "read_positional_rejects",
+    f"""SELECT 'Rolling sales, title line ' || i AS line FROM range(0, {_TITLES}) r(i)
+    UNION ALL SELECT CAST(COUNT(*) AS VARCHAR) || ' data lines' FROM sheet_rows""",
+)
+def read_positional_rejects(spark, sf):
+    """The lines that are no data, and how many lines are."""
+    sheet, rejects = _sheet(spark, sf)
+    kept = sheet.agg(F.concat(F.count("*").cast("string"), F.lit(" data lines")).alias("line"))
+    return rejects.select("line").unionByName(kept)
+
+
 _FILES_SQL = """SELECT 'JC-' || strftime(o_orderdate, '%Y%m%d') || CASE WHEN day(o_orderdate) % 4 = 0 THEN '.csv' ELSE '.csv.zip' END
     AS path, COUNT(*) AS length FROM orders GROUP BY 1"""
 

@@ -51,29 +51,29 @@ _SHEET_TYPES = {
 }
 
 
-def read_positional(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
-    """Header-less sheets with named positions.
+def read_positional(spark: SparkSession, paths: Sequence[str] | str) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of header-less sheets with named positions.
 
-    A file has no row order once it is split between tasks, so the lines above the data are told
-    apart by their content: a data line has a whole number as its borough and all 21 positions.
-    Files that cannot be read are skipped.
+    A file has no row order once it is split between tasks, so the lines above the data are told apart
+    by their form: a data line has all 21 positions and something beyond the first, whatever else is
+    blank. Every other line is in `rejects` (file, line). A file that cannot be read fails the read;
+    nothing is skipped.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in SHEET_COLUMNS])
-    raw = (
-        spark.read.schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("ignoreCorruptFiles", True)
-        .option("ignoreMissingFiles", True)
-        .csv(paths)
+    schema = ", ".join(f"`{c}` STRING" for c in [*SHEET_COLUMNS, "_odd"])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_odd"}
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"), F.from_csv("value", schema, options).alias("row")
     )
-    data = raw.where(F.col("BOROUGH").try_cast("int").isNotNull() & F.col("SALE_DATE").isNotNull())
-    return data.select(
+    filled = F.coalesce(*[F.col(f"row.`{c}`") for c in SHEET_COLUMNS[1:]]).isNotNull()
+    is_data = F.col("row._odd").isNull() & filled
+    rows = lines.where(is_data).select(
         *[
-            any_date(F.col(f"`{c}`")).alias(c) if _SHEET_TYPES.get(c) == "date"
-            else F.col(f"`{c}`").try_cast(_SHEET_TYPES.get(c, "string")).alias(c)
+            any_date(F.col(f"row.`{c}`")).alias(c) if _SHEET_TYPES.get(c) == "date"
+            else F.col(f"row.`{c}`").try_cast(_SHEET_TYPES.get(c, "string")).alias(c)
             for c in SHEET_COLUMNS
         ]
     )
+    return rows, lines.where(~is_data).select("file", "line")
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:

@@ -70,10 +70,13 @@ def test_positional_sheet(spark):
     cells = ["1", "N", "01 ONE", *[""] * 16, "250000", "2020-03-01"]
     short = ["2", "N"]
     title = "Rolling sales" + "," * 20
-    (folder / "a.csv").write_text("\n".join([title] * 10 + [",".join(cells), ",".join(short)]))
-    rows = readers.read_positional(spark, str(folder)).collect()
-    assert len(rows) == 1
-    assert rows[0]["SALE_PRICE"] == 250000 and rows[0]["SALE_DATE"] == date(2020, 3, 1) and rows[0]["BOROUGH"] == 1
+    undated, nowhere = [*cells[:-1], ""], ["", *cells[1:]]
+    (folder / "a.csv").write_text("\n".join([title] * 10 + [",".join(c) for c in (cells, short, undated, nowhere)]))
+    rows, rejects = readers.read_positional(spark, str(folder))
+    found = {(r["BOROUGH"], r["SALE_PRICE"], r["SALE_DATE"]) for r in rows.collect()}
+    assert found == {(1, 250000, date(2020, 3, 1)), (1, 250000, None), (None, 250000, date(2020, 3, 1))} and rows.count() == 3
+    left = rejects.collect()
+    assert sorted(r["line"] for r in left) == sorted([title] * 10 + [",".join(short)]) and all(r["file"].endswith("a.csv") for r in left)
 
 
 def test_catalogue_follows_the_extension(spark):
