@@ -169,7 +169,8 @@ def keep_first(
     kept = scratch.write(kept, "kept")
     unnamed = classes.where("component_id IS NULL")
 
-    joined = docs.join(kept, docs[id_col] == kept["_kept"])
+    # Merged at every size: ids grow with the data, so neither side is one to broadcast.
+    joined = docs.join(kept.hint("merge"), docs[id_col] == kept["_kept"])
     if kept.where("_rows > 1").isEmpty():
         out = joined.select(*[docs[c] for c in docs.columns])
     else:
