@@ -84,10 +84,10 @@ _VALUES: dict[str, str] = {
         "WHEN 2 THEN 'nan' END",
         bedrooms="CAST(1 + FLOOR(amount / 120000) AS BIGINT)",
         bathrooms="1 + n % 2 + FLOOR(amount / 200000)",
-        hasGarage="n % 2 = 0",
+        hasGarage="n DIV 16 % 2 = 0",
         hasHeating="n % 3 <> 0",
         homeType="CASE c % 4 WHEN 0 THEN 'CONDO' WHEN 1 THEN 'HOUSE' WHEN 2 THEN 'TOWNHOUSE' ELSE 'COOP' END",
-        parkingCapacity="n % 4",
+        parkingCapacity="n DIV 4 % 4",
         yearBuilt="1900 + c % 120",
     ),
     "attributionInfo": _entity(

@@ -116,8 +116,8 @@ def learners() -> dict[str, object]:
     return {
         "linear": linear(),
         "decision_tree": DecisionTreeRegressor(maxDepth=5, seed=SEED, **common),
-        "random_forest": RandomForestRegressor(numTrees=20, maxDepth=5, seed=SEED, **common),
-        "boosted_trees": GBTRegressor(maxIter=20, maxDepth=5, stepSize=0.1, seed=SEED, **common),
+        "random_forest": RandomForestRegressor(numTrees=100, maxDepth=5, seed=SEED, **common),
+        "boosted_trees": GBTRegressor(maxIter=100, maxDepth=5, stepSize=0.1, seed=SEED, checkpointInterval=10, **common),
         "generalized_linear": GeneralizedLinearRegression(family="gaussian", **common),
         "factorization_machine": FMRegressor(factorSize=4, maxIter=50, stepSize=0.05, seed=SEED, **common),
     }
@@ -163,14 +163,14 @@ def feature_importance(model: Model, features: Sequence[str], floor: float = MIN
     return spark.createDataFrame(pairs, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
-def coefficient_table(model: Model, features: Sequence[str]) -> DataFrame:
-    """Positive coefficients rounded to three digits, largest first."""
+def coefficient_table(model: Model, features: Sequence[str], digits: int = 3) -> DataFrame:
+    """Positive coefficients rounded to some digits, largest first."""
     from pyspark.sql import SparkSession
 
     pairs = [(f, float(v)) for f, v in zip(features, model.coefficients.toArray())]
     spark = SparkSession.getActiveSession()
     table = spark.createDataFrame(pairs, "feature string, importance double").where("importance > 0")
-    return table.select("feature", F.round("importance", 3).alias("importance")).orderBy(F.desc("importance"), "feature")
+    return table.select("feature", F.round("importance", digits).alias("importance")).orderBy(F.desc("importance"), "feature")
 
 
 def leaderboard(train: DataFrame, test: DataFrame, models: Mapping[str, object] | None = None) -> DataFrame:
@@ -212,22 +212,25 @@ def _least_squares(grams: pd.Series) -> pd.Series:
 def grouped_least_squares(df: DataFrame, keys: Sequence[str], features: Sequence[str], target: str, train: Column) -> DataFrame:
     """Every row with `predicted`, from one linear fit per group on the rows marked `train`.
 
-    Products are summed by Spark for all groups in one aggregation.
+    Products are summed by Spark for all groups in one aggregation. A row with a missing feature, and
+    a row of a group without a fit, has a NULL prediction.
     """
     regressors = F.array(F.lit(1.0), *[F.col(f).cast("double") for f in features])
     rows = df.withColumns({"_x": regressors, "_train": train})
-    complete = rows.where(F.forall("_x", lambda v: v.isNotNull()) & F.col(target).isNotNull())
-    vectors = complete.where("_train").withColumn("_v", F.concat("_x", F.array(F.col(target).cast("double"))))
+    known = F.forall("_x", lambda v: v.isNotNull())
+    fitted = rows.where(F.col("_train") & known & F.col(target).isNotNull())
+    vectors = fitted.withColumn("_v", F.concat("_x", F.array(F.col(target).cast("double"))))
     betas = gram(vectors, keys, "_v").select(*keys, _least_squares("gram").alias("_beta"))
     products = F.zip_with("_x", "_beta", lambda x, b: x * b)
     predicted = F.aggregate(products, F.lit(0.0), lambda acc, v: acc + v)
-    return complete.join(betas, list(keys)).withColumn("predicted", predicted).drop("_x", "_beta", "_train")
+    return rows.join(betas, list(keys), "left").withColumn("predicted", predicted).drop("_x", "_beta", "_train")
 
 
 def cooks_distance(df: DataFrame, key: str, features: Sequence[str], target: str) -> DataFrame:
     """(key, residual, leverage, cooks) of an ordinary least-squares fit.
 
-    Only the p x p moment matrix reaches the driver; leverage is a column expression per row.
+    Only the p x p moment matrix reaches the driver; leverage is a column expression per row. The
+    distance of a row that alone decides its fitted value (leverage 1) is not defined: NULL.
     """
     p = len(features) + 1
     vector = F.array(F.lit(1.0), *[F.col(f).cast("double") for f in features], F.col(target).cast("double"))
@@ -237,7 +240,7 @@ def cooks_distance(df: DataFrame, key: str, features: Sequence[str], target: str
     ssr, beta = numeric.ssr_from_gram(g, list(range(p)), p)
     scale = np.sqrt(np.diag(g)[:p])
     inverse = np.linalg.inv(g[:p, :p] / np.outer(scale, scale)) / np.outer(scale, scale)
-    variance = ssr / (total["n"] - p)
+    variance = ssr / (total["n"] - p) if total["n"] > p else 0.0
 
     def dot(weights: np.ndarray) -> Column:
         return sum((F.lit(float(w)) * F.col("v")[i] for i, w in enumerate(weights)), F.lit(0.0))
@@ -246,7 +249,8 @@ def cooks_distance(df: DataFrame, key: str, features: Sequence[str], target: str
     residual = F.col("v")[p] - dot(beta)
     out = rows.select(key, residual.alias("residual"), leverage.alias("leverage"))
     e, h = F.col("residual"), F.col("leverage")
-    return out.withColumn("cooks", e * e / F.lit(p * variance) * h / ((1 - h) * (1 - h)))
+    free = F.when(1 - h > 1e-9, (1 - h) * (1 - h))
+    return out.withColumn("cooks", e * e / F.nullif(F.lit(p * variance), F.lit(0.0)) * h / free)
 
 
 # --- persistence -----------------------------------------------------------------------------

@@ -174,21 +174,23 @@ def lag_scan(wide: DataFrame, ts: str, target: str, features: Sequence[str], max
     return scans.select("feature", best, F.inline("scan"))
 
 
-def pre_post_effect(panel: DataFrame, group: str, ts: str, response: str, covariate: str, pre_share: float = 0.7) -> DataFrame:
+def pre_post_effect(
+    panel: DataFrame, groups: Sequence[str], ts: str, response: str, covariate: str, pre_share: float = 0.7
+) -> DataFrame:
     """Post-period response against a line fitted on the pre-period, per group.
 
     Both columns are standardised per group first.
     """
     rows = panel.where(F.col(response).isNotNull() & F.col(covariate).isNotNull())
-    rows = zscore(zscore(rows, by=[group], value=response), by=[group], value=covariate)
-    over = Window.partitionBy(group)
+    rows = zscore(zscore(rows, by=groups, value=response), by=groups, value=covariate)
+    over = Window.partitionBy(*groups)
     position = F.row_number().over(over.orderBy(ts)) - 1
     cut = F.floor(F.count(F.lit(1)).over(over) * F.lit(pre_share))
     rows = rows.withColumn("_pre", position <= cut)
     y, x = F.col(response), F.col(covariate)
     pre_y, pre_x = F.when(F.col("_pre"), y), F.when(F.col("_pre"), x)
     post = ~F.col("_pre")
-    fitted = rows.groupBy(group).agg(
+    fitted = rows.groupBy(*groups).agg(
         F.regr_slope(pre_y, pre_x).alias("slope"),
         F.regr_intercept(pre_y, pre_x).alias("intercept"),
         F.count(F.when(post, 1)).alias("post_rows"),
@@ -197,7 +199,7 @@ def pre_post_effect(panel: DataFrame, group: str, ts: str, response: str, covari
     )
     predicted = F.col("intercept") + F.col("slope") * F.col("_x")
     return fitted.select(
-        group, "post_rows", "actual", predicted.alias("counterfactual"), (F.col("actual") - predicted).alias("effect")
+        *groups, "post_rows", "actual", predicted.alias("counterfactual"), (F.col("actual") - predicted).alias("effect")
     )
 
 

@@ -107,32 +107,32 @@ def causality_table(spark, sf):
 
 
 def tract_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """Complaints count (x) and mean price (y) per month for the first six tract bins."""
-    counts = monthly_tract_counts(spark, sf, ["complaints"])
-    counts = counts.where(F.col("tract_grp").isin(TRACT_GROUPS))
+    """Count (x) and mean price (y) per month, feed and one of the first six tract bins."""
+    counts = monthly_tract_counts(spark, sf).where(F.col("tract_grp").isin(TRACT_GROUPS))
     both = tract_prices(spark, sf).where("avg_price IS NOT NULL").join(counts, ["month", "tract_grp"])
-    return both.select("tract_grp", F.col("month").alias("ts"), F.col("n").cast("double").alias("x"), F.col("avg_price").alias("y"))
+    return both.select("feed", "tract_grp", F.col("month").alias("ts"), F.col("n").cast("double").alias("x"), F.col("avg_price").alias("y"))
 
 
 define(
     "tract_pairs",
-    """SELECT tract_grp, month AS ts, (n - AVG(n) OVER w) / STDDEV_SAMP(n) OVER w AS x,
-    (avg_price - AVG(avg_price) OVER w) / STDDEV_SAMP(avg_price) OVER w AS y
-    FROM tract_price JOIN tract_complaints USING (month, tract_grp) WHERE tract_grp <= 6 AND avg_price IS NOT NULL
-    WINDOW w AS (PARTITION BY tract_grp)""",
+    """SELECT feed, tract_grp, month AS ts, COALESCE((n - AVG(n) OVER w) / NULLIF(STDDEV_SAMP(n) OVER w, 0), 0) AS x,
+    COALESCE((avg_price - AVG(avg_price) OVER w) / NULLIF(STDDEV_SAMP(avg_price) OVER w, 0), 0) AS y
+    FROM tract_price JOIN tract_feeds USING (month, tract_grp) WHERE tract_grp <= 6 AND avg_price IS NOT NULL
+    WINDOW w AS (PARTITION BY feed, tract_grp)""",
 )
-_TRACT_STEPS, _TRACT_GRANGER = granger_sql("tract_pairs", "tract_grp", list(range(1, TRACT_LAGS + 1)), "tg")
+_TRACT_STEPS, _TRACT_GRANGER = granger_sql("tract_pairs", "feed, tract_grp", list(range(1, TRACT_LAGS + 1)), "tg")
 
 
 @query(
     "granger_by_group",
     _materialised(
-        _TRACT_STEPS, f"SELECT tract_grp, lag, n, ROUND(f, 4) AS f_stat, ROUND(p, 6) AS p_value FROM ({_TRACT_GRANGER})"
+        _TRACT_STEPS, f"SELECT feed, tract_grp, lag, n, ROUND(f, 4) AS f_stat, ROUND(p, 6) AS p_value FROM ({_TRACT_GRANGER})"
     ),
 )
 def granger_by_group(spark, sf):
-    tests = cau.granger(tract_pairs(spark, sf), TRACT_LAGS, ["tract_grp"])
-    return tests.select("tract_grp", "lag", "n", F.round("f_stat", 4).alias("f_stat"), F.round("p_value", 6).alias("p_value"))
+    """Does a feed's count lead the price? F test per feed, tract bin and lag, for all four feeds."""
+    tests = cau.granger(tract_pairs(spark, sf), TRACT_LAGS, ["feed", "tract_grp"])
+    return tests.select("feed", "tract_grp", "lag", "n", F.round("f_stat", 4).alias("f_stat"), F.round("p_value", 6).alias("p_value"))
 
 
 # --- unit root -------------------------------------------------------------------------------

@@ -28,7 +28,7 @@ from blockpulse.sources import writers
 # The columns of the listing model, in order.
 MODEL_COLUMNS = [
     "price", "arm5Rate", "homeType", "propertyTaxRate", "hasGarage", "parkingCapacity", "favoriteCount", "pageViewCount",
-    "daysListed", "hasHeating", "latitude", "bedrooms", "yearBuilt", "zipcode", "longitude", "bathrooms", "hoaFee",
+    "daysListed", "hasHeating", "overviewTaxRate", "latitude", "bedrooms", "yearBuilt", "zipcode", "longitude", "bathrooms", "hoaFee",
     "avgPriceChange", "avgSchoolRating", "zestimate", "sellingSoon",
 ]
 ENCODED = ["homeType", "hasHeating", "hasGarage", "zipcode", "arm5Rate", "propertyTaxRate"]
@@ -39,6 +39,7 @@ def raw_model_frame(spark: SparkSession, sf: str) -> DataFrame:
     p = "p."
     column = {
         "arm5Rate": (F.col("scrape_id") % 8) / 16 + 3,
+        "overviewTaxRate": (F.col("scrape_id") % 7) / 4 + 0.5,
         "hasGarage": F.col("p.resoFacts.hasGarage"),
         "hasHeating": F.col("p.resoFacts.hasHeating"),
         "homeType": F.col("p.resoFacts.homeType"),
@@ -79,8 +80,8 @@ define(
     """
     SELECT s.n AS scrape_id, s.price, (s.n % 8) / 16 + 3 AS arm5Rate,
            CASE c % 4 WHEN 0 THEN 'CONDO' WHEN 1 THEN 'HOUSE' WHEN 2 THEN 'TOWNHOUSE' ELSE 'COOP' END AS homeType,
-           (s.n % 5) / 4 AS propertyTaxRate, s.n % 2 = 0 AS hasGarage, s.n % 4 AS parkingCapacity, s.n % 37 AS favoriteCount,
-           s.n % 211 AS pageViewCount, s.n % 500 AS daysListed, s.n % 3 <> 0 AS hasHeating, 40.0 + (c % 90) / 1000 AS latitude,
+           (s.n % 5) / 4 AS propertyTaxRate, s.n // 16 % 2 = 0 AS hasGarage, s.n // 4 % 4 AS parkingCapacity, s.n % 37 AS favoriteCount,
+           s.n % 211 AS pageViewCount, s.n % 500 AS daysListed, s.n % 3 <> 0 AS hasHeating, (s.n % 7) / 4 + 0.5 AS overviewTaxRate, 40.0 + (c % 90) / 1000 AS latitude,
            1 + CAST(FLOOR(amount / 120000) AS BIGINT) AS bedrooms, 1900 + c % 120 AS yearBuilt,
            CAST(10000 + c % 250 AS VARCHAR) AS zipcode, -74.0 + (c % 100) / 1000 AS longitude,
            1 + s.n % 2 + FLOOR(amount / 200000) AS bathrooms,
@@ -137,7 +138,7 @@ def _assembled(spark, sf, target: str, dropped: tuple[str, ...] = ()) -> tuple[D
 
 @query(
     "feature_select",
-    "SELECT scrape_id, price AS label, CAST(18 AS INTEGER) AS n_features, 'daysListed,zestimate' AS excluded FROM tax_filled",
+    "SELECT scrape_id, price AS label, CAST(19 AS INTEGER) AS n_features, 'daysListed,zestimate' AS excluded FROM tax_filled",
 )
 def feature_select(spark, sf):
     """Features chosen by flags; what was left out is recorded."""
@@ -268,11 +269,7 @@ def gbt_zestimate(spark, sf):
     return rounded(mod.predictions(model, test, ["scrape_id"]))
 
 
-# Garage and parking are tied to the scrape key in the test tables, so one column is enough.
-LINEAR_FEATURES = [
-    "bedrooms", "bathrooms", "yearBuilt", "daysListed", "favoriteCount", "pageViewCount", "avgPriceChange", "avgSchoolRating",
-    "sellingSoon", "zipcode", "homeType",
-]
+LINEAR_FEATURES = [c for c in MODEL_COLUMNS if c not in ("price", "zestimate")]
 _TRAIN_SQL = "CAST('0x' || substr(md5(CAST(scrape_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 >= 20"
 _ENCODED_SQL = (
     "SELECT * REPLACE (" + ", ".join(f"DENSE_RANK() OVER (ORDER BY {c}) - 1 AS {c}" for c in ENCODED) + "), "
@@ -316,14 +313,23 @@ def _coefficients_sql() -> str:
         f"SELECT '{f}' AS feature, SUM(t * {last}) / SUM({last} * {last}) AS importance FROM {names[f'co{i}'][-2]} WHERE tr"
         for i, f in enumerate(LINEAR_FEATURES)
     )
-    return f"{head} SELECT feature, ROUND(importance, 3) AS importance FROM ({rows}) WHERE importance > 0"
+    return f"{head} SELECT feature, ROUND(importance, 2) AS importance FROM ({rows}) WHERE importance > 0"
 
 
 @query("linear_coefficients", _coefficients_sql())
 def linear_coefficients(spark, sf):
     rows = mod.assemble(encoded_frame(spark, sf), LINEAR_FEATURES, "price", ["scrape_id"])
     train, _ = mod.hash_split(rows, "scrape_id")
-    return mod.coefficient_table(mod.fit(mod.linear(), train), LINEAR_FEATURES)
+    return mod.coefficient_table(mod.fit(mod.linear(), train), LINEAR_FEATURES, digits=2)
+
+
+@query("gbt_selling_soon")
+def gbt_selling_soon(spark, sf):
+    """The share of soon sold listings from all other columns: test predictions of the slow learner."""
+    rows, _ = _assembled(spark, sf, "sellingSoon")
+    train, test = mod.hash_split(rows, "scrape_id")
+    model = mod.fit(mod.boosted_trees(mod.DEMAND_BOOST), train)
+    return rounded(mod.predictions(model, test, ["scrape_id"]))
 
 
 @query("feature_importance")
@@ -331,7 +337,7 @@ def feature_importance(spark, sf):
     """Gain share of each listing feature for the price, above the floor."""
     rows, features = _assembled(spark, sf, "price", ("zestimate",))
     train, _ = mod.hash_split(rows, "scrape_id")
-    model = mod.fit(mod.boosted_trees(mod.BoostParams(20, 5, 0.1)), train)
+    model = mod.fit(mod.boosted_trees(mod.LISTING_BOOST), train)
     return rounded(mod.feature_importance(model, features), 6)
 
 
@@ -349,7 +355,7 @@ def _history_sql() -> str:
     fits = {f"hi{i}": [f for f in LINEAR_FEATURES if f not in out] for i, out in enumerate(HISTORY_RUNS)}
     head, names = _with_fits(fits)
     runs = " UNION ALL ".join(
-        f"SELECT 'price' AS target, ROUND(1 - SUM(t * t) / (VAR_POP(price) * COUNT(*)), 6) AS r2, ROUND(AVG(t * t), -3) AS mse, "
+        f"SELECT 'price' AS target, ROUND(1 - SUM(t * t) / (VAR_POP(price) * COUNT(*)), 6) AS r2, ROUND(AVG(t * t)) AS mse, "
         f"'{','.join(out)}' AS excluded_features, 'linear' AS model FROM {names[f'hi{i}'][-1]} WHERE NOT tr"
         for i, out in enumerate(HISTORY_RUNS)
     )
@@ -372,7 +378,7 @@ def model_history(spark, sf):
         )
         mod.append_history(run, path)
     log = spark.read.parquet(path)
-    return log.withColumns({"r2": F.round("r2", 6), "mse": F.round("mse", -3)})
+    return log.withColumns({"r2": F.round("r2", 6), "mse": F.round("mse")})
 
 
 @query("save_load_model", f"{_LINEAR_HEAD} SELECT scrape_id, ROUND(price - t, 2) AS predicted FROM {_LINEAR_LAST} WHERE NOT tr")
@@ -423,7 +429,7 @@ def learning_validation_curves(spark, sf):
     for reg in (0.0, 10.0, 1000.0):
         point("validation", reg, mod.linear(reg), train, test)
     left = list(LINEAR_FEATURES)
-    while len(left) > 8:
+    while len(left) > 1:
         rows = mod.assemble(frame, left, "price", ["scrape_id"])
         part, held = mod.hash_split(rows, "scrape_id")
         forest = mod.fit(mod.learners()["decision_tree"], part)
@@ -528,8 +534,9 @@ def model_diff_summary(spark, sf):
 
 @query(
     "prediction_frame",
-    f"""{_FUND_HEAD} SELECT ticker, month, ROUND(y) AS actual, ROUND(y - t, 3) AS predicted,
-    CASE WHEN tr THEN ROUND(y - t, 3) END AS train, CASE WHEN NOT tr THEN ROUND(y - t, 3) END AS test FROM {_TREAT}""",
+    f"""{_FUND_HEAD} SELECT ticker, month, ROUND(m.y, 7) AS actual, ROUND(m.y - t, 3) AS predicted,
+    CASE WHEN is_train THEN ROUND(m.y - t, 3) END AS train, CASE WHEN NOT is_train THEN ROUND(m.y - t, 3) END AS test
+    FROM fund_months m LEFT JOIN {_TREAT} USING (ticker, month)""",
 )
 def prediction_frame(spark, sf):
     """Actual and predicted monthly prices, split into the train and the test part."""
@@ -537,6 +544,6 @@ def prediction_frame(spark, sf):
     scored = mod.grouped_least_squares(rows, ["ticker"], [*SIGNAL_FEATURES, "own"], "y", F.col("is_train"))
     p = F.round("predicted", 3)
     return scored.select(
-        "ticker", "month", F.round("y").alias("actual"), p.alias("predicted"),
+        "ticker", "month", F.round("y", 7).alias("actual"), p.alias("predicted"),
         F.when(F.col("is_train"), p).alias("train"), F.when(~F.col("is_train"), p).alias("test"),
     )

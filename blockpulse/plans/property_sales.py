@@ -208,6 +208,9 @@ for _name in TRACT_FEEDS:
     )
 
 
+define("tract_feeds", " UNION ALL ".join(f"SELECT '{n}' AS feed, * FROM tract_{n}" for n in TRACT_FEEDS))
+
+
 @query("tract_avg_price", "SELECT month, tract_grp, ROUND(avg_price, 4) AS avg_price FROM tract_price")
 def tract_avg_price(spark, sf):
     return rounded(tract_prices(spark, sf))

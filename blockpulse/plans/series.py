@@ -205,13 +205,14 @@ def zscore_normalize(spark, sf):
 @query(
     "zscore_by_tract",
     """
-    SELECT month, tract_grp, ROUND((n - AVG(n) OVER w) / NULLIF(STDDEV_SAMP(n) OVER w, 0), 6) AS n
-    FROM tract_complaints WINDOW w AS (PARTITION BY tract_grp)
+    SELECT feed, month, tract_grp, ROUND((n - AVG(n) OVER w) / NULLIF(STDDEV_SAMP(n) OVER w, 0), 6) AS n
+    FROM tract_feeds WINDOW w AS (PARTITION BY feed, tract_grp)
     """,
 )
 def zscore_by_tract(spark, sf):
-    counts = monthly_tract_counts(spark, sf, ["complaints"]).select("month", "tract_grp", "n")
-    return rounded(ser.zscore(counts, by=["tract_grp"], value="n"), 6)
+    """Monthly counts of all four feeds, standardised per feed and tract bin."""
+    counts = monthly_tract_counts(spark, sf).select("feed", "month", "tract_grp", "n")
+    return rounded(ser.zscore(counts, by=["feed", "tract_grp"], value="n"), 6)
 
 
 @query(
@@ -325,23 +326,22 @@ def shift_gain(spark, sf):
 @query(
     "pre_post_effect",
     """
-    WITH z AS (SELECT tract_grp, month,
-                 (n - AVG(n) OVER (PARTITION BY tract_grp)) / NULLIF(STDDEV_SAMP(n) OVER (PARTITION BY tract_grp), 0) AS y,
-                 (avg_price - AVG(avg_price) OVER (PARTITION BY tract_grp))
-                   / NULLIF(STDDEV_SAMP(avg_price) OVER (PARTITION BY tract_grp), 0) AS x,
-                 ROW_NUMBER() OVER (PARTITION BY tract_grp ORDER BY month) - 1 AS pos,
-                 FLOOR(COUNT(*) OVER (PARTITION BY tract_grp) * 0.7) AS cut
-               FROM tract_price JOIN tract_complaints USING (month, tract_grp) WHERE avg_price IS NOT NULL),
-    f AS (SELECT tract_grp, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM z WHERE pos <= cut GROUP BY 1)
-    SELECT tract_grp, COUNT(*) AS post_rows, ROUND(AVG(y), 4) AS actual, ROUND(AVG(a + b * x), 4) AS counterfactual,
+    WITH z AS (SELECT feed, tract_grp, month, (n - AVG(n) OVER w) / NULLIF(STDDEV_SAMP(n) OVER w, 0) AS y,
+                 (avg_price - AVG(avg_price) OVER w) / NULLIF(STDDEV_SAMP(avg_price) OVER w, 0) AS x,
+                 ROW_NUMBER() OVER (PARTITION BY feed, tract_grp ORDER BY month) - 1 AS pos, FLOOR(COUNT(*) OVER w * 0.7) AS cut
+               FROM tract_price JOIN tract_feeds USING (month, tract_grp) WHERE avg_price IS NOT NULL
+               WINDOW w AS (PARTITION BY feed, tract_grp)),
+    f AS (SELECT feed, tract_grp, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM z WHERE pos <= cut GROUP BY ALL)
+    SELECT feed, tract_grp, COUNT(*) AS post_rows, ROUND(AVG(y), 4) AS actual, ROUND(AVG(a + b * x), 4) AS counterfactual,
            ROUND(AVG(y - (a + b * x)), 4) AS effect
-    FROM z JOIN f USING (tract_grp) WHERE pos > cut GROUP BY 1
+    FROM z JOIN f USING (feed, tract_grp) WHERE pos > cut GROUP BY ALL
     """,
 )
 def pre_post_effect(spark, sf):
-    counts = monthly_tract_counts(spark, sf, ["complaints"]).drop("feed")
-    both = tract_prices(spark, sf).join(counts, ["month", "tract_grp"])
-    return rounded(ser.pre_post_effect(both, "tract_grp", "month", "n", "avg_price"))
+    """The study of all four feeds, per feed and tract bin."""
+    both = tract_prices(spark, sf).join(monthly_tract_counts(spark, sf), ["month", "tract_grp"])
+    found = ser.pre_post_effect(both, ["feed", "tract_grp"], "month", "n", "avg_price")
+    return rounded(found.where("post_rows > 0"))
 
 
 @query(
