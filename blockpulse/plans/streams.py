@@ -10,7 +10,8 @@ from blockpulse.plans.registry import query
 from blockpulse.session import shared_path
 from blockpulse.streaming import jobs
 
-FILES = 6
+#: Events arrive in this many runs, those of a run told by the event's number.
+ARRIVALS, DELAY_DAYS = 3, 1
 
 
 @query(
@@ -18,11 +19,11 @@ FILES = 6
     "SELECT CAST(ts AS DATE) AS event_date, event_type AS feed, COUNT(*) AS n FROM events GROUP BY 1, 2",
 )
 def stream_daily_counts(spark, sf):
-    """Daily event counts kept up to date by a stream; equal to the batch counts."""
+    """Daily event counts kept up to date by a stream; its one file arrives at once, so nothing is late."""
     path, checkpoint = shared_path(spark, "counts"), shared_path(spark, "counts-checkpoint")
     schema = table(spark, sf, "events").schema
     events = jobs.file_stream(jobs.state_session(spark), sf, schema, "events.parquet")
-    jobs.stream_daily_counts(events, "ts", "event_type", path, checkpoint, delay="400 days")
+    jobs.stream_daily_counts(events, "ts", "event_type", path, checkpoint)
     return jobs.current_counts(spark, path)
 
 
@@ -33,7 +34,7 @@ def scrape_stream(spark, sf):
         "root.zpid", F.col("root.extractTimestamp").alias("extract_ts"), "root.property.overview.price",
         "root.property.overview.state",
     )
-    rows.repartition(FILES, "price").write.parquet(folder)
+    rows.write.parquet(folder)
     return jobs.file_stream(spark, folder, rows.schema, files_per_batch=2)
 
 
@@ -46,8 +47,8 @@ def stream_latest_per_key(spark, sf):
     """Newest document per listing, merged micro-batch by micro-batch."""
     path, checkpoint = shared_path(spark, "newest"), shared_path(spark, "newest-checkpoint")
     scrapes = scrape_stream(spark, sf)
-    job = jobs.stream_newest(scrapes, "zpid", "extract_ts", path, checkpoint, compact_every=2)
-    return jobs.current_newest(job, spark, scrapes.schema, "zpid", "extract_ts", path, compact_every=2)
+    jobs.stream_newest(scrapes, "zpid", "extract_ts", path, checkpoint, compact_every=2)
+    return jobs.current_newest(spark, scrapes.schema, "zpid", "extract_ts", path, compact_every=2)
 
 
 @query(
@@ -61,12 +62,28 @@ def stream_route(spark, sf):
     return spark.read.option("basePath", path).parquet(path).select("dest", "zpid", "price", "state")
 
 
-@query("stream_late_audit")
+# A run is one micro-batch and the empty one that moves the watermark: a run drops days that ended
+# `DELAY_DAYS` before the newest event of the runs before it.
+@query(
+    "stream_late_audit",
+    f"""
+    WITH e AS (SELECT event_type AS feed, ts, CAST(ts AS DATE) AS event_date, event_id % {ARRIVALS} AS run FROM events),
+    m AS (SELECT run, MAX(MAX(ts)) OVER (ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL {DELAY_DAYS} DAY AS mark
+          FROM e GROUP BY run)
+    SELECT event_date, feed, COUNT(*) AS expected, COUNT(*) FILTER (mark IS NULL OR event_date + INTERVAL 1 DAY > mark) AS streamed,
+           COUNT(*) FILTER (event_date + INTERVAL 1 DAY <= mark) AS late
+    FROM e JOIN m USING (run) GROUP BY 1, 2
+    """,
+)
 def stream_late_audit(spark, sf):
-    """Events reach the stream out of order under a short watermark; what was dropped is counted."""
-    folder, path = shared_path(spark, "disordered"), shared_path(spark, "audit")
-    events = table(spark, sf, "events")
-    events.repartition(FILES, "user_id").write.parquet(folder)
-    stream = jobs.file_stream(jobs.state_session(spark), folder, events.schema, files_per_batch=1)
-    jobs.stream_daily_counts(stream, "ts", "event_type", path, shared_path(spark, "audit-checkpoint"), delay="1 day")
+    """Events reach the stream out of order under a short watermark; what was dropped is counted.
+
+    The stream is stopped and started again for every arrival.
+    """
+    folder, path, checkpoint = shared_path(spark, "disordered"), shared_path(spark, "audit"), shared_path(spark, "audit-checkpoint")
+    events, session = table(spark, sf, "events"), jobs.state_session(spark)
+    for run in range(ARRIVALS):
+        events.where(F.col("event_id") % ARRIVALS == run).write.mode("append").parquet(folder)
+        stream = jobs.file_stream(session, folder, events.schema, files_per_batch=1_000_000)
+        jobs.stream_daily_counts(stream, "ts", "event_type", path, checkpoint, delay=f"{DELAY_DAYS} day")
     return jobs.late_rows(events, "ts", "event_type", jobs.current_counts(spark, path))

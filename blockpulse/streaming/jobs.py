@@ -14,19 +14,16 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from blockpulse.operators.documents import newest_scrape, routed
+from blockpulse.sources.files import finished_folders
 
-
-STATE_PARTITIONS = 8
-
-
-def state_session(spark: SparkSession, partitions: int = STATE_PARTITIONS) -> SparkSession:
+def state_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
     """A session for a stateful stream, with its own number of state partitions.
 
-    The number is fixed when a checkpoint is first written. The state of the daily counts is one
-    row per day and feed, so a few partitions hold it; every partition is a task in every batch.
+    The number is fixed when a checkpoint is first written; by default it is the session's number of
+    shuffle partitions. A small state, such as one row per day and feed, needs only a few.
     """
     own = spark.newSession()
-    own.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    own.conf.set("spark.sql.shuffle.partitions", str(partitions or spark.conf.get("spark.sql.shuffle.partitions")))
     own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     return own
 
@@ -80,46 +77,64 @@ def current_counts(spark: SparkSession, path: str) -> DataFrame:
 COMPACT_EVERY = 10
 
 
+def _segments(batches: int, every: int) -> list[str]:
+    """Segments that hold the first `batches` batches: as few as there are, oldest and largest first."""
+    if every < 2:
+        raise ValueError("at least two segments are merged")
+    level, out, start = 0, [], 0
+    while every ** (level + 1) <= batches:
+        level += 1
+    for k in range(level, -1, -1):
+        while start + every**k <= batches:
+            start += every**k
+            out.append(f"level={k}/{start - 1}")
+    return out
+
+
 def stream_newest(
     documents: DataFrame, key: str, stamp: str, path: str, checkpoint: str, compact_every: int = COMPACT_EVERY
 ) -> StreamingQuery:
     """Keep the newest row per key.
 
-    A batch writes only its own newest rows. Every `compact_every` batches the last compacted
-    version and the batches since then are merged into a new version, so the cost of a batch
-    follows its size and the reader never faces more than a few small folders. Folder names
+    A batch writes its own newest rows as a segment of level 0. Every `compact_every` segments of a
+    level are merged into one of the next, so a row is written again once per level, of which there
+    are as many as digits in the number of batches, and a reader faces few segments. Segment names
     depend on the batch id alone, which makes a replayed batch overwrite its earlier attempt.
     """
+    _segments(0, compact_every)
     schema = documents.schema
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        newest_scrape(batch, key, stamp).write.mode("overwrite").parquet(f"{path}/delta/{batch_id}")
-        if (batch_id + 1) % compact_every == 0:
-            state = _newest_as_of(batch.sparkSession, schema, key, stamp, path, batch_id, compact_every, False)
-            state.write.mode("overwrite").parquet(f"{path}/base/{batch_id}")
+        newest_scrape(batch, key, stamp).write.mode("overwrite").parquet(f"{path}/level=0/{batch_id}")
+        level, done = 1, batch_id + 1
+        while done % compact_every**level == 0:
+            size = compact_every ** (level - 1)
+            parts = [f"{path}/level={level - 1}/{batch_id - size * k}" for k in range(compact_every)]
+            merged = newest_scrape(batch.sparkSession.read.schema(schema).parquet(*parts), key, stamp)
+            merged.write.mode("overwrite").parquet(f"{path}/level={level}/{batch_id}")
+            level += 1
 
     return run_available(documents, write, checkpoint, "append")
 
 
-def _newest_as_of(
-    spark: SparkSession, schema: T.StructType, key: str, stamp: str, path: str, batch_id: int, every: int, compacted: bool
-) -> DataFrame:
-    """State after `batch_id`; `compacted` tells whether that batch's own version may be used."""
-    done = batch_id + 1 if compacted else batch_id
-    base = done // every * every - 1
-    folders = [f"{path}/delta/{b}" for b in range(base + 1, batch_id + 1)]
-    if base >= 0:
-        folders.append(f"{path}/base/{base}")
-    return newest_scrape(spark.read.schema(schema).parquet(*folders), key, stamp)
-
-
 def current_newest(
-    job: StreamingQuery, spark: SparkSession, schema: T.StructType, key: str, stamp: str, path: str,
-    compact_every: int = COMPACT_EVERY,
+    spark: SparkSession, schema: T.StructType, key: str, stamp: str, path: str, compact_every: int = COMPACT_EVERY
 ) -> DataFrame:
-    """Newest row per key after the last finished batch of a job."""
-    last = max(p["batchId"] for p in job.recentProgress if p["numInputRows"] > 0)
-    return _newest_as_of(spark, schema, key, stamp, path, last, compact_every, True)
+    """Newest row per key after the last finished batch, found from the folders alone.
+
+    A segment of a higher level is used only once its write was finished.
+    """
+    done = [int(b) for b in finished_folders(spark, f"{path}/level=0")]
+    if not done:
+        return spark.createDataFrame([], schema)
+    batches = max(done) + 1
+    segments = _segments(batches, compact_every)
+    level, newest = segments[-1].split("/")
+    if newest not in finished_folders(spark, f"{path}/{level}"):
+        # The newest merge was not finished: read what it is made of.
+        segments = [*_segments(batches - 1, compact_every), f"level=0/{batches - 1}"]
+    folders = [f"{path}/{s}" for s in segments]
+    return newest_scrape(spark.read.schema(schema).parquet(*folders), key, stamp)
 
 
 def stream_route(documents: DataFrame, in_city: Column, path: str, checkpoint: str):
