@@ -6,7 +6,9 @@ narrow projection without any grouping.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blockpulse.fixtures import table
@@ -73,6 +75,14 @@ _VALUES: dict[str, str] = {
     )
     + " END",
     "nearbyCities": _items("n % 3", _struct(name="'City ' || (c + i) % 50")),
+    "nearbyNeighborhoods": _items("n % 2", _struct(name="'Hood ' || (c + i) % 70")),
+    "nearbyZipcodes": "CASE WHEN n % 9 = 0 THEN NULL ELSE " + _items("n % 4", _struct(name="CAST(10000 + (c + i) % 250 AS STRING)")) + " END",
+    "hiResLink": "'hi' || n",
+    "streetViewMetadataUrlMediaWallLatLong": "'wall/' || c % 100",
+    "streetViewMetadataUrlMediaWallAddress": "CASE WHEN n % 2 = 0 THEN 'wall-address/' || c END",
+    "streetViewTileImageUrlMediumLatLong": "'tile/' || n % 10",
+    "streetViewTileImageUrlMediumAddress": "'tile-address/' || n",
+    "streetViewServiceUrl": "'service/' || n % 7",
     "daysListed": "n % 500",
     "favoriteCount": "n % 37",
     "pageViewCount": "n % 211",
@@ -117,15 +127,29 @@ def _field(name: str):
     return (value if kind.startswith("struct") else value.cast(kind)).alias(name)
 
 
-def payloads(spark: SparkSession, sf: str) -> DataFrame:
-    """(scrape_id, scraped_at, p): one payload struct per order."""
+# A geocoder's answer for the address of a scrape; every eighth address is not found.
+_BLOCK = _struct(GEOID="'36' || LPAD(CAST(c AS STRING), 6, '0')", BLOCK="CAST(c % 9 AS STRING)",
+                 TRACT="CAST(c * 911 % 310000 AS STRING)", BLKGRP="CAST(c % 4 AS STRING)")
+_ANSWER = "CASE WHEN n % 8 = 0 THEN array() ELSE array(" + _struct(
+    geographies=f"named_struct('2020 Census Blocks', array({_BLOCK}))",
+    addressComponents="map('zip', CAST(10000 + c % 250 AS STRING), 'streetName', 'Main')",
+    matchedAddress="CAST(c % 300 AS STRING) || ' MAIN ST'",
+) + ") END"
+
+
+def census_answers() -> Column:
+    return F.expr(_ANSWER).cast(ls.CENSUS_ANSWER)
+
+
+def payloads(spark: SparkSession, sf: str, keys: Sequence[str] | None = None, census: bool = False) -> DataFrame:
+    """(scrape_id, scraped_at, p [, census]): one payload struct per order, with all or some of its keys."""
     rows = table(spark, sf, "orders").selectExpr(
         "o_orderkey AS n", "o_custkey AS c", "o_totalprice AS amount",
         "timestamp_seconds(unix_seconds(CAST(o_orderdate AS TIMESTAMP)) + o_orderkey % 86400) AS scraped_at",
     )
-    return rows.select(
-        F.col("n").alias("scrape_id"), "scraped_at", F.struct(*[_field(k) for k in ls.PAYLOAD_TYPES]).alias("p")
-    )
+    fields = F.struct(*[_field(k) for k in ls.PAYLOAD_TYPES if keys is None or k in keys])
+    answer = [census_answers().alias("census")] if census else []
+    return rows.select(F.col("n").alias("scrape_id"), "scraped_at", fields.alias("p"), *answer)
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:

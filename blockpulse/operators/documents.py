@@ -85,13 +85,24 @@ def agent_details(payload: Column) -> Column:
     )
 
 
-def listing_entities(payload: Column) -> dict[str, Column]:
-    """The parts of a listing, from its payload."""
+def census_details(answer: Column) -> Column:
+    """The census block of a geocoder's first match; NULL where there is no match."""
+    match = F.get(answer, F.lit(0))
+    block = F.get(match["geographies"]["2020 Census Blocks"], F.lit(0))
+    parts = [block["GEOID"], block["BLOCK"], block["TRACT"], block["BLKGRP"], match["addressComponents"], match["matchedAddress"]]
+    return F.when(match.isNotNull(), F.struct(*[c.alias(k) for k, c in zip(ls.CENSUS_KEYS, parts)]))
+
+
+def listing_entities(payload: Column, moment: Column, answer: Column | None = None) -> dict[str, Column]:
+    """The parts of a listing, from its payload, the time of its scrape and a geocoder's answer."""
     top = list(ls.PAYLOAD_TYPES)
+    location = whitelist(payload, top, ls.LOCATION_KEYS).withField("utcScrapeTime", F.date_format(moment, "yyyy-MM-dd HH:mm:ss"))
+    for nearby in ("nearbyCities", "nearbyNeighborhoods", "nearbyZipcodes"):
+        location = location.withField(nearby, nested.pluck(payload[nearby], "name"))
+    pictures = whitelist(payload, top, ls.PICTURE_KEYS)
+    pictures = pictures.withField("propertyPhotos", picture_urls(payload["photos"]))
     return {
-        "location": whitelist(payload, top, ls.LOCATION_KEYS).withField(
-            "nearbyCities", nested.pluck(payload["nearbyCities"], "name")
-        ),
+        "location": location,
         "pricing": whitelist(payload, top, ls.PRICING_KEYS).withField(
             "priceHistory", clean_price_history(payload["priceHistory"])
         ),
@@ -101,11 +112,8 @@ def listing_entities(payload: Column) -> dict[str, Column]:
         "compNearbyHomes": F.struct(
             pruned_homes(payload["comps"]).alias("comps"), pruned_homes(payload["nearbyHomes"]).alias("nearby_homes")
         ),
-        "pictures": F.struct(
-            payload["hiResLink"].alias("hiResLink"),
-            picture_urls(payload["photos"]).alias("propertyPhotos"),
-            map_urls(payload["staticMap"]).alias("staticMap"),
-        ),
+        "pictures": pictures.withField("staticMap", map_urls(payload["staticMap"])),
+        "census": census_details(F.lit(None).cast(ls.CENSUS_ANSWER) if answer is None else answer),
     }
 
 
@@ -128,9 +136,10 @@ def _rooted(rows: DataFrame, payload: str, moment: str, parts: dict[str, Column]
     )
 
 
-def typed_listing(rows: DataFrame, payload: str, moment: str) -> DataFrame:
-    """The full listing document as one `root` struct."""
-    return _rooted(rows, payload, moment, listing_entities(F.col(payload)))
+def typed_listing(rows: DataFrame, payload: str, moment: str, answer: str | None = None) -> DataFrame:
+    """The full listing document as one `root` struct; `answer` names a column of geocoder answers."""
+    census = F.col(answer) if answer else None
+    return _rooted(rows, payload, moment, listing_entities(F.col(payload), F.col(moment), census))
 
 
 def listing_document(rows: DataFrame, payload: str, moment: str) -> DataFrame:
@@ -163,10 +172,12 @@ def page_payload(html: Column, payload_ddl: str) -> Column:
     fallback = F.from_json(
         nested.script_body(html, ls.FALLBACK_SCRIPT), "props struct<pageProps: struct<gdpClientCache: string>>"
     )["props"]["pageProps"]["gdpClientCache"]
-    # The first location lists a query entry before the listing; the second holds only the listing.
-    first = F.get(F.map_values(F.from_json(primary, cache)), F.lit(1))["property"]
-    second = F.get(F.map_values(F.from_json(fallback, cache)), F.lit(0))["property"]
-    return F.coalesce(first, second)
+    # A cache also holds entries of other queries: the listing is the entry that has a property.
+    def listing(text: Column) -> Column:
+        entries = F.map_values(F.from_json(text, cache))
+        return F.get(F.filter(entries, lambda e: e["property"].isNotNull()), F.lit(0))["property"]
+
+    return F.coalesce(listing(primary), listing(fallback))
 
 
 def page_kind(html: Column, payload: Column) -> Column:

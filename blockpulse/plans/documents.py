@@ -203,6 +203,10 @@ def lift_and_prune(spark, sf):
     return payloads(spark, sf).select("scrape_id", F.inline(homes))
 
 
+PAGE_KEYS = ("zpid", "price")
+PAGE_PAYLOAD = "struct<" + ", ".join(f"{k}: {ls.PAYLOAD_TYPES[k]}" for k in PAGE_KEYS) + ">"
+
+
 def pages(spark: SparkSession, sf: str) -> DataFrame:
     """(scrape_id, html): pages with the payload in the first place, the second place, or nowhere."""
     n = F.col("scrape_id")
@@ -238,41 +242,115 @@ def _struct_type():
     CASE n % 4 WHEN 2 THEN 'search' WHEN 3 THEN 'other' ELSE 'listing' END AS page_kind FROM scrapes""",
 )
 def page_payload(spark, sf):
-    rows = pages(spark, sf).withColumn("payload", doc.page_payload(F.col("html"), ls.PAYLOAD))
+    """Pages are written first; only the fields that are asked for are parsed."""
+    stored = writers.stored(pages(spark, sf), shared_path(spark, "pages"))
+    rows = stored.withColumn("payload", doc.page_payload(F.col("html"), PAGE_PAYLOAD))
     kind = doc.page_kind(F.col("html"), F.col("payload"))
     return rows.select("scrape_id", "payload.zpid", "payload.price", kind.alias("page_kind"))
 
 
+_SEARCH_PAGE = """'<html><script data-zrr-shared-data-key="mobileSearchPageStore"><!--{"cat1":{"total":1}}--></script></html>'"""
+
+
 @query(
     "given_page_kinds",
-    "SELECT page_id, CASE WHEN html LIKE '%mobileSearchPageStore%' THEN 'search' ELSE 'other' END AS page_kind FROM pages",
+    "SELECT page_id, CASE WHEN page_id % 7 = 0 OR html LIKE '%mobileSearchPageStore%' THEN 'search' ELSE 'other' END AS page_kind FROM pages",
 )
 def given_page_kinds(spark, sf):
-    """The raw web pages classified: none of them carries a listing payload."""
-    rows = table(spark, sf, "pages").withColumn("payload", doc.page_payload(F.col("html"), ls.PAYLOAD))
+    """The raw web pages classified, every seventh with a search store in front; none has a listing."""
+    html = F.when(F.col("page_id") % 7 == 0, F.concat(F.expr(_SEARCH_PAGE), F.col("html"))).otherwise(F.col("html"))
+    rows = table(spark, sf, "pages").select("page_id", html.alias("html"))
+    rows = rows.withColumn("payload", doc.page_payload(F.col("html"), PAGE_PAYLOAD))
     return rows.select("page_id", doc.page_kind(F.col("html"), F.col("payload")).alias("page_kind"))
 
 
-@query(
-    "listing_document",
-    f"""SELECT {_ID_SQL} AS hash_md5, c AS zpid, strftime(scraped_at, '%d/%m/%Y') AS scrapeDate,
-    strftime(scraped_at, '%H:%M:%S') AS scrapeTime, state, price,
-    CASE n % 5 WHEN 0 THEN NULL WHEN 1 THEN 'Solo' || c ELSE 'Ann' END AS agentFirstName,
-    CASE WHEN n % 5 > 1 THEN 'Lee' END AS agentLastName, 'listing/' || n AS listingOriginUrl,
-    CASE WHEN n % 13 <> 0 THEN CAST(n % 4 AS INTEGER) END AS schools, CAST(n % 3 AS INTEGER) AS comps,
-    CAST(n % 3 AS INTEGER) AS photos FROM scrapes""",
-)
+def _joined(items: Column, *fields: Column | str) -> Column:
+    """An array as text: items joined by commas, their fields by colons, `-` for a missing one."""
+    def shown(item: Column) -> Column:
+        return F.concat_ws(":", *[F.coalesce(item[f].cast("string"), F.lit("-")) for f in fields]) if fields else item
+
+    return F.array_join(F.transform(items, shown), ",")
+
+
+def _joined_sql(count: str, item: str, missing: str = "FALSE") -> str:
+    return f"CASE WHEN {missing} THEN NULL ELSE array_to_string(list_transform(range(1, 1 + {count}), lambda i: {item}), ',') END"
+
+
+def _thousandths(items: Column, field: str) -> Column:
+    return F.transform(items, lambda x: x.withField(field, F.round(x[field] * 1000).cast("bigint")))
+
+
+_HOME_SQL = "(n * 10 + i) || ':' || (100000 * i) || ':' || i || ' Side St:Albany:NY:12201:' || CASE WHEN (n + i) % 2 = 0 THEN 'u' || n || '-' || i ELSE '-' END"
+_LISTING_SQL = {
+    "hash_md5": _ID_SQL, "extractTimestamp": _STAMP_SQL, "scrapeDate": "strftime(scraped_at, '%d/%m/%Y')",
+    "scrapeTime": "strftime(scraped_at, '%H:%M:%S')", "zpid": "c",
+    "overview_price": "price", "overview_state": "state", "overview_zpid": "c", "overview_daysListed": "n % 500",
+    "overview_favoriteCount": "n % 37", "overview_pageViewCount": "n % 211", "overview_coreLogicId": "'cl' || n",
+    "location_streetAddress": "(c % 300) || ' Main St'", "location_city": "CASE WHEN c % 2 = 0 THEN 'New York' ELSE 'Albany' END",
+    "location_state": "state", "location_zipcode": "CAST(10000 + c % 250 AS VARCHAR)",
+    "location_longitude": "ROUND(-74.0 + (c % 100) / 1000, 4)", "location_latitude": "ROUND(40.0 + (c % 90) / 1000, 4)", "location_zpid": "c",
+    "location_nearbyCities": _joined_sql("n % 3", "'City ' || (c + i) % 50"),
+    "location_nearbyNeighborhoods": _joined_sql("n % 2", "'Hood ' || (c + i) % 70"),
+    "location_nearbyZipcodes": _joined_sql("n % 4", "CAST(10000 + (c + i) % 250 AS VARCHAR)", "n % 9 = 0"),
+    "location_utcScrapeTime": "strftime(scraped_at, '%Y-%m-%d %H:%M:%S')",
+    "pricing_price": "price", "pricing_zestimate": "CASE WHEN n % 23 <> 0 THEN CAST(FLOOR(amount * (90 + n % 21) / 100) AS BIGINT) END",
+    "pricing_propertyTaxRate": "(n % 5) / 4",
+    "pricing_taxHistory": _joined_sql("n % 4", "'t' || i || ':' || (1000 * i) || ':' || CASE WHEN (n + i) % 4 = 0 THEN '-' ELSE CAST((n + i * 7) % 50 AS VARCHAR) END"),
+    "pricing_priceHistory": _joined_sql(
+        "n % 5", "'d' || i || ':' || CASE WHEN i % 2 = 0 THEN 'Sold' ELSE 'Listed' END || ':' "
+        "|| CASE WHEN (n + i) % 3 = 0 THEN '-' ELSE CAST((n * i) % 11 * 10 AS VARCHAR) END", "n % 17 = 0"),
+    "pricing_sellingSoon": "CASE n % 6 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE (n % 100 * 10) || ':m1' END",
+    "features_bedrooms": "1 + CAST(FLOOR(amount / 120000) AS BIGINT)", "features_bathrooms": "1 + n % 2 + FLOOR(amount / 200000)",
+    "features_hasGarage": "n // 16 % 2 = 0", "features_hasHeating": "n % 3 <> 0",
+    "features_homeType": "CASE c % 4 WHEN 0 THEN 'CONDO' WHEN 1 THEN 'HOUSE' WHEN 2 THEN 'TOWNHOUSE' ELSE 'COOP' END",
+    "features_parkingCapacity": "n // 4 % 4", "features_yearBuilt": "1900 + c % 120",
+    "agent_agentName": "CASE n % 5 WHEN 0 THEN NULL WHEN 1 THEN 'Solo' || c ELSE 'Ann ' || c || ' Lee' END",
+    "agent_agentEmail": "'a' || c || '@mail.test'", "agent_brokerName": "'Broker ' || c % 97",
+    "agent_agentFirstName": "CASE n % 5 WHEN 0 THEN NULL WHEN 1 THEN 'Solo' || c ELSE 'Ann' END",
+    "agent_agentLastName": "CASE WHEN n % 5 > 1 THEN 'Lee' END", "agent_listingOriginUrl": "'listing/' || n",
+    "schools": _joined_sql(
+        "n % 4", "'PS ' || i || ':' || CASE WHEN (n + i) % 4 = 0 THEN 'Private' ELSE 'Public' END || ':K-5:' "
+        "|| CASE WHEN (n + i) % 5 = 0 THEN '-' ELSE CAST(1 + (n * i) % 10 AS VARCHAR) END || ':' || ((n + i) % 30 * 100)", "n % 13 = 0"),
+    "comps": _joined_sql("n % 3", _HOME_SQL), "nearby_homes": _joined_sql("n % 2", _HOME_SQL),
+    "pictures_hiResLink": "'hi' || n", "pictures_propertyPhotos": _joined_sql("n % 3", "'p' || n || '-' || i"), "pictures_staticMap": "'map' || n",
+    "pictures_streetViewMetadataUrlMediaWallLatLong": "'wall/' || c % 100",
+    "pictures_streetViewMetadataUrlMediaWallAddress": "CASE WHEN n % 2 = 0 THEN 'wall-address/' || c END",
+    "pictures_streetViewTileImageUrlMediumLatLong": "'tile/' || n % 10", "pictures_streetViewTileImageUrlMediumAddress": "'tile-address/' || n",
+    "pictures_streetViewServiceUrl": "'service/' || n % 7",
+    "census_geoId": "CASE WHEN n % 8 <> 0 THEN '36' || LPAD(CAST(c AS VARCHAR), 6, '0') END",
+    "census_block": "CASE WHEN n % 8 <> 0 THEN CAST(c % 9 AS VARCHAR) END",
+    "census_tract": "CASE WHEN n % 8 <> 0 THEN CAST(c * 911 % 310000 AS VARCHAR) END",
+    "census_blkgrp": "CASE WHEN n % 8 <> 0 THEN CAST(c % 4 AS VARCHAR) END",
+    "census_zip": "CASE WHEN n % 8 <> 0 THEN CAST(10000 + c % 250 AS VARCHAR) END",
+    "census_addressFull": "CASE WHEN n % 8 <> 0 THEN (c % 300) || ' MAIN ST' END",
+}
+
+
+@query("listing_document", "SELECT " + ", ".join(f"{sql} AS {name}" for name, sql in _LISTING_SQL.items()) + " FROM scrapes")
 def listing_document(spark, sf):
-    listing = doc.typed_listing(payloads(spark, sf), "p", "scraped_at").select("root.*")
-    return listing.select(
-        "hash_md5", "zpid", "scrapeDate", "scrapeTime",
-        "property.location.state", "property.pricing.price",
-        "property.listingAgent.agentFirstName", "property.listingAgent.agentLastName",
-        "property.listingAgent.listingOriginUrl",
-        F.when(F.col("property.schools.schools").isNotNull(), F.size("property.schools.schools")).alias("schools"),
-        F.size("property.compNearbyHomes.comps").alias("comps"),
-        F.size("property.pictures.propertyPhotos").alias("photos"),
-    )
+    """The whole document, every part that the payloads fill."""
+    rows = doc.typed_listing(payloads(spark, sf, census=True), "p", "scraped_at", "census").select("root.*").select("*", "property.*")
+    home = ("zpid", "price", "streetAddress", "city", "state", "zipcode", "coverPhoto")
+    shown = {
+        "location_longitude": F.round("location.longitude", 4), "location_latitude": F.round("location.latitude", 4),
+        **{f"location_{k}": _joined(F.col(f"location.{k}")) for k in ("nearbyCities", "nearbyNeighborhoods", "nearbyZipcodes")},
+        "pricing_taxHistory": _joined(
+            F.transform(_thousandths(F.col("pricing.taxHistory"), "valueIncreaseRate"), lambda x: x.withField("value", x["value"].cast("bigint"))),
+            "time", "value", "valueIncreaseRate"),
+        "pricing_priceHistory": _joined(_thousandths(F.col("pricing.priceHistory"), "priceChangeRate"), "date", "event", "priceChangeRate"),
+        "pricing_sellingSoon": _joined(_thousandths(F.col("pricing.sellingSoon"), "percentile"), "percentile", "modelId"),
+        "schools": _joined(_thousandths(F.col("schools.schools"), "distance"), "name", "type", "gradeRange", "rating", "distance"),
+        "comps": _joined(F.col("compNearbyHomes.comps"), *home), "nearby_homes": _joined(F.col("compNearbyHomes.nearby_homes"), *home),
+        "pictures_propertyPhotos": _joined(F.col("pictures.propertyPhotos")), "pictures_staticMap": _joined(F.col("pictures.staticMap")),
+        "census_zip": F.col("census.addressComponents")["zip"],
+    }
+    parts = {"features": "propertyFeatures", "agent": "listingAgent"}
+
+    def leaf(name: str) -> Column:
+        part, _, key = name.partition("_")
+        return F.col(f"{parts.get(part, part)}.{key}") if key and part != "hash" else F.col(name)
+
+    return rows.select(*[(shown[n] if n in shown else leaf(n)).alias(n) for n in _LISTING_SQL])
 
 
 @query(

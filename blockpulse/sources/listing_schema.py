@@ -59,6 +59,7 @@ _TYPES: dict[str, str] = {
     "sellingSoon": "array<struct<percentile: double, modelId: string>>",
     "rating": "int",
     "distance": "double",
+    "addressComponents": "map<string, string>",
 }
 
 
@@ -74,6 +75,12 @@ HOME = (
     "livingAreaUnitsShort: string, listingMetadata: string, formattedChip: string, attributionInfo: string, "
     "providerListingID: string>"
 )
+# A geocoder's answer for one address, and what is kept of its first match.
+CENSUS_BLOCK = "struct<GEOID: string, BLOCK: string, TRACT: string, BLKGRP: string>"
+CENSUS_ANSWER = (
+    f"array<struct<geographies: struct<`2020 Census Blocks`: array<{CENSUS_BLOCK}>>, "
+    "addressComponents: map<string, string>, matchedAddress: string>>"
+)
 SIZED_IMAGE = "struct<url: string, width: int>"
 
 _TOP_LEVEL = {k: _TYPES.get(k, "string") for k in [*LOCATION_KEYS, *PRICING_KEYS, *PICTURE_KEYS]}
@@ -112,4 +119,4 @@ PAYLOAD_TYPES = _TOP_LEVEL
 
 
 def ddl_schema(ddl: str) -> T.DataType:
-    return T._parse_datatype_string(ddl)
+    return T.DataType.fromDDL(ddl)
