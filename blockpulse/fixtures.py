@@ -152,6 +152,16 @@ def line_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str,
     return rows, {name: F.expr(ADAPTERS[name].where) for name in LINE_FEEDS}
 
 
+def order_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, Column]]:
+    """The orders once, with the columns of the feeds made of them, and the condition of each feed."""
+    sales = ADAPTERS["sales"].columns
+    texts = [f"{expr.format(d=_US_DAY_SPARK)} AS {column}" for column, _, expr in _US_TEXT.values()]
+    rows = table(spark, sf_dir, "orders").selectExpr(
+        f"{sales['sale_date']} AS sale_date", f"{sales['sale_price']} AS sale_price", *texts, "o_orderstatus", "o_orderpriority"
+    )
+    return rows, {name: F.expr(where) for name, (_, where, _) in _US_TEXT.items()}
+
+
 def feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One adapted feed as a DataFrame."""
     if name in _US_TEXT:
@@ -161,6 +171,11 @@ def feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name == "citibike_daily":
         days = feed(spark, sf_dir, "ride_days").groupBy("date")
         return days.agg(F.sum("quantity").cast("bigint").alias("num_rides"))
+    if name == "secd_newest":
+        # One row per part, its newest line: the join gets as many rows as there are parts.
+        lines = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.max("l_shipdate").alias("l_shipdate"))
+        parts = table(spark, sf_dir, "part")
+        return lines.join(parts, lines.l_partkey == parts.p_partkey).selectExpr(*SECD_COLUMNS)
     if name == "secd":
         lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_shipdate")
         parts = table(spark, sf_dir, "part")

@@ -35,30 +35,48 @@ class Feed:
 
 
 def _shared(feeds: Sequence[Feed]) -> list[list[Feed]]:
-    """Feeds grouped by the frame and date column they read."""
-    groups: dict[tuple[int, str], list[Feed]] = {}
+    """Feeds grouped by the frame they read."""
+    groups: dict[int, list[Feed]] = {}
     for f in feeds:
-        groups.setdefault((id(f.rows), str(f.day)), []).append(f)
+        groups.setdefault(id(f.rows), []).append(f)
     return list(groups.values())
 
 
-def slices(feeds: Sequence[Feed]) -> DataFrame:
-    """The rows any of the feeds wants, from one shared frame."""
-    rows, wanted = feeds[0].rows, [f.where for f in feeds]
-    return rows if any(w is None for w in wanted) else rows.where(reduce(lambda a, b: a | b, wanted))
+def _by_day(group: Sequence[Feed]) -> list[list[Feed]]:
+    """Feeds of one frame grouped by their date column."""
+    days: dict[str, list[Feed]] = {}
+    for f in group:
+        days.setdefault(str(f.day), []).append(f)
+    return list(days.values())
+
+
+def _hit(f: Feed) -> Column:
+    return F.lit(True) if f.where is None else F.coalesce(f.where, F.lit(False))
 
 
 def _stacked(feeds: Sequence[Feed], key: Callable[[Column], Column], key_name: str) -> DataFrame:
-    """(key, one hit flag per feed, one measure per measured feed)."""
+    """(key, one hit flag per feed, one measure per measured feed).
+
+    A frame is read once. A row whose feeds go by different dates becomes one entry per date.
+    """
     parts = []
     for group in _shared(feeds):
-        columns = [key(group[0].day).alias(key_name)]
-        for f in group:
-            hit = F.lit(True) if f.where is None else F.coalesce(f.where, F.lit(False))
-            columns.append(hit.alias(f"hit_{f.name}"))
-            if f.measure is not None:
-                columns.append(F.when(hit, f.measure.cast("double")).alias(f"value_{f.name}"))
-        parts.append(slices(group).select(*columns))
+        entries = []
+        for same_day in _by_day(group):
+            fields = [key(same_day[0].day).alias(key_name)]
+            for f in group:
+                hit = _hit(f) if f in same_day else F.lit(False)
+                fields.append(hit.alias(f"hit_{f.name}"))
+                if f.measure is not None:
+                    fields.append(F.when(hit, f.measure.cast("double")).alias(f"value_{f.name}"))
+            any_hit = reduce(lambda a, b: a | b, [_hit(f) for f in same_day])
+            entries.append((any_hit, fields))
+        if len(entries) == 1:
+            any_hit, fields = entries[0]
+            parts.append(group[0].rows.where(any_hit).select(*fields))
+        else:
+            found = F.array_compact(F.array(*[F.when(any_hit, F.struct(*fields)) for any_hit, fields in entries]))
+            parts.append(group[0].rows.select(F.inline(found)))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -98,14 +116,12 @@ def aligned_panel(
 
 
 def tagged_events(feeds: Sequence[Feed], columns: dict[str, Column]) -> DataFrame:
-    """Every event as (feed, columns); a row that belongs to several feeds appears once for each."""
+    """Every event as (feed, date, columns); a row that belongs to several feeds appears once for each."""
     parts = []
     for group in _shared(feeds):
-        names = [
-            F.lit(f.name) if f.where is None else F.when(f.where, F.lit(f.name)) for f in group
-        ]
-        tagged = slices(group).select(F.explode(F.array_compact(F.array(*names))).alias("feed"), "*")
-        parts.append(tagged.select("feed", group[0].day.alias("date"), *[c.alias(n) for n, c in columns.items()]))
+        tags = [F.when(_hit(f), F.struct(F.lit(f.name).alias("feed"), f.day.cast("date").alias("date"))) for f in group]
+        more = [c.alias(n) for n, c in columns.items()]
+        parts.append(group[0].rows.select(F.inline(F.array_compact(F.array(*tags))), *more).select("feed", "date", *columns))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -37,10 +37,25 @@ def to_wide(long: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def resample(long: DataFrame, freq: str) -> DataFrame:
     """Mean per calendar bin; bins between the first and last one are kept even when empty."""
-    means = long.groupBy("series_id", period_end(F.col("ts"), freq).alias("ts")).agg(F.avg("value").alias("value"))
-    ends = means.groupBy("series_id").agg(F.min("ts").alias("first"), F.max("ts").alias("last"))
-    spine = ends.select("series_id", F.explode(period_spine(F.col("first"), F.col("last"), freq)).alias("ts"))
-    return spine.join(means, ["series_id", "ts"], "left")
+    return resample_all(long, [freq]).drop("freq")
+
+
+def resample_all(long: DataFrame, freqs: Sequence[str]) -> DataFrame:
+    """(freq, series_id, ts, value) for several frequencies, from one pass and one aggregation.
+
+    A bin and the empty ones up to the next bin come from the same row, so nothing is joined.
+    """
+    bins = F.array(*[F.struct(F.lit(f).alias("freq"), period_end(F.col("ts"), f).alias("bin")) for f in freqs])
+    means = long.select("series_id", "value", F.inline(bins)).groupBy("freq", "series_id", "bin").agg(F.avg("value").alias("value"))
+    after = F.lead("bin").over(Window.partitionBy("freq", "series_id").orderBy("bin"))
+    spans = means.withColumn("_after", after)
+    until = F.coalesce("_after", "bin")
+    spine = F.lit(None).cast("array<date>")
+    for f in freqs:
+        spine = F.when(F.col("freq") == f, period_spine(F.col("bin"), until, f)).otherwise(spine)
+    own = F.filter(spine, lambda d: F.col("_after").isNull() | (d < F.col("_after")))
+    filled = spans.select("freq", "series_id", "bin", "value", F.explode(own).alias("ts"))
+    return filled.select("freq", "series_id", "ts", F.when(F.col("ts") == F.col("bin"), F.col("value")).alias("value"))
 
 
 def block_average(long: DataFrame, rows: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockpulse.fixtures import LINE_FEEDS, feed, line_events, table
+from blockpulse.fixtures import LINE_FEEDS, feed, line_events, order_events, table
 from blockpulse.functions import calendar as cal
 from blockpulse.operators import aggregates, filters
 from blockpulse.operators.panel import Feed, aligned_panel, tagged_events
@@ -51,29 +51,31 @@ def line_feeds(spark: SparkSession, sf: str) -> list[Feed]:
     return [*counted, inspections]
 
 
-def city_feeds(spark: SparkSession, sf: str) -> list[Feed]:
-    """The six feeds that have a plain date column."""
-    sales = feed(spark, sf, "sales")
+def order_feeds(spark: SparkSession, sf: str) -> list[Feed]:
+    """Sales, arrests and filings: three feeds of one table, each by its own date."""
+    rows, where = order_events(spark, sf)
     return [
-        Feed("sales", sales, F.col("sale_date"), "total_sales", "avg_price", measure=F.col("sale_price")),
-        *line_feeds(spark, sf),
+        Feed("sales", rows, F.col("sale_date"), "total_sales", "avg_price", measure=F.col("sale_price")),
+        Feed("arrests", rows, cal.us_date(F.col("arrest_date")), "num_arrests", where=where["nypd_arrests"]),
+        Feed("jobs", rows, cal.us_date(F.col("pre_filing_date")), "jobs_filed", where=where["job_application_filings"]),
     ]
 
 
+def city_feeds(spark: SparkSession, sf: str) -> list[Feed]:
+    """The six feeds that have a plain date column."""
+    return [order_feeds(spark, sf)[0], *line_feeds(spark, sf)]
+
+
 def dated_feeds(spark: SparkSession, sf: str) -> list[Feed]:
     """The two feeds whose dates are text."""
-    arrests, jobs = feed(spark, sf, "nypd_arrests"), feed(spark, sf, "job_application_filings")
-    return [
-        Feed("arrests", arrests, cal.us_date(F.col("arrest_date")), "num_arrests"),
-        Feed("jobs", jobs, cal.us_date(F.col("pre_filing_date")), "jobs_filed"),
-    ]
+    return order_feeds(spark, sf)[1:]
 
 
 def all_feeds(spark: SparkSession, sf: str) -> list[Feed]:
     rides = feed(spark, sf, "citibike_daily")
     return [
-        *city_feeds(spark, sf),
-        *dated_feeds(spark, sf),
+        *order_feeds(spark, sf),
+        *line_feeds(spark, sf),
         Feed("rides", rides, F.col("date"), value_as="citibike_rides", measure=F.col("num_rides")),
     ]
 

@@ -109,9 +109,7 @@ def nullify_ranges(spark, sf):
 )
 def resample(spark, sf):
     """Weekly (ending Sunday), monthly and quarterly means of every measure."""
-    days = long_panel(spark, sf)
-    parts = [ser.resample(days, f).select(F.lit(f).alias("freq"), "*") for f in ("W", "M", "Q")]
-    return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    return rounded(ser.resample_all(long_panel(spark, sf), ["W", "M", "Q"]))
 
 
 @query(
