@@ -55,10 +55,18 @@ def selected_features(flags: Mapping[str, bool], target: str) -> tuple[list[str]
     return included, [f for f, on in flags.items() if not on]
 
 
-def assemble(df: DataFrame, features: Sequence[str], target: str, keep: Sequence[str] = ()) -> DataFrame:
-    """(keep, features vector, label); rows with a missing value are dropped."""
+def assemble(df: DataFrame, features: Sequence[str], target: str, keep: Sequence[str] = (), centre: bool = False) -> DataFrame:
+    """(keep, features vector, label); rows with a missing value are dropped.
+
+    `centre` moves every feature to mean 0, from one pass that returns one row. A linear model with an
+    intercept has the same coefficients and predictions, and large offsets (coordinates, years) no
+    longer cancel in its sums of products.
+    """
     numbers = df.select(*keep, *[F.col(f).cast("double").alias(f) for f in features], F.col(target).cast("double").alias("label"))
     complete = numbers.dropna(subset=[*features, "label"])
+    if centre:
+        means = complete.agg(*[F.avg(f).alias(f) for f in features]).first()
+        complete = complete.withColumns({f: F.col(f) - F.lit(means[f] or 0.0) for f in features})
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(complete).select(*keep, "features", "label")
 
 

@@ -298,7 +298,7 @@ _LINEAR_LAST = _LINEAR_STEPS["lin"][-1]
 )
 def linear_price(spark, sf):
     """Ordinary least squares for the price: test predictions."""
-    rows = mod.assemble(encoded_frame(spark, sf), LINEAR_FEATURES, "price", ["scrape_id"])
+    rows = mod.assemble(encoded_frame(spark, sf), LINEAR_FEATURES, "price", ["scrape_id"], centre=True)
     train, test = mod.hash_split(rows, "scrape_id")
     model = mod.fit(mod.linear(), train)
     return rounded(mod.predictions(model, test, ["scrape_id"]), 2)
@@ -318,7 +318,7 @@ def _coefficients_sql() -> str:
 
 @query("linear_coefficients", _coefficients_sql())
 def linear_coefficients(spark, sf):
-    rows = mod.assemble(encoded_frame(spark, sf), LINEAR_FEATURES, "price", ["scrape_id"])
+    rows = mod.assemble(encoded_frame(spark, sf), LINEAR_FEATURES, "price", ["scrape_id"], centre=True)
     train, _ = mod.hash_split(rows, "scrape_id")
     return mod.coefficient_table(mod.fit(mod.linear(), train), LINEAR_FEATURES, digits=2)
 
@@ -343,7 +343,7 @@ def feature_importance(spark, sf):
 
 @query("model_leaderboard")
 def model_leaderboard(spark, sf):
-    rows = mod.assemble(encoded_frame(spark, sf), LINEAR_FEATURES, "price", ["scrape_id"])
+    rows = mod.assemble(encoded_frame(spark, sf), LINEAR_FEATURES, "price", ["scrape_id"], centre=True)
     train, test = mod.hash_split(rows, "scrape_id")
     return mod.leaderboard(train, test)
 
@@ -369,7 +369,7 @@ def model_history(spark, sf):
     frame = encoded_frame(spark, sf)
     for excluded in HISTORY_RUNS:
         features = [f for f in LINEAR_FEATURES if f not in excluded]
-        rows = mod.assemble(frame, features, "price", ["scrape_id"])
+        rows = mod.assemble(frame, features, "price", ["scrape_id"], centre=True)
         train, test = mod.hash_split(rows, "scrape_id")
         scored = mod.predictions(mod.fit(mod.linear(), train), test, [])
         run = mod.evaluate(scored, "actual", "predicted").select(
@@ -384,7 +384,7 @@ def model_history(spark, sf):
 @query("save_load_model", f"{_LINEAR_HEAD} SELECT scrape_id, ROUND(price - t, 2) AS predicted FROM {_LINEAR_LAST} WHERE NOT tr")
 def save_load_model(spark, sf):
     """Predictions of a model that was saved and loaded again."""
-    rows = mod.assemble(encoded_frame(spark, sf), LINEAR_FEATURES, "price", ["scrape_id"])
+    rows = mod.assemble(encoded_frame(spark, sf), LINEAR_FEATURES, "price", ["scrape_id"], centre=True)
     train, test = mod.hash_split(rows, "scrape_id")
     path = shared_path(spark, "model")
     mod.save_model(mod.fit(mod.linear(), train), path)
@@ -415,7 +415,7 @@ def cooks_distance(spark, sf):
 def learning_validation_curves(spark, sf):
     """Test metrics over training share, over regularisation, and while features are removed one by one."""
     frame = encoded_frame(spark, sf)
-    rows = mod.assemble(frame, LINEAR_FEATURES, "price", ["scrape_id"])
+    rows = mod.assemble(frame, LINEAR_FEATURES, "price", ["scrape_id"], centre=True)
     train, test = mod.hash_split(rows, "scrape_id")
     curves = []
 
@@ -423,14 +423,14 @@ def learning_validation_curves(spark, sf):
         scored = mod.predictions(mod.fit(learner, part), held, [])
         curves.append(mod.evaluate(scored, "actual", "predicted").select(F.lit(curve).alias("curve"), F.lit(float(x)).alias("x"), "r2", "mae"))
 
-    for share in (20, 40, 60, 80, 100):
+    for share in SHARES:
         inside = mod.hash_bucket(F.concat(F.lit("share"), F.col("scrape_id").cast("string"))) < share
         point("learning", share, mod.linear(), train.where(inside), test)
     for reg in (0.0, 10.0, 1000.0):
         point("validation", reg, mod.linear(reg), train, test)
     left = list(LINEAR_FEATURES)
     while len(left) > 1:
-        rows = mod.assemble(frame, left, "price", ["scrape_id"])
+        rows = mod.assemble(frame, left, "price", ["scrape_id"], centre=True)
         part, held = mod.hash_split(rows, "scrape_id")
         forest = mod.fit(mod.learners()["decision_tree"], part)
         weakest = min(zip(forest.featureImportances.toArray(), left))[1]
@@ -439,6 +439,42 @@ def learning_validation_curves(spark, sf):
     return rounded(reduce(DataFrame.unionByName, curves))
 
 
+SHARES = (20, 40, 60, 80, 100)
+_SHARE_SQL = "CAST('0x' || substr(md5('share' || CAST(scrape_id AS VARCHAR)), 1, 8) AS BIGINT) % 100"
+
+
+#: Shares that hold more rows than features at every test scale, so that the fit is defined.
+FITTED_SHARES = SHARES[1:]
+
+
+def _learning_sql() -> str:
+    """One fit per share of the training rows; every fit is scored on the same test rows."""
+    named, points = [("encoded_rows", _ENCODED_SQL)], []
+    for share in FITTED_SHARES:
+        train = f"({_TRAIN_SQL}) AND {_SHARE_SQL} < {share}"
+        steps, last = least_squares_sql("encoded_rows", "", ["scrape_id", "price"], LINEAR_FEATURES, "price", train, f"lc{share}_")
+        named += steps
+        points.append(
+            f"SELECT {share} AS share, ROUND(1 - SUM(t * t) / (VAR_POP(price) * COUNT(*)), 6) AS r2, ROUND(AVG(ABS(t)), 2) AS mae "
+            f"FROM {last} WHERE NOT ({_TRAIN_SQL})"
+        )
+    return "WITH " + ", ".join(f"{n} AS MATERIALIZED ({q})" for n, q in named) + " " + " UNION ALL ".join(points)
+
+
+@query("learning_curve", _learning_sql())
+def learning_curve(spark, sf):
+    """Test metrics of the linear model over the share of training rows it sees."""
+    rows = mod.assemble(encoded_frame(spark, sf), LINEAR_FEATURES, "price", ["scrape_id"], centre=True)
+    train, test = mod.hash_split(rows, "scrape_id")
+    bucket = mod.hash_bucket(F.concat(F.lit("share"), F.col("scrape_id").cast("string")))
+    points = []
+    for share in FITTED_SHARES:
+        scored = mod.predictions(mod.fit(mod.linear(), train.where(bucket < share)), test, [])
+        shown = mod.evaluate(scored, "actual", "predicted")
+        points.append(shown.select(F.lit(share).alias("share"), F.round("r2", 6).alias("r2"), F.round("mae", 2).alias("mae")))
+    return reduce(DataFrame.unionByName, points)
+
+
 # --- with and without the extra signals ------------------------------------------------------
 
 BASE = ["avg_sales"]

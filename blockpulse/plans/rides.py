@@ -11,7 +11,9 @@ from blockpulse.operators import joins
 from blockpulse.operators.aggregates import rename_and_order
 from blockpulse.oracle import define
 from blockpulse.plans.registry import query
-from blockpulse.sources.rides import ERAS, RIDE_COLUMNS, harmonise
+from blockpulse.session import shared_path
+from blockpulse.sources import writers
+from blockpulse.sources.rides import ERAS, RIDE_COLUMNS, harmonise, read_ride_folder
 
 
 def _era_headers(era: int) -> dict[str, str]:
@@ -79,7 +81,13 @@ def _shown(rides: DataFrame) -> DataFrame:
 
 @query("harmonize_rides", f"SELECT {_RIDE_OUT} FROM rides")
 def harmonize_rides(spark, sf):
-    return _shown(harmonise(ride_files(spark, sf)))
+    """A folder of CSV files of three header generations, read by its listing."""
+    folder = shared_path(spark, "rides")
+    for era, rows in enumerate(ride_files(spark, sf)):
+        times = {c: F.col(f"`{c}`").cast("string") for c, kind in rows.dtypes if kind.startswith("timestamp")}
+        writers.write_csv(rows.withColumns(times), f"{folder}/era-{era}")
+    rides, _ = read_ride_folder(spark, folder)
+    return _shown(rides)
 
 
 @query(

@@ -11,13 +11,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blockpulse.fixtures import feed, table
+from blockpulse.fixtures import feed, line_events, order_events, table
 from blockpulse.functions import calendar as cal
 from blockpulse.oracle import define
 from blockpulse.plans.panels import PANEL_OUT, panel, rounded
 from blockpulse.plans.registry import query
 from blockpulse.session import shared_path
-from blockpulse.sources import readers, writers
+from blockpulse.sources import files, readers, writers
 
 CSV_SCHEMAS = {"complaints": "date date, tract double", "restaurants": "date date, tract double"}
 
@@ -107,7 +107,7 @@ def read_positional_rejects(spark, sf):
     return rejects.select("line").unionByName(kept)
 
 
-_FILES_SQL = """SELECT 'JC-' || strftime(o_orderdate, '%Y%m%d') || CASE WHEN day(o_orderdate) % 4 = 0 THEN '.csv' ELSE '.csv.zip' END
+_FILES_SQL = """SELECT 'JC-' || strftime(o_orderdate, '%Y%m') || CASE WHEN month(o_orderdate) % 4 = 0 THEN '.csv' ELSE '.csv.zip' END
     AS path, COUNT(*) AS length FROM orders GROUP BY 1"""
 
 
@@ -117,12 +117,15 @@ _FILES_SQL = """SELECT 'JC-' || strftime(o_orderdate, '%Y%m%d') || CASE WHEN day
     QUALIFY ROW_NUMBER() OVER (ORDER BY path DESC) > 14""",
 )
 def list_inputs(spark, sf):
-    """Selection from a listing with one file per order day."""
+    """Selection from the listing of a real folder: a file per order month, as long as the month has orders."""
     day = F.col("o_orderdate")
-    ending = F.when(F.dayofmonth(day) % 4 == 0, ".csv").otherwise(".csv.zip")
-    path = F.concat(F.lit("JC-"), F.date_format(day, "yyyyMMdd"), ending)
-    listing = table(spark, sf, "orders").groupBy(path.alias("path")).agg(F.count("*").alias("length"))
-    return readers.select_inputs(listing)
+    ending = F.when(F.month(day) % 4 == 0, ".csv").otherwise(".csv.zip")
+    name = F.concat(F.lit("JC-"), F.date_format(day, "yyyyMM"), ending)
+    folder = shared_path(spark, "inputs")
+    for month in table(spark, sf, "orders").groupBy(name.alias("name")).agg(F.count("*").alias("n")).toLocalIterator():
+        files.put(spark, f"{folder}/{month['name']}", b"x" * month["n"])
+    chosen = readers.select_inputs(readers.list_files(spark, folder))
+    return chosen.select(F.element_at(F.split("path", "/"), -1).alias("path"), "length")
 
 
 EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value"]
@@ -147,8 +150,11 @@ def event_archives(events: DataFrame) -> DataFrame:
 
 @query("read_zip_csv", "SELECT event_id, user_id, event_type, value FROM events")
 def read_zip_csv(spark, sf):
-    """Events packed into zip archives, expanded and parsed again; damaged archives are set aside."""
-    archives = event_archives(table(spark, sf, "events"))
+    """Events packed into zip archives, expanded and parsed again; damaged archives are set aside.
+
+    Spark writes no zip files, so the archives stay in a table; `read_zip_folder` reads them from files.
+    """
+    archives = writers.stored(event_archives(table(spark, sf, "events")), shared_path(spark, "archives"))
     rows = readers.read_zip_csv(archives, EVENT_COLUMNS, {"id": "event_id", "Event ID": "event_id"})
     kinds = {"event_id": "bigint", "user_id": "bigint", "event_type": "string", "value": "double"}
     return rows.where("error IS NULL").select(*[F.col(c).cast(kinds[c]).alias(c) for c in EVENT_COLUMNS])
@@ -157,8 +163,12 @@ def read_zip_csv(spark, sf):
 @query("read_table", "SELECT date AS day, num_rides FROM citibike_daily")
 def read_table(spark, sf):
     """The daily rides stored as a table and read back by name."""
-    writers.write_table(feed(spark, sf, "citibike_daily"), "citibike_daily_stored", shared_path(spark, "table"))
-    return readers.read_table(spark, "citibike_daily_stored").select(F.col("date").alias("day"), "num_rides")
+    path = shared_path(spark, "table")
+    name = "rides_" + path.rsplit("-", 1)[-1]  # no table of the user's is replaced
+    writers.write_table(feed(spark, sf, "citibike_daily"), name, path)
+    rows = readers.read_table(spark, name).select(F.col("date").alias("day"), "num_rides")
+    spark.sql(f"DROP TABLE {name}")  # an external table: its files stay for the plan
+    return rows
 
 
 @query(
@@ -215,16 +225,23 @@ _TEXT_DATES = {"nypd_arrests": "arrest_date", "job_application_filings": "pre_fi
     ),
 )
 def schema_audit(spark, sf):
-    """Type and number of values of every date column of the feeds, before any cast."""
+    """Type and number of values of every date column of the feeds, before any cast; one scan per table."""
     frames = {n: feed(spark, sf, n) for n in [*AUDITED, "citibike_daily"]}
-    listed = readers.schema_audit(frames, DATE_COLUMNS).collect()
-    counted = [
-        frames[r["table_name"]].agg(F.count(r["column_name"]).alias("filled")).select(
-            *[F.lit(r[c]).alias(c) for c in ("table_name", "column_name", "data_type")], "filled"
-        )
-        for r in listed
-    ]
-    return reduce(DataFrame.unionByName, counted)
+    kinds = {n: next((c, k) for c, k in df.dtypes if c in DATE_COLUMNS) for n, df in frames.items()}
+    lines, line_where = line_events(spark, sf)
+    orders, order_where = order_events(spark, sf)
+    line_counts = {n: F.count(F.when(where, F.col("date"))) for n, where in line_where.items() if n in kinds}
+    line_counts["citibike_daily"] = F.count_distinct("date")
+    order_counts = {"sales": F.count("sale_date")} | {n: F.count(F.when(where, F.col(kinds[n][0]))) for n, where in order_where.items()}
+    parts = []
+    for rows, counts in ((lines, line_counts), (orders, order_counts)):
+        one = rows.agg(*[c.alias(n) for n, c in counts.items()])
+        entries = [
+            F.struct(F.lit(n).alias("table_name"), F.lit(kinds[n][0]).alias("column_name"), F.lit(kinds[n][1]).alias("data_type"), F.col(n).alias("filled"))
+            for n in counts
+        ]
+        parts.append(one.select(F.inline(F.array(*entries))))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _cast_sql(name: str) -> str:
@@ -236,11 +253,17 @@ def _cast_sql(name: str) -> str:
 
 @query("cast_dates", " UNION ALL ".join(_cast_sql(n) for n in AUDITED))
 def cast_dates(spark, sf):
-    """Rows per day of every feed after its date column was cast."""
-    frames = readers.cast_dates({n: feed(spark, sf, n) for n in AUDITED}, DATE_COLUMNS)
+    """Rows per day of every feed after its date column was cast; one scan per table."""
+    lines, line_where = line_events(spark, sf)
+    orders, order_where = order_events(spark, sf)
+    cast = readers.cast_dates({"lines": lines, "orders": orders}, DATE_COLUMNS)
+    tags = {
+        "lines": [(n, where, "date") for n, where in line_where.items() if n in AUDITED],
+        "orders": [("sales", F.lit(True), "sale_date"), *[(n, where, _TEXT_DATES[n]) for n, where in order_where.items()]],
+    }
     parts = []
-    for name, df in frames.items():
-        column = next(c for c in DATE_COLUMNS if c in df.columns)
-        parts.append(df.select(F.lit(name).alias("table_name"), F.col(column).alias("day")))
+    for source, own in tags.items():
+        entries = [F.when(where, F.struct(F.lit(n).alias("table_name"), F.col(c).alias("day"))) for n, where, c in own]
+        parts.append(cast[source].select(F.inline(F.array_compact(F.array(*entries)))))
     stacked = reduce(DataFrame.unionByName, parts)
     return stacked.groupBy("table_name", "day").agg(F.count("*").alias("n"))

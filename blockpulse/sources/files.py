@@ -23,3 +23,34 @@ def finished_folders(spark: SparkSession, path: str) -> list[str]:
         return []
     mark = spark._jvm.org.apache.hadoop.fs.Path
     return [s.getPath().getName() for s in system.listStatus(target) if system.exists(mark(s.getPath(), "_SUCCESS"))]
+
+
+def list_paths(spark: SparkSession, path: str, suffix: str = "") -> list[tuple[str, int]]:
+    """(path, bytes) of the files below a folder, in name order; hidden ones are left out."""
+    system, target = _file_system(spark, path)
+    files, found = system.listFiles(target, True), []
+    while files.hasNext():
+        status = files.next()
+        if status.getPath().getName().endswith(suffix) and status.getPath().getName()[0] not in "._":
+            found.append((status.getPath().toString(), status.getLen()))
+    return sorted(found)
+
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file; None for an empty one."""
+    system, target = _file_system(spark, path)
+    stream = system.open(target)
+    try:
+        return spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
+def put(spark: SparkSession, path: str, content: bytes) -> None:
+    """Write a small file."""
+    system, target = _file_system(spark, path)
+    stream = system.create(target, True)
+    try:
+        stream.write(bytearray(content))
+    finally:
+        stream.close()

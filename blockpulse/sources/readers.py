@@ -135,6 +135,25 @@ def read_zip_csv(archives: DataFrame, columns: Sequence[str], rename: Mapping[st
     return archives.select("path", "content").mapInPandas(expand, schema)
 
 
+#: Bytes of the largest archive that is opened; one archive is one task.
+LARGEST_ARCHIVE = 256 << 20
+
+
+def read_zip_folder(
+    spark: SparkSession, path: str, columns: Sequence[str], rename: Mapping[str, str] | None = None, largest: int = LARGEST_ARCHIVE
+) -> DataFrame:
+    """`read_zip_csv` over the archives below a folder, found by listing.
+
+    An archive above the limit is not opened: it is one row with the reason in `error`.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("recursiveFileLookup", True).load(path)
+    opened = read_zip_csv(files.where(F.col("length") <= largest), columns, rename)
+    reason = F.concat(F.lit("TooLarge: "), F.col("length").cast("string"), F.lit(" bytes"))
+    nothing = [F.lit(None).cast("string").alias(c) for c in columns]
+    above = files.where(F.col("length") > largest).select("path", F.lit(None).cast("string").alias("member"), reason.alias("error"), *nothing)
+    return opened.unionByName(above)
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Nested listing documents with an explicit schema."""
     return spark.read.schema(ddl_schema(DOCUMENT)).json(path)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from blockpulse.sources.files import first_line, list_paths
+
 # Output columns, in order.
 RIDE_COLUMNS = [
     "end_station_id",
@@ -79,3 +82,28 @@ def harmonise(files: Sequence[DataFrame]) -> DataFrame:
             )
         )
     return reduce(DataFrame.unionByName, parts)
+
+
+def read_ride_folder(spark: SparkSession, path: str, suffix: str = ".csv") -> tuple[DataFrame, DataFrame]:
+    """(rides, rejects) of a folder of CSV files with mixed headers.
+
+    The driver looks at the first line of each file only; files with equal headers are read together
+    under that header, so every row is read once. A file that lacks one of the eleven columns is in
+    `rejects` (path, reason).
+    """
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    rejected = []
+    for file, _ in list_paths(spark, path, suffix):
+        line = first_line(spark, file)
+        header = tuple(next(csv.reader([line]))) if line else ()
+        missing = sorted(set(RIDE_COLUMNS) - {HEADERS.get(c, c) for c in header})
+        if missing:
+            rejected.append((file, "no " + ", ".join(missing)))
+        else:
+            by_header.setdefault(header, []).append(file)
+    frames = []
+    for header, files in by_header.items():
+        schema = ", ".join(f"`{c}` STRING" for c in header)
+        frames.append(spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("multiLine", False).csv(files))
+    empty = spark.createDataFrame([], ", ".join(f"{c} string" for c in RIDE_COLUMNS))
+    return harmonise(frames) if frames else empty, spark.createDataFrame(rejected, "path string, reason string")

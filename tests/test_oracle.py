@@ -4,6 +4,7 @@ import pytest
 from check_oracle import compare
 
 import __spark_entry__ as entry_points
+from blockpulse.session import scratch_run
 
 ORACLE = entry_points.oracle_sql()
 QUERIES = entry_points.queries()
@@ -11,7 +12,8 @@ QUERIES = entry_points.queries()
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_sql(spark, sf, oracle, name):
-    assert compare(QUERIES[name](spark, sf), oracle, ORACLE[name]) is None
+    with scratch_run(spark):
+        assert compare(QUERIES[name](spark, sf), oracle, ORACLE[name]) is None
 
 
 def test_oracle_names_are_queries():

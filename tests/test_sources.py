@@ -57,6 +57,31 @@ def test_zipped_rides_of_three_generations(spark):
     assert set(bad) == {"JC-bad.csv.zip", "JC-empty.csv.zip"}
 
 
+def test_archives_above_the_limit_are_rejected(spark):
+    folder = Path(shared_path(spark, "zips"))
+    (folder / "deep").mkdir(parents=True)
+    (folder / "deep" / "a.zip").write_bytes(_zip({"a.csv": "n\n1\n2\n"}))
+    (folder / "b.zip").write_bytes(_zip({"b.csv": "n\n" + "\n".join(map(str, range(5000)))}))
+    rows = readers.read_zip_folder(spark, str(folder), ["n"], largest=1000).collect()
+    assert sorted(r["n"] for r in rows if r["error"] is None) == ["1", "2"]
+    assert [Path(r["path"]).name for r in rows if r["error"]] == ["b.zip"] and rows[-1]["error"].startswith("TooLarge")
+
+
+def test_ride_folder_with_mixed_headers(spark):
+    folder = Path(shared_path(spark, "rides"))
+    (folder / "more").mkdir(parents=True)
+    for era, headers in enumerate(rides.ERAS):
+        names = [*reversed(list(headers)), "extra"] if era == 1 else list(headers)
+        values = ",".join(f"{headers.get(n, n)}-{era}" for n in names)
+        (folder / ("more" if era else "") / f"{era}.csv").write_text(",".join(names) + f"\n{values}\n{values}\n")
+    (folder / "odd.csv").write_text("started_at,ended_at\n1,2\n")
+    (folder / "empty.csv").write_text("")
+    found, rejects = rides.read_ride_folder(spark, str(folder))
+    assert found.columns == rides.RIDE_COLUMNS
+    assert sorted(tuple(r) for r in found.collect()) == sorted(tuple(f"{c}-{era}" for c in rides.RIDE_COLUMNS) for era in range(3) for _ in range(2))
+    assert {Path(r["path"]).name for r in rejects.collect()} == {"odd.csv", "empty.csv"}
+
+
 def test_chunks_of_a_large_member(spark):
     text = "n\n" + "\n".join(str(i) for i in range(readers.ROWS_PER_CHUNK + 5)) + "\n"
     archives = spark.createDataFrame([("a.zip", bytearray(_zip({"a.csv": text})))], "path string, content binary")
