@@ -25,22 +25,24 @@ def granger_ctes(pairs: str, keys: str, lag: int, prefix: str) -> tuple[list[tup
     steps = [
         (
             f"{prefix}_0",
-            f"SELECT {keys}, {', '.join(regressors)}, y AS t FROM {pairs} "
+            f"SELECT {keys}, TRUE AS ok, {', '.join(regressors)}, y AS t FROM {pairs} "
             f"QUALIFY ROW_NUMBER() OVER {window} > {lag}",
         )
     ]
     total = 2 * lag + 1
+    # The series are standardised, so a regressor of which nothing is left depends on those before it.
     carry: list[str] = []
     for j in range(total):
         rest = [f"v{k}" for k in range(j + 1, total)] + ["t"]
-        sql = _sweep(f"{prefix}_{j}", keys, rest, f"v{j}", carry)
+        left = f"ok AND SUM(v{j} * v{j}) OVER (PARTITION BY {keys}) > 1e-12 AS ok"
+        sql = _sweep(f"{prefix}_{j}", keys, rest, f"v{j}", [left, *carry])
         if j == lag:
             sql = f"SELECT *, t AS r FROM ({sql})"
             carry = ["r"]
         steps.append((f"{prefix}_{j + 1}", sql))
     final = (
         f"SELECT {keys}, {lag} AS lag, COUNT(*) AS n, COUNT(*) - {total} AS d2, "
-        f"CASE WHEN COUNT(*) > {total} THEN (SUM(r * r) - SUM(t * t)) / {lag} / NULLIF(SUM(t * t) / (COUNT(*) - {total}), 0) "
+        f"CASE WHEN COUNT(*) > {total} AND BOOL_AND(ok) THEN (SUM(r * r) - SUM(t * t)) / {lag} / NULLIF(SUM(t * t) / (COUNT(*) - {total}), 0) "
         f"END AS f FROM {prefix}_{total} GROUP BY ALL"
     )
     return steps, final
