@@ -29,7 +29,7 @@ from blockpulse.llm.scratch import Scratch
 from blockpulse.llm.vector_blocks import bounded_sample, matrix, takes_part, usual_length
 
 #: Vectors that the partitions are learned on, at most; partitions; recall wanted on the sample.
-SAMPLE, PARTS, RECALL = 8192, 16, 0.97
+SAMPLE, PARTS, RECALL = 8192, 16, 0.95
 #: Neighbours in the graph, hidden units and passes of the classifier.
 GRAPH, HIDDEN, PASSES = 16, 128, 15
 #: Rows of a block and queries of a group.
