@@ -1,15 +1,18 @@
 """Tail probabilities, tiny solves and series tests against direct least squares."""
 
 import math
+from datetime import date
 
 import numpy as np
 import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from blockpulse.functions import numeric
 from blockpulse.operators import causality as cau
+from blockpulse.operators import models
 from blockpulse.operators import series as ser
 
 
@@ -176,3 +179,47 @@ def test_optimize_shifts_finds_the_planted_shift(spark):
     best = cau.optimize_shifts(wide, "ts", "y", ["a", "b"], {"b": 1}, max_shift=5).orderBy("mae").first()
     assert (best["a"], best["b"]) == (3, 1)
     assert best["mae"] < 1e-6
+
+
+def _series(spark, values):
+    rows = [(name, date(2015 + i // 12, 1 + i % 12, 1), float(v)) for name, own in values.items() for i, v in enumerate(own)]
+    return spark.createDataFrame(rows, "series_id string, ts date, value double")
+
+
+def test_untestable_series_stay(spark):
+    noise = np.random.default_rng(3).normal(size=60)
+    long = _series(spark, {"noise": noise, "walk": np.cumsum(np.cumsum(np.cumsum(np.cumsum(np.cumsum(noise))))), "constant": [5] * 60, "line": range(60), "short": [1, 4, 9]})
+    tests = {r["series_id"]: r for r in cau.adf_test(long).collect()}
+    assert set(tests) == {"noise", "walk", "constant", "line", "short"}
+    assert {n for n, r in tests.items() if r["status"] == "untestable"} == {"constant", "line", "short"}
+    assert all((r["p_value"] is None) == (r["status"] == "untestable") for r in tests.values())
+    steady = {(r["series_id"], r["order"], r["stationary"]) for r in cau.make_stationary(long).collect()}
+    assert {n for n, _, _ in steady} == set(tests) and ("noise", 0, True) in steady and ("constant", 0, None) in steady
+    stopped = {(r["series_id"], r["order"], r["stationary"]) for r in cau.make_stationary(long, max_order=0).collect()}
+    assert ("walk", 0, False) in stopped
+
+
+def test_lag_limit_is_an_argument(spark):
+    long = _series(spark, {"noise": np.random.default_rng(4).normal(size=300)})
+    assert cau.adf_test(long, most_lags=1).first()["used_lag"] <= 1
+
+
+def test_rows_without_a_fit_stay(spark):
+    rows = [("a", float(i), 2.0 * i + 1, i < 6) for i in range(8)] + [("a", None, 3.0, True), ("b", 1.0, 4.0, False)]
+    df = spark.createDataFrame(rows, "g string, x double, y double, fit boolean")
+    out = models.grouped_least_squares(df, ["g"], ["x"], "y", F.col("fit")).collect()
+    assert len(out) == len(rows)
+    assert sum(r["predicted"] is None for r in out) == 2
+    assert all(abs(r["predicted"] - r["y"]) < 1e-9 for r in out if r["predicted"] is not None)
+
+
+def test_a_row_of_full_leverage_has_no_distance(spark):
+    rows = [(i, float(i), 0.0, float(i % 3)) for i in range(10)] + [(10, 1.0, 1.0, 5.0)]
+    out = {r["k"]: r["cooks"] for r in models.cooks_distance(spark.createDataFrame(rows, "k int, a double, b double, y double"), "k", ["a", "b"], "y").collect()}
+    assert out[10] is None and all(v is not None for k, v in out.items() if k != 10)
+
+
+def test_centred_features_give_the_same_model(spark):
+    df = spark.createDataFrame([(i, 40 + (i * 7 % 90) / 1000, 3.0 * i) for i in range(50)], "k int, lat double, y double")
+    plain, centred = (models.fit(models.linear(), models.assemble(df, ["lat"], "y", ["k"], centre=c)) for c in (False, True))
+    assert abs(plain.coefficients[0] - centred.coefficients[0]) < 1e-3 * abs(plain.coefficients[0])
