@@ -3,11 +3,17 @@
 Equal vectors are one class and compared once. Each class lives in the cell of its nearest centroid
 and also looks into the cells of lower number where a partner can live. If x and y have cosine s, y is
 s * x plus sqrt(1 - s * s) times a unit vector z across x, so y prefers another cell's centroid c to
-that of x's own cell h only if z * (c - h) makes up for x * (h - c). In w dimensions z * (c - h) has a
-spread of |c - h| / sqrt(w); cells that need more than SPREADS of it are left out. With SPREADS >= sqrt(w)
-no partner can be missed. Inside a cell, blocks of bounded size are multiplied with each other, a task
-per pair of blocks; it returns the number of links of each class and a spanning forest of the links, so
-no group is ever spelled out as pairs.
+that of x's own cell h only if sqrt(1 - s * s) * z * (c - h) makes up for s * x * (h - c). As z lies
+across x, that needs x * (h - c) <= |c - h| * sqrt(1 - s * s). Nor can y be in c if the angle of x to c
+is further from the angles of c's own vectors than the angle between partners. Both bounds hold for any
+vectors, so no partner is missed. Where vectors do not cluster they leave out few cells, and about every
+pair is compared.
+
+Vectors are sent to regions: neighbouring cells of about `side` vectors together, numbered on end. A
+vector that looks into any cell of a region of lower number is that region's guest, once. Within a
+region, residents and guests come in sides of bounded size, a task per pair of sides, which multiplies
+them block by block; it returns the number of links of each class and a spanning forest of the links,
+so no group is ever spelled out as pairs.
 
 Rows and edge cases: vectors that are NULL, zero, or hold NULL or non-finite components link with
 nothing, nor do rows without an id and vectors of another length than most: each is a group of its own
@@ -31,8 +37,10 @@ from blockpulse.llm.vector_blocks import bounded_sample, matrix, takes_part, usu
 COSINE = 0.9
 #: Classes that centroids are fitted on, and cells, at most; passes of k-means; rows of a block.
 SAMPLE, MOST_CELLS, PASSES, BLOCK = 16_384, 2048, 8, 1024
-#: How far a partner may lie across, in standard deviations of a random direction.
-SPREADS = 3.5
+#: Blocks and components of a side, at most, and sides that all classes make, at least, if they fill a block each.
+SIDE, SIDE_VALUES, LEAST_SIDES = 8, 8 << 20, 16
+#: How far a partner may lie across, in standard deviations of a random direction; sqrt(width) and more are no limit.
+SPREADS = float("inf")
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -56,14 +64,34 @@ def spherical_kmeans(vectors: np.ndarray, cells: int, seed: int = 5) -> np.ndarr
     return centres
 
 
-def visits(vectors: np.ndarray, centres: np.ndarray, cosine: float, spreads: float) -> tuple[np.ndarray, np.ndarray]:
-    """(home cell, True where a vector looks into a cell of lower number)."""
+def regions(centres: np.ndarray, sizes: np.ndarray, most: int) -> list[np.ndarray]:
+    """The cells of each region: halved along their widest direction until they hold `most` vectors or are one cell."""
+    done, left = [], [np.arange(len(sizes))]
+    while left:
+        cells = left.pop()
+        if len(cells) == 1 or sizes[cells].sum() <= most:
+            done.append(cells)
+            continue
+        around = centres[cells] - centres[cells].mean(axis=0)
+        cells = cells[np.argsort(around @ np.linalg.svd(around, full_matrices=False)[2][0], kind="stable")]
+        upto = np.cumsum(sizes[cells])
+        cut = int(np.abs(upto[:-1] - upto[-1] / 2).argmin()) + 1
+        left += [cells[cut:], cells[:cut]]
+    return done
+
+
+def visits(vectors: np.ndarray, home: np.ndarray, centres: np.ndarray, angles: np.ndarray, cosine: float, spreads: float = float("inf")) -> np.ndarray:
+    """True where a partner of a vector of cell `home` can live in a cell. angles: least and greatest of each cell's own vectors to its centroid.
+
+    The margins are above the rounding of a root and an arc cosine near 0.
+    """
     near = vectors @ centres.T
-    home = near.argmax(axis=1)
     behind = near[np.arange(len(vectors)), home][:, None] - near
     apart = np.sqrt(np.maximum(0, 2 - 2 * centres[home] @ centres.T))
-    reach = min(1.0, spreads / centres.shape[1] ** 0.5) * (1 - cosine * cosine) ** 0.5 / cosine
-    return home, (behind <= apart * reach + 1e-12) & (np.arange(len(centres))[None, :] < home[:, None])
+    across = (1 - cosine * cosine) ** 0.5 if cosine > 0 else 1.0
+    angle, most = np.arccos(np.clip(near, -1, 1)), np.arccos(np.clip(cosine, -1, 1))
+    ringed = (angle <= angles[1] + most + 1e-6) & (angle >= angles[0] - most - 1e-6)
+    return ringed & (behind <= apart * across * min(1.0, spreads / centres.shape[1] ** 0.5) + 1e-7)
 
 
 def _fit_centres(sample: DataFrame, cells: int) -> np.ndarray:
@@ -77,11 +105,10 @@ def _fit_centres(sample: DataFrame, cells: int) -> np.ndarray:
     return np.frombuffer(one.centres, np.float64).reshape(-1, one.width)
 
 
-def _forest(links: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[list[int], list[int]]:
-    """Edges that connect the nodes as the True entries of `links` do: each node to one of its group."""
-    rows, cols = np.nonzero(links)
-    nodes, number = np.unique(np.concatenate([left[rows], right[cols]]), return_inverse=True)
-    a, b = number[: len(rows)], number[len(rows) :]
+def _forest(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that connect the nodes as the pairs of `left` and `right` do: each node to one of its group."""
+    nodes, number = np.unique(np.concatenate([left, right]), return_inverse=True)
+    a, b = number[: len(left)], number[len(left) :]
     root = np.arange(len(nodes))
     while True:
         low = np.minimum(root[a], root[b])
@@ -93,36 +120,42 @@ def _forest(links: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[lis
             break
         root = step
     apart = root != np.arange(len(nodes))
-    return nodes[apart].tolist(), nodes[root[apart]].tolist()
+    return nodes[apart], nodes[root[apart]]
 
 
 def _compare(cosine: float) -> Callable[[pa.Table], pa.Table]:
     def compare(table: pa.Table) -> pa.Table:
+        itself = (table.column("side").to_numpy() == 1).any()
+        table = table.sort_by("node") if itself else table
         left, right = table.filter(table.column("side").to_numpy() < 2), table.filter(table.column("side").to_numpy() > 0)
-        a, b = unit(matrix(left.column("vector"))), unit(matrix(right.column("vector")))
-        node, links, other = [], [], []
-        if len(a) and len(b):
-            left_node, right_node = left.column("node").to_numpy(), right.column("node").to_numpy()
-            close = a @ b.T >= cosine
-            if (table.column("side").to_numpy() == 1).any():  # a block with itself: each pair once
-                close &= left_node[:, None] < right_node[None, :]
-            for nodes, counts in ((left_node, close @ right.column("n").to_numpy()), (right_node, left.column("n").to_numpy() @ close)):
-                linked = counts > 0
-                node += nodes[linked].tolist()
-                links += counts[linked].tolist()
-            ends, roots = _forest(close, left_node, right_node)
-            other = [None] * len(node) + roots
-            node, links = node + ends, links + [0] * len(ends)
+        sides = [(unit(matrix(x.column("vector"))), x.column("node").to_numpy(), x.column("n").to_numpy()) for x in (left, right)]
+        (a, left_node, left_n), (b, right_node, right_n) = sides
+        left_links, right_links, ends, roots = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64), [], []
+        for i in range(0, len(a), BLOCK):
+            for j in range(i if itself else 0, len(b), BLOCK):
+                rows, cols = slice(i, i + BLOCK), slice(j, j + BLOCK)
+                close = a[rows] @ b[cols].T >= cosine
+                if itself:  # each pair once
+                    close &= left_node[rows, None] < right_node[None, cols]
+                left_links[rows] += close @ right_n[cols]
+                right_links[cols] += left_n[rows] @ close
+                at, to = np.nonzero(close)
+                for found, edges in zip((ends, roots), _forest(left_node[rows][at], right_node[cols][to])):
+                    found.append(edges)
+        end, root = _forest(np.concatenate(ends), np.concatenate(roots)) if ends else (left_node[:0], left_node[:0])
+        node = np.concatenate([left_node[left_links > 0], right_node[right_links > 0], end])
+        links = np.concatenate([left_links[left_links > 0], right_links[right_links > 0], np.zeros(len(end), np.int64)])
+        other = [None] * (len(node) - len(end)) + root.tolist()
         return pa.table({"node": pa.array(node, pa.int64()), "links": pa.array(links, pa.int64()), "other": pa.array(other, pa.int64())})
 
     return compare
 
 
 def _tasks() -> Column:
-    """The pairs of blocks that a row takes part in, as (first, second, with_guests, side).
+    """The pairs of sides that a row takes part in, as (first, second, with_guests, side).
 
-    Residents of block b meet residents of every block, once, and every block of guests; guests meet
-    every block of residents. side: 0 first block, 2 second block, 1 both.
+    Residents of side b meet residents of every side, once, and every side of guests; guests meet
+    every side of residents. side: 0 first side, 2 second side, 1 both.
     """
 
     def pair(first: Column, second: Column, guests: bool, side: Column) -> Column:
@@ -131,12 +164,12 @@ def _tasks() -> Column:
     def upto(count: str) -> Column:
         return F.when(F.col(count) > 0, F.sequence(F.lit(0), F.col(count) - 1)).otherwise(F.array().cast("array<int>"))
 
-    own = F.col("block")
+    own = F.col("part")
     residents = F.transform(
-        upto("resident_blocks"), lambda j: pair(F.least(own, j), F.greatest(own, j), False, F.when(own == j, 1).when(own < j, 0).otherwise(2))
+        upto("resident_sides"), lambda j: pair(F.least(own, j), F.greatest(own, j), False, F.when(own == j, 1).when(own < j, 0).otherwise(2))
     )
-    to_guests = F.transform(upto("guest_blocks"), lambda j: pair(own, j, True, F.lit(0)))
-    to_residents = F.transform(upto("resident_blocks"), lambda i: pair(i, own, True, F.lit(2)))
+    to_guests = F.transform(upto("guest_sides"), lambda j: pair(own, j, True, F.lit(0)))
+    to_residents = F.transform(upto("resident_sides"), lambda i: pair(i, own, True, F.lit(2)))
     return F.when(F.col("resident"), F.concat(residents, to_guests)).otherwise(to_residents)
 
 
@@ -157,26 +190,48 @@ def near_duplicates(
     cells = cells or max(1, min(MOST_CELLS, round(total**0.5)))
     centres = spark.sparkContext.broadcast(_fit_centres(bounded_sample(classes, sample, total, F.col("node")), cells))
 
-    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in (batch.slice(i, 2048) for i in range(0, batch.num_rows, 2048)):
-                home, looks = visits(unit(matrix(part.column(2))), centres.value, cosine, SPREADS)
-                chosen = pa.array([np.flatnonzero(r).tolist() for r in looks], pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(home.astype(np.int32)), chosen], names=["node", "n", "vector", "home", "guest_in"])
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from (batch.slice(i, 2048) for batch in batches for i in range(0, batch.num_rows, 2048))
+
+    def housed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in sliced(batches):
+            near = unit(matrix(part.column(2))) @ centres.value.T
+            added = [pa.array(near.argmax(axis=1).astype(np.int32)), pa.array(np.arccos(np.clip(near.max(axis=1), -1, 1)) if len(near) else [], pa.float64())]
+            yield pa.RecordBatch.from_arrays([*part.columns, *added], names=["node", "n", "vector", "home", "angle"])
 
     kind = classes.schema["vector"].dataType.simpleString()
-    homes = classes.select("node", "n", "vector").mapInArrow(placed, f"node long, n long, vector {kind}, home int, guest_in array<int>")
+    homes = classes.select("node", "n", "vector").mapInArrow(housed, f"node long, n long, vector {kind}, home int, angle double")
     homes = scratch.write(homes, "homes")
-    places = F.concat(F.array(F.struct(F.col("home").alias("cell"), F.lit(True).alias("resident"))),
-                      F.transform("guest_in", lambda c: F.struct(c.alias("cell"), F.lit(False).alias("resident"))))
-    stays = homes.select("node", "n", "vector", F.inline(places))
     # One row per cell, at most MOST_CELLS.
-    blocks = {name: F.ceil(F.sum(F.when(cond, 1).otherwise(0)) / BLOCK).cast("int").alias(name) for name, cond in (("resident_blocks", F.col("resident")), ("guest_blocks", ~F.col("resident")))}
-    sizes = scratch.write(homes.select(F.inline(places)).groupBy("cell").agg(*blocks.values()), "cells")
+    count, angles = np.zeros(len(centres.value), np.int64), np.tile([[np.inf], [-np.inf]], len(centres.value))
+    for r in homes.groupBy("home").agg(F.count("*").alias("n"), F.min("angle").alias("least"), F.max("angle").alias("most")).collect():
+        count[r.home], angles[:, r.home] = r.n, (r.least, r.most)
+    side = BLOCK * max(1, min(SIDE, total // (LEAST_SIDES * BLOCK), SIDE_VALUES // (BLOCK * centres.value.shape[1])))
+    cells_of = regions(centres.value, count, side)
+    order, starts = np.concatenate(cells_of), np.cumsum([0, *map(len, cells_of[:-1])])
+    region = np.empty(len(order), np.int32)
+    region[order] = np.repeat(np.arange(len(cells_of)), [len(x) for x in cells_of])
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in sliced(batches):
+            home = part.column(3).to_numpy()
+            looks = visits(unit(matrix(part.column(2))), home, centres.value, angles, cosine, SPREADS) if len(home) else np.zeros((0, len(order)), bool)
+            guest = np.logical_or.reduceat(looks[:, order], starts, axis=1) & (np.arange(len(starts)) < region[home][:, None])
+            chosen = pa.array([np.flatnonzero(r).tolist() for r in guest], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(region[home]), chosen], names=["node", "n", "vector", "region", "guest_in"])
+
+    placed_rows = homes.mapInArrow(placed, f"node long, n long, vector {kind}, region int, guest_in array<int>")
+    placed_rows = scratch.write(placed_rows, "placed")
+    scratch.drop(homes)
+    places = F.concat(F.array(F.struct(F.col("region"), F.lit(True).alias("resident"))),
+                      F.transform("guest_in", lambda c: F.struct(c.alias("region"), F.lit(False).alias("resident"))))
+    stays = placed_rows.select("node", "n", "vector", F.inline(places))
+    sides = {name: F.ceil(F.sum(F.when(cond, 1).otherwise(0)) / side).cast("int").alias(name) for name, cond in (("resident_sides", F.col("resident")), ("guest_sides", ~F.col("resident")))}
+    sizes = scratch.write(placed_rows.select(F.inline(places)).groupBy("region").agg(*sides.values()), "regions")
     spread = F.xxhash64("node")
-    block = F.pmod(spread, F.greatest(F.lit(1), F.when(F.col("resident"), F.col("resident_blocks")).otherwise(F.col("guest_blocks")))).cast("int")
-    tasks = stays.join(F.broadcast(sizes), "cell").withColumn("block", block).select("node", "n", "vector", "cell", F.inline(_tasks()))
-    found = tasks.groupBy("cell", "first", "second", "guests").applyInArrow(_compare(cosine), "node long, links long, other long")
+    part = F.pmod(spread, F.greatest(F.lit(1), F.when(F.col("resident"), F.col("resident_sides")).otherwise(F.col("guest_sides")))).cast("int")
+    tasks = stays.join(F.broadcast(sizes), "region").withColumn("part", part).select("node", "n", "vector", "region", F.inline(_tasks()))
+    found = tasks.groupBy("region", "first", "second", "guests").applyInArrow(_compare(cosine), "node long, links long, other long")
     found = scratch.write(found, "found")
 
     links = found.where("other IS NOT NULL").select(F.greatest("node", "other").alias("b"), F.least("node", "other").alias("a")).distinct()
@@ -185,7 +240,7 @@ def near_duplicates(
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     known = classes.join(groups.select("node", "component_id"), "node").join(counts, "node", "left")
     known = scratch.write(known.select("vector", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id"), "known")
-    scratch.drop(homes, sizes, found, links, groups)
+    scratch.drop(placed_rows, sizes, found, links, groups)
 
     asked = rows.select("id", F.when(F.col("id").isNotNull(), F.col("vector")).alias("vector"))
     out = asked.join(known, "vector", "left").select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "id").alias("component_id"))

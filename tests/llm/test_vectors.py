@@ -129,3 +129,32 @@ def test_groups_edges(spark):
     alone = [(i, 0, i, True) for i in (2, 3, 4, 5, 6, 7, 8)] + [(None, 0, None, True)] + [(10, 1, 10, True)] * 2
     assert got == sorted([(i, 5, 0, i == 0) for i in group] + alone, key=str)
     assert cell_dedup.near_duplicates(df.where("vec_id > 50")).collect() == []
+
+
+def test_groups_in_few_directions(spark):
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=(1500, 16))
+    directions = np.linalg.qr(rng.normal(size=(256, 16)))[0]
+    x = np.concatenate([base, base + 0.42 * rng.normal(size=base.shape)]) @ directions.T
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    links, groups = slow_groups(dict(enumerate(x)))
+    got = {r.id: (r.n_links, r.component_id) for r in cell_dedup.near_duplicates(df).collect()}
+    assert got == {i: (links[i], groups[i]) for i in links}
+
+
+def test_visits_leave_out_no_partner():
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(500, 3)) @ rng.normal(size=(3, 40))
+    u = cell_dedup.unit(np.concatenate([base, base + rng.normal(size=base.shape) * rng.uniform(0, 1, (500, 1))]))
+    for cosine in (0.5, 0.9, 0.99):
+        centres = cell_dedup.spherical_kmeans(u, 40)
+        near = u @ centres.T
+        home, angle = near.argmax(axis=1), np.arccos(np.clip(near.max(axis=1), -1, 1))
+        angles = np.array([[f(angle[home == c], initial=x) for c in range(40)] for f, x in ((np.min, np.inf), (np.max, -np.inf))])
+        looks = cell_dedup.visits(u, home, centres, angles, cosine)
+        a, b = np.nonzero(u @ u.T >= cosine)
+        assert looks[a, home[b]].all()
+        if cosine == 0.99:
+            assert looks.mean() < 0.5
+    parts = cell_dedup.regions(centres, np.bincount(home, minlength=40), 100)
+    assert sorted(np.concatenate(parts)) == list(range(40))
