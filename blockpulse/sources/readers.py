@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 from collections.abc import Iterator, Mapping, Sequence
+from typing import BinaryIO
+from urllib.parse import quote
 
 import pandas as pd
+from pyarrow import ArrowException, fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,15 +94,27 @@ def select_inputs(listing: DataFrame, suffix: str = ".csv.zip", containing: str
 
 
 ROWS_PER_CHUNK = 50_000
+#: Bytes of the largest archive of a folder that a task holds; a larger one is read in place.
+IN_MEMORY = 256 << 20
+
+
+def open_in_place(path: str) -> BinaryIO:
+    """A file of a store as a seekable stream; what is not read is not held."""
+    if not re.match(r"\w[\w+.-]*:", path) or path.startswith("file:"):
+        return open(re.sub(r"^file:(//(?=/))?", "", path), "rb")
+    scheme, rest = path.split(":", 1)
+    store, inside = fs.FileSystem.from_uri(f"{scheme}:{quote(rest)}")
+    return store.open_input_file(inside)
 
 
 def read_zip_csv(archives: DataFrame, columns: Sequence[str], rename: Mapping[str, str] | None = None) -> DataFrame:
     """CSV members of zip archives: (path, member, error, columns as text).
 
-    `archives` holds (path, content), as the binaryFile source gives them. Every member's own
+    `archives` holds (path, content), as the binaryFile source gives them; one without a content
+    column is read in place, member by member, wherever its path leads. Every member's own
     header is brought to `columns` by the rename map; a column it lacks is NULL. An archive or
     member that cannot be read becomes one row with the reason in `error`. Archives are spread
-    over tasks; a task holds one archive and one chunk of rows at a time.
+    over tasks; a task holds one archive (none, when read in place) and one chunk of rows at a time.
     """
     wanted, names = list(columns), dict(rename or {})
     layout = ["path", "member", "error", *wanted]
@@ -116,42 +132,51 @@ def read_zip_csv(archives: DataFrame, columns: Sequence[str], rename: Mapping[st
                 yield rows.where(rows.notna(), None)
 
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        problems = (zipfile.BadZipFile, UnicodeDecodeError, ValueError, OSError, EOFError)
+        problems = (zipfile.BadZipFile, UnicodeDecodeError, ValueError, OSError, EOFError, ArrowException)
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
+            contents = batch["content"] if held else [None] * len(batch)
+            for path, content in zip(batch["path"], contents):
                 try:
-                    archive = zipfile.ZipFile(io.BytesIO(content))
+                    file = io.BytesIO(content) if held else open_in_place(path)
                 except problems as e:
                     yield failure(path, None, e)
                     continue
-                with archive:
-                    for member in (m for m in archive.namelist() if m.endswith(".csv")):
-                        try:
-                            yield from member_rows(archive, path, member)
-                        except problems as e:
-                            yield failure(path, member, e)
-
+                with file:
+                    try:
+                        archive = zipfile.ZipFile(file)
+                    except problems as e:
+                        yield failure(path, None, e)
+                        continue
+                    with archive:
+                        for member in (m for m in archive.namelist() if m.endswith(".csv")):
+                            try:
+                                yield from member_rows(archive, path, member)
+                            except problems as e:
+                                yield failure(path, member, e)
+
+    held = "content" in archives.columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in layout])
-    return archives.select("path", "content").mapInPandas(expand, schema)
-
-
-#: Bytes of the largest archive that is opened; one archive is one task.
-LARGEST_ARCHIVE = 256 << 20
+    return archives.select("path", *["content"] * held).mapInPandas(expand, schema)
 
 
 def read_zip_folder(
-    spark: SparkSession, path: str, columns: Sequence[str], rename: Mapping[str, str] | None = None, largest: int = LARGEST_ARCHIVE
+    spark: SparkSession, path: str, columns: Sequence[str], rename: Mapping[str, str] | None = None, largest: int | None = None
 ) -> DataFrame:
-    """`read_zip_csv` over the archives below a folder, found by listing.
+    """`read_zip_csv` over the archives below a folder, found by listing, whatever their size.
 
-    An archive above the limit is not opened: it is one row with the reason in `error`.
+    Archives above IN_MEMORY are read in place by a task each. Only a caller that gives `largest` has the
+    archives above it left unopened: each is one row with the reason in `error`.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("recursiveFileLookup", True).load(path)
-    opened = read_zip_csv(files.where(F.col("length") <= largest), columns, rename)
+    wanted = files if largest is None else files.where(F.col("length") <= largest)
+    held = read_zip_csv(wanted.where(F.col("length") <= IN_MEMORY), columns, rename)
+    rows = held.unionByName(read_zip_csv(wanted.where(F.col("length") > IN_MEMORY).select("path"), columns, rename))
+    if largest is None:
+        return rows
     reason = F.concat(F.lit("TooLarge: "), F.col("length").cast("string"), F.lit(" bytes"))
     nothing = [F.lit(None).cast("string").alias(c) for c in columns]
     above = files.where(F.col("length") > largest).select("path", F.lit(None).cast("string").alias("member"), reason.alias("error"), *nothing)
-    return opened.unionByName(above)
+    return rows.unionByName(above)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:

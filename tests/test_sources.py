@@ -67,6 +67,26 @@ def test_archives_above_the_limit_are_rejected(spark):
     assert [Path(r["path"]).name for r in rows if r["error"]] == ["b.zip"] and rows[-1]["error"].startswith("TooLarge")
 
 
+def test_large_archives_are_read_in_place(spark, monkeypatch):
+    folder = Path(shared_path(spark, "zips"))
+    (folder / "a b").mkdir(parents=True)
+    numbers = range(readers.ROWS_PER_CHUNK + 5)
+    (folder / "a b" / "large%20.zip").write_bytes(_zip({"x.csv": "n\n" + "\n".join(map(str, numbers)), "y.csv": "m\n7\n", "empty.csv": ""}))
+    (folder / "small.zip").write_bytes(_zip({"a.csv": "n\n-1\n-2\n"}))
+    (folder / "bad.zip").write_bytes(b"broken" * 1000)
+    monkeypatch.setattr(readers, "IN_MEMORY", 1000)
+    rows = readers.read_zip_folder(spark, str(folder), ["n"], {"m": "n"}).collect()
+    assert sorted(int(r["n"]) for r in rows if r["error"] is None) == sorted([-2, -1, 7, *numbers])
+    assert {(Path(r["path"]).name, r["member"]) for r in rows if r["error"]} == {("large%20.zip", "empty.csv"), ("bad.zip", None)}
+
+
+@pytest.mark.parametrize("start", ["", "file:", "file://"])
+def test_files_open_in_place(tmp_path, start):
+    (tmp_path / "a b#%20.zip").write_bytes(b"abc")
+    with readers.open_in_place(f"{start}{tmp_path}/a b#%20.zip") as file:
+        assert file.seekable() and file.read() == b"abc"
+
+
 def test_ride_folder_with_mixed_headers(spark):
     folder = Path(shared_path(spark, "rides"))
     (folder / "more").mkdir(parents=True)
