@@ -6,8 +6,9 @@ each edit is a new version, so records move slot by slot. All work on rows is Da
 map has one entry per slot, whatever the size of the data.
 
 Rows and edge cases: a NULL text has no bytes and the checksum of an empty text; rows hash by id and
-text, so rows without an id spread out by their text; repeated rows share a slot and get places of
-their own in the shard; an empty table gives an empty result. Other columns are not read.
+text, so rows without an id spread out by their text; a repeated row hashes by its number among its
+repeats too, so repeats spread over slots, the same ones on every run; an empty table gives an empty
+result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -25,7 +26,33 @@ SLOTS = 16_384
 OVERHEAD = 16
 
 
-def records(docs: DataFrame, slots: int = SLOTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+KEY = ["id", "text_crc32", "size"]
+
+
+def numbered_repeats(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """`rows` with `repeat`: the number of a row among those of its KEY, from 0.
+
+    Rows are range partitioned by key, numbered inside each range, and moved by what their key has in
+    earlier ranges; a key of very many rows spreads over many ranges. Only the first key of a range can
+    have begun earlier. The ranges are written, so that both passes see the same ones.
+    """
+    ranged = rows.repartitionByRange(*KEY, F.monotonically_increasing_id()).withColumn("range", F.spark_partition_id())
+    ranged = scratch.write(ranged, "ranges", merged=False)
+    counts = ranged.groupBy("range", *KEY).agg(F.count("*").alias("n")).groupBy("range")
+    ends = counts.agg(F.min(F.struct(*KEY)).alias("first"), F.max(F.struct(*KEY, "n")).alias("last"))
+    # Two rows per range: what it asks for and what it holds of a key that may go on.
+    last = F.struct(*[F.col(f"last.{c}").alias(c) for c in KEY])
+    asks, holds = F.struct(F.col("first").alias("key"), F.lit(0).cast("long").alias("n"), F.lit(True).alias("asks")), F.struct(last.alias("key"), F.col("last.n").alias("n"), F.lit(False).alias("asks"))
+    earlier = Window.partitionBy("key").orderBy("range").rangeBetween(Window.unboundedPreceding, -1)
+    begun = ends.select("range", F.inline(F.array(asks, holds))).withColumn("before", F.sum("n").over(earlier))
+    moved = scratch.write(begun.where("asks AND before > 0").select("range", F.col("key").alias("first"), "before"), "moved")
+    inside = F.row_number().over(Window.partitionBy("range", *KEY).orderBy("range"))
+    placed = ranged.withColumn("inside", inside).join(F.broadcast(moved), "range", "left")
+    before = F.when(F.struct(*KEY).eqNullSafe(F.col("first")), F.col("before")).otherwise(0)
+    return placed.select(*KEY, (F.col("inside") - 1 + before).alias("repeat"))
+
+
+def records(docs: DataFrame, scratch: Scratch, slots: int = SLOTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, size, text_crc32, virtual_slot) for every row."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     narrow = docs.select(
@@ -33,7 +60,10 @@ def records(docs: DataFrame, slots: int = SLOTS, id_col: str = "doc_id", text_co
         (F.octet_length(text) + OVERHEAD).cast("long").alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
     )
-    return narrow.withColumn("virtual_slot", F.pmod(F.xxhash64("id", "text_crc32", "size"), F.lit(slots)))
+    # Range partitioning reads its input twice: the texts are read once before.
+    numbered = numbered_repeats(scratch.write(narrow, "narrow", merged=False), scratch)
+    hashed = F.when(F.col("repeat") == 0, F.xxhash64(*KEY)).otherwise(F.xxhash64(*KEY, "repeat"))
+    return numbered.select("id", "size", "text_crc32", F.pmod(hashed, F.lit(slots)).alias("virtual_slot"))
 
 
 def slot_loads(rows: DataFrame) -> DataFrame:
@@ -96,7 +126,7 @@ def shard_documents(
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "slots")
-    rows = scratch.write(records(docs, slots, id_col, text_col), "records", merged=False)
+    rows = scratch.write(records(docs, scratch, slots, id_col, text_col), "records", merged=False)
     loads = scratch.write(slot_loads(rows), "loads")
     weights = {r.virtual_slot: r.bytes for r in loads.select("virtual_slot", "bytes").toLocalIterator()}
     first = balanced_map(weights, shards, slots)

@@ -53,3 +53,26 @@ def test_edge_rows(spark):
     )
     assert places_are_gapless(got)
     assert slot_shards.shard_documents(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_repeated_rows_spread(spark):
+    rows = spark.range(24_000).selectExpr("if(id % 3 = 0, 7, if(id % 3 = 1, NULL, id)) AS doc_id", "if(id % 3 < 2, 'same', 'x') AS text")
+    runs = [sorted(((r.id, r.size, r.text_crc32, r.virtual_slot, r.shard, r.place) for r in slot_shards.shard_documents(df, shards=40, slots=2048).collect()), key=str)
+            for df in (rows, rows.repartition(3))]
+    assert runs[0] == runs[1] and len(runs[0]) == 24_000
+    held = defaultdict(int)
+    for _, size, _, _, shard, _ in runs[0]:
+        held[shard] += size
+    assert len(held) == 40 and max(held.values()) < 1.01 * sum(held.values()) / 40
+
+
+def test_repeats_are_numbered_over_ranges(spark):
+    keys = spark.range(3000).selectExpr("if(id < 2000, if(id % 2 = 0, NULL, 5), id) AS id", "1L AS text_crc32", "2L AS size")
+    got = defaultdict(list)
+    scratch = slot_shards.Scratch(spark, "repeats")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    for r in slot_shards.numbered_repeats(keys, scratch).collect():
+        got[r.id].append(r.repeat)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert spark.read.parquet(f"{scratch.root}/001-ranges").where("id = 5").select("range").distinct().count() > 2
+    assert all(sorted(v) == list(range(len(v))) for v in got.values()) and len(got[None]) == len(got[5]) == 1000 and len(got) == 1002
