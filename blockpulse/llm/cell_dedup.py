@@ -16,14 +16,15 @@ them block by block; it returns the number of links of each class and a spanning
 so no group is ever spelled out as pairs.
 
 Rows and edge cases: vectors that are NULL, zero, or hold NULL or non-finite components link with
-nothing, nor do rows without an id and vectors of another length than most: each is a group of its own
-and kept. Repeated rows are vectors of their own that link to each other. An empty table gives an empty
+nothing, nor do rows without an id: each is a group of its own and kept. Vectors of each length are
+compared among themselves. Repeated rows are vectors of their own that link to each other. An empty table gives an empty
 result. Other columns are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from blockpulse.llm.components import smallest_ids
 from blockpulse.llm.scratch import Scratch
-from blockpulse.llm.vector_blocks import bounded_sample, matrix, takes_part, usual_length
+from blockpulse.llm.vector_blocks import bounded_sample, lengths, matrix, takes_part
 
 COSINE = 0.9
 #: Classes that centroids are fitted on, and cells, at most; passes of k-means; rows of a block.
@@ -173,20 +174,9 @@ def _tasks() -> Column:
     return F.when(F.col("resident"), F.concat(residents, to_guests)).otherwise(to_residents)
 
 
-def near_duplicates(
-    table: DataFrame, cosine: float = COSINE, cells: int | None = None, sample: int = SAMPLE, id_col: str = "vec_id", vector_col: str = "embedding"
-) -> DataFrame:
-    """(id, n_links, component_id, kept) for every row. `cells` is by default the root of the classes."""
-    spark = table.sparkSession
-    scratch = Scratch(spark, "cells")
-    rows = table.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
-    valid = rows.where(F.col("id").isNotNull() & takes_part(F.col("vector")))
-    length = usual_length(valid, "vector")
-    classes = valid.where(F.size("vector") == length).groupBy("vector").agg(F.min("id").alias("id"), F.count("*").alias("n"))
-    classes = scratch.write(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    total = classes.count()
-    if total == 0:
-        return rows.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
+def _links(classes: DataFrame, total: int, cosine: float, cells: int | None, sample: int, scratch: Scratch) -> DataFrame:
+    """(node, links, other): the links of classes of one length, and edges that connect their groups."""
+    spark = classes.sparkSession
     cells = cells or max(1, min(MOST_CELLS, round(total**0.5)))
     centres = spark.sparkContext.broadcast(_fit_centres(bounded_sample(classes, sample, total, F.col("node")), cells))
 
@@ -233,6 +223,28 @@ def near_duplicates(
     tasks = stays.join(F.broadcast(sizes), "region").withColumn("part", part).select("node", "n", "vector", "region", F.inline(_tasks()))
     found = tasks.groupBy("region", "first", "second", "guests").applyInArrow(_compare(cosine), "node long, links long, other long")
     found = scratch.write(found, "found")
+    scratch.drop(placed_rows, sizes)
+    return found
+
+
+def near_duplicates(
+    table: DataFrame, cosine: float = COSINE, cells: int | None = None, sample: int = SAMPLE, id_col: str = "vec_id", vector_col: str = "embedding"
+) -> DataFrame:
+    """(id, n_links, component_id, kept) for every row. `cells` is by default the root of the classes."""
+    spark = table.sparkSession
+    scratch = Scratch(spark, "cells")
+    rows = table.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
+    valid = rows.where(F.col("id").isNotNull() & takes_part(F.col("vector")))
+    classes = valid.groupBy("vector").agg(F.min("id").alias("id"), F.count("*").alias("n"))
+    classes = scratch.write(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    sizes = lengths(classes, "vector")
+    if not sizes:
+        return rows.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
+    tables = []
+    for length, total in sizes.items():
+        if total > 1:
+            tables.append(_links(classes.where(F.size("vector") == length), total, cosine, cells, sample, scratch))
+    found = reduce(DataFrame.unionAll, tables, spark.createDataFrame([], "node long, links long, other long"))
 
     links = found.where("other IS NOT NULL").select(F.greatest("node", "other").alias("b"), F.least("node", "other").alias("a")).distinct()
     links = scratch.write(links.select("a", "b"), "links")
@@ -240,7 +252,7 @@ def near_duplicates(
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     known = classes.join(groups.select("node", "component_id"), "node").join(counts, "node", "left")
     known = scratch.write(known.select("vector", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id"), "known")
-    scratch.drop(placed_rows, sizes, found, links, groups)
+    scratch.drop(*tables, links, groups)
 
     asked = rows.select("id", F.when(F.col("id").isNotNull(), F.col("vector")).alias("vector"))
     out = asked.join(known, "vector", "left").select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "id").alias("component_id"))

@@ -9,8 +9,8 @@ Partitions are split into blocks of bounded size, and the queries that reach a b
 task holds one block and one group, whatever the size of a partition.
 
 Rows and edge cases: vectors that are NULL, zero, or hold NULL or non-finite components take no part,
-nor do rows without an id and vectors of another length than most; an id that rows repeat is one
-candidate, at its nearest distance, and one query, with its smallest vector; rows with the query's own
+nor do rows without an id; vectors of each length are searched among themselves; an id that rows repeat
+is one candidate, at its nearest distance, and one query, with its smallest vector; rows with the query's own
 id are no candidates; ties go to the smaller id; fewer candidates than `k` give fewer rows; an empty
 table gives an empty result. Other columns are not read.
 """
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from blockpulse.llm.scratch import Scratch
-from blockpulse.llm.vector_blocks import bounded_sample, matrix, takes_part, usual_length
+from blockpulse.llm.vector_blocks import bounded_sample, lengths, matrix, takes_part
 
 #: Vectors that the partitions are learned on, at most; partitions; recall wanted on the sample.
 SAMPLE, PARTS, RECALL = 8192, 16, 0.95
@@ -161,7 +161,7 @@ def learn(vectors: np.ndarray, parts: int, k: int, recall: float, seed: int = 3)
     return router
 
 
-def _train(sample: DataFrame, parts: int, k: int, recall: float) -> Router | None:
+def _train(sample: DataFrame, parts: int, k: int, recall: float) -> Router:
     """Learn on the sample in one task; only the layers come back."""
 
     def learned(table: pa.Table) -> pa.Table:
@@ -173,11 +173,9 @@ def _train(sample: DataFrame, parts: int, k: int, recall: float) -> Router | Non
         })
 
     schema = "layers array<binary>, shapes array<array<bigint>>, scale double, mass double"
-    made = sample.select("id", "vector", F.lit(0).alias("all")).groupBy("all").applyInArrow(learned, schema).collect()
-    if not made:
-        return None
-    layers = [np.frombuffer(b, np.float64).reshape(s) for b, s in zip(made[0].layers, made[0].shapes)]
-    return Router(layers, made[0].scale, made[0].mass)
+    made = sample.select("id", "vector", F.lit(0).alias("all")).groupBy("all").applyInArrow(learned, schema).first()
+    layers = [np.frombuffer(b, np.float64).reshape(s) for b, s in zip(made.layers, made.shapes)]
+    return Router(layers, made.scale, made.mass)
 
 
 def _closest(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -220,12 +218,24 @@ def search(
     scratch = Scratch(table.sparkSession, "ann")
     rows = table.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
     rows = rows.where(F.col("id").isNotNull() & takes_part(F.col("vector")))
-    length = usual_length(rows, "vector")
-    rows = rows.where(F.size("vector") == length)
-    router = _train(bounded_sample(rows, sample, rows.count(), F.col("id")), parts, k, recall)
-    if router is None:
+    queries = rows.where(is_query).groupBy("id").agg(F.min("vector").alias("vector"))
+    asked, found = lengths(queries, "vector"), None
+    for length, total in lengths(rows, "vector").items():
+        if length in asked:
+            same = F.size("vector") == length
+            near = _search_length(rows.where(same), queries.where(same), total, k, parts, recall, sample, scratch)
+            found = near if found is None else found.unionAll(near)
+    if found is None:
         return rows.select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
-    shared = table.sparkSession.sparkContext.broadcast(router)
+    single = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
+    return single.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _search_length(rows: DataFrame, queries: DataFrame, total: int, k: int, parts: int, recall: float, sample: int, scratch: Scratch) -> DataFrame:
+    """(query_id, vec_id, score): what each block has to offer to the queries, for vectors of one length."""
+    router = _train(bounded_sample(rows, sample, total, F.col("id")), parts, k, recall)
+    shared = rows.sparkSession.sparkContext.broadcast(router)
 
     def homes(batches):
         for batch in batches:
@@ -241,7 +251,6 @@ def search(
 
     kind = rows.schema["vector"].dataType.simpleString()
     index = scratch.write(rows.mapInArrow(homes, f"id long, vector {kind}, part int"), "index", merged=False)
-    queries = rows.where(is_query).groupBy("id").agg(F.min("vector").alias("vector"))
     routes = queries.mapInArrow(routed, f"id long, vector {kind}, parts array<int>")
     routes = scratch.write(routes.select("id", "vector", F.explode("parts").alias("part")), "routes")
 
@@ -257,7 +266,4 @@ def search(
     placed = index.join(sizes, "part").select("id", "vector", "part", F.pmod(spread, "blocks").alias("block"), each("groups").alias("group"))
     asked = routes.join(sizes, "part").select("id", "vector", "part", each("blocks").alias("block"), F.pmod(spread, "groups").alias("group"))
     cell = ["part", "block", "group"]
-    found = placed.groupBy(cell).cogroup(asked.groupBy(cell)).applyInArrow(_closest(k), "query_id long, vec_id long, score double")
-    single = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return single.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return placed.groupBy(cell).cogroup(asked.groupBy(cell)).applyInArrow(_closest(k), "query_id long, vec_id long, score double")

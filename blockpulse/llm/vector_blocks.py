@@ -37,8 +37,6 @@ def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
-def usual_length(rows: DataFrame, vector: str) -> int:
-    """The most frequent number of components (the smaller of two); 0 without rows."""
-    counts = rows.groupBy(F.size(vector).alias("n")).agg(F.count("*").alias("rows"))
-    found = counts.orderBy(F.col("rows").desc(), "n").limit(1).collect()
-    return found[0].n if found else 0
+def lengths(rows: DataFrame, vector: str) -> dict[int, int]:
+    """How many vectors there are of each number of components."""
+    return {r.size: r.rows for r in rows.groupBy(F.size(vector).alias("size")).agg(F.count("*").alias("rows")).orderBy("size").collect()}

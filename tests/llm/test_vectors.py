@@ -158,3 +158,22 @@ def test_visits_leave_out_no_partner():
             assert looks.mean() < 0.5
     parts = cell_dedup.regions(centres, np.bincount(home, minlength=40), 100)
     assert sorted(np.concatenate(parts)) == list(range(40))
+
+
+def test_two_lengths(spark):
+    rng = np.random.default_rng(9)
+    x = [rng.normal(size=n) for n in (8, 5) for _ in range(120 if n == 8 else 80)]
+    x += [x[i] + 0.05 * rng.normal(size=len(x[i])) for i in range(100, 150)] + [x[i] for i in range(110, 130)] + [np.ones(3)]
+    vectors = dict(enumerate(x))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], "vec_id long, embedding array<double>")
+    want_links, want_groups, want_near = {}, {}, {}
+    for n in (3, 5, 8):
+        same = {i: v for i, v in vectors.items() if len(v) == n}
+        links, groups = slow_groups(same)
+        want_links |= links
+        want_groups |= groups
+        want_near |= slow_search(same, [i for i in same if i % 10 == 0])
+    got = {r.id: r for r in cell_dedup.near_duplicates(df).collect()}
+    assert {i: r.n_links for i, r in got.items()} == want_links and {i: r.component_id for i, r in got.items()} == want_groups
+    near = found(partition_ann.search(df, partition_ann.F.col("id") % 10 == 0, parts=1))
+    assert {q: [i for i, _ in v] for q, v in near.items()} == {q: [i for i, _ in v] for q, v in want_near.items() if v}
