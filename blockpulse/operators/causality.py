@@ -164,15 +164,19 @@ def causality_table(tests: DataFrame, max_lag: int, alpha: float = ALPHA) -> Dat
 
 # --- unit root -------------------------------------------------------------------------------
 
-MOST_LAGS = 64  # the rule below reaches it at about 80,000 values
-
-
 def _lag_limit(n: Column, most_lags: int) -> Column:
     """Lags tried for n values: ceil(12 (n/100)^(1/4)), at most n/2 - 2 and `most_lags`."""
     rule = F.ceil(12 * F.pow(n / 100, F.lit(0.25)))
     return F.greatest(F.least(rule, F.floor(n / 2) - 2, F.lit(most_lags)), F.lit(0)).cast("int")
 
 
+def _longest_rule(long: DataFrame, keys: Sequence[str]) -> int:
+    """No series is tried with more lags than this: the rule for the longest one, and one more for rounding."""
+    counts = long.where("value IS NOT NULL").groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    n = counts.agg(F.max("n")).first()[0] or 0
+    return math.ceil(12 * (n / 100) ** 0.25) + 1
+
+
 def _adf_rows(long: DataFrame, keys: Sequence[str], most_lags: int) -> DataFrame:
     """(keys, ts, level, d, past, max_lag): change, previous level and earlier changes, newest first."""
     part = Window.partitionBy(*keys)
@@ -213,15 +217,15 @@ def _adf(grams: pd.Series, n: pd.Series, lags: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["statistic", "p_value"])
 
 
-def adf_test(long: DataFrame, keys: Sequence[str] = ("series_id",), most_lags: int = MOST_LAGS) -> DataFrame:
+def adf_test(long: DataFrame, keys: Sequence[str] = ("series_id",), most_lags: int | None = None) -> DataFrame:
     """(keys, used_lag, n, statistic, p_value, status): unit-root test with a constant, lag count by AIC.
 
-    Lag counts up to `most_lags` are compared on one common sample; the chosen one is refitted on all
-    its rows. Every series is in the result: one whose test cannot be computed (constant, exactly
+    Lag counts up to the rule for the series' length, and up to `most_lags` if that is given, are compared
+    on one common sample; the chosen one is refitted on all its rows. Every series is in the result: one whose test cannot be computed (constant, exactly
     linear, too short) has the status `untestable` and NULL figures, the others `tested`.
     """
     keys = list(keys)
-    rows = _adf_rows(long, keys, most_lags)
+    rows = _adf_rows(long, keys, _longest_rule(long, keys) if most_lags is None else most_lags)
     common = rows.where(F.size("past") >= F.col("max_lag")).withColumn("v", _adf_vector(F.col("max_lag")))
     chosen = gram(common, [*keys, "max_lag"], "v").select(
         *keys, _best_lag("gram", "n", "max_lag").alias("used_lag")
@@ -255,7 +259,8 @@ def differenced_orders(long: DataFrame, max_order: int = MAX_ORDER) -> DataFrame
 
 
 def make_stationary(
-    long: DataFrame, first_differenced: Sequence[str] = (), max_order: int = MAX_ORDER, alpha: float = ALPHA
+    long: DataFrame, first_differenced: Sequence[str] = (), max_order: int = MAX_ORDER, alpha: float = ALPHA,
+    most_lags: int | None = None,
 ) -> DataFrame:
     """Difference each series until the unit-root test passes: (series_id, order, ts, value, stationary).
 
@@ -269,7 +274,7 @@ def make_stationary(
         listed = F.col("series_id").isin(list(first_differenced))
         long = long.withColumn("value", F.when(listed, step).otherwise(F.col("value")))
     options = differenced_orders(long, max_order)
-    tests = adf_test(options, ["series_id", "order"])
+    tests = adf_test(options, ["series_id", "order"], most_lags)
     passed = F.min(F.when(F.col("p_value") < alpha, F.col("order")))
     needed = tests.groupBy("series_id").agg(passed.alias("passed"), F.count("p_value").alias("tested"))
     chosen = needed.select(

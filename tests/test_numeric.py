@@ -204,6 +204,18 @@ def test_lag_limit_is_an_argument(spark):
     assert cau.adf_test(long, most_lags=1).first()["used_lag"] <= 1
 
 
+def test_long_series_follow_the_lag_rule(spark, monkeypatch):
+    long = spark.range(85_000).selectExpr("'a' AS series_id", "id AS ts", "rand(1) AS value").unionAll(spark.range(50).selectExpr("'b'", "id", "rand(2)"))
+    assert cau._longest_rule(long, ["series_id"]) >= 65
+    seen, rows = [], cau._adf_rows
+    monkeypatch.setattr(cau, "_adf_rows", lambda *a: seen.append(rows(*a)) or seen[0])
+    for test in (cau.adf_test, lambda x: cau.make_stationary(x, max_order=0)):
+        seen.clear()
+        test(long)
+        limits = seen[0].groupBy("series_id").agg(F.max("max_lag").alias("lag"), F.max(F.size("past")).alias("held")).collect()
+        assert {r.series_id: r.lag for r in limits} == {"a": 65, "b": 11} and all(r.held >= r.lag for r in limits)
+
+
 def test_rows_without_a_fit_stay(spark):
     rows = [("a", float(i), 2.0 * i + 1, i < 6) for i in range(8)] + [("a", None, 3.0, True), ("b", 1.0, 4.0, False)]
     df = spark.createDataFrame(rows, "g string, x double, y double, fit boolean")
