@@ -115,27 +115,46 @@ def granger(pairs: DataFrame, max_lag: int, keys: Sequence[str] = ("feature",),
 def granger_starts(pairs: DataFrame, max_lag: int) -> DataFrame:
     """The same test for every start date: (feature, start, lag, n, f_stat, p_value).
 
-    A start keeps the rows whose lags also lie on or after it. A feature's series is as long as the
-    calendar; its products are summed once from the end, so no suffix is added up twice.
+    A start keeps the rows whose lags also lie on or after it. The sums of products are running
+    totals from the end of the series, one window per (feature, lag, matrix entry), so no suffix
+    is scanned twice.
     """
-    ts = pairs.schema["ts"].dataType.simpleString()
-    schema = f"feature string, start {ts}, lag int, n bigint, f_stat double, p_value double"
-
-    def tests(series: pd.DataFrame) -> pd.DataFrame:
-        series = series.sort_values("ts")
-        x, y, dates = series["x"].to_numpy(float), series["y"].to_numpy(float), series["ts"].to_numpy()
-        out = []
-        for lag in range(1, min(max_lag, len(y) - 1) + 1):
-            past = [v[lag - k : len(v) - k] for v in (y, x) for k in range(1, lag + 1)]
-            rows = np.column_stack([np.ones(len(y) - lag), *past, y[lag:]])
-            totals = np.cumsum((rows[:, :, None] * rows[:, None, :])[::-1], axis=0)[::-1]
-            for i, total in enumerate(totals):
-                f, p = numeric.granger_f(total, len(rows) - i, lag)
-                out.append((series["feature"].iloc[0], dates[i], lag, len(rows) - i, f, p))
-        return pd.DataFrame(out, columns=["feature", "start", "lag", "n", "f_stat", "p_value"])
-
-    result = _standardised(pairs, ["feature"]).groupBy("feature").applyInPandas(tests, schema)
-    return result.withColumns({c: F.nanvl(F.col(c), F.lit(None)) for c in ("f_stat", "p_value")})
+    vectors = _lag_vectors(pairs, ["feature"], max_lag)
+    size = F.size("v")
+    upper = F.flatten(
+        F.transform(
+            F.sequence(F.lit(1), size),
+            lambda i: F.transform(
+                F.sequence(i, size), lambda j: F.element_at("v", i) * F.element_at("v", j)
+            ),
+        )
+    )
+    entries = vectors.select("feature", "lag", "start", F.posexplode(upper).alias("entry", "product"))
+    tail = Window.partitionBy("feature", "lag", "entry").orderBy(F.desc("start")).rowsBetween(Window.unboundedPreceding, 0)
+    totals = entries.withColumns({"total": F.sum("product").over(tail), "n": F.count(F.lit(1)).over(tail)})
+    packed = totals.groupBy("feature", "lag", "start", "n").agg(
+        F.transform(
+            F.array_sort(F.collect_list(F.struct("entry", "total"))), lambda e: e["total"]
+        ).alias("gram")
+    )
+    result = packed.withColumn("_r", _granger_upper("gram", "n", "lag"))
+    return result.select(
+        "feature", "start", "lag", "n",
+        F.nanvl(F.col("_r.f_stat"), F.lit(None)).alias("f_stat"),
+        F.nanvl(F.col("_r.p_value"), F.lit(None)).alias("p_value"),
+    )
+
+
+@F.pandas_udf(_doubles("f_stat", "p_value"))
+def _granger_upper(grams: pd.Series, n: pd.Series, lag: pd.Series) -> pd.DataFrame:
+    out = []
+    for g, rows, lags in zip(grams, n, lag):
+        size = 2 * lags + 2
+        full = np.zeros((size, size))
+        full[np.triu_indices(size)] = g
+        full = full + np.triu(full, 1).T
+        out.append(numeric.granger_f(full, rows, lags))
+    return pd.DataFrame(out, columns=["f_stat", "p_value"])
 
 
 def start_summary(starts: DataFrame, alpha: float = ALPHA) -> DataFrame:

@@ -216,6 +216,22 @@ def test_long_series_follow_the_lag_rule(spark, monkeypatch):
         assert {r.series_id: r.lag for r in limits} == {"a": 65, "b": 11} and all(r.held >= r.lag for r in limits)
 
 
+def test_starts_are_summed_by_spark(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(30, 2))
+    rows = [(f, date(2015 + i // 12, 1 + i % 12, 1), float(x[i, k]), float(x[max(0, i - 1), k] + x[i, 1 - k])) for k, f in enumerate("ab") for i in range(30)]
+    pairs = spark.createDataFrame(rows, "feature string, ts date, x double, y double")
+    starts = cau.granger_starts(pairs, 3)
+    assert "InPandas" not in starts._jdf.queryExecution().toString()
+    got = {(r.feature, r.start, r.lag): (r.n, r.p_value) for r in starts.collect()}
+    assert len(got) == 2 * (29 + 28 + 27)
+    for i in (0, 7, 14):
+        start = rows[i][1]
+        for r in cau.granger(pairs.where(F.col("ts") >= start), 3).collect():
+            n, p = got[r.feature, start, r.lag]
+            assert n == r.n and p == pytest.approx(r.p_value, rel=1e-6)
+
+
 def test_rows_without_a_fit_stay(spark):
     rows = [("a", float(i), 2.0 * i + 1, i < 6) for i in range(8)] + [("a", None, 3.0, True), ("b", 1.0, 4.0, False)]
     df = spark.createDataFrame(rows, "g string, x double, y double, fit boolean")
