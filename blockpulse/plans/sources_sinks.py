@@ -17,7 +17,7 @@ from blockpulse.oracle import define
 from blockpulse.plans.panels import PANEL_OUT, panel, rounded
 from blockpulse.plans.registry import query
 from blockpulse.session import shared_path
-from blockpulse.sources import files, readers, writers
+from blockpulse.sources import readers, writers
 
 CSV_SCHEMAS = {"complaints": "date date, tract double", "restaurants": "date date, tract double"}
 
@@ -117,15 +117,18 @@ _FILES_SQL = """SELECT 'JC-' || strftime(o_orderdate, '%Y%m') || CASE WHEN month
     QUALIFY ROW_NUMBER() OVER (ORDER BY path DESC) > 14""",
 )
 def list_inputs(spark, sf):
-    """Selection from the listing of a real folder: a file per order month, as long as the month has orders."""
+    """Selection from the listing of a real folder: an input per order month, as long as the month has orders.
+
+    Executors write an input as a folder of parts, a byte (an empty line) per order; its length is theirs together.
+    """
     day = F.col("o_orderdate")
     ending = F.when(F.month(day) % 4 == 0, ".csv").otherwise(".csv.zip")
     name = F.concat(F.lit("JC-"), F.date_format(day, "yyyyMM"), ending)
     folder = shared_path(spark, "inputs")
-    for month in table(spark, sf, "orders").groupBy(name.alias("name")).agg(F.count("*").alias("n")).toLocalIterator():
-        files.put(spark, f"{folder}/{month['name']}", b"x" * month["n"])
-    chosen = readers.select_inputs(readers.list_files(spark, folder))
-    return chosen.select(F.element_at(F.split("path", "/"), -1).alias("path"), "length")
+    table(spark, sf, "orders").select(F.lit("").alias("line"), name.alias("input")).write.partitionBy("input").text(folder)
+    of_part = F.regexp_extract("path", "/input=([^/]+)/[^/]+$", 1)
+    listing = readers.list_files(spark, folder).groupBy(of_part.alias("path")).agg(F.sum("length").alias("length"))
+    return readers.select_inputs(listing)
 
 
 EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value"]

@@ -44,13 +44,3 @@ def first_line(spark: SparkSession, path: str) -> str | None:
         return spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
     finally:
         stream.close()
-
-
-def put(spark: SparkSession, path: str, content: bytes) -> None:
-    """Write a small file."""
-    system, target = _file_system(spark, path)
-    stream = system.create(target, True)
-    try:
-        stream.write(bytearray(content))
-    finally:
-        stream.close()
