@@ -139,6 +139,19 @@ class _Prefixes(dict):
         return [self[stretch[:end]][0] for end in range(1, len(stretch) + 1)]
 
 
+class _Stretches:
+    """The stretches of a text by the characters before each."""
+
+    def __init__(self, text: str, chars: list[int]) -> None:
+        self.text, self.chars = SPACE + text.replace(" ", SPACE), chars
+
+    def __len__(self) -> int:
+        return len(self.chars) - 1
+
+    def __getitem__(self, k: int) -> str:
+        return self.text[self.chars[k] : self.chars[k + 1]]
+
+
 class Counts:
     """Token counts of every prefix of one text: those before each stretch, and shared ones inside."""
 
@@ -147,6 +160,13 @@ class Counts:
         self.chars = list(accumulate(map(len, stretches), initial=0))
         self.tokens = list(accumulate((prefixes[s][0] for s in stretches), initial=0))
 
+    @classmethod
+    def stored(cls, text: str, chars: list[int], tokens: list[int], prefixes: _Prefixes) -> Counts:
+        """Counts made earlier: a stretch is cut from the text, and counted inside, only when it is asked for."""
+        counts = cls.__new__(cls)
+        counts.stretches, counts.prefixes, counts.chars, counts.tokens = _Stretches(text, chars), prefixes, chars, tokens
+        return counts
+
     @property
     def total(self) -> int:
         return self.tokens[-1]
@@ -218,12 +238,13 @@ def _loaded(model: bytes) -> Counter:
     return _LOADED[key]
 
 
-def count_documents(docs: DataFrame, model: str, budget: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_bytes, n_tokens [, fitting_chars, fitting_tokens]) for every row.
+def count_documents(docs: DataFrame, model: str, budget: int | None = None, id_col: str = "doc_id", text_col: str = "text", store: bool = False) -> DataFrame:
+    """(id, n_bytes, n_tokens [, fitting_chars, fitting_tokens] [, prefix_chars, prefix_tokens]) for every row.
 
     `model` is a path on the driver; the file's bytes are broadcast (a vocabulary has a fixed size).
     With a `budget`, `fitting_chars` is the length of the longest prefix that has no more tokens, and
-    `fitting_tokens` its count, both read off the prefix counts.
+    `fitting_tokens` its count, both read off the prefix counts, which are made once. With `store` these
+    are returned as well, per stretch; `stored_budget` answers any other budget from them.
     """
     with open(model, "rb") as file:
         content = docs.sparkSession.sparkContext.broadcast(file.read())
@@ -231,25 +252,54 @@ def count_documents(docs: DataFrame, model: str, budget: int | None = None, id_c
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _loaded(content.value)
         for batch in batches:
-            sizes, totals, chars, tokens = [], [], [], []
+            sizes, totals, chars, tokens, before = [], [], [], [], []
             for value in batch.column(1):
                 text = value.as_py() or ""
                 sizes.append(len(text.encode()))
-                totals.append(counter.total(text))
-                if budget is not None and totals[-1] <= budget:
-                    chars.append(len(text))
-                    tokens.append(totals[-1])
-                elif budget is not None:
-                    counts = counter.counts(text)
-                    chars.append(counts.fitting(budget))
-                    tokens.append(counts.at(chars[-1]))
+                if budget is None and not store:
+                    totals.append(counter.total(text))
+                    continue
+                counts = counter.counts(text)
+                totals.append(counts.total)
+                if budget is not None:
+                    chars.append(len(text) if counts.total <= budget else counts.fitting(budget))
+                    tokens.append(counts.total if counts.total <= budget else counts.at(chars[-1]))
+                if store:
+                    before.append((counts.chars, counts.tokens))
             columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(totals, pa.int64())]
             names = ["id", "n_bytes", "n_tokens"]
             if budget is not None:
                 columns += [pa.array(chars, pa.int64()), pa.array(tokens, pa.int64())]
                 names += ["fitting_chars", "fitting_tokens"]
+            if store:
+                columns += [pa.array([b[i] for b in before], pa.list_(pa.int64())) for i in (0, 1)]
+                names += ["prefix_chars", "prefix_tokens"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = "id long, n_bytes long, n_tokens long" + ", fitting_chars long, fitting_tokens long" * (budget is not None)
+    schema += ", prefix_chars array<long>, prefix_tokens array<long>" * store
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return narrow.mapInArrow(per_batch, schema)
+
+
+def stored_budget(counted: DataFrame, model: str, budget: int, text_col: str = "text") -> DataFrame:
+    """(id, fitting_chars, fitting_tokens) from stored counts (id, prefix_chars, prefix_tokens) beside their texts.
+
+    Texts are not counted again; inside the stretches where the budget runs out, counts are made on demand.
+    """
+    with open(model, "rb") as file:
+        content = counted.sparkSession.sparkContext.broadcast(file.read())
+
+    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        prefixes = _loaded(content.value).prefixes
+        for batch in batches:
+            chars, tokens = [], []
+            for value, before, held in zip(batch.column(1), batch.column(2), batch.column(3)):
+                text = value.as_py() or ""
+                counts = Counts.stored(text, before.as_py(), held.as_py(), prefixes)
+                chars.append(len(text) if counts.total <= budget else counts.fitting(budget))
+                tokens.append(counts.total if counts.total <= budget else counts.at(chars[-1]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(chars, pa.int64()), pa.array(tokens, pa.int64())], names=["id", "fitting_chars", "fitting_tokens"])
+
+    narrow = counted.select("id", F.col(text_col).alias("text"), "prefix_chars", "prefix_tokens")
+    return narrow.mapInArrow(per_batch, "id long, fitting_chars long, fitting_tokens long")

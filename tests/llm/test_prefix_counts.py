@@ -86,3 +86,13 @@ def test_edge_rows(spark):
     got = prefix_counts.count_documents(df, MODEL, budget=1).collect()
     assert sorted((tuple(r) for r in got), key=str) == sorted([(1, 0, 0, 0, 0), (2, 0, 0, 0, 0), (None, 2, 1, 2, 1), (3, 3, 2, 1, 1), (3, 3, 2, 1, 1)], key=str)
     assert prefix_counts.count_documents(df.where("doc_id > 5"), MODEL).collect() == []
+
+
+def test_stored_counts_answer_every_budget(spark):
+    texts = ["", None, " a  b", "The cat sat.\nOn 12 mats!! " * 30, "the" * 400, "x" * 50]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counted = prefix_counts.count_documents(docs, MODEL, budget=9, store=True)
+    beside = counted.join(docs.withColumnRenamed("doc_id", "id"), "id")
+    for budget in (0, 1, 9, 40, 1000):
+        want = prefix_counts.count_documents(docs, MODEL, budget=budget).select("id", "fitting_chars", "fitting_tokens").collect()
+        assert sorted(prefix_counts.stored_budget(beside, MODEL, budget).collect()) == sorted(want)
