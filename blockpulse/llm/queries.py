@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockpulse.llm import cell_dedup, nb_svm, partition_ann, perspectives, prefix_counts, secret_scan, simhash, slot_shards, source_mix, stream_bpe
+from blockpulse.llm import (
+    cell_dedup, cuckoo_dedup, nb_svm, partition_ann, perspectives, prefix_counts, secret_scan, simhash, slot_shards, source_mix, stream_bpe,
+)
 
 Plan = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Plan] = {}
@@ -200,3 +202,17 @@ def op9_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = perspectives.rotate(_table(spark, sf_dir, "conversations"))
     mask = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
     return shown.select(F.col("conv").alias("conv_id"), "speaker", "part", "n_turns", "n_own", "text", mask.alias("mask"))
+
+
+OP11_SQL = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       row_number() OVER (same ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+@query("op11_cuckoo_dedup", OP11_SQL)
+def op11_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the row that stays of its group of equal texts."""
+    found = cuckoo_dedup.exact_copies(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
