@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blockpulse.llm import (
-    cell_dedup, cuckoo_dedup, nb_svm, partition_ann, perspectives, prefix_counts, secret_scan, simhash, slot_shards, source_mix, stream_bpe,
+    active_lloyd, cell_dedup, cuckoo_dedup, multiplicity_whitening, nb_svm, partition_ann, perspectives, prefix_counts, secret_scan, simhash, slot_shards,
+    source_mix, stream_bpe,
 )
 
 Plan = Callable[[SparkSession, str], DataFrame]
@@ -216,3 +217,18 @@ def op11_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the row that stays of its group of equal texts."""
     found = cuckoo_dedup.exact_copies(_table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@query("op12_multiplicity_whitening")
+def op12_multiplicity_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector along the 32 leading components of all, whitened."""
+    found = multiplicity_whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    return multiplicity_whitening.by_component(found).withColumnRenamed("id", "vec_id")
+
+
+@query("op13_active_lloyd")
+def op13_active_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The code of every vector, its squared error, that of its label, and a digest of the codebooks."""
+    found = active_lloyd.compress(_table(spark, sf_dir, "embeddings"))
+    code = F.array_join(F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
+    return found.select(F.col("id").alias("vec_id"), code.alias("code"), "error", "label_error", "codebooks_sha256")
