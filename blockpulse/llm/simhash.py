@@ -2,8 +2,8 @@
 
 Rows and edge cases: a NULL text counts as empty, an empty text has fingerprint 0 and links like any
 other, repeated rows share a class, an empty table gives an empty result. A row with a NULL id takes
-part and gets the smallest known id of its class, or NULL if the class has none. Other columns of the
-input are not read, whatever their names.
+part and gets the smallest known id of its class, or NULL if the class has none. `near_duplicates` does
+not read other columns of the input, `keep_first` keeps them, whatever their names.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from blockpulse.llm.components import smallest_ids
 from blockpulse.llm.scratch import Scratch
@@ -49,16 +48,24 @@ def fingerprint(text: str | None, width: int = WIDTH) -> int:
     return int.from_bytes(np.packbits(2 * ones > total).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp): the signed long form of each row's fingerprint."""
+def fingerprints(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", mark: Column | None = None) -> DataFrame:
+    """(id, fp): the signed long form of each row's fingerprint; with `mark` (id, mark, fp), that binary beside it."""
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = np.array([fingerprint(t.as_py(), width) for t in batch.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], names=["id", "fp"])
+            values = np.array([fingerprint(t.as_py(), width) for t in batch.column("text")], dtype=np.uint64)
+            kept = [name for name in batch.schema.names if name != "text"]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(values.view(np.int64))], names=[*kept, "fp"])
 
-    narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(per_batch, "id long, fp long")
+    also = [] if mark is None else [mark.alias("mark")]
+    narrow = docs.select(F.col(id_col).cast("long").alias("id"), *also, F.col(text_col).alias("text"))
+    return narrow.mapInArrow(per_batch, "id long, mark binary, fp long" if also else "id long, fp long")
+
+
+def row_mark(docs: DataFrame) -> Column:
+    """A 128-bit digest of a whole row, all columns: equal for equal rows only."""
+    whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+    return F.unhex(F.md5(whole))
 
 
 def _block_masks(blocks: int, kept: int) -> list[int]:
@@ -158,40 +165,22 @@ def keep_first(
 ) -> DataFrame:
     """The rows of `docs` without near copies: one row for each class, that with its smallest id.
 
-    Rows that repeat the kept id are reduced to one, and so are the rows of a class without any id;
-    only such rows go through an aggregation of whole rows.
+    Rows without an id come last. Of rows that share the smallest id the one with the lowest digest of
+    the whole row stays, so reruns agree; equal rows are reduced to one, and only they are aggregated as
+    whole rows. All columns stay, whatever their names.
     """
     scratch = Scratch(docs.sparkSession, "simhash-keep")
-    rows = scratch.write(fingerprints(docs, width, id_col, text_col), "fingerprints", merged=False)
+    rows = scratch.write(fingerprints(docs, width, id_col, text_col, row_mark(docs)), "fingerprints", merged=False)
     classes = _classes(rows, scratch, distance, blocks)
-    found = rows.join(classes, rows.fp == classes.node)
-    kept = found.where("id = component_id").groupBy(F.col("id").alias("_kept")).agg(F.count("*").alias("_rows"))
-    kept = scratch.write(kept, "kept")
-    unnamed = classes.where("component_id IS NULL")
-
-    # Merged at every size: ids grow with the data, so neither side is one to broadcast.
-    joined = docs.join(kept.hint("merge"), docs[id_col] == kept["_kept"])
-    if kept.where("_rows > 1").isEmpty():
-        out = joined.select(*[docs[c] for c in docs.columns])
-    else:
-        single = joined.where("_rows = 1").select(*[docs[c] for c in docs.columns])
-        repeated = joined.where("_rows > 1").select(*[docs[c] for c in docs.columns])
-        out = single.unionAll(repeated.dropDuplicates([id_col]))
-    if not unnamed.isEmpty():
-        without = docs.where(docs[id_col].isNull())
-        marked = _with_fingerprint(without, width, text_col)
-        one = marked.join(unnamed, marked.fp == unnamed.node).dropDuplicates(["root"])
-        out = out.unionAll(one.select("row.*"))
-    return out
-
-
-def _with_fingerprint(docs: DataFrame, width: int, text_col: str) -> DataFrame:
-    """(row, fp): each row as one struct, and its fingerprint."""
-
-    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = np.array([fingerprint(t.as_py(), width) for t in batch.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], names=["row", "fp"])
-
-    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(per_batch, T.StructType([rows.schema["row"], T.StructField("fp", T.LongType())]))
+    found = rows.join(classes, rows.fp == classes.node).groupBy("root", "id", "mark").agg(F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "mark", "n")).alias("first")
+    kept = scratch.write(found.groupBy("root").agg(first).select(F.col("first.mark").alias("kept"), "first.n"), "kept")
+
+    # Merged at every size: marks grow with the data, so neither side is one to broadcast. Equal texts
+    # are of one class, so a mark is kept for one class only.
+    whole = docs.select(F.struct("*").alias("doc"), row_mark(docs).alias("mark"))
+    joined = whole.join(kept.hint("merge"), F.col("mark") == F.col("kept"))
+    if kept.where("n > 1").isEmpty():
+        return joined.select("doc.*")
+    repeated = joined.where("n > 1").groupBy("mark").agg(F.first("doc").alias("doc"))
+    return joined.where("n = 1").select("doc").unionAll(repeated.select("doc")).select("doc.*")

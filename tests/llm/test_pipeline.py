@@ -71,6 +71,42 @@ def test_edge_rows(spark, tmp_path):
     assert {r.doc_id for r in found} <= {None, 1, 2, 3} and all(r.n_tokens == len(r.ids) for r in found)
 
 
+def test_stages_keep_whole_rows_of_repeated_ids(spark, tmp_path):
+    """Rows go through the filtering stages whole: repeated ids, clashing column names, whole rows compared."""
+    good = " ".join(f"word{k} tells of things" for k in range(40))
+    more = " ".join(f"other{k} says it plainly" for k in range(40))
+    third = " ".join(f"third{k} goes on and on" for k in range(40))
+    names = "doc_id long, text string, lang string, source string, n_chars long, _rows long, _kept string, _row int, hash long, copies int, id long, fp long, mark string"
+
+    def row(i, text, lang="en", source="a"):
+        return (i, text, lang, source, len(text or ""), 1, "k", 2, 3, 4, 5, 6, "m")
+
+    rows = [row(5, good), row(5, more), row(3, third), row(5, third), row(8, "short text here"), row(8, "short text here"), row(None, "no id in this row"), row(None, None), row(4, "")]
+    docs = spark.createDataFrame(rows, names)
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    first = stages["quality"](spark, docs, str(tmp_path))
+    assert sorted(map(str, first.collect())) == sorted(map(str, docs.collect()))  # without labels nothing is rejected
+    single = stages["near_duplicates"](spark, docs, str(tmp_path))
+    # NULL and empty texts are one class; the row with an id stays.
+    want = [rows[0], rows[1], rows[2], rows[4], rows[6], rows[8]]
+    assert sorted((tuple(r) for r in single.collect()), key=str) == sorted(want, key=str) and single.columns == docs.columns
+    clean = stages["secrets"](spark, single, str(tmp_path))
+    assert sorted((tuple(r) for r in clean.collect()), key=str) == sorted(want, key=str) and clean.columns == docs.columns
+    mixed = stages["mix"](spark, clean, str(tmp_path)).collect()
+    taken = slow_mix([(r[0], r[1], r[3]) for r in want])
+    assert Counter(r.doc_id for r in mixed) == Counter({i: n for i, n in _summed(taken).items() if n}) and {tuple(r) for r in mixed} <= set(want)
+
+
+def _summed(taken):
+    out = Counter()
+    for i, _, _, _, copies, _ in taken:
+        out[i] += copies
+    return out
+
+
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")

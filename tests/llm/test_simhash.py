@@ -87,3 +87,37 @@ def test_repeated_kept_row_stays_once(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(df).collect() == [] and simhash.keep_first(df).collect() == []
+
+
+def slow_keep(rows, columns):
+    """The row that stays of each class; `rows` are tuples with doc_id and text first."""
+    import hashlib
+    import json
+
+    prints = {r[1]: slow_fingerprint(r[1]) for r in rows}
+    roots, kept = slow_components(sorted(set(prints.values()))), {}
+    for r in rows:
+        whole = json.dumps({c: v for c, v in zip(columns, r) if v is not None}, separators=(",", ":"), ensure_ascii=False)
+        order = (r[0] is None, r[0] or 0, hashlib.md5(whole.encode()).digest())
+        root = roots[prints[r[1]]]
+        kept[root] = min(kept.get(root, (order, r)), (order, r), key=lambda x: x[0])
+    return sorted((r for _, r in kept.values()), key=str)
+
+
+def test_keep_first_with_repeated_ids(spark):
+    a, b, c = (" ".join(f"{w}{k}" for k in range(60)) for w in ("one", "two", "three"))
+    columns = ["doc_id", "text", "_rows", "_kept", "node", "mark", "n", "doc", "fp"]
+    tail = ("x", 1, 2, "m", 3, "d", 4)
+    rows = [
+        (5, a, *tail), (5, b, *tail),  # one id, unlike texts: both stay
+        (3, c, *tail), (5, c, *tail),  # a copy whose id other rows keep
+        (8, "four words are here", *tail), (8, "four words are here", *tail),  # equal rows
+        (9, "five words are not here", *tail), (9, "five words are not here", "y", *tail[1:]), (9, "five words are not here", "y", *tail[1:]),  # equal but for a column
+        (None, a, *tail), (None, "six words are found in here", *tail), (None, "six words are found in here", *tail), (None, "six words are found in here", None, *tail[1:]),
+        (1, None, *tail), (2, "", *tail), (None, "", *tail), (-4, "seven", *tail),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _rows string, _kept long, node long, mark string, n int, doc string, fp long")
+    runs = [sorted((tuple(r) for r in simhash.keep_first(f).collect()), key=str) for f in (df, df.repartition(5), df.repartition(2, "doc_id"))]
+    assert runs[0] == runs[1] == runs[2] == slow_keep(rows, columns)
+    assert {r[0] for r in runs[0] if r[1] in (a, b)} == {5} and len([r for r in runs[0] if r[0] == 5]) == 2
+    assert [r[0] for r in runs[0] if r[1] == c] == [3]
