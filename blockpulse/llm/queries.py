@@ -84,10 +84,14 @@ def op3_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP5_SQL = r"""
-WITH d AS (
+WITH named AS (
     SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-           CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '-' || md5(coalesce(text, '')))), 1, 15) AS BIGINT) AS h
+           CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '-' || md5(coalesce(text, '')))), 1, 15) AS BIGINT) AS own
     FROM documents
+), numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY own ORDER BY encode(source) NULLS FIRST, size, doc_id) - 1 AS again FROM named
+), d AS (
+    SELECT doc_id, source, size, CASE WHEN again = 0 THEN own ELSE CAST('0x' || substr(md5(own || '#' || again), 1, 15) AS BIGINT) END AS h FROM numbered
 ), s AS (
     SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
            [1, 2, 3][1 + (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3] AS weight

@@ -3,12 +3,14 @@
 Each document has a 60-bit hash. Sizes are summed by source and hash bucket; the running sums show the
 bucket where a source's budget runs out, and only the rows of that bucket are summed again, by the next
 bits of the hash, until it holds at most one hash. A document is taken if its hash lies below the
-threshold of its source: a filter, no sort, and the same rows on every run. All work is DataFrame
-functions.
+threshold of its source: a filter, no sort, and the same rows on every run. Rows that repeat an id are
+numbered, and all but the first hash by their number too, so that they are taken one by one; only such
+rows are moved for that. All work is DataFrame functions.
 
 Rows and edge cases: a NULL text has size 0; a NULL source is a source of its own, the last; a NULL id
-hashes by its text; repeated rows share a hash and are taken together; sources of size 0 have target 0;
-an empty table gives an empty result. Other columns of the input may have any names.
+hashes by its text; rows of one id are numbered in the order of source (NULL first), size and, in `mix`, a
+digest of the row; sources of size 0 have target 0; an empty table gives an empty result. Other columns of
+the input may have any names.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from blockpulse.llm.repeats import numbered
 from blockpulse.llm.scratch import Scratch
 
 #: Weights of the sources in the order of their names, repeating; most copies of a document.
@@ -100,22 +103,38 @@ def thresholds(rows: DataFrame, targets: DataFrame, scratch: Scratch) -> DataFra
     return state.select("source", "source_size", "target", "copies", below.cast("long").alias("below"))
 
 
-def budgets(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
-    """(rows, thresholds): rows holds (id, source, size, hash), narrow and written once."""
+def _apart(rows: DataFrame, repeated: DataFrame, scratch: Scratch, order: tuple[str, ...]) -> DataFrame:
+    """`rows` with a hash of its own for each row of a hash in `repeated`."""
+    again = scratch.write(rows.join(repeated, "hash").select(*rows.columns), "again", merged=False)
+    counted = numbered(again, ["hash"], scratch, order)
+    own = F.conv(F.substring(F.md5(F.concat(F.col("hash").cast("string"), F.lit("#"), F.col("repeat").cast("string"))), 1, HASH_BITS // 4), 16, 10).cast("long")
+    hashed = counted.withColumn("hash", F.when(F.col("repeat") == 0, F.col("hash")).otherwise(own))
+    return rows.join(repeated, "hash", "left_anti").select(*rows.columns).unionAll(hashed.select(*rows.columns))
+
+
+def budgets(
+    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"
+) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """(rows, thresholds, repeated): rows holds (id, source, size, hash), narrow and written; the hashes that rows repeat, if any."""
     scratch = Scratch(docs.sparkSession, "mix")
     narrow = docs.select(
         F.col(id_col).cast("long").alias("id"), F.col(source_col).alias("source"),
         word_count(F.col(text_col)).alias("size"), row_hash(F.col(id_col), F.col(text_col)).alias("hash"),
     )
     rows = scratch.write(narrow, "rows", merged=False)
+    repeated = scratch.write(rows.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "repeated")
+    if repeated.isEmpty():
+        repeated = None
+    else:
+        rows = scratch.write(_apart(rows, repeated, scratch, ("source", "size", "id")), "rows", merged=False)
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_rows"))
     targets = source_targets(sizes, weights, most)
-    return rows, scratch.write(thresholds(rows, targets, scratch), "thresholds")
+    return rows, scratch.write(thresholds(rows, targets, scratch), "thresholds"), repeated
 
 
 def taken_words(docs: DataFrame, **options) -> DataFrame:
     """(id, size, source_size, target, copies, taken) for every row."""
-    rows, limits = budgets(docs, **options)
+    rows, limits, _ = budgets(docs, **options)
     limits = limits.withColumnRenamed("source", "_source")
     joined = rows.join(limits, rows["source"].eqNullSafe(limits["_source"]))
     copies = F.col("copies") + F.when(F.col("hash") < F.col("below"), 1).otherwise(0)
@@ -124,9 +143,19 @@ def taken_words(docs: DataFrame, **options) -> DataFrame:
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The rows of the mix, each repeated as often as it is taken, with the columns of `docs`."""
-    _, limits = budgets(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
-    limits = limits.select(F.struct("source").alias("_of"), F.struct("copies", "below").alias("_limit"))
-    rows = docs.select(F.struct("*").alias("_row"), F.struct(F.col(source_col).alias("source")).alias("_of"), row_hash(F.col(id_col), F.col(text_col)).alias("_hash"))
-    joined = rows.join(limits, "_of")
-    copies = F.col("_limit.copies") + F.when(F.col("_hash") < F.col("_limit.below"), 1).otherwise(0)
-    return joined.select("_row", F.explode(F.array_repeat(F.lit(True), copies.cast("int")))).select("_row.*")
+    _, limits, repeated = budgets(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
+    limits = limits.select(F.struct("source").alias("of"), F.struct("copies", "below").alias("limit"))
+    rows = docs.select(F.struct("*").alias("doc"), row_hash(F.col(id_col), F.col(text_col)).alias("hash"))
+    if repeated is not None:
+        rows = _apart(_sortable(rows, id_col, text_col, source_col), repeated, Scratch(docs.sparkSession, "mix-apart"), ("source", "size", "id", "mark"))
+    joined = rows.withColumn("of", F.struct(F.col(f"doc.`{source_col}`").alias("source"))).join(limits, "of")
+    copies = F.col("limit.copies") + F.when(F.col("hash") < F.col("limit.below"), 1).otherwise(0)
+    return joined.select("doc", F.explode(F.array_repeat(F.lit(True), copies.cast("int")))).select("doc.*")
+
+
+def _sortable(rows: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """`rows` (doc, hash) with the columns that repeats are numbered by."""
+    return rows.select(
+        "doc", "hash", F.col(f"doc.`{source_col}`").alias("source"), word_count(F.col(f"doc.`{text_col}`")).alias("size"),
+        F.col(f"doc.`{id_col}`").cast("long").alias("id"), F.md5(F.to_json("doc")).alias("mark"),
+    )

@@ -26,12 +26,19 @@ def slow_targets(sizes, weights=(1, 2, 3), most=3):
 
 
 def slow_mix(rows):
-    sizes, docs = defaultdict(int), defaultdict(list)
+    def number(name):
+        return int(hashlib.md5(name.encode()).hexdigest()[:15], 16)
+
+    sizes, docs, of_hash = defaultdict(int), defaultdict(list), defaultdict(list)
     for row_id, text, source in rows:
         size = len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
         name = str(row_id) if row_id is not None else "-" + hashlib.md5((text or "").encode()).hexdigest()
         sizes[source] += size
-        docs[source].append((int(hashlib.md5(name.encode()).hexdigest()[:15], 16), size, row_id))
+        of_hash[number(name)].append((source, size, row_id))
+    for h, same in of_hash.items():
+        same.sort(key=lambda r: (r[0] is not None, (r[0] or "").encode(), r[1], r[2] is not None, r[2] or 0))
+        for again, (source, size, row_id) in enumerate(same):
+            docs[source].append((number(f"{h}#{again}") if again else h, size, row_id))
     targets, out = slow_targets(sizes), []
     for source, own in docs.items():
         copies = int(targets[source] // sizes[source]) if sizes[source] else 0
@@ -94,3 +101,37 @@ def test_edge_rows(spark):
     assert counts == total
     empty = df.where("doc_id > 100")
     assert source_mix.taken_words(empty).collect() == [] and source_mix.mix(empty).collect() == []
+
+
+def test_rows_of_one_id_are_taken_one_by_one(spark, tmp_path):
+    rows = [(7, "w " * 50, "a", 1)] * 60 + [(8, "w " * 80, "a", 2), (9, "w " * 700, "b", 3), (7, "w " * 9, "b", 4), (7, "w " * 9, None, 5)] + [(None, "x y", "b", k % 2) for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, _row int").repartition(6)
+    want = slow_mix([r[:3] for r in rows])
+    got = source_mix.taken_words(df).collect()
+    same(got, want)
+    taken, target = sum(r.taken for r in got if r.source_size == 3080), {r.target for r in got if r.source_size == 3080}
+    assert abs(taken - target.pop()) <= 80
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    from check_oracle import oracle_connection
+
+    con = oracle_connection("/root/testdata/sf0.001")
+    con.execute(f"CREATE OR REPLACE TEMP VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert compare(QUERIES["op5_source_mix"](spark, str(tmp_path)), con, OP5_SQL) is None
+    mixed = [sorted(map(str, source_mix.mix(f).collect())) for f in (df, df.repartition(3))]
+    assert mixed[0] == mixed[1]
+    by_id = defaultdict(int)
+    for i, _, _, _, copies, _ in want:
+        by_id[str(i)] += copies
+    found = defaultdict(int)
+    for r in source_mix.mix(df).collect():
+        found[str(r.doc_id)] += 1
+    assert found == {i: n for i, n in by_id.items() if n}
+
+
+def test_a_source_that_is_one_repeated_row(spark):
+    rows = [(1, "w " * 10, "a")] * 900 + [(k, "w " * 10, "b") for k in range(10, 1500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(16)
+    got = source_mix.taken_words(df).collect()
+    for size in {r.source_size for r in got}:
+        own = [r for r in got if r.source_size == size]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 10
