@@ -164,10 +164,9 @@ def compress(
     spark = table.sparkSession
     scratch = Scratch(spark, "lloyd")
     label = F.lit(None).cast("int") if label_col is None else F.col(label_col)
-    rows = table.select(F.col(id_col).cast("long").alias("id"), label.alias("label"), integers(F.col(vector_col), steps).alias("x"))
     # The squared distance of two such vectors fits a long.
-    reach = F.sqrt(F.lit(2.0**61) / F.size("x"))
-    rows = rows.where(F.col("x").isNotNull() & F.forall("x", lambda v: F.abs(v) < reach))
+    below = F.sqrt(F.lit(2.0**61) / F.size(vector_col))
+    rows = table.select(F.col(id_col).cast("long").alias("id"), label.alias("label"), integers(F.col(vector_col), steps, below=below).alias("x")).where("x IS NOT NULL")
     unknown = F.lit(None).cast("array<int>").alias("codes"), F.lit(None).cast("array<long>").alias("errors")
     state = scratch.write(rows.select("id", "label", F.size("x").alias("width"), "x", *unknown), "state", merged=False)
 

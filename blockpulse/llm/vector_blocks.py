@@ -49,10 +49,10 @@ def lengths(rows: DataFrame, vector: str) -> dict[int, int]:
     return {r.size: r.rows for r in rows.groupBy(F.size(vector).alias("size")).agg(F.count("*").alias("rows")).orderBy("size").collect()}
 
 
-def integers(vector: Column, steps: int, offset: int = 0) -> Column:
-    """floor(steps * c) + offset of every component, or NULL for a vector that is NULL, empty, or holds NULL, non-finite or too large components."""
+def integers(vector: Column, steps: int, offset: int = 0, below: Column | float = LARGEST) -> Column:
+    """floor(steps * c) + offset of every component, or NULL for a vector that is NULL, empty, or holds NULL or non-finite components or any not `below` a limit."""
     scaled = F.transform(vector, lambda c: c.cast("double") * steps)
-    bad = F.exists(scaled, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) >= LARGEST))
+    bad = F.exists(scaled, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) >= below))
     whole = F.transform(scaled, lambda c: F.floor(c) + F.lit(offset).cast("long"))
     return F.when(~bad & (F.size(vector) > 0), whole)
 
