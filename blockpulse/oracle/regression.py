@@ -79,17 +79,19 @@ def granger_sql(pairs: str, keys: str, lags: list[int], prefix: str) -> tuple[li
 
 
 def least_squares_sql(
-    source: str, keys: str, carry: list[str], features: list[str], target: str, train: str, prefix: str
+    source: str, keys: str, carry: list[str], features: list[str], target: str, train: str, prefix: str, constant: str = "1.0"
 ) -> tuple[list[tuple[str, str]], str]:
     """Named steps leaving (carry, t, h): residual and leverage of a fit on the rows where `train` holds.
 
+    `constant` is the column of the intercept; 0.0 leaves it out (there is no leverage then).
+
     Pivots are swept with coefficients from the training rows only, so `t` is the out-of-sample
     residual on the other rows.
     """
     part = f"(PARTITION BY {keys})" if keys else "()"
     lead = ", ".join(([keys] if keys else []) + carry)
     columns = ["v0", *[f"v{i + 1}" for i in range(len(features))]]
-    first = ", ".join([f"1.0 AS v0", *[f"CAST({f} AS DOUBLE) AS v{i + 1}" for i, f in enumerate(features)]])
+    first = ", ".join([f"{constant} AS v0", *[f"CAST({f} AS DOUBLE) AS v{i + 1}" for i, f in enumerate(features)]])
     present = " AND ".join(f"{c} IS NOT NULL" for c in [*features, target])
     steps = [(f"{prefix}_0", f"SELECT {lead}, {train} AS tr, {first}, CAST({target} AS DOUBLE) AS t, 0.0 AS h FROM {source} WHERE {present}")]
     for j, pivot in enumerate(columns):
