@@ -156,7 +156,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", nor
     `row` tells rows apart. The default numbers hold as long as the frame is not planned anew: write it before it is read twice.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    text = F.encode(normalise(text) if normalise else text, "UTF-8")
+    text = (normalise(text) if normalise else text).cast("binary")  # its UTF-8 bytes as they are
     number = F.monotonically_increasing_id() if row is None else row
     hashed = F.unhex(F.sha2(text, 256)).alias("digest")
     return docs.select(number.alias("row"), F.col(id_col).cast("long").alias("id"), hashed, F.octet_length(text).cast("long").alias("n_bytes"))
