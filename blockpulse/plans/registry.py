@@ -30,5 +30,5 @@ def query(name: str, sql: str | None = None) -> Callable[[Plan], Plan]:
 
 def load_all() -> None:
     # Registration order: quick panel queries first, model fits last.
-    from blockpulse.plans import panels, market, property_sales, rides, securities  # noqa: F401, I001
+    from blockpulse.plans import panels, market, property_sales, places, rides, securities  # noqa: F401, I001
     from blockpulse.plans import series, forecasts, documents, sources_sinks, causality, streams, models  # noqa: F401
