@@ -88,7 +88,7 @@ def first_books(rows: DataFrame, parts: int, entries: int) -> dict[int, Book]:
     order = Window.partitionBy("width").orderBy(F.col("id").asc_nulls_last(), "x")
     first = rows.select("width", "id", "x").withColumn("place", F.row_number().over(order)).where(F.col("place") <= entries)
     found: dict[int, list] = {}
-    for r in first.orderBy("width", "place").toLocalIterator():
+    for r in first.orderBy("width", "place").collect():
         found.setdefault(r.width, []).append(r.x)
     return {w: [np.array([v[a:b] for v in x], np.int64).reshape(len(x), b - a) for a, b in part_bounds(w, parts)] for w, x in found.items()}
 
@@ -142,7 +142,7 @@ def entry_sums(state: DataFrame, books: dict[int, Book], parts: int) -> DataFram
 def updated(books: dict[int, Book], sums: DataFrame) -> tuple[dict[int, Book], dict[int, list[np.ndarray]]]:
     """The books after a round, and which entries moved. Entries without rows stay."""
     new = {w: [e.copy() for e in book] for w, book in books.items()}
-    for r in sums.toLocalIterator():
+    for r in sums.collect():
         new[r.width][r.part][r.entry, r.place] = int(r.total) // r.n
     return new, {w: [(a != b).any(axis=1) for a, b in zip(new[w], books[w])] for w in books}
 

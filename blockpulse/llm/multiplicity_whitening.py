@@ -81,7 +81,7 @@ def _weighted_sums(distinct: DataFrame) -> dict[int, Fit]:
     placed = partial.select("width", "n", F.posexplode("sums").alias("place", "s"))
     summed = placed.groupBy("width", "place").agg(F.sum("n").alias("n"), F.sum(F.col("s").cast("decimal(38,0)")).alias("s"))
     fits: dict[int, Fit] = {}
-    for r in summed.orderBy("width", "place").toLocalIterator():
+    for r in summed.orderBy("width", "place").collect():
         fits.setdefault(r.width, Fit(int(r.n), [])).sums.append(int(r.s))
     return fits
 
@@ -143,7 +143,7 @@ def whiten(
     products = _products(distinct, "w", "x", lambda width, x: sums.value[width].centred(x), scratch)
     solved = scratch.write(_eigen(products, sizes, components), "eigen")
     explained: dict[int, list] = {}
-    for r in solved.toLocalIterator():
+    for r in solved.collect():
         fit, values = fits[r.width], np.array(r["values"])
         # Rounding leaves about this much of the trace where nothing varies.
         varies = values > max(r.trace, 0) * r.width * 1e-14
@@ -179,9 +179,9 @@ def _identity_error(done: DataFrame, varies: dict[int, np.ndarray], sizes: dict[
     spark = done.sparkSession
     full = done.select("width", "w", F.filter("whitened", lambda z: z.isNotNull()).alias("z")).where("size(z) > 0")
     moments = full.groupBy("width").agg(Summarizer.mean(array_to_vector("z"), F.col("w").cast("double")).alias("mean"))
-    means = spark.sparkContext.broadcast({r.width: np.array(r["mean"]) for r in moments.toLocalIterator()})
+    means = spark.sparkContext.broadcast({r.width: np.array(r["mean"]) for r in moments.collect()})
     errors = []
-    for r in _products(full, "w", "z", lambda width, z: z - means.value[width], scratch).toLocalIterator():
+    for r in _products(full, "w", "z", lambda width, z: z - means.value[width], scratch).collect():
         k = int(varies[r.width].sum())
         errors.append(np.abs(np.array(r.products).reshape(k, k) / sizes[r.width] - np.eye(k)).max())
     return float(max(errors)) if errors else None
