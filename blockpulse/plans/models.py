@@ -15,6 +15,7 @@ from blockpulse.functions import values as val
 from blockpulse.listing_fixture import payloads
 from blockpulse.operators import aggregates, filters, ranking
 from blockpulse.operators import models as mod
+from blockpulse.operators import moment_models
 from blockpulse.operators.series import shift_features
 from blockpulse.operators.windows import in_order, with_global_stats
 from blockpulse.oracle import define
@@ -429,13 +430,12 @@ def learning_validation_curves(spark, sf):
     for reg in (0.0, 10.0, 1000.0):
         point("validation", reg, mod.linear(reg), train, test)
     left = list(LINEAR_FEATURES)
-    while len(left) > 1:
+    while left:
         rows = mod.assemble(frame, left, "price", ["scrape_id"], centre=True)
         part, held = mod.hash_split(rows, "scrape_id")
+        point("elimination", len(left), mod.linear(), part, held)
         forest = mod.fit(mod.learners()["decision_tree"], part)
-        weakest = min(zip(forest.featureImportances.toArray(), left))[1]
-        left.remove(weakest)
-        point("elimination", len(left) + 1, mod.linear(), part, held)
+        left.remove(min(zip(forest.featureImportances.toArray(), left))[1])
     return rounded(reduce(DataFrame.unionByName, curves))
 
 
@@ -443,20 +443,17 @@ SHARES = (20, 40, 60, 80, 100)
 _SHARE_SQL = "CAST('0x' || substr(md5('share' || CAST(scrape_id AS VARCHAR)), 1, 8) AS BIGINT) % 100"
 
 
-#: Shares that hold more rows than features at every test scale, so that the fit is defined.
-FITTED_SHARES = SHARES[1:]
-
-
 def _learning_sql() -> str:
     """One fit per share of the training rows; every fit is scored on the same test rows."""
     named, points = [("encoded_rows", _ENCODED_SQL)], []
-    for share in FITTED_SHARES:
+    for share in SHARES:
         train = f"({_TRAIN_SQL}) AND {_SHARE_SQL} < {share}"
         steps, last = least_squares_sql("encoded_rows", "", ["scrape_id", "price"], LINEAR_FEATURES, "price", train, f"lc{share}_")
         named += steps
+        enough = f"(SELECT COUNT(*) > {len(LINEAR_FEATURES) + 1} FROM encoded_rows WHERE {train})"
         points.append(
-            f"SELECT {share} AS share, ROUND(1 - SUM(t * t) / (VAR_POP(price) * COUNT(*)), 6) AS r2, ROUND(AVG(ABS(t)), 2) AS mae "
-            f"FROM {last} WHERE NOT ({_TRAIN_SQL})"
+            f"SELECT {share} AS share, CASE WHEN {enough} THEN ROUND(1 - SUM(t * t) / (VAR_POP(price) * COUNT(*)), 6) END AS r2, "
+            f"CASE WHEN {enough} THEN ROUND(AVG(ABS(t)), 2) END AS mae FROM {last} WHERE NOT ({_TRAIN_SQL})"
         )
     return "WITH " + ", ".join(f"{n} AS MATERIALIZED ({q})" for n, q in named) + " " + " UNION ALL ".join(points)
 
@@ -464,15 +461,105 @@ def _learning_sql() -> str:
 @query("learning_curve", _learning_sql())
 def learning_curve(spark, sf):
     """Test metrics of the linear model over the share of training rows it sees."""
-    rows = mod.assemble(encoded_frame(spark, sf), LINEAR_FEATURES, "price", ["scrape_id"], centre=True)
-    train, test = mod.hash_split(rows, "scrape_id")
     bucket = mod.hash_bucket(F.concat(F.lit("share"), F.col("scrape_id").cast("string")))
-    points = []
-    for share in FITTED_SHARES:
-        scored = mod.predictions(mod.fit(mod.linear(), train.where(bucket < share)), test, [])
-        shown = mod.evaluate(scored, "actual", "predicted")
-        points.append(shown.select(F.lit(share).alias("share"), F.round("r2", 6).alias("r2"), F.round("mae", 2).alias("mae")))
-    return reduce(DataFrame.unionByName, points)
+    curve = moment_models.learning_curve(encoded_frame(spark, sf), _held_out(), bucket, SHARES, LINEAR_FEATURES, "price")
+    return curve.select("share", F.round("r2", 6).alias("r2"), F.round("mae", 2).alias("mae"))
+
+
+def _held_out():
+    return mod.hash_bucket(F.col("scrape_id")) < mod.TEST_SHARE
+
+
+#: Folds and the penalties per training row of the models that are cross-validated.
+FOLDS = 5
+RIDGES = {"linear": 0.0, "ridge_0.01": 0.01, "ridge_0.1": 0.1, "ridge_1": 1.0}
+
+
+def _folds_sql() -> str:
+    """All folds of all learners in one chain: a penalty is a training row per feature with that feature only."""
+    scaled = [f"{f} / STDDEV_POP({f}) OVER () AS {f}" for f in LINEAR_FEATURES]
+    blank = ", ".join(f"CASE WHEN j = {i} THEN SQRT(penalty * n) ELSE 0 END AS {f}" for i, f in enumerate(LINEAR_FEATURES))
+    names = ", ".join(LINEAR_FEATURES)
+    learners = ", ".join(f"('{name}', {penalty})" for name, penalty in RIDGES.items())
+    named = [
+        ("encoded_rows", _ENCODED_SQL),
+        ("scaled_rows", f"SELECT scrape_id, CAST(price AS DOUBLE) AS price, {', '.join(scaled)} FROM encoded_rows"),
+        ("fold_rows", f"SELECT *, CAST('0x' || substr(md5('fold' || CAST(scrape_id AS VARCHAR)), 1, 8) AS BIGINT) % {FOLDS} AS own FROM scaled_rows"),
+        ("contests", f"SELECT learner, penalty, fold FROM (VALUES {learners}) l(learner, penalty), (SELECT DISTINCT own AS fold FROM fold_rows)"),
+        (
+            "contest_rows",
+            f"SELECT learner, fold, scrape_id, 1.0 AS one, own <> fold AS seen, TRUE AS real, price, {names} FROM contests, fold_rows "
+            f"UNION ALL SELECT learner, fold, NULL, 0.0, TRUE, FALSE, 0.0, {blank} "
+            f"FROM (SELECT learner, fold, penalty, (SELECT COUNT(*) FROM fold_rows WHERE own <> fold) AS n FROM contests WHERE penalty > 0), range({len(LINEAR_FEATURES)}) r(j)",
+        ),
+    ]
+    steps, last = least_squares_sql("contest_rows", "learner, fold", ["real", "price"], LINEAR_FEATURES, "price", "seen", "cv", constant="one")
+    named += steps
+    body = f"""
+    SELECT learner AS model, CAST(COUNT(*) AS INTEGER) AS folds, ROUND(AVG(rmse), 2) AS rmse, ROUND(AVG(r2), 6) AS r2, ROUND(STDDEV_POP(r2), 6) AS r2_spread,
+           CAST(ROW_NUMBER() OVER (ORDER BY AVG(r2) DESC, learner) AS INTEGER) AS rank
+    FROM (SELECT learner, fold, SQRT(AVG(t * t)) AS rmse, 1 - AVG(t * t) / VAR_POP(price) AS r2 FROM {last} WHERE NOT tr AND real GROUP BY ALL) GROUP BY learner
+    """
+    return "WITH " + ", ".join(f"{n} AS MATERIALIZED ({q})" for n, q in named) + body
+
+
+@query("cross_validated_leaderboard", _folds_sql())
+def cross_validated_leaderboard(spark, sf):
+    """Linear and ridge models of the listing price by their mean score over five folds."""
+    fold = mod.hash_bucket(F.concat(F.lit("fold"), F.col("scrape_id").cast("string")), FOLDS)
+    board = moment_models.cross_validated(encoded_frame(spark, sf), fold, LINEAR_FEATURES, "price", RIDGES)
+    return board.select("model", "folds", F.round("rmse", 2).alias("rmse"), F.round("r2", 6).alias("r2"), F.round("r2_spread", 6).alias("r2_spread"), "rank")
+
+
+def _elimination_sql() -> str:
+    """Every sweep is a step of its own over a table of matrix cells (i, j, v); the target is column p."""
+    p = len(LINEAR_FEATURES)
+    columns = [*LINEAR_FEATURES, "price"]
+    stats = ", ".join(f"AVG({c}) FILTER (tr) OVER () AS m{i}, STDDEV_POP({c}) FILTER (tr) OVER () AS s{i}" for i, c in enumerate(columns))
+    cells = " UNION ALL ".join(f"SELECT scrape_id, tr, {i} AS i, ({c} - m{i}) / s{i} AS z FROM marked" for i, c in enumerate(columns))
+    named = [
+        ("encoded_rows", _ENCODED_SQL),
+        ("marked", f"SELECT *, {stats} FROM (SELECT *, {_TRAIN_SQL} AS tr FROM encoded_rows)"),
+        ("cells", cells),
+        ("moments", "SELECT a.tr, a.i, b.i AS j, SUM(a.z * b.z) AS v FROM cells a JOIN cells b ON a.scrape_id = b.scrape_id GROUP BY ALL"),
+        ("full_0", "SELECT i, j, v FROM moments WHERE tr"),
+    ]
+
+    def swept(source: str, k: str, sign: int) -> str:
+        return (
+            f"SELECT a.i, a.j, CASE WHEN a.i = k.k AND a.j = k.k THEN -1 / d.v WHEN a.i = k.k OR a.j = k.k THEN {sign} * a.v / d.v ELSE a.v - r.v * c.v / d.v END AS v "
+            f"FROM {source} a CROSS JOIN {k} k JOIN {source} d ON d.i = k.k AND d.j = k.k JOIN {source} r ON r.i = a.i AND r.j = k.k JOIN {source} c ON c.i = k.k AND c.j = a.j"
+        )
+
+    for k in range(p):
+        named.append((f"full_{k + 1}", swept(f"full_{k}", f"(SELECT {k} AS k)", 1)))
+    source, points = f"full_{p}", []
+    for n in range(p, 0, -1):
+        why = "NULL" if n == p else f"(SELECT {_case_name('k')} FROM out_{n + 1})"
+        beta = f"(SELECT b.i, b.v FROM {source} b JOIN {source} d ON d.i = b.i AND d.j = b.i WHERE b.j = {p} AND b.i < {p} AND d.v < 0)"
+        points.append(f"""
+        SELECT {n} AS n_features, {why} AS removed, ROUND(1 - (SELECT v FROM {source} WHERE i = {p} AND j = {p}) / (SELECT v FROM full_0 WHERE i = {p} AND j = {p}), 6) AS train_r2,
+               ROUND(1 - wrong / (SELECT SUM((z - (SELECT AVG(z) FROM cells WHERE i = {p} AND NOT tr)) ** 2) FROM cells WHERE i = {p} AND NOT tr), 6) AS test_r2,
+               ROUND(SQRT(wrong / (SELECT COUNT(*) FROM cells WHERE i = {p} AND NOT tr)) * (SELECT ANY_VALUE(s{p}) FROM marked), 2) AS test_rmse
+        FROM (SELECT SUM((y.z - coalesce(g.z, 0)) ** 2) AS wrong FROM (SELECT scrape_id, z FROM cells WHERE i = {p} AND NOT tr) y
+              LEFT JOIN (SELECT c.scrape_id, SUM(c.z * b.v) AS z FROM cells c JOIN {beta} b USING (i) WHERE NOT c.tr GROUP BY 1) g USING (scrape_id))""")
+        if n > 1:
+            named.append((f"out_{n}", f"SELECT b.i AS k FROM {source} b JOIN {source} d ON d.i = b.i AND d.j = b.i WHERE b.j = {p} AND b.i < {p} AND d.v < 0 ORDER BY b.v * b.v / -d.v, b.i LIMIT 1"))
+            named.append((f"left_{n}", swept(source, f"out_{n}", -1)))
+            source = f"left_{n}"
+    return "WITH " + ", ".join(f"{n} AS MATERIALIZED ({q})" for n, q in named) + " " + " UNION ALL ".join(points)
+
+
+def _case_name(k: str) -> str:
+    return "CASE " + k + " " + " ".join(f"WHEN {i} THEN '{f}'" for i, f in enumerate(LINEAR_FEATURES)) + " END"
+
+
+@query("elimination_path", _elimination_sql())
+def elimination_path(spark, sf):
+    """Backward elimination of the listing price's features, down to one, with the errors of every step."""
+    path = moment_models.elimination_path(encoded_frame(spark, sf), _held_out(), LINEAR_FEATURES, "price")
+    digits = {"train_r2": 6, "test_r2": 6, "test_rmse": 2}
+    return path.withColumns({c: F.round(c, d) for c, d in digits.items()})
 
 
 # --- with and without the extra signals ------------------------------------------------------
