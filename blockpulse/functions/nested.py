@@ -49,9 +49,43 @@ def drop_fields(items: Column, *fields: str) -> Column:
     return F.transform(items, lambda x: x.dropFields(*fields))
 
 
+# The pieces of a Python literal (text in either quotes, numbers, words, the rest), and the
+# words that JSON spells otherwise.
+_PIECES = (
+    r"(?s)'(?:[^'\\]++|\\.)*+'|" + r'"(?:[^"\\]++|\\.)*+"|' + r"[-+]?[0-9][0-9.eE+_-]*+|[A-Za-z_][A-Za-z0-9_]*+|"
+    + r"""[-+](?![0-9])|[^'"A-Za-z0-9_+-]++"""
+)
+_WORDS = {"None": "null", "True": "true", "False": "false"}
+
+
+def _replaced(text: Column, mark: str, by: str) -> Column:
+    """Replace a pattern unless an odd number of backslashes comes before it."""
+    return F.regexp_replace(text, r"(?<!\\)((?:\\\\)*)" + mark, by)
+
+
 def python_text_to_json(text: Column) -> Column:
-    """Text of a Python literal turned into JSON text: quotes swapped and None made null."""
-    return F.regexp_replace(F.replace(text, F.lit("'"), F.lit('"')), r"\bNone\b", "null")
+    """JSON text of a Python literal, or NULL where a quoted text does not end.
+
+    Texts keep what they hold: apostrophes, double quotes and words like None are only touched outside
+    of them. Tuples become lists, and a comma before a closing bracket goes.
+    """
+    pieces = F.regexp_extract_all(text, F.lit(_PIECES), F.lit(0))
+
+    def inside(piece: Column) -> Column:
+        inner = _replaced(F.substring(piece, F.lit(2), F.length(piece) - 2), r"\\'", "$1'")
+        return _replaced(inner, r"\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
+
+    def spelt(piece: Column) -> Column:
+        single = F.concat(F.lit('"'), _replaced(inside(piece), '"', r"$1\\" + '"'), F.lit('"'))
+        double = F.concat(F.lit('"'), inside(piece), F.lit('"'))
+        word = piece
+        for python, json in _WORDS.items():
+            word = F.when(piece == python, F.lit(json)).otherwise(word)
+        other = F.regexp_replace(F.translate(piece, "()", "[]"), r",(\s*[\]}])", "$1")
+        return F.when(piece.startswith("'"), single).when(piece.startswith('"'), double).when(piece.rlike("^[A-Za-z_]"), word).otherwise(other)
+
+    whole = F.length(F.array_join(pieces, "")) == F.length(text)
+    return F.when(whole, F.array_join(F.transform(pieces, spelt), ""))
 
 
 def parse_python_text(text: Column, schema) -> Column:

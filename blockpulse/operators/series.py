@@ -137,13 +137,20 @@ def acf(long: DataFrame, max_lag: int) -> DataFrame:
 
 
 def seasonal_decompose(long: DataFrame, period: int = 7) -> DataFrame:
-    """Additive decomposition by a centred moving average (odd period) and phase means."""
-    if period % 2 == 0:
-        raise ValueError("the centred average needs an odd period")
+    """Additive decomposition by a centred moving average and phase means.
+
+    An even period has no middle row: its average reaches half a period to both sides, and the rows at
+    both ends count half.
+    """
     half = period // 2
     x = F.col("value")
     frame = in_series().rowsBetween(-half, half)
-    trend = F.when(F.count(x).over(frame) == period, F.avg(x).over(frame))
+    if period % 2:
+        average = F.avg(x).over(frame)
+    else:
+        ends = F.lag(x, half).over(in_series()) + F.lead(x, half).over(in_series())
+        average = (F.sum(x).over(frame) - ends / 2) / period
+    trend = F.when(F.count(x).over(frame) == 2 * half + 1, average)
     rows = long.withColumns({"trend": trend, "phase": (F.row_number().over(in_series()) - 1) % period})
     by_phase = Window.partitionBy("series_id", "phase")
     rows = rows.withColumns({

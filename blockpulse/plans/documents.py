@@ -130,6 +130,38 @@ def repair_json(spark, sf):
     return rows.select("scrape_id", *_school_columns(doc.school_summary(parsed)))
 
 
+def _literal_facts(rows):
+    """The same facts as Python prints them, with either quotes, escapes, a tuple, and texts that never end."""
+    k = F.col("k").cast("string")
+    kinds = [
+        F.concat(F.lit("{\"agent\": \"O'Brien "), k, F.lit("\", 'note': 'None Such', \"active\": True, 'fee': None, 'tags': ('a', \"None\",), 'score': "), (F.col("k") % 7).cast("string"), F.lit(".5}")),
+        F.concat(F.lit(r"{'agent': 'O\'Brien "), k, F.lit("', 'note': 'said \"True\"', 'active': False, 'fee': "), k, F.lit(r", 'tags': ['It\'s'], 'score': -1e2}")),
+        F.concat(F.lit(r"{'agent': 'back\\slash "), k, F.lit("', 'note': None, 'active': None, 'fee': "), k, F.lit(".25, 'tags': [], 'score': "), (F.col("k") % 7).cast("string"), F.lit("}")),
+        F.concat(F.lit("{'agent': 'never ended "), k, F.lit(", 'note': None}")),
+    ]
+    return rows.select("id", F.get(F.array(*kinds), (F.col("id") % 4).cast("int")).alias("fact"))
+
+
+@query(
+    "parse_literals",
+    r"""
+    SELECT o_orderkey AS id, CASE o_orderkey % 4 WHEN 0 THEN 'O''Brien ' || o_custkey WHEN 1 THEN 'O''Brien ' || o_custkey WHEN 2 THEN 'back\slash ' || o_custkey END AS agent,
+           CASE o_orderkey % 4 WHEN 0 THEN 'None Such' WHEN 1 THEN 'said "True"' END AS note,
+           CASE o_orderkey % 4 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END AS active,
+           CASE o_orderkey % 4 WHEN 1 THEN CAST(o_custkey AS DOUBLE) WHEN 2 THEN o_custkey + 0.25 END AS fee,
+           CASE o_orderkey % 4 WHEN 0 THEN 'a|None' WHEN 1 THEN 'It''s' WHEN 2 THEN '' END AS tags,
+           CASE o_orderkey % 4 WHEN 0 THEN o_custkey % 7 + 0.5 WHEN 1 THEN -100.0 WHEN 2 THEN CAST(o_custkey % 7 AS DOUBLE) END AS score
+    FROM orders
+    """,
+)
+def parse_literals(spark, sf):
+    """Facts stored as Python literals: apostrophes, quotes and words like None inside texts stay as they are."""
+    rows = _literal_facts(table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("k")))
+    schema = "agent string, note string, active boolean, fee double, tags array<string>, score double"
+    facts = rows.select("id", nested.parse_python_text(F.col("fact"), schema).alias("f"))
+    return facts.select("id", "f.agent", "f.note", "f.active", "f.fee", F.array_join("f.tags", "|").alias("tags"), "f.score")
+
+
 @query(
     "avg_price_change",
     "SELECT s.n AS scrape_id, ROUND(AVG(rate), 4) AS avg_price_change FROM scrapes s LEFT JOIN price_items i ON s.n = i.n GROUP BY 1",

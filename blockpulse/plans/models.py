@@ -356,7 +356,7 @@ def _history_sql() -> str:
     fits = {f"hi{i}": [f for f in LINEAR_FEATURES if f not in out] for i, out in enumerate(HISTORY_RUNS)}
     head, names = _with_fits(fits)
     runs = " UNION ALL ".join(
-        f"SELECT 'price' AS target, ROUND(1 - SUM(t * t) / (VAR_POP(price) * COUNT(*)), 6) AS r2, ROUND(AVG(t * t)) AS mse, "
+        f"SELECT 'price' AS target, ROUND(1 - SUM(t * t) / (VAR_POP(price) * COUNT(*)), 6) AS r2, ROUND(AVG(t * t), 2) AS mse, "
         f"'{','.join(out)}' AS excluded_features, 'linear' AS model FROM {names[f'hi{i}'][-1]} WHERE NOT tr"
         for i, out in enumerate(HISTORY_RUNS)
     )
@@ -379,7 +379,7 @@ def model_history(spark, sf):
         )
         mod.append_history(run, path)
     log = spark.read.parquet(path)
-    return log.withColumns({"r2": F.round("r2", 6), "mse": F.round("mse")})
+    return log.withColumns({"r2": F.round("r2", 6), "mse": F.round("mse", 2)})
 
 
 @query("save_load_model", f"{_LINEAR_HEAD} SELECT scrape_id, ROUND(price - t, 2) AS predicted FROM {_LINEAR_LAST} WHERE NOT tr")

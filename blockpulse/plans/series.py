@@ -273,6 +273,28 @@ def seasonal_decompose(spark, sf):
     return rounded(ser.seasonal_decompose(long_signals(spark, sf), 7))
 
 
+@query(
+    "seasonal_decompose_yearly",
+    """
+    WITH t AS (SELECT *, CASE WHEN COUNT(value) OVER f = 13
+                              THEN (SUM(value) OVER inner_rows + (LAG(value, 6) OVER o + LEAD(value, 6) OVER o) * 0.5) / 12 END AS trend,
+                      (ROW_NUMBER() OVER o - 1) % 12 AS phase
+               FROM long_signals
+               WINDOW o AS (PARTITION BY series_id ORDER BY ts),
+                      f AS (PARTITION BY series_id ORDER BY ts ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING),
+                      inner_rows AS (PARTITION BY series_id ORDER BY ts ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING)),
+    p AS (SELECT series_id, phase, AVG(value - trend) AS m FROM t GROUP BY 1, 2),
+    s AS (SELECT series_id, phase, m - AVG(m) OVER (PARTITION BY series_id) AS seasonal FROM p)
+    SELECT series_id, ts, ROUND(value, 4) AS value, ROUND(trend, 4) AS trend, ROUND(seasonal, 4) AS seasonal,
+           ROUND(value - trend - seasonal, 4) AS residual
+    FROM t JOIN s USING (series_id, phase)
+    """,
+)
+def seasonal_decompose_yearly(spark, sf):
+    """The monthly signals with a season of twelve months, an even period."""
+    return rounded(ser.seasonal_decompose(long_signals(spark, sf), 12))
+
+
 define(
     "scan",
     " UNION ALL ".join(
