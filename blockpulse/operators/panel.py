@@ -129,3 +129,11 @@ def mean_by(panel: DataFrame, key: Column, key_name: str, means: dict[str, str])
     """Average of panel measures per coarser calendar key: {output: measure}."""
     aggs = [F.avg(F.col(source).cast("double")).alias(out) for out, source in means.items()]
     return panel.groupBy(key.alias(key_name)).agg(*aggs)
+
+
+def input_marks(feeds: Sequence[Feed]) -> DataFrame:
+    """(year, rows, mark): how many rows of all feeds fall into each year, and a sum of hashes of what they hold."""
+    rows = _stacked(feeds, lambda d: d.cast("date"), "day").where(F.col("day").isNotNull())
+    # Sums of 31-bit numbers: they don't overflow, and repeated rows count.
+    mark = F.sum(F.pmod(F.xxhash64(*sorted(rows.columns)), F.lit((1 << 31) - 1)))
+    return rows.groupBy(F.year("day").alias("year")).agg(F.count("*").alias("rows"), mark.alias("mark"))

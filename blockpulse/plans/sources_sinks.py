@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterator
+from dataclasses import replace
 from functools import reduce
 
 import pandas as pd
@@ -13,11 +14,12 @@ from pyspark.sql import functions as F
 
 from blockpulse.fixtures import feed, line_events, order_events, table
 from blockpulse.functions import calendar as cal
+from blockpulse.operators.panel import aligned_panel, input_marks
 from blockpulse.oracle import define
-from blockpulse.plans.panels import PANEL_OUT, panel, rounded
+from blockpulse.plans.panels import MEASURES, PANEL_OUT, all_feeds, panel, rounded
 from blockpulse.plans.registry import query
 from blockpulse.session import shared_path
-from blockpulse.sources import readers, writers
+from blockpulse.sources import readers, snapshots, writers
 
 CSV_SCHEMAS = {"complaints": "date date, tract double", "restaurants": "date date, tract double"}
 
@@ -211,6 +213,28 @@ def panel_mv(spark, sf):
     return rounded(stored.drop("year"))
 
 
+#: The first load holds what is dated before this day, the second load the rest too.
+SECOND_LOAD = "2000-07-01"
+
+
+@query("panel_refresh", f"SELECT {PANEL_OUT} FROM panel")
+def panel_refresh(spark, sf):
+    """The stored panel after a second load: only the years with new rows are built again."""
+    path, days = shared_path(spark, "panel-state"), F.lit(SECOND_LOAD).cast("date")
+    for first in (True, False):
+        refresh_panel(spark, sf, path, days if first else None)
+    return rounded(snapshots.read(spark, path, panel(spark, sf).schema).drop("year"))
+
+
+def refresh_panel(spark, sf, path, before=None):
+    """Refresh the stored panel from the feeds' rows dated `before` a day, or from all; the years that were built."""
+    feeds = all_feeds(spark, sf)
+    if before is not None:
+        feeds = [replace(f, where=(F.lit(True) if f.where is None else f.where) & (f.day.cast("date") < before)) for f in feeds]
+    whole = aligned_panel(feeds, lambda d: d.cast("date"), "event_date", "sales").select("event_date", *MEASURES)
+    return snapshots.refresh(input_marks(feeds), lambda years: whole.where(F.year("event_date").isin(years)), "event_date", path)
+
+
 AUDITED = ["sales", "complaints", "businesses", "evictions", "restaurants", "health_inspections", "nypd_arrests", "job_application_filings"]
 DATE_COLUMNS = ["sale_date", "date", "arrest_date", "pre_filing_date"]
 

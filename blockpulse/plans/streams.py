@@ -19,11 +19,19 @@ ARRIVALS, DELAY_DAYS = 3, 1
     "SELECT CAST(ts AS DATE) AS event_date, event_type AS feed, COUNT(*) AS n FROM events GROUP BY 1, 2",
 )
 def stream_daily_counts(spark, sf):
-    """Daily event counts kept up to date by a stream; its one file arrives at once, so nothing is late."""
-    path, checkpoint = shared_path(spark, "counts"), shared_path(spark, "counts-checkpoint")
-    schema = table(spark, sf, "events").schema
-    events = jobs.file_stream(jobs.state_session(spark), sf, schema, "events.parquet")
-    jobs.stream_daily_counts(events, "ts", "event_type", path, checkpoint)
+    """Daily event counts kept up to date by a stream. Events arrive in the order of their time, so nothing is late.
+
+    The stream is stopped after every arrival and goes on from its state.
+    """
+    folder, path, checkpoint = shared_path(spark, "arrivals"), shared_path(spark, "counts"), shared_path(spark, "counts-checkpoint")
+    events, session = table(spark, sf, "events"), jobs.state_session(spark)
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    for run in range(ARRIVALS):
+        begin, end = (F.lit(first) + (F.lit(last) - F.lit(first)) * (k / ARRIVALS) for k in (run, run + 1))
+        inside = (F.col("ts") >= begin) & ((F.col("ts") < end) if run + 1 < ARRIVALS else F.lit(True))
+        events.where(inside).write.mode("append").parquet(folder)
+        stream = jobs.file_stream(session, folder, events.schema, files_per_batch=1_000_000)
+        jobs.stream_daily_counts(stream, "ts", "event_type", path, checkpoint)
     return jobs.current_counts(spark, path)
 
 
@@ -76,14 +84,14 @@ def stream_route(spark, sf):
     """,
 )
 def stream_late_audit(spark, sf):
-    """Events reach the stream out of order under a short watermark; what was dropped is counted.
+    """Events reach the stream out of order under a short watermark; each batch counts what is too late as it passes.
 
     The stream is stopped and started again for every arrival.
     """
     folder, path, checkpoint = shared_path(spark, "disordered"), shared_path(spark, "audit"), shared_path(spark, "audit-checkpoint")
-    events, session = table(spark, sf, "events"), jobs.state_session(spark)
+    events = table(spark, sf, "events")
     for run in range(ARRIVALS):
         events.where(F.col("event_id") % ARRIVALS == run).write.mode("append").parquet(folder)
-        stream = jobs.file_stream(session, folder, events.schema, files_per_batch=1_000_000)
-        jobs.stream_daily_counts(stream, "ts", "event_type", path, checkpoint, delay=f"{DELAY_DAYS} day")
-    return jobs.late_rows(events, "ts", "event_type", jobs.current_counts(spark, path))
+        stream = jobs.file_stream(spark, folder, events.schema, files_per_batch=1_000_000)
+        jobs.stream_audit(stream, "ts", "event_type", path, checkpoint, f"{DELAY_DAYS} DAY")
+    return jobs.audited(spark, path)

@@ -25,6 +25,15 @@ def finished_folders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in system.listStatus(target) if system.exists(mark(s.getPath(), "_SUCCESS"))]
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below a path, hidden ones left out; none if the path is not there."""
+    system, target = _file_system(spark, path)
+    if not system.exists(target):
+        return []
+    names = [s.getPath().getName() for s in system.listStatus(target) if s.isDirectory()]
+    return sorted(n for n in names if n[0] not in "._")
+
+
 def list_paths(spark: SparkSession, path: str, suffix: str = "") -> list[tuple[str, int]]:
     """(path, bytes) of the files below a folder, in name order; hidden ones are left out."""
     system, target = _file_system(spark, path)

@@ -147,6 +147,49 @@ def stream_route(documents: DataFrame, in_city: Column, path: str, checkpoint: s
     return run_available(documents, write, checkpoint, "append")
 
 
+def stream_audit(events: DataFrame, ts: str, feed: str, path: str, checkpoint: str, delay: str) -> StreamingQuery:
+    """Count what a stream with this watermark takes and what is too late, per batch, day and feed.
+
+    Every batch is reduced once and written under its id: rows, rows that are late, and the newest time.
+    A row is late if its day ended no later than `delay` before the newest time of the batches before, the
+    rule by which the counts of `daily_counts` leave it out. That time is read from what the batch before
+    wrote, so a replayed batch finds the same rows late and overwrites its earlier attempt.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, counted = batch.sparkSession, f"{path}/counts/batch_id={batch_id}"
+        newest = spark.read.schema("newest timestamp").parquet(f"{path}/marks/batch_id={batch_id - 1}").first()[0] if batch_id else None
+        seen = batch.select(F.col(ts).cast("timestamp").alias("at"), F.col(feed).alias("feed")).withColumn("event_date", F.to_date("at"))
+        ended = F.col("event_date").cast("timestamp") + F.expr("INTERVAL 1 DAY")
+        late = F.coalesce(ended <= F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {delay}"), F.lit(False))
+        counts = seen.groupBy("event_date", "feed").agg(F.count("*").alias("rows"), F.count(F.when(late, 1)).alias("late"), F.max("at").alias("newest"))
+        counts.write.mode("overwrite").parquet(counted)
+        # One row: the newest time of all batches so far.
+        own = spark.read.schema(_AUDIT).parquet(counted).agg(F.max("newest").alias("newest"))
+        own.select(F.greatest("newest", F.lit(newest).cast("timestamp")).alias("newest")).write.mode("overwrite").parquet(f"{path}/marks/batch_id={batch_id}")
+
+    return run_available(events, write, checkpoint, "append")
+
+
+_AUDIT = "event_date date, feed string, rows long, late long, newest timestamp"
+
+
+def audited(spark: SparkSession, path: str) -> DataFrame:
+    """(event_date, feed, expected, streamed, late) over all batches that `stream_audit` wrote."""
+    batches = spark.read.schema(_AUDIT).parquet(f"{path}/counts")
+    rows, late = F.sum("rows"), F.sum("late")
+    return batches.groupBy("event_date", "feed").agg(rows.alias("expected"), (rows - late).alias("streamed"), late.alias("late"))
+
+
+def dropped_by_engine(job: StreamingQuery) -> dict[int, int]:
+    """Rows that the engine's own watermark left out, by batch id. It counts a batch's rows after they were reduced per key."""
+    found: dict[int, int] = {}
+    for progress in job.recentProgress:
+        dropped = sum(s["numRowsDroppedByWatermark"] for s in progress["stateOperators"])
+        found[progress["batchId"]] = found.get(progress["batchId"], 0) + dropped
+    return found
+
+
 def late_rows(events: DataFrame, ts: str, feed: str, streamed: DataFrame) -> DataFrame:
     """Rows the stream left out per (day, feed): batch recount minus streamed count."""
     day = F.col(ts).cast("date").alias("event_date")
