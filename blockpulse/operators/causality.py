@@ -19,6 +19,8 @@ from blockpulse.functions import numeric
 from blockpulse.operators.moments import gram
 from blockpulse.operators.series import difference
 from blockpulse.operators.windows import in_order
+from blockpulse.session import shared_path
+from blockpulse.sources.writers import stored
 
 ALPHA = 0.05
 
@@ -115,46 +117,54 @@ def granger(pairs: DataFrame, max_lag: int, keys: Sequence[str] = ("feature",),
 def granger_starts(pairs: DataFrame, max_lag: int) -> DataFrame:
     """The same test for every start date: (feature, start, lag, n, f_stat, p_value).
 
-    A start keeps the rows whose lags also lie on or after it. The sums of products are running
-    totals from the end of the series, one window per (feature, lag, matrix entry), so no suffix
-    is scanned twice.
+    A start keeps the rows whose lags also lie on or after it. Each date has one vector [1, effect lags,
+    cause lags, effect] at the longest lag; its products summed from the end of the series hold those of
+    every shorter lag as a part, so one running total per product serves all lags and starts. Lags from
+    before the series count as 0; they are in no part that is used.
     """
-    vectors = _lag_vectors(pairs, ["feature"], max_lag)
-    size = F.size("v")
-    upper = F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), size),
-            lambda i: F.transform(
-                F.sequence(i, size), lambda j: F.element_at("v", i) * F.element_at("v", j)
-            ),
-        )
-    )
-    entries = vectors.select("feature", "lag", "start", F.posexplode(upper).alias("entry", "product"))
-    tail = Window.partitionBy("feature", "lag", "entry").orderBy(F.desc("start")).rowsBetween(Window.unboundedPreceding, 0)
-    totals = entries.withColumns({"total": F.sum("product").over(tail), "n": F.count(F.lit(1)).over(tail)})
-    packed = totals.groupBy("feature", "lag", "start", "n").agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("entry", "total"))), lambda e: e["total"]
-        ).alias("gram")
-    )
-    result = packed.withColumn("_r", _granger_upper("gram", "n", "lag"))
-    return result.select(
-        "feature", "start", "lag", "n",
-        F.nanvl(F.col("_r.f_stat"), F.lit(None)).alias("f_stat"),
-        F.nanvl(F.col("_r.p_value"), F.lit(None)).alias("p_value"),
+    rows = _standardised(pairs, ["feature"])
+    order = Window.partitionBy("feature").orderBy("ts")
+    lags = range(1, max_lag + 1)
+    columns = [F.lit(1.0), *[F.coalesce(F.lag(c, k).over(order), F.lit(0.0)) for c in ("y", "x") for k in lags], F.col("y")]
+    dates = F.array(*[F.lag("ts", k).over(order) for k in lags])
+    dated = rows.select("feature", "ts", F.array(*columns).alias("v"), dates.alias("starts"))
+    upper = F.flatten(F.transform("v", lambda a, i: F.transform(F.slice("v", i + 1, len(columns)), lambda b: a * b)))
+    products = dated.select("feature", F.struct("ts", upper.alias("products"), "starts").alias("row"))
+    # One array per feature, as long as the calendar: it is walked once from its end.
+    newest_first = products.groupBy("feature").agg(F.reverse(F.array_sort(F.collect_list("row"))).alias("rows"))
+    none = F.struct(F.array_repeat(F.lit(0.0), len(columns) * (len(columns) + 1) // 2).alias("gram"), F.lit(None).cast(dated.schema["starts"].dataType).alias("starts"))
+
+    def onwards(done: Column, row: Column) -> Column:
+        total = F.zip_with(F.element_at(done, -1)["gram"], row["products"], lambda a, b: a + b)
+        return F.concat(done, F.array(F.struct(total.alias("gram"), row["starts"].alias("starts"))))
+
+    walked = newest_first.select("feature", F.posexplode(F.aggregate("rows", F.array(none), onwards)).alias("n", "at")).where("n > 0")
+    summed = walked.select("feature", F.col("n").cast("long").alias("n"), "at.gram", "at.starts")
+    tests = F.arrays_zip("starts", _granger_all_lags("gram", "n").alias("found"))
+    each = summed.select("feature", "n", F.posexplode(tests).alias("place", "t")).where("t.starts IS NOT NULL")
+    return each.select(
+        "feature", F.col("t.starts").alias("start"), (F.col("place") + 1).alias("lag"), "n",
+        F.nanvl(F.col("t.found.f_stat"), F.lit(None)).alias("f_stat"),
+        F.nanvl(F.col("t.found.p_value"), F.lit(None)).alias("p_value"),
     )
 
 
-@F.pandas_udf(_doubles("f_stat", "p_value"))
-def _granger_upper(grams: pd.Series, n: pd.Series, lag: pd.Series) -> pd.DataFrame:
+@F.pandas_udf(T.ArrayType(_doubles("f_stat", "p_value")))
+def _granger_all_lags(grams: pd.Series, n: pd.Series) -> pd.Series:
+    """The tests of lags 1, 2, .. from the flat upper half of products at the longest lag."""
     out = []
-    for g, rows, lags in zip(grams, n, lag):
-        size = 2 * lags + 2
+    for flat, rows in zip(grams, n):
+        size = (math.isqrt(8 * len(flat) + 1) - 1) // 2
         full = np.zeros((size, size))
-        full[np.triu_indices(size)] = g
+        full[np.triu_indices(size)] = flat
         full = full + np.triu(full, 1).T
-        out.append(numeric.granger_f(full, rows, lags))
-    return pd.DataFrame(out, columns=["f_stat", "p_value"])
+        longest, found = size // 2 - 1, []
+        for k in range(1, longest + 1):
+            used = [0, *range(1, k + 1), *range(longest + 1, longest + k + 1), size - 1]
+            f, p = numeric.granger_f(full[np.ix_(used, used)], rows, k)
+            found.append({"f_stat": f, "p_value": p})
+        out.append(found)
+    return pd.Series(out)
 
 
 def start_summary(starts: DataFrame, alpha: float = ALPHA) -> DataFrame:
@@ -244,6 +254,15 @@ def adf_test(long: DataFrame, keys: Sequence[str] = ("series_id",), most_lags: i
     linear, too short) has the status `untestable` and NULL figures, the others `tested`.
     """
     keys = list(keys)
+    return _adf_test(_written(long.select(*keys, "ts", "value")), keys, most_lags)
+
+
+def _written(long: DataFrame) -> DataFrame:
+    """A calendar-sized frame written once: the steps of a test read it several times."""
+    return stored(long, shared_path(long.sparkSession, "series"))
+
+
+def _adf_test(long: DataFrame, keys: list[str], most_lags: int | None) -> DataFrame:
     rows = _adf_rows(long, keys, _longest_rule(long, keys) if most_lags is None else most_lags)
     common = rows.where(F.size("past") >= F.col("max_lag")).withColumn("v", _adf_vector(F.col("max_lag")))
     chosen = gram(common, [*keys, "max_lag"], "v").select(
@@ -292,8 +311,8 @@ def make_stationary(
         step = F.col("value") - F.lag("value").over(order)
         listed = F.col("series_id").isin(list(first_differenced))
         long = long.withColumn("value", F.when(listed, step).otherwise(F.col("value")))
-    options = differenced_orders(long, max_order)
-    tests = adf_test(options, ["series_id", "order"], most_lags)
+    options = _written(differenced_orders(long, max_order))
+    tests = _adf_test(options, ["series_id", "order"], most_lags)
     passed = F.min(F.when(F.col("p_value") < alpha, F.col("order")))
     needed = tests.groupBy("series_id").agg(passed.alias("passed"), F.count("p_value").alias("tested"))
     chosen = needed.select(

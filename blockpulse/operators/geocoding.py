@@ -16,8 +16,9 @@ from blockpulse.session import shared_path
 from blockpulse.sources.writers import stored
 
 #: Places that a cell holds about; a cell with more than CROWDED times as many is split.
-PER_CELL, CROWDED = 8, 8
-#: Halvings of the whole area at most; cells beyond that are not split. Halvings from one round to the next.
+PER_CELL, CROWDED = 2, 4
+#: Halvings of the whole area at most; cells beyond that are not split. Halvings between two levels, and more
+#: by as much in every further round.
 DEEPEST, STEP = 24, 2
 
 
@@ -38,9 +39,15 @@ class _Grid:
     def __init__(self, x0: float, y0: float, side: float) -> None:
         self.x0, self.y0, self.side = x0, y0, side or 1.0
 
-    def at(self, level: int) -> list[Column]:
-        size = self.side / (1 << level)
-        return [F.floor((F.col(c) - F.lit(o)) / F.lit(size)).alias(f"c{c}") for c, o in (("x", self.x0), ("y", self.y0))]
+    def size(self, level: Column) -> Column:
+        return F.lit(self.side) / F.pow(F.lit(2.0), level)
+
+    def at(self, level: Column) -> list[Column]:
+        return [F.floor((F.col(c) - F.lit(o)) / self.size(level)).alias(f"c{c}") for c, o in (("x", self.x0), ("y", self.y0))]
+
+    def on(self, spots: DataFrame, levels: list[int]) -> DataFrame:
+        """`spots` with level, cx and cy, once for each of the levels."""
+        return spots.withColumn("level", F.explode(F.array(*[F.lit(k) for k in levels]))).select("*", *self.at(F.col("level")))
 
 
 def nearest(points: DataFrame, places: DataFrame, key: str = "id", place: str = "place") -> DataFrame:
@@ -48,10 +55,11 @@ def nearest(points: DataFrame, places: DataFrame, key: str = "id", place: str =
 
     `points` has (key, x, y) and `places` (place, x, y). A point is first compared with the places of its
     cell and the eight around it. If the nearest of them is not further than the border of those nine
-    cells, it is certain; other points go on with cells of four times the side. The first cells are so small
-    that they hold a few places each, and where one holds many it is split again, so that points start
-    with few places even in a crowded spot. Equal coordinates are searched once. Points without finite
-    coordinates are left out, and so are all points if there is no place.
+    cells, it is certain; other points go on with larger cells, just large enough where a place was
+    found. The first cells are so small that they hold a few places each, and where one holds many
+    it is split again, so that points start with few places even in a crowded spot. Equal coordinates are
+    searched once. Points without finite coordinates are left out, and so are all points if there is no
+    place.
     """
     targets = _kept(_spots(places, place, "_place"), "places")
     spots = _kept(_spots(points, key, "_key").drop("_key"), "spots")
@@ -65,58 +73,47 @@ def nearest(points: DataFrame, places: DataFrame, key: str = "id", place: str =
     while PER_CELL << (2 * first) < box.n and first < DEEPEST:
         first += 1
 
-    waiting = _start_levels(spots, targets, grid, first)
-    level = max(waiting)
-    done: list[DataFrame] = []
-    active: DataFrame | None = None
-    while True:
-        if level in waiting:
-            active = waiting[level] if active is None else active.unionAll(waiting[level])
-        if active is not None:
-            found = _kept(_nine_cells(active, targets, grid, level), "near")
-            # The whole area lies in the nine cells of level 0.
-            sure = F.col("_found").isNotNull() & (F.col("_found.d") <= F.col("_margin") * F.col("_margin")) if level else F.lit(True)
-            done.append(found.where(sure).select("x", "y", F.col("_found.place").alias(place), F.sqrt("_found.d").alias("distance")))
-            active = found.where(~sure).select("x", "y")
-            if not level or active.isEmpty():
-                active = None
-        if not level or (active is None and not any(k < level for k in waiting)):
-            break
-        level = max(0, level - STEP)
-    answers = _kept(reduce(DataFrame.unionAll, done), "nearest")
+    active, done, step = _start_levels(spots, targets, grid, first), [], STEP
+    while levels := [r.level for r in active.select("level").distinct().collect()]:  # at most DEEPEST of them
+        found = _kept(_nine_cells(active, targets, grid, levels), "near")
+        # The whole area lies in the nine cells of level 0.
+        sure = (F.col("level") == 0) | (F.col("_found").isNotNull() & (F.col("_found.d") <= F.col("_margin") * F.col("_margin")))
+        done.append(found.where(sure).select("x", "y", F.col("_found.place").alias(place), F.sqrt("_found.d").alias("distance")))
+        # The nearest is no further than the place that was found: cells of that side hold it for certain.
+        enough = F.floor(F.log2(F.lit(grid.side) / F.sqrt("_found.d")) - 1e-6).cast("int")
+        lower = F.greatest(F.lit(0), F.least(F.coalesce(enough, F.col("level") - step), F.col("level") - 1))
+        active = found.where(~sure).select("x", "y", lower.alias("level"))
+        step += STEP
+    answers = _kept(reduce(DataFrame.unionAll, done), "nearest") if done else spots.select("x", "y", F.lit(None).cast(places.schema[place].dataType).alias(place), F.lit(0.0).alias("distance"))
     numbers = points.select(key, F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
     return numbers.join(answers, ["x", "y"]).select(key, place, "distance")
 
 
-def _start_levels(spots: DataFrame, targets: DataFrame, grid: _Grid, first: int) -> dict[int, DataFrame]:
-    """The spots by the level they start at: `first`, or deeper as long as their cell is crowded."""
-    level, left, crowd, out = first, spots, targets, {}
-    while True:
-        counts = crowd.select(*grid.at(level)).groupBy("cx", "cy").agg(F.count("*").alias("n"))
-        hot = _kept(counts.where(F.col("n") > PER_CELL * CROWDED).drop("n"), "crowded")
-        if level >= DEEPEST or hot.isEmpty():
-            out[level] = left
-            return out
-        cells = left.select("x", "y", *grid.at(level))
-        out[level] = cells.join(hot, ["cx", "cy"], "left_anti").select("x", "y")
-        left = _kept(cells.join(hot, ["cx", "cy"], "left_semi").select("x", "y"), "deeper")
-        crowd = crowd.select("x", "y", *grid.at(level)).join(hot, ["cx", "cy"], "left_semi").select("x", "y")
-        level += STEP
-
-
-def _nine_cells(spots: DataFrame, targets: DataFrame, grid: _Grid, level: int) -> DataFrame:
-    """(x, y, _margin, _found): the nearest place in the nine cells around each spot, and how far their border is."""
-    size = grid.side / (1 << level)
-    own = spots.select("x", "y", *grid.at(level))
+def _start_levels(spots: DataFrame, targets: DataFrame, grid: _Grid, first: int) -> DataFrame:
+    """(x, y, level): each spot starts at `first`, or below the deepest level at which its cell is crowded."""
+    levels = list(range(first, DEEPEST, STEP)) or [first]
+    cells = grid.on(targets, levels).groupBy("level", "cx", "cy").agg(F.count("*").alias("n"))
+    hot = _kept(cells.where(F.col("n") > PER_CELL * CROWDED).drop("n"), "crowded")
+    used = [r.level for r in hot.select("level").distinct().collect()]
+    if not used:
+        return spots.select("x", "y", F.lit(first).alias("level"))
+    inside = grid.on(spots, used).join(hot, ["level", "cx", "cy"]).groupBy("x", "y").agg(F.max("level").alias("crowded"))
+    return _kept(spots.join(inside, ["x", "y"], "left").select("x", "y", F.coalesce(F.col("crowded") + STEP, F.lit(first)).alias("level")), "starts")
+
+
+def _nine_cells(spots: DataFrame, targets: DataFrame, grid: _Grid, levels: list[int]) -> DataFrame:
+    """(x, y, level, _margin, _found): the nearest place in the nine cells around each spot, and how far their border is."""
+    size = grid.size(F.col("level"))
+    own = spots.select("x", "y", "level", *grid.at(F.col("level")))
     # A little less than the distance to the border, for the rounding of the cell.
-    low = [F.col(c) - (F.lit(o) + (F.col(f"c{c}") - 1) * F.lit(size)) for c, o in (("x", grid.x0), ("y", grid.y0))]
+    low = [F.col(c) - (F.lit(o) + (F.col(f"c{c}") - 1) * size) for c, o in (("x", grid.x0), ("y", grid.y0))]
     margin = F.least(*low, *[3 * size - d for d in low]) - 1e-9 * size
     around = F.array(*[F.struct((F.col("cx") + i).alias("cx"), (F.col("cy") + j).alias("cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    asked = own.select("x", "y", F.inline(around))
-    held = targets.select(*grid.at(level), F.col("x").alias("px"), F.col("y").alias("py"), "_place")
+    asked = own.select("x", "y", "level", F.inline(around))
+    held = grid.on(targets, levels).select("level", "cx", "cy", F.col("x").alias("px"), F.col("y").alias("py"), "_place")
     d = (F.col("px") - F.col("x")) * (F.col("px") - F.col("x")) + (F.col("py") - F.col("y")) * (F.col("py") - F.col("y"))
-    met = asked.join(held, ["cx", "cy"]).groupBy("x", "y").agg(F.min(F.struct(d.alias("d"), F.col("_place").alias("place"))).alias("_found"))
-    return own.select("x", "y", margin.alias("_margin")).join(met, ["x", "y"], "left")
+    met = asked.join(held, ["level", "cx", "cy"]).groupBy("x", "y").agg(F.min(F.struct(d.alias("d"), F.col("_place").alias("place"))).alias("_found"))
+    return own.select("x", "y", "level", margin.alias("_margin")).join(met, ["x", "y"], "left")
 
 
 # --- similar addresses -----------------------------------------------------------------------
