@@ -5,6 +5,11 @@ learns which part a vector's neighbours are in. It assigns every row to a partit
 query to its most probable partitions, whose rows are reranked by exact distance. How much probability
 a query follows is set on queries from the sample, so that the wanted recall is met there.
 
+A table of more than PARTS * LEAF rows gets partitions of partitions: within each partition a graph and a
+classifier of its own are learned on a bounded sample of its rows, one task per partition, and so on until
+partitions hold about LEAF rows. Rows and queries go down level by level, so the work of a query depends on
+how many partitions it follows and not on the size of the table. The wanted recall is shared among the levels.
+
 Partitions are split into blocks of bounded size, and the queries that reach a block into groups, so a
 task holds one block and one group, whatever the size of a partition.
 
@@ -17,6 +22,7 @@ table gives an empty result. Other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -34,6 +40,8 @@ SAMPLE, PARTS, RECALL = 8192, 16, 0.95
 GRAPH, HIDDEN, PASSES = 16, 128, 15
 #: Rows of a block and queries of a group.
 BLOCK, GROUP = 4096, 1024
+#: Rows of a partition, about, where there is more than one level of them.
+LEAF = 4096
 
 
 def nearest(vectors: np.ndarray, k: int, queries: np.ndarray) -> np.ndarray:
@@ -161,21 +169,75 @@ def learn(vectors: np.ndarray, parts: int, k: int, recall: float, seed: int = 3)
     return router
 
 
-def _train(sample: DataFrame, parts: int, k: int, recall: float) -> Router:
-    """Learn on the sample in one task; only the layers come back."""
+_ROUTER = "layers array<binary>, shapes array<array<bigint>>, scale double, mass double"
+
+
+def _learned(parts: int, k: int, recall: float, sample: int) -> Callable[[pa.Table], pa.Table]:
+    """The router of a group of (part, id, vector) as one row."""
 
     def learned(table: pa.Table) -> pa.Table:
-        router = learn(matrix(table.sort_by("id").column("vector")), parts, k, recall)
+        part = table.column("part")[0].as_py()
+        router = learn(matrix(table.sort_by("id").slice(0, sample).column("vector")), parts, k, recall)
         shapes = [list(a.shape) for a in router.layers]
         return pa.table({
-            "layers": pa.array([[np.ascontiguousarray(a, np.float64).tobytes() for a in router.layers]], pa.list_(pa.binary())),
+            "part": pa.array([part], pa.int64()), "layers": pa.array([[np.ascontiguousarray(a, np.float64).tobytes() for a in router.layers]], pa.list_(pa.binary())),
             "shapes": pa.array([shapes], pa.list_(pa.list_(pa.int64()))), "scale": [router.scale], "mass": [router.mass],
         })
 
-    schema = "layers array<binary>, shapes array<array<bigint>>, scale double, mass double"
-    made = sample.select("id", "vector", F.lit(0).alias("all")).groupBy("all").applyInArrow(learned, schema).first()
-    layers = [np.frombuffer(b, np.float64).reshape(s) for b, s in zip(made.layers, made.shapes)]
-    return Router(layers, made.scale, made.mass)
+    return learned
+
+
+def _router(row: dict) -> Router:
+    return Router([np.frombuffer(b, np.float64).reshape(s) for b, s in zip(row["layers"], row["shapes"])], row["scale"], row["mass"])
+
+
+def _train(sample: DataFrame, parts: int, k: int, recall: float) -> Router:
+    """Learn on the sample in one task; only the layers come back."""
+    one = sample.select(F.lit(0).cast("long").alias("part"), "id", "vector").groupBy("part").applyInArrow(_learned(parts, k, recall, SAMPLE), f"part long, {_ROUTER}")
+    return _router(one.first().asDict())
+
+
+def fans(total: int, parts: int) -> list[int]:
+    """Partitions at each level: one level of `parts` while that leaves LEAF rows or less to each, else equal levels."""
+    levels = 1
+    while parts > 1 and parts**levels * LEAF < total:
+        levels += 1
+    return [parts] if levels == 1 else [max(2, math.ceil((total / LEAF) ** (1 / levels)))] * levels
+
+
+def _routers_within(index: DataFrame, fan: int, k: int, recall: float, sample: int) -> DataFrame:
+    """(part, router columns, blocks): a router for each partition, learned on a bounded sample of its rows."""
+    counts = index.groupBy("part").agg(F.count("*").alias("n"))
+    share = F.least(F.lit(1.0), sample / F.col("n"))
+    chosen = index.join(counts, "part").where(F.shiftrightunsigned(F.xxhash64("id"), 34) <= share * (1 << 30))
+    routers = chosen.select("part", "id", "vector").groupBy("part").applyInArrow(_learned(fan, k, recall, sample), f"part long, {_ROUTER}")
+    return routers.join(counts.select("part", F.ceil(F.col("n") / (8 * BLOCK)).cast("long").alias("blocks")), "part")
+
+
+def _descended(rows: DataFrame, routers: DataFrame, fan: int, everywhere: bool) -> DataFrame:
+    """`rows` (id, vector, part) one level down: in their most probable part, or (`everywhere`) in all that a query follows.
+
+    A partition's rows are dealt over blocks of bounded size, and its router goes to each of them.
+    """
+
+    def down(group: pa.Table, router: pa.Table) -> pa.Table:
+        out = {"id": pa.array([], pa.int64()), "vector": pa.array([], kind), "part": pa.array([], pa.int64())}
+        if group.num_rows and router.num_rows:
+            of, vectors, part = _router(router.slice(0, 1).to_pylist()[0]), matrix(group.column("vector")), group.column("part")[0].as_py()
+            if everywhere:
+                row, child = np.nonzero(of.routes(vectors))
+            else:
+                row, child = np.arange(len(vectors)), of.probabilities(vectors).argmax(axis=1)
+            taken = group.take(pa.array(row))
+            out = {"id": taken.column("id"), "vector": taken.column("vector"), "part": pa.array(part * fan + child, pa.int64())}
+        return pa.table(out)
+
+    simple = rows.schema["vector"].dataType
+    kind = pa.list_(pa.float32() if simple.elementType.typeName() == "float" else pa.float64())
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
+    dealt = rows.join(routers.select("part", "blocks"), "part").select("id", "vector", "part", F.pmod(F.xxhash64("id"), "blocks").alias("block"))
+    cell = ["part", "block"]
+    return dealt.groupBy(cell).cogroup(routers.select("*", each).groupBy(cell)).applyInArrow(down, f"id long, vector {simple.simpleString()}, part long")
 
 
 def _closest(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -234,30 +296,47 @@ def search(
 
 def _search_length(rows: DataFrame, queries: DataFrame, total: int, k: int, parts: int, recall: float, sample: int, scratch: Scratch) -> DataFrame:
     """(query_id, vec_id, score): what each block has to offer to the queries, for vectors of one length."""
-    router = _train(bounded_sample(rows, sample, total, F.col("id")), parts, k, recall)
+    levels = fans(total, parts)
+    recall = recall ** (1 / len(levels))
+    router = _train(bounded_sample(rows, sample, total, F.col("id")), levels[0], k, recall)
     shared = rows.sparkSession.sparkContext.broadcast(router)
 
     def homes(batches):
         for batch in batches:
             if batch.num_rows:
                 home = shared.value.probabilities(matrix(batch.column(1))).argmax(axis=1)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(home.astype(np.int32))], names=["id", "vector", "part"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(home.astype(np.int64))], names=["id", "vector", "part"])
 
     def routed(batches):
         for batch in batches:
             if batch.num_rows:
                 chosen = [np.flatnonzero(r).tolist() for r in shared.value.routes(matrix(batch.column(1)))]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chosen, pa.list_(pa.int32()))], names=["id", "vector", "parts"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chosen, pa.list_(pa.int64()))], names=["id", "vector", "parts"])
 
     kind = rows.schema["vector"].dataType.simpleString()
-    index = scratch.write(rows.mapInArrow(homes, f"id long, vector {kind}, part int"), "index", merged=False)
-    routes = queries.mapInArrow(routed, f"id long, vector {kind}, parts array<int>")
+    index = scratch.write(rows.mapInArrow(homes, f"id long, vector {kind}, part long"), "index", merged=False)
+    routes = queries.mapInArrow(routed, f"id long, vector {kind}, parts array<long>")
     routes = scratch.write(routes.select("id", "vector", F.explode("parts").alias("part")), "routes")
-
+    for fan in levels[1:]:
+        routers = scratch.write(_routers_within(index, fan, k, recall, sample), "routers")
+        index, routes = (scratch.write(_descended(x, routers, fan, everywhere), name, merged=False) for x, everywhere, name in ((index, False, "index"), (routes, True, "routes")))
+
+    near = scratch.write(_reranked(index, routes, k, scratch), "near", merged=False)
+    enough = near.groupBy("query_id").agg(F.count_distinct("vec_id").alias("n")).where(F.col("n") >= k)
+    short = scratch.write(queries.join(enough, queries["id"] == enough["query_id"], "left_anti"), "short")
+    if short.isEmpty():
+        return near
+    # Queries whose partitions held too few rows meet all of them.
+    whole = F.lit(0).cast("long").alias("part")
+    return near.unionAll(_reranked(index.select("id", "vector", whole), short.select("id", "vector", whole), k, scratch))
+
+
+def _reranked(index: DataFrame, routes: DataFrame, k: int, scratch: Scratch) -> DataFrame:
+    """(query_id, vec_id, score): the k nearest rows of each block of the partitions that a query follows."""
     # Blocks of a partition and groups of its queries: one row per partition.
     blocks = index.groupBy("part").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
     groups = routes.groupBy("part").agg(F.ceil(F.count("*") / GROUP).cast("long").alias("groups"))
-    sizes = F.broadcast(scratch.write(blocks.join(groups, "part"), "sizes"))
+    sizes = scratch.write(blocks.join(groups, "part"), "sizes")
     spread = F.xxhash64("id")
 
     def each(count: str) -> Column:

@@ -77,6 +77,22 @@ def test_search_prunes_where_vectors_cluster(spark):
         assert sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want) >= 0.9 * 10 * len(want)
 
 
+def test_partitions_of_partitions(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(60, 12)) * 6
+    x = np.concatenate([c + rng.normal(size=(80, 12)) for c in centres])[rng.permutation(4800)]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(9000 + i, x[5].tolist()) for i in range(700)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(partition_ann, "LEAF", 100)
+    monkeypatch.setattr(partition_ann, "BLOCK", 64)
+    assert partition_ann.fans(5500, 6) == [4, 4, 4] and partition_ann.fans(5500, 100) == [100] and partition_ann.fans(5500, 1) == [1]
+    got = found(partition_ann.search(df, partition_ann.F.col("id") % 60 == 0, parts=6))
+    vectors = {i: np.array(v) for i, v in rows}
+    want = slow_search(vectors, [i for i in vectors if i % 60 == 0])
+    assert set(got) == set(want) and all(len(near) == 10 for near in got.values())
+    assert sum(len({s for _, s in got[q]} & {s for _, s in want[q]}) for q in want) >= 0.9 * sum(len({s for _, s in want[q]}) for q in want)
+
+
 def test_balanced_parts():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(1000, 8))
