@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
     FMRegressor,
@@ -181,6 +182,18 @@ def coefficient_table(model: Model, features: Sequence[str], digits: int = 3) ->
     return table.select("feature", F.round("importance", digits).alias("importance")).orderBy(F.desc("importance"), "feature")
 
 
+def root_split(model: Model, train: DataFrame) -> DataFrame:
+    """(explained, smaller, larger, apart) of the first tree's root: the share of the label's variance that its split
+    explains, the training rows on both sides, and how far their mean labels are apart."""
+    root = model.trees[0]._java_obj.rootNode()
+    explained = root.gain() / root.impurity() if root.impurity() else 0.0
+    left = vector_to_array("features")[root.split().featureIndex()] <= root.split().threshold()
+    n, n_left, y_left, y = F.count("*"), F.count(F.when(left, 1)), F.avg(F.when(left, F.col("label"))), F.avg(F.when(~left, F.col("label")))
+    return train.agg(F.least(n_left, n - n_left).alias("smaller"), F.greatest(n_left, n - n_left).alias("larger"), F.abs(y_left - y).alias("apart")).select(
+        F.lit(float(explained)).alias("explained"), "smaller", "larger", "apart"
+    )
+
+
 def leaderboard(train: DataFrame, test: DataFrame, models: Mapping[str, object] | None = None) -> DataFrame:
     """(model, metrics, fit_seconds) for each learner, best R2 first.
 

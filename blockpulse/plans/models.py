@@ -349,6 +349,79 @@ def model_leaderboard(spark, sf):
     return mod.leaderboard(train, test)
 
 
+#: Penalty of the ridge model, in the learner's own units: it counts per training row, relative to the spread of the label.
+RIDGE = 2e6
+
+
+def _board_sql() -> str:
+    """The ridge model is a fit with one more training row per feature, which holds that feature only."""
+    p, names = len(LINEAR_FEATURES), ", ".join(LINEAR_FEATURES)
+    spreads = ", ".join(f"STDDEV_POP({f}) FILTER ({_TRAIN_SQL}) AS s{i}" for i, f in enumerate(LINEAR_FEATURES))
+    blank = ", ".join(f"CASE WHEN j = {i} THEN SQRT(n * {RIDGE} / sy) * s{i} ELSE 0 END AS {f}" for i, f in enumerate(LINEAR_FEATURES))
+    centred = ", ".join(f"{f} - AVG({f}) OVER () AS {f}" for f in LINEAR_FEATURES)
+    named = [
+        ("encoded_rows", _ENCODED_SQL),
+        ("spreads", f"SELECT COUNT(*) FILTER ({_TRAIN_SQL}) AS n, STDDEV_POP(price) FILTER ({_TRAIN_SQL}) AS sy, {spreads} FROM encoded_rows"),
+        (
+            "board_rows",
+            f"SELECT learner, scrape_id, 1.0 AS one, {_TRAIN_SQL} AS seen, TRUE AS real, CAST(price AS DOUBLE) AS price, {names} "
+            f"FROM (SELECT scrape_id, price, {centred} FROM encoded_rows), (VALUES ('linear'), ('ridge')) l(learner) "
+            f"UNION ALL SELECT 'ridge', NULL, 0.0, TRUE, FALSE, 0.0, {blank} FROM spreads, range({p}) r(j)",
+        ),
+    ]
+    steps, last = least_squares_sql("board_rows", "learner", ["real", "price"], LINEAR_FEATURES, "price", "seen", "bd", constant="one")
+    named += steps
+    body = f"""
+    SELECT model, ROUND(mae, 2) AS mae, ROUND(rmse, 2) AS rmse, ROUND(r2, 6) AS r2 FROM (
+      SELECT learner, AVG(ABS(t)) AS mae, SQRT(AVG(t * t)) AS rmse, 1 - AVG(t * t) / VAR_POP(price) AS r2 FROM {last} WHERE NOT tr AND real GROUP BY 1)
+    JOIN (VALUES ('linear', 'linear'), ('generalized_linear', 'linear'), ('ridge', 'ridge')) m(model, learner) USING (learner)
+    """
+    return "WITH " + ", ".join(f"{n} AS MATERIALIZED ({q})" for n, q in named) + body
+
+
+@query("linear_leaderboard", _board_sql())
+def linear_leaderboard(spark, sf):
+    """The linear rows of the leaderboard: least squares, ridge and the gaussian model."""
+    rows = mod.assemble(encoded_frame(spark, sf), LINEAR_FEATURES, "price", ["scrape_id"], centre=True)
+    train, test = mod.hash_split(rows, "scrape_id")
+    chosen = {"linear": mod.linear(), "ridge": mod.linear(RIDGE), "generalized_linear": mod.learners()["generalized_linear"]}
+    board = mod.leaderboard(train, test, chosen)
+    return board.select("model", F.round("mae", 2).alias("mae"), F.round("rmse", 2).alias("rmse"), F.round("r2", 6).alias("r2"))
+
+
+_SPLIT_FEATURES = ALL_SIGNALS[1:]
+
+
+@query(
+    "boosted_root_split",
+    f"""
+    WITH r AS (
+      SELECT avg_sales AS y, {", ".join(_SPLIT_FEATURES)} FROM signals
+      WHERE avg_sales IS NOT NULL AND {" AND ".join(f"{f} IS NOT NULL" for f in _SPLIT_FEATURES)}
+        AND CAST('0x' || substr(md5(CAST(month AS VARCHAR)), 1, 8) AS BIGINT) % 100 >= 20),
+    long AS ({" UNION ALL ".join(f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS x, y - (SELECT AVG(y) FROM r) AS y FROM r" for f in _SPLIT_FEATURES)}),
+    v AS (SELECT feature, x, SUM(y) AS s, COUNT(*) AS n FROM long GROUP BY 1, 2),
+    c AS (SELECT feature, x, LEAD(x) OVER w AS after, SUM(s) OVER w AS ls, SUM(n) OVER w AS ln, SUM(s) OVER a AS ts, SUM(n) OVER a AS tn
+          FROM v WINDOW w AS (PARTITION BY feature ORDER BY x), a AS (PARTITION BY feature))
+    SELECT ROUND((ls * ls / ln + (ts - ls) * (ts - ls) / (tn - ln)) / (SELECT SUM(y * y) FROM long WHERE feature = c.feature), 6) AS explained,
+           CAST(LEAST(ln, tn - ln) AS BIGINT) AS smaller, CAST(GREATEST(ln, tn - ln) AS BIGINT) AS larger,
+           ROUND(ABS(ls / ln - (ts - ls) / (tn - ln)), 4) AS apart
+    FROM c WHERE after IS NOT NULL ORDER BY ls * ls / ln + (ts - ls) * (ts - ls) / (tn - ln) DESC LIMIT 1
+    """,
+)
+def boosted_root_split(spark, sf):
+    """Root of the first boosted tree of the price index, with every pair of neighbouring values as a possible split.
+
+    Signals that part the months alike are equally good, so the parts are shown and not the signal.
+    """
+    stored = writers.stored(signals(spark, sf), shared_path(spark, "signals"))
+    rows = mod.assemble(stored, _SPLIT_FEATURES, "avg_sales", ["month"])
+    train, _ = mod.hash_split(rows, "month")
+    learner = mod.boosted_trees(mod.MARKET_BOOST).setMaxIter(1).setMaxBins(1024)  # more bins than months
+    shown = mod.root_split(mod.fit(learner, train), train)
+    return shown.select(F.round("explained", 6).alias("explained"), "smaller", "larger", F.round("apart", 4).alias("apart"))
+
+
 HISTORY_RUNS = ((), ("bedrooms",))
 
 
