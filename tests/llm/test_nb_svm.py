@@ -75,3 +75,43 @@ def test_one_class(spark, share, low, high):
     labels = spark.createDataFrame([(i, q) for i, q in enumerate(share)], "doc_id long, quality int")
     model = nb_svm.train(docs, labels)
     assert all(low <= r.score <= high for r in nb_svm.score_documents(docs, model).collect())
+
+
+def test_descent_matches_a_plain_solver(monkeypatch):
+    """The same dual, solved by projected gradient steps on a dense matrix, gives the same margins."""
+    monkeypatch.setattr(nb_svm, "PASSES", 3000)
+    rng = np.random.default_rng(6)
+    rows = [np.sort(rng.choice(40, 6, replace=False)) for _ in range(80)]
+    sign = np.array([1.0 if (3 in r) != (rng.random() < 0.1) else -1.0 for r in rows])
+    values = [np.full(6, 6**-0.5) for _ in rows]
+    weights, bias = nb_svm.dual_coordinate_descent(rows, values, sign)
+    dense = np.zeros((80, 41))
+    dense[:, 40] = 1  # the constant is a weight like the others
+    for i, (r, v) in enumerate(zip(rows, values)):
+        dense[i, r] = v
+    signed = dense * sign[:, None]
+    inner, duals = signed @ signed.T, np.zeros(80)
+    step = 1 / np.linalg.eigvalsh(inner).max()
+    for _ in range(200_000):
+        duals = np.clip(duals + step * (1 - inner @ duals), 0, nb_svm.COST)
+    want = dense @ (signed.T @ duals)
+    got = np.array([weights[r] @ v + bias for r, v in zip(rows, values)])
+    assert np.abs(got - want).max() < 0.02
+
+
+def test_score_of_very_long_texts_and_the_threshold(spark):
+    """Scores of whole texts against the model applied directly, and a tie at the threshold stays."""
+    rng = np.random.default_rng(2)
+    docs = [(i, " ".join(rng.choice(["good", "words", "junk", "!!", "zz"], 12))) for i in range(80)] + [(90, "good words " * 200_000), (91, "junk !! " * 200_000)]
+    labels = [(i, int("good" in t)) for i, t in docs[:80]]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    model = nb_svm.train(df, spark.createDataFrame(labels, "doc_id long, quality int"))
+    maker, got = nb_svm.NGrams(), {r.id: r.score for r in nb_svm.score_documents(df, model).collect()}
+    for i, text in docs:
+        grams = maker.of(text)
+        norm = np.sqrt(model.squares[grams].astype(float).sum()) or 1.0
+        margin = model.weights[grams].astype(float).sum() / norm + model.bias
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-(model.slope * margin + model.offset))), abs=1e-5)
+    at = sorted(got.values())[40]
+    kept = {r.doc_id for r in nb_svm.keep_good(df, model, threshold=at).collect()}
+    assert kept == {i for i, s in got.items() if s >= at}

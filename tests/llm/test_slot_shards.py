@@ -76,3 +76,25 @@ def test_repeats_are_numbered_over_ranges(spark):
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert spark.read.parquet(f"{scratch.root}/001-ranges").where("id = 5").select("range").distinct().count() > 2
     assert all(sorted(v) == list(range(len(v))) for v in got.values()) and len(got[None]) == len(got[5]) == 1000 and len(got) == 1002
+
+
+def test_query_matches_a_direct_map(spark, sf):
+    """Largest slot first to the shard with the fewest bytes; places count a shard's rows by slot, id and text."""
+    rows = QUERIES["op3_slot_shards"](spark, sf).collect()
+    loads = defaultdict(int)
+    for r in rows:
+        loads[r.virtual_slot] += r.size
+    held, owner = [0] * 40, {}
+    for slot in sorted(loads, key=lambda s: (-loads[s], s)):
+        owner[slot] = min(range(40), key=lambda shard: (held[shard], shard))
+        held[owner[slot]] += loads[slot]
+    assert all(r.shard == owner[r.virtual_slot] for r in rows)
+    by_shard = defaultdict(list)
+    for r in rows:
+        by_shard[r.shard].append(r)
+    for own in by_shard.values():
+        own.sort(key=lambda r: (r.virtual_slot, r.doc_id, r.text_crc32, r.size))
+        assert [r.slot for r in own] == list(range(len(own)))
+    moved = [r for r in rows if r.next_shard != r.shard]
+    goal = sum(held) / 41
+    assert {r.next_shard for r in moved} == {40} and goal - max(r.size for r in rows) * 2 <= sum(r.size for r in moved) <= goal
