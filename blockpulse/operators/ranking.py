@@ -7,25 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from blockpulse.session import ensure_checkpoint_dir, shared_path
+from blockpulse.session import shared_path
+from blockpulse.sources.writers import stored
 
 
 def sorted_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_name, num, txt, code): rank 0..n-1 of every distinct value per column, sorted.
 
     Values are range partitioned, numbered inside each partition, and moved by the count of the
-    partitions before it. The ranged frame is checkpointed so that both passes see one layout.
+    partitions before it. The ranged frame is written with its partition numbers, so that both passes
+    see one layout.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     entries = F.array(*[F.struct(F.lit(c).alias("column_name"), *_sort_key(df, c)) for c in columns])
     distinct = df.select(F.inline(entries)).where("num IS NOT NULL OR txt IS NOT NULL").distinct()
     order = ["column_name", "num", "txt"]
-    ranged = (
-        distinct.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_part", F.spark_partition_id())
-        .checkpoint()
-    )
+    numbered = distinct.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    ranged = stored(numbered, shared_path(df.sparkSession, "ranged"))
     sizes = ranged.groupBy("column_name", "_part").agg(F.count("*").alias("_size"))
     before = Window.partitionBy("column_name").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("column_name", "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))

@@ -19,20 +19,23 @@ ARRIVALS, DELAY_DAYS = 3, 1
     "SELECT CAST(ts AS DATE) AS event_date, event_type AS feed, COUNT(*) AS n FROM events GROUP BY 1, 2",
 )
 def stream_daily_counts(spark, sf):
-    """Daily event counts kept up to date by a stream. Events arrive in the order of their time, so nothing is late.
+    """Daily event counts kept up to date by a stream that takes one file a batch.
 
-    The stream is stopped after every arrival and goes on from its state.
+    Events arrive in the order of their time, in several loads. Files of one load may be taken in any
+    order, so the watermark waits for as long as a load lasts, and nothing is late.
     """
     folder, path, checkpoint = shared_path(spark, "arrivals"), shared_path(spark, "counts"), shared_path(spark, "counts-checkpoint")
-    events, session = table(spark, sf, "events"), jobs.state_session(spark)
+    events = table(spark, sf, "events")
     first, last = events.agg(F.min("ts"), F.max("ts")).first()
-    for run in range(ARRIVALS):
-        begin, end = (F.lit(first) + (F.lit(last) - F.lit(first)) * (k / ARRIVALS) for k in (run, run + 1))
-        inside = (F.col("ts") >= begin) & ((F.col("ts") < end) if run + 1 < ARRIVALS else F.lit(True))
-        events.where(inside).write.mode("append").parquet(folder)
-        stream = jobs.file_stream(session, folder, events.schema, files_per_batch=1_000_000)
-        jobs.stream_daily_counts(stream, "ts", "event_type", path, checkpoint)
-    return jobs.current_counts(spark, path)
+    if first is not None:
+        share = (last - first) / ARRIVALS
+        for run in range(ARRIVALS):
+            until = F.col("ts") < F.lit(first + share * (run + 1)) if run + 1 < ARRIVALS else F.lit(True)
+            events.where((F.col("ts") >= F.lit(first + share * run)) & until).write.mode("append").parquet(folder)
+        stream = jobs.file_stream(jobs.state_session(spark), folder, events.schema, files_per_batch=1)
+        jobs.stream_daily_counts(stream, "ts", "event_type", path, checkpoint, delay=f"{share.days + 2} days")
+        return jobs.current_counts(spark, path)
+    return spark.createDataFrame([], "event_date date, feed string, n long")
 
 
 def scrape_stream(spark, sf):
