@@ -15,6 +15,9 @@ region, residents and guests come in sides of bounded size, a task per pair of s
 them block by block; it returns the number of links of each class and a spanning forest of the links,
 so no group is ever spelled out as pairs.
 
+There are MOST_CELLS cells at most. In a table so large that cells hold more than SPLIT vectors, such a cell
+gets centroids, cells and regions of its own, for its residents and its guests, under the same bounds.
+
 Rows and edge cases: vectors that are NULL, zero, or hold NULL or non-finite components link with
 nothing, nor do rows without an id: each is a group of its own and kept. Vectors of each length are
 compared among themselves. Repeated rows are vectors of their own that link to each other. An empty table gives an empty
@@ -40,8 +43,8 @@ COSINE = 0.9
 SAMPLE, MOST_CELLS, PASSES, BLOCK = 16_384, 2048, 8, 1024
 #: Blocks and components of a side, at most, and sides that all classes make, at least, if they fill a block each.
 SIDE, SIDE_VALUES, LEAST_SIDES = 8, 8 << 20, 16
-#: How far a partner may lie across, in standard deviations of a random direction; sqrt(width) and more are no limit.
-SPREADS = float("inf")
+#: Residents of a cell beyond which it is cut into cells of its own.
+SPLIT = 32_768
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -81,7 +84,7 @@ def regions(centres: np.ndarray, sizes: np.ndarray, most: int) -> list[np.ndarra
     return done
 
 
-def visits(vectors: np.ndarray, home: np.ndarray, centres: np.ndarray, angles: np.ndarray, cosine: float, spreads: float = float("inf")) -> np.ndarray:
+def visits(vectors: np.ndarray, home: np.ndarray, centres: np.ndarray, angles: np.ndarray, cosine: float) -> np.ndarray:
     """True where a partner of a vector of cell `home` can live in a cell. angles: least and greatest of each cell's own vectors to its centroid.
 
     The margins are above the rounding of a root and an arc cosine near 0.
@@ -92,7 +95,7 @@ def visits(vectors: np.ndarray, home: np.ndarray, centres: np.ndarray, angles: n
     across = (1 - cosine * cosine) ** 0.5 if cosine > 0 else 1.0
     angle, most = np.arccos(np.clip(near, -1, 1)), np.arccos(np.clip(cosine, -1, 1))
     ringed = (angle <= angles[1] + most + 1e-6) & (angle >= angles[0] - most - 1e-6)
-    return ringed & (behind <= apart * across * min(1.0, spreads / centres.shape[1] ** 0.5) + 1e-7)
+    return ringed & (behind <= apart * across + 1e-7)
 
 
 def _fit_centres(sample: DataFrame, cells: int) -> np.ndarray:
@@ -131,11 +134,13 @@ def _compare(cosine: float) -> Callable[[pa.Table], pa.Table]:
         left, right = table.filter(table.column("side").to_numpy() < 2), table.filter(table.column("side").to_numpy() > 0)
         sides = [(unit(matrix(x.column("vector"))), x.column("node").to_numpy(), x.column("n").to_numpy()) for x in (left, right)]
         (a, left_node, left_n), (b, right_node, right_n) = sides
+        left_own, right_own = (x.column("own").to_numpy(zero_copy_only=False) for x in (left, right))
         left_links, right_links, ends, roots = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64), [], []
         for i in range(0, len(a), BLOCK):
             for j in range(i if itself else 0, len(b), BLOCK):
                 rows, cols = slice(i, i + BLOCK), slice(j, j + BLOCK)
                 close = a[rows] @ b[cols].T >= cosine
+                close &= left_own[rows, None] | right_own[None, cols]
                 if itself:  # each pair once
                     close &= left_node[rows, None] < right_node[None, cols]
                 left_links[rows] += close @ right_n[cols]
@@ -174,6 +179,80 @@ def _tasks() -> Column:
     return F.when(F.col("resident"), F.concat(residents, to_guests)).otherwise(to_residents)
 
 
+def _split(stays: DataFrame, crowded: DataFrame, side: int, cosine: float, sample: int, scratch: Scratch) -> DataFrame:
+    """`stays` with the crowded regions (region, residents) cut into regions of their own cells.
+
+    Centroids are fitted on a bounded sample of each crowded region's residents, one task per region. The bounds
+    of `visits` hold for any centroids, so members, residents and guests alike, get a cell among them and
+    look into the cells where a partner can live. `own` keeps who was a resident before: two guests meet
+    where one of them lives and are not compared here.
+    """
+    inside = scratch.write(stays.join(crowded, "region").select(*stays.columns, "residents"), "crowded-rows", merged=False)
+    chosen = inside.where(F.col("resident") & (F.shiftrightunsigned(F.xxhash64("node"), 34) <= F.least(F.lit(1.0), sample / F.col("residents")) * (1 << 30)))
+    kind = stays.schema["vector"].dataType.simpleString()
+
+    def fitted(table: pa.Table) -> pa.Table:
+        table = table.sort_by("node").slice(0, sample)
+        cells = max(1, min(MOST_CELLS, round(table.column("residents")[0].as_py() ** 0.5)))
+        centres = spherical_kmeans(unit(matrix(table.column("vector"))), cells)
+        return pa.table({"region": table.column("region").slice(0, 1), "centres": pa.array([centres.tobytes()], pa.binary()), "width": [centres.shape[1]]})
+
+    fits = scratch.write(chosen.select("region", "node", "vector", "residents").groupBy("region").applyInArrow(fitted, "region long, centres binary, width long"), "sub-centres", merged=False)
+    members = scratch.write(inside.groupBy("region").agg(F.ceil(F.count("*") / (4 * BLOCK)).cast("long").alias("blocks")), "members")
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
+
+    def dealt(rows: DataFrame, models: DataFrame, step: Callable, schema: str) -> DataFrame:
+        """Apply a step to blocks of a region's rows, each with the region's model."""
+        left = rows.join(members, "region").select(*rows.columns, F.pmod(F.xxhash64("node"), "blocks").alias("block"))
+        right = models.join(members, "region").select(*models.columns, each)
+        return left.groupBy("region", "block").cogroup(right.groupBy("region", "block")).applyInArrow(step, schema)
+
+    def housed(rows: pa.Table, model: pa.Table) -> pa.Table:
+        centres = np.frombuffer(model.column("centres")[0].as_py(), np.float64).reshape(-1, model.column("width")[0].as_py())
+        near = unit(matrix(rows.column("vector"))) @ centres.T if rows.num_rows else np.zeros((0, len(centres)))
+        rows = rows.drop_columns(["block"])
+        return rows.append_column("home", pa.array(near.argmax(axis=1), pa.int32())).append_column("angle", pa.array(np.arccos(np.clip(near.max(axis=1, initial=-1), -1, 1)), pa.float64()))
+
+    narrow = inside.select("node", "n", "vector", "region", F.col("resident").alias("own"))
+    homes = scratch.write(dealt(narrow, fits, housed, f"node long, n long, vector {kind}, region long, own boolean, home int, angle double"), "sub-homes", merged=False)
+    cells = homes.groupBy("region", "home").agg(F.count("*").alias("n"), F.min("angle").alias("least"), F.max("angle").alias("most"))
+
+    def planned(cells: pa.Table, model: pa.Table) -> pa.Table:
+        centres = np.frombuffer(model.column("centres")[0].as_py(), np.float64).reshape(-1, model.column("width")[0].as_py())
+        count, angles = np.zeros(len(centres), np.int64), np.tile([[np.inf], [-np.inf]], len(centres))
+        at = cells.column("home").to_numpy()
+        count[at], angles[0, at], angles[1, at] = (cells.column(c).to_numpy() for c in ("n", "least", "most"))
+        groups = regions(centres, count, side)
+        numbers = {"angles": angles, "order": np.concatenate(groups).astype(np.int64), "starts": np.cumsum([0, *map(len, groups[:-1])]).astype(np.int64)}
+        return model.select(["region", "centres", "width"]).append_column("angles", pa.array([angles.tobytes()], pa.binary())).append_column(
+            "order", pa.array([numbers["order"].tolist()], pa.list_(pa.int64()))).append_column("starts", pa.array([numbers["starts"].tolist()], pa.list_(pa.int64())))
+
+    plans = cells.groupBy("region").cogroup(fits.groupBy("region")).applyInArrow(planned, "region long, centres binary, width long, angles binary, order array<long>, starts array<long>")
+    plans = scratch.write(plans, "sub-plans", merged=False)
+
+    def placed(rows: pa.Table, model: pa.Table) -> pa.Table:
+        plan = model.to_pylist()[0]
+        centres, angles = np.frombuffer(plan["centres"], np.float64).reshape(-1, plan["width"]), np.frombuffer(plan["angles"], np.float64).reshape(2, -1)
+        order, starts = np.array(plan["order"]), np.array(plan["starts"])
+        sub = np.empty(len(order), np.int64)
+        sub[order] = np.repeat(np.arange(len(starts)), np.diff([*starts, len(order)]))
+        home, chosen = rows.column("home").to_numpy(), []
+        for i in range(0, len(home), 2048):
+            part = slice(i, i + 2048)
+            looks = visits(unit(matrix(rows.column("vector").slice(i, 2048))), home[part], centres, angles, cosine)
+            guest = np.logical_or.reduceat(looks[:, order], starts, axis=1) & (np.arange(len(starts)) < sub[home[part]][:, None])
+            chosen += [np.flatnonzero(r).tolist() for r in guest]
+        kept = rows.select(["node", "n", "vector", "region", "own"])
+        return kept.append_column("sub", pa.array(sub[home], pa.int64())).append_column("guest_in", pa.array(chosen, pa.list_(pa.int64())))
+
+    cut = scratch.write(dealt(homes, plans, placed, f"node long, n long, vector {kind}, region long, own boolean, sub long, guest_in array<long>"), "sub-placed", merged=False)
+    number = F.col("region") * (1 << 24) + (1 << 40)  # apart from the numbers of the other regions
+    places = F.concat(F.array(F.struct((number + F.col("sub")).alias("region"), F.lit(True).alias("resident"))),
+                      F.transform("guest_in", lambda c: F.struct((number + c).alias("region"), F.lit(False).alias("resident"))))
+    parted = cut.select("node", "n", "vector", F.inline(places), "own").select(*stays.columns)
+    return stays.join(crowded.select("region"), "region", "left_anti").select(*stays.columns).unionAll(parted)
+
+
 def _links(classes: DataFrame, total: int, cosine: float, cells: int | None, sample: int, scratch: Scratch) -> DataFrame:
     """(node, links, other): the links of classes of one length, and edges that connect their groups."""
     spark = classes.sparkSession
@@ -205,7 +284,7 @@ def _links(classes: DataFrame, total: int, cosine: float, cells: int | None, sam
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in sliced(batches):
             home = part.column(3).to_numpy()
-            looks = visits(unit(matrix(part.column(2))), home, centres.value, angles, cosine, SPREADS) if len(home) else np.zeros((0, len(order)), bool)
+            looks = visits(unit(matrix(part.column(2))), home, centres.value, angles, cosine) if len(home) else np.zeros((0, len(order)), bool)
             guest = np.logical_or.reduceat(looks[:, order], starts, axis=1) & (np.arange(len(starts)) < region[home][:, None])
             chosen = pa.array([np.flatnonzero(r).tolist() for r in guest], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(region[home]), chosen], names=["node", "n", "vector", "region", "guest_in"])
@@ -215,12 +294,16 @@ def _links(classes: DataFrame, total: int, cosine: float, cells: int | None, sam
     scratch.drop(homes)
     places = F.concat(F.array(F.struct(F.col("region"), F.lit(True).alias("resident"))),
                       F.transform("guest_in", lambda c: F.struct(c.alias("region"), F.lit(False).alias("resident"))))
-    stays = placed_rows.select("node", "n", "vector", F.inline(places))
+    stays = placed_rows.select("node", "n", "vector", F.inline(places)).withColumns({"region": F.col("region").cast("long"), "own": F.lit(True)})
+    # Cells grow with the table once there are MOST_CELLS of them; those that got large are cut again.
+    crowded = scratch.write(placed_rows.groupBy(F.col("region").cast("long").alias("region")).agg(F.count("*").alias("residents")).where(F.col("residents") > SPLIT), "crowded")
+    if not crowded.isEmpty():
+        stays = scratch.write(_split(stays, crowded, side, cosine, sample, scratch), "stays", merged=False)
     sides = {name: F.ceil(F.sum(F.when(cond, 1).otherwise(0)) / side).cast("int").alias(name) for name, cond in (("resident_sides", F.col("resident")), ("guest_sides", ~F.col("resident")))}
-    sizes = scratch.write(placed_rows.select(F.inline(places)).groupBy("region").agg(*sides.values()), "regions")
+    sizes = scratch.write(stays.groupBy("region").agg(*sides.values()), "regions")
     spread = F.xxhash64("node")
     part = F.pmod(spread, F.greatest(F.lit(1), F.when(F.col("resident"), F.col("resident_sides")).otherwise(F.col("guest_sides")))).cast("int")
-    tasks = stays.join(F.broadcast(sizes), "region").withColumn("part", part).select("node", "n", "vector", "region", F.inline(_tasks()))
+    tasks = stays.join(sizes, "region").withColumn("part", part).select("node", "n", "vector", "region", F.col("own"), F.inline(_tasks()))
     found = tasks.groupBy("region", "first", "second", "guests").applyInArrow(_compare(cosine), "node long, links long, other long")
     found = scratch.write(found, "found")
     scratch.drop(placed_rows, sizes)
