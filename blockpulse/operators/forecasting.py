@@ -20,6 +20,10 @@ from blockpulse.operators.series import difference, in_series, zscore
 
 #: Both coefficients stay this far inside the unit interval, so that the recursions fade out.
 BOUND = 0.99
+#: Columns scaled to length one whose products have a determinant below this are taken to depend on each other.
+SINGULAR = 1e-10
+#: Rows per coefficient that the long autoregression needs.
+LEAST_ROWS = 3
 #: Ratios of level variance to noise variance that are tried.
 RATIOS = (0.0, 1e-4, 3e-4, 1e-3, 3e-3, 0.01, 0.03, 0.1, 0.3, 1.0, 3.0, 10.0)
 #: Prior variance of level and coefficient, in standardised units: next to no information.
@@ -34,17 +38,20 @@ def _coefficients(grams: pd.Series) -> pd.Series:
 
     def solved(flat) -> list[float] | None:
         size = int(round(len(flat) ** 0.5))
-        _, beta = numeric.ssr_from_gram(np.asarray(flat, dtype=float).reshape(size, size), list(range(size - 1)), size - 1)
-        return beta.tolist() if np.isfinite(beta).all() else None
+        g = np.asarray(flat, dtype=float).reshape(size, size)
+        scale = np.sqrt(np.diag(g)[:-1])
+        if not (scale > 0).all() or np.linalg.det(g[:-1, :-1] / np.outer(scale, scale)) < SINGULAR:
+            return None
+        return numeric.ssr_from_gram(g, list(range(size - 1)), size - 1)[1].tolist()
 
     return grams.map(solved)
 
 
-def _regressed(rows: DataFrame, columns: Sequence[Column], target: Column) -> DataFrame:
-    """(series_id, beta): least squares without a constant, per series, over rows where all are present."""
+def _regressed(rows: DataFrame, columns: Sequence[Column], target: Column, least: int = 1) -> DataFrame:
+    """(series_id, beta): least squares without a constant, per series of `least` rows or more where all are present."""
     vectors = rows.select("series_id", F.array(*[c.cast("double") for c in columns], target).alias("v"))
     complete = vectors.where(~F.exists("v", lambda x: x.isNull()))
-    return gram(complete, ["series_id"], "v").select("series_id", _coefficients("gram").alias("beta"))
+    return gram(complete, ["series_id"], "v").where(F.col("n") >= least).select("series_id", _coefficients("gram").alias("beta"))
 
 
 def arima_forecast(long: DataFrame, steps: int = 12, long_order: int = 6) -> DataFrame:
@@ -53,13 +60,14 @@ def arima_forecast(long: DataFrame, steps: int = 12, long_order: int = 6) -> Dat
     Innovations are first estimated by a long autoregression of the differences, and the difference is
     then regressed on its past value and the past innovation. The fitted recursion runs over the whole
     series for the last innovation, and on from there. Coefficients beyond BOUND are moved to it and
-    the status says so; a series too short or too plain to be fitted has NULL forecasts.
+    the status says so; a series too short (LEAST_ROWS rows per coefficient of the long autoregression) or
+    too plain to be fitted has NULL forecasts.
     """
     present = long.where("value IS NOT NULL").select("series_id", "ts", F.col("value").cast("double").alias("value"))
     changes = present.withColumn("d", difference(F.col("value"), 1))
     past = [F.lag("d", k).over(in_series()) for k in range(1, long_order + 1)]
     changes = changes.withColumn("past", F.array(*past))
-    first = _regressed(changes, [F.col("past")[k] for k in range(long_order)], F.col("d")).withColumnRenamed("beta", "long_beta")
+    first = _regressed(changes, [F.col("past")[k] for k in range(long_order)], F.col("d"), LEAST_ROWS * long_order).withColumnRenamed("beta", "long_beta")
     fitted = F.aggregate(F.zip_with("past", "long_beta", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
     marked = changes.join(first, "series_id", "left").withColumn("e", F.col("d") - fitted)
     marked = marked.withColumns({"d1": F.lag("d").over(in_series()), "e1": F.lag("e").over(in_series())})

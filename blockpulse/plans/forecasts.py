@@ -30,11 +30,25 @@ define(
 _steps, _last = least_squares_sql("arima_rows", "series_id", ["pos", "d"], [f"l{k}" for k in range(1, LONG_ORDER + 1)], "d", "TRUE", "arima_long", constant="0.0")
 for _name, _sql in _steps:
     define(_name, _sql)
-define("arima_noise", f"SELECT r.series_id, r.pos, r.d, r.l1 AS d1, p.t AS e1 FROM arima_rows r JOIN {_last} p ON p.series_id = r.series_id AND p.pos = r.pos - 1")
+# Each lag keeps a share of its length when those before it are swept out; the product is the determinant.
+_shares = " UNION ALL ".join(
+    f"SELECT series_id, COALESCE(p.s / NULLIF(o.s, 0), 0) AS share FROM (SELECT series_id, SUM(v{k} * v{k}) AS s FROM arima_long_{k} GROUP BY 1) p "
+    f"JOIN (SELECT series_id, SUM(v{k} * v{k}) AS s FROM arima_long_0 GROUP BY 1) o USING (series_id)"
+    for k in range(1, LONG_ORDER + 1)
+)
+define("arima_apart", f"SELECT series_id FROM ({_shares}) GROUP BY 1 HAVING PRODUCT(share) >= {fc.SINGULAR}")
+define(
+    "arima_noise",
+    f"SELECT r.series_id, r.pos, r.d, r.l1 AS d1, p.t AS e1 FROM arima_rows r JOIN {_last} p ON p.series_id = r.series_id AND p.pos = r.pos - 1 "
+    f"WHERE r.series_id IN (SELECT series_id FROM arima_rows WHERE l{LONG_ORDER} IS NOT NULL GROUP BY 1 HAVING COUNT(*) >= {fc.LEAST_ROWS * LONG_ORDER}) "
+    "AND r.series_id IN (SELECT series_id FROM arima_apart)",
+)
+_DEPENDENT = f"a * c = 0 OR 1 - b * b / (a * c) < {fc.SINGULAR}"
 define(
     "arima_fit",
-    """
-    SELECT series_id, (p * c - q * b) / NULLIF(a * c - b * b, 0) AS phi0, (a * q - b * p) / NULLIF(a * c - b * b, 0) AS theta0
+    f"""
+    SELECT series_id, CASE WHEN {_DEPENDENT} THEN NULL ELSE (p * c - q * b) / (a * c - b * b) END AS phi0,
+           CASE WHEN {_DEPENDENT} THEN NULL ELSE (a * q - b * p) / (a * c - b * b) END AS theta0
     FROM (SELECT series_id, SUM(d1 * d1) AS a, SUM(d1 * e1) AS b, SUM(e1 * e1) AS c, SUM(d * d1) AS p, SUM(d * e1) AS q
           FROM arima_noise GROUP BY series_id)
     """,
