@@ -35,6 +35,7 @@ from blockpulse.llm.vector_blocks import fits_long, integers, largest, matrices
 #: Steps per unit and offset of the integer vectors; components returned, at most.
 STEPS, OFFSET, COMPONENTS = 64, 1_000_000, 32
 
+
 @dataclass
 class Fit:
     """What whitens the vectors of one length; eigenvalues fall, one row of `axes` belongs to each."""
