@@ -1,15 +1,15 @@
 """Lookups of places that don't match exactly: the nearest by coordinates, the most similar by address.
 
 Neither pairs every row with every place. Coordinates meet the places of their grid cell and of the
-eight around it, in a grid that is finer where places crowd; addresses meet the places that share a
-rare piece of text, in enough pieces that none within the wanted number of typing errors is missed.
+eight around it, in a grid that is finer where places crowd; addresses meet the places whose beginning
+becomes equal when as many characters are left out as typing errors are wanted, so that none is missed.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from blockpulse.session import shared_path
@@ -20,6 +20,8 @@ PER_CELL, CROWDED = 2, 4
 #: Halvings of the whole area at most; cells beyond that are not split. Halvings between two levels, and more
 #: by as much in every further round.
 DEEPEST, STEP = 24, 2
+#: Candidates per address that one way of meeting may bring; characters of an address compared at most before all do.
+SHARING, LONGEST = 64, 48
 
 
 def _kept(df: DataFrame, label: str) -> DataFrame:
@@ -119,48 +121,61 @@ def _nine_cells(spots: DataFrame, targets: DataFrame, grid: _Grid, levels: list[
 # --- similar addresses -----------------------------------------------------------------------
 
 
-def _pieces(text: Column, width: int) -> Column:
-    """All runs of `width` characters, each with the number of equal ones before it."""
-    n = F.length(text) - width + 1
-    runs = F.when(n > 0, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substring(text, i, F.lit(width)))).otherwise(F.array().cast("array<string>"))
-    return F.transform(runs, lambda g, i: F.concat(g, F.lit("#"), F.size(F.filter(F.slice(runs, F.lit(1), i), lambda x: x == g)).cast("string")))
-
-
 def _deletions(text: Column, most: int) -> Column:
     """The text without up to `most` of its characters, in every way."""
-    out = F.array(text)
+    step = F.array(F.struct(text.alias("t"), F.lit(1).alias("i")))  # the next character goes at i or later
+    out = step
     for _ in range(most):
-        shorter = F.flatten(F.transform(out, lambda t: F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length(t), F.lit(1))), lambda i: F.concat(F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, F.length(t))),
+        step = F.flatten(F.transform(step, lambda v: F.transform(
+            F.when(v["i"] <= F.length(v["t"]), F.sequence(v["i"], F.length(v["t"]))).otherwise(F.array().cast("array<int>")),
+            lambda i: F.struct(F.concat(F.substring(v["t"], F.lit(1), i - 1), F.substring(v["t"], i + 1, F.length(v["t"]))).alias("t"), i.alias("i")),
         )))
-        out = F.array_distinct(F.concat(out, shorter))
-    return out
+        out = F.concat(out, step)
+    return F.array_distinct(F.transform(out, lambda v: v["t"]))
 
 
-def _rarest(texts: DataFrame, pieces: DataFrame, keep: int) -> DataFrame:
-    """(text, piece): the `keep` pieces of each text that fewest texts have."""
-    spread = texts.select("text", F.explode("pieces").alias("piece"))
-    ranked = spread.join(pieces, "piece").groupBy("text").agg(F.array_sort(F.collect_list(F.struct("n", "piece"))).alias("pieces"))
-    return ranked.select("text", F.explode(F.transform(F.slice("pieces", 1, keep), lambda p: p["piece"])).alias("piece"))
+def _meeting(texts: DataFrame, size: int, backwards: bool, errors: int) -> DataFrame:
+    """(key, id, side, asked, known): the keys of each text that both sides have, and how many texts of each have them.
+
+    A text's keys are its first (or last) `size` characters without `errors` of them, or without up to
+    `errors` if it is shorter.
+    """
+    end = F.substring(F.reverse("text") if backwards else F.col("text"), 1, size)
+    rests = _deletions(end, errors)
+    rests = F.when(F.length("text") >= size, F.filter(rests, lambda t: F.length(t) == size - errors)).otherwise(rests)
+    spread = texts.select("id", "side", F.explode(rests).alias("rest")).select(F.xxhash64("rest").alias("key"), "id", "side")
+    here = Window.partitionBy("key")
+    counted = spread.withColumns({"asked": F.sum(1 - F.col("side")).over(here), "known": F.sum("side").over(here)})
+    return counted.where((F.col("asked") > 0) & (F.col("known") > 0))
 
 
 def similar_pairs(asked: DataFrame, known: DataFrame, errors: int = 2, width: int = 3) -> DataFrame:
     """(text, other): candidates that contain every pair of an asked and a known text within `errors` edits.
 
-    Both frames hold distinct texts in the column `text`. An edit touches at most `width` pieces, so texts
-    that are within `errors` edits and have more than errors * width pieces share one of their errors *
-    width + 1 rarest. Shorter texts, and those they can be close to, meet where deletions make them equal.
+    Both frames hold distinct texts in the column `text`. Two texts within `errors` edits become equal when
+    at most `errors` characters are left out of each, and so do their beginnings of one length, and their
+    ends: texts meet where their first 2 * errors * width characters do so. Texts that meet in a crowd meet
+    again by their ends, then by longer beginnings and ends, until a crowd is left by LONGEST characters only.
     """
-    reach = errors * width
-    cut = [_kept(side.select("text", _pieces(F.col("text"), width).alias("pieces")), "pieces") for side in (asked, known)]
-    counts = reduce(DataFrame.unionAll, [c.select(F.explode("pieces").alias("piece")) for c in cut]).groupBy("piece").agg(F.count("*").alias("n"))
-    counts = _kept(counts, "piece-counts")
-    left, right = (_kept(_rarest(c, counts, reach + 1), "rare") for c in cut)
-    sharing = left.join(right.withColumnRenamed("text", "other"), "piece").select("text", "other")
-    short = reach + width - 1
-    few = [side.where(F.length("text") <= short + errors).select("text", F.explode(_deletions(F.col("text"), errors)).alias("rest")) for side in (asked, known)]
-    met = few[0].join(few[1].withColumnRenamed("text", "other"), "rest").where(F.least(F.length("text"), F.length("other")) <= short)
-    return sharing.unionAll(met.select("text", "other")).distinct()
+    numbered = asked.select("text", F.lit(0).alias("side")).unionAll(known.select("text", F.lit(1).alias("side")))
+    texts = _kept(numbered.withColumn("id", F.monotonically_increasing_id()), "texts")
+    whole = texts.agg(F.max(F.length("text"))).first()[0] or 0
+    active, size, backwards, pairs = texts, 2 * errors * width, False, []
+    crowd = F.col("asked") * F.col("known") > SHARING * (F.col("asked") + F.col("known"))
+    while True:
+        met = _kept(_meeting(active, size, backwards, errors), "meeting")
+        last = size >= min(whole, max(LONGEST, 2 * errors * width)) and (backwards or size >= whole)
+        few = met if last else met.where(~crowd)
+        left, right = (few.where(F.col("side") == i).select("key", F.col("id").alias(n)) for i, n in enumerate(("_asked", "_known")))
+        pairs.append(left.join(right, "key").select("_asked", "_known"))
+        again = None if last else _kept(met.where(crowd).select("id").distinct(), "crowd")
+        if again is None or again.isEmpty():
+            break
+        active = texts.join(again, "id", "left_semi")
+        size, backwards = (min(size * 3 // 2, max(LONGEST, size)), False) if backwards else (size, True)
+    left, right = (texts.where(F.col("side") == i).select(F.col("id").alias(n), F.col("text").alias(t)) for i, n, t in ((0, "_asked", "text"), (1, "_known", "other")))
+    found = reduce(DataFrame.unionAll, pairs).distinct().join(left, "_asked").join(right, "_known")
+    return found.where(F.abs(F.length("text") - F.length("other")) <= errors).select("text", "other")
 
 
 def most_similar(rows: DataFrame, places: DataFrame, text: str, place: str, errors: int = 2, width: int = 3) -> DataFrame:

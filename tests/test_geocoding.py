@@ -100,3 +100,27 @@ def test_few_addresses_are_compared_and_nothing_is_crossed(spark):
         rows = found.collect()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
     assert all(r.place == r.id for r in rows) and sum(r.candidates for r in rows) < 40 * len(rows)
+
+
+def test_common_pieces_bring_few_candidates(spark):
+    rng = random.Random(7)
+    known = [(p, "".join(rng.choice("ABCDEF") for _ in range(24))) for p in range(1500)]  # every piece is in many texts
+    with scratch_run(spark):
+        places = spark.createDataFrame(known, "place long, address string")
+        asked = places.select(F.col("place").alias("id"), F.expr("substring(address, 1, 5) || 'X' || substring(address, 7, 14) || substring(address, 22)").alias("address"))
+        rows = geo.most_similar(asked, places, "address", "place").collect()
+    assert all((r.place, r.edits) == (r.id, 2) for r in rows) and sum(r.candidates for r in rows) < 20 * len(rows)
+
+
+@pytest.mark.parametrize("head,tail", [("SOME LONG AVENUE OF THE SAME NAME ", ""), ("", " THE SAME LONG AVENUE"), ("NORTH OF A LONG, LONG ROAD NO ", " IN THE SAME TOWN, COUNTRY AND STATE")])
+def test_crowds_meet_again_without_loss(spark, monkeypatch, head, tail):
+    monkeypatch.setattr(geo, "SHARING", 1)
+    rng = random.Random(11)
+    known = [(p, head + "".join(rng.choice("ABCD") for _ in range(7)) + tail) for p in range(80)]
+    asked = [(i, mistyped(rng, rng.choice(known)[1], rng.randrange(4))) for i in range(60)]
+    with scratch_run(spark):
+        places = spark.createDataFrame(known, "place long, address string")
+        found = geo.most_similar(spark.createDataFrame(asked, "id long, address string"), places, "address", "place").collect()
+    for r in found:
+        near = [(d, p) for p, k in known if (d := slow_edits(r.address, k)) <= 2]
+        assert (r.edits, r.place) == (min(near) if near else (None, None))
