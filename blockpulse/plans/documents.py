@@ -23,10 +23,14 @@ _STAMP_SQL = "strftime(scraped_at, '%d/%m/%Y %H:%M:%S')"
 _ID_SQL = f"substr(sha256(CAST(c AS VARCHAR) || {_STAMP_SQL}), 1, 24)"
 
 
+#: About 100 MB of documents before compression.
+ROWS_PER_FILE = 50_000
+
+
 def stored_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """The documents written as JSON lines and read back with their schema."""
+    """The documents written as compressed JSON lines and read back with their schema."""
     path = shared_path(spark, "documents")
-    writers.write_json(documents(spark, sf), path)
+    writers.write_json(documents(spark, sf), path, "gzip", ROWS_PER_FILE)
     return readers.read_documents(spark, path)
 
 

@@ -27,8 +27,9 @@ def write_csv(df: DataFrame, path: str, append: bool = False, header: bool = Tru
     df.write.option("header", header).mode("append" if append else "overwrite").csv(path)
 
 
-def write_json(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+def write_json(df: DataFrame, path: str, compression: str = "none", rows_per_file: int = 0) -> None:
+    """JSON lines. A compressed file is read by one task, so such files need a bound on their rows (0: none)."""
+    df.write.mode("overwrite").option("compression", compression).option("maxRecordsPerFile", rows_per_file).json(path)
 
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> None:

@@ -10,7 +10,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from blockpulse.session import shared_path
+from blockpulse.listing_fixture import documents
+from blockpulse.session import scratch_run, shared_path
 from blockpulse.sources import readers, rides, writers
 
 
@@ -160,3 +161,14 @@ assert "{tmp_path}" in spark.sparkContext.getCheckpointDir()
 """
     subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[1], check=True, timeout=180)
     assert any(p.name.startswith("codes-") for p in tmp_path.iterdir())
+
+
+def test_stored_documents_are_compressed_files_of_bounded_rows(spark, sf, monkeypatch):
+    from blockpulse.plans import documents as plans
+
+    monkeypatch.setattr(plans, "ROWS_PER_FILE", 400)
+    with scratch_run(spark):
+        held = plans.stored_documents(spark, sf)
+        assert sorted(map(str, held.collect())) == sorted(map(str, documents(spark, sf).collect()))
+        per_file = held.groupBy(F.input_file_name().alias("file")).count().collect()
+    assert all(r.file.endswith(".json.gz") and r["count"] <= 400 for r in per_file) and len(per_file) > 1
