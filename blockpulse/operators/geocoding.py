@@ -20,6 +20,8 @@ PER_CELL, CROWDED = 2, 4
 #: Halvings of the whole area at most; cells beyond that are not split. Halvings between two levels, and more
 #: by as much in every further round.
 DEEPEST, STEP = 24, 2
+#: Spots that a task compares with the places of their nine cells, about.
+SPOTS_PER_TASK = 25_000
 #: Candidates per address that one way of meeting may bring; characters of an address compared at most before all do.
 SHARING, LONGEST = 64, 48
 
@@ -76,7 +78,7 @@ def nearest(points: DataFrame, places: DataFrame, key: str = "id", place: str =
         first += 1
 
     active, done, step = _start_levels(spots, targets, grid, first), [], STEP
-    while levels := [r.level for r in active.select("level").distinct().collect()]:  # at most DEEPEST of them
+    while levels := {r.level: r["count"] for r in active.groupBy("level").count().collect()}:  # at most DEEPEST of them
         found = _kept(_nine_cells(active, targets, grid, levels), "near")
         # The whole area lies in the nine cells of level 0.
         sure = (F.col("level") == 0) | (F.col("_found").isNotNull() & (F.col("_found.d") <= F.col("_margin") * F.col("_margin")))
@@ -103,8 +105,11 @@ def _start_levels(spots: DataFrame, targets: DataFrame, grid: _Grid, first: int)
     return _kept(spots.join(inside, ["x", "y"], "left").select("x", "y", F.coalesce(F.col("crowded") + STEP, F.lit(first)).alias("level")), "starts")
 
 
-def _nine_cells(spots: DataFrame, targets: DataFrame, grid: _Grid, levels: list[int]) -> DataFrame:
-    """(x, y, level, _margin, _found): the nearest place in the nine cells around each spot, and how far their border is."""
+def _nine_cells(spots: DataFrame, targets: DataFrame, grid: _Grid, levels: dict[int, int]) -> DataFrame:
+    """(x, y, level, _margin, _found): the nearest place in the nine cells around each spot, and how far their border is.
+
+    `levels` counts the spots of each level. What meets is sorted by spot, so the tasks grow in number with the spots, not in size.
+    """
     size = grid.size(F.col("level"))
     own = spots.select("x", "y", "level", *grid.at(F.col("level")))
     # A little less than the distance to the border, for the rounding of the cell.
@@ -112,7 +117,9 @@ def _nine_cells(spots: DataFrame, targets: DataFrame, grid: _Grid, levels: list[
     margin = F.least(*low, *[3 * size - d for d in low]) - 1e-9 * size
     around = F.array(*[F.struct((F.col("cx") + i).alias("cx"), (F.col("cy") + j).alias("cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
     asked = own.select("x", "y", "level", F.inline(around))
-    held = grid.on(targets, levels).select("level", "cx", "cy", F.col("x").alias("px"), F.col("y").alias("py"), "_place")
+    held = grid.on(targets, list(levels)).select("level", "cx", "cy", F.col("x").alias("px"), F.col("y").alias("py"), "_place")
+    tasks = max(spots.sparkSession.sparkContext.defaultParallelism, sum(levels.values()) // SPOTS_PER_TASK + 1)
+    asked, held = (side.repartition(tasks, "level", "cx", "cy") for side in (asked, held))
     d = (F.col("px") - F.col("x")) * (F.col("px") - F.col("x")) + (F.col("py") - F.col("y")) * (F.col("py") - F.col("y"))
     met = asked.join(held, ["level", "cx", "cy"]).groupBy("x", "y").agg(F.min(F.struct(d.alias("d"), F.col("_place").alias("place"))).alias("_found"))
     return own.select("x", "y", "level", margin.alias("_margin")).join(met, ["x", "y"], "left")

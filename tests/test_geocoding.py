@@ -124,3 +124,12 @@ def test_crowds_meet_again_without_loss(spark, monkeypatch, head, tail):
     for r in found:
         near = [(d, p) for p, k in known if (d := slow_edits(r.address, k)) <= 2]
         assert (r.edits, r.place) == (min(near) if near else (None, None))
+
+
+def test_tasks_grow_with_the_spots(spark, monkeypatch):
+    monkeypatch.setattr(geo, "SPOTS_PER_TASK", 2)
+    spots = spark.range(40).selectExpr("id * 0.7 % 8 AS x", "id * 0.3 % 8 AS y", "3 AS level").selectExpr("CAST(x AS DOUBLE) AS x", "CAST(y AS DOUBLE) AS y", "level")
+    places = spots.selectExpr("x + 0.1 AS x", "y", "CAST(x * 10 AS LONG) AS _place")
+    met = geo._nine_cells(spots, places, geo._Grid(0.0, 0.0, 8.1), {3: 40}).select("x", "y", "_found.place")
+    assert "hashpartitioning(level" in (plan := met._jdf.queryExecution().executedPlan().toString()) and ", 21), REPARTITION_BY_NUM" in plan
+    assert met.count() == 40
