@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 
 #: Characters fed to the transducer at once; longest word kept in the cache, and words kept.
 WINDOW, CACHED_WORD, CACHED_WORDS = 1 << 16, 64, 300_000
-_SHIFT = 20
+#: A pair of ids as one number; the rank of pairs that no rule merges.
+_SHIFT, _NEVER = 20, 1 << 62
 #: The vocabulary's pre-tokenizer: contractions, runs of letters, single digits, runs of other marks.
 #: Code points that Unicode assigned after version 16 may be classed otherwise than by the library.
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
@@ -103,14 +104,17 @@ class MergeTable:
 
 def merge(ids: list[int], rank: dict[int, int]) -> list[int]:
     """Apply the merge list to the symbols of one word, lowest rank first, then leftmost."""
-    if len(ids) < 24:
-        while len(ids) > 1:
-            pairs = [rank.get(a << _SHIFT | b, 1 << 62) for a, b in zip(ids, ids[1:])]
-            best = min(pairs)
-            if best == 1 << 62:
-                break
-            at = pairs.index(best)
-            ids[at : at + 2] = [best & (1 << _SHIFT) - 1]
+    if len(ids) < 40:
+        find = rank.get
+        pairs = [find(a << _SHIFT | b, _NEVER) for a, b in zip(ids, ids[1:])]
+        while pairs and (best := min(pairs)) != _NEVER:
+            at, new = pairs.index(best), best & (1 << _SHIFT) - 1
+            ids[at : at + 2] = [new]
+            del pairs[at]  # only the pairs on both sides are others now
+            if at:
+                pairs[at - 1] = find(ids[at - 1] << _SHIFT | new, _NEVER)
+            if at < len(pairs):
+                pairs[at] = find(new << _SHIFT | ids[at + 1], _NEVER)
         return ids
     after, before, alive = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1)), [True] * len(ids)
     heap = [(rank[p], i) for i, (a, b) in enumerate(zip(ids, ids[1:])) if (p := a << _SHIFT | b) in rank]

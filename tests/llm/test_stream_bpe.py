@@ -106,3 +106,18 @@ def test_edge_rows(spark, library):
         [(1, 0, [], ""), (2, 0, [], ""), *[(i, 2, ids, "hi there ") for i in (None, 3, 3)]], key=str
     )
     assert stream_bpe.encode_documents(df.where("doc_id > 5"), VOCABULARY).collect() == []
+
+
+def test_merging_a_word_looks_up_only_new_pairs(table):
+    class Counting(dict):
+        looked = 0
+
+        def get(self, *args):
+            self.looked += 1
+            return super().get(*args)
+
+    rank = Counting(table.rank)
+    word = b"incomprehensibilities"
+    ids = stream_bpe.merge([*(table.inner[b] for b in word[:-1]), table.final[word[-1]]], rank)
+    merges = len(word) - len(ids)
+    assert merges > 3 and 0 < rank.looked <= len(word) - 1 + 2 * merges
