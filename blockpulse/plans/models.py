@@ -69,11 +69,13 @@ def encoded_frame(spark: SparkSession, sf: str) -> DataFrame:
     """The model frame with category columns as codes, encoded in place.
 
     The cleaned rows and the encoded rows are each written once: fitting reads its input many
-    times, and a narrow stored frame is cheaper to read again than nested documents.
+    times, and a narrow stored frame is cheaper to read again than nested documents. The encoded rows
+    are spread over the cores, since boosted trees pass over them thousands of times.
     """
     cleaned = writers.stored(model_frame(spark, sf), shared_path(spark, "model-frame"))
     filled = mod.replace_zero_with_mean(cleaned, "propertyTaxRate")
-    return writers.stored(ranking.label_encode(filled, ENCODED), shared_path(spark, "encoded-frame"))
+    encoded = writers.spread(ranking.label_encode(filled, ENCODED), cleaned.count())
+    return writers.stored(encoded, shared_path(spark, "encoded-frame"))
 
 
 define(
