@@ -45,18 +45,3 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     """Write a frame once and go on from the files: lineage ends here and sizes are known."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-#: Rows that are worth a task of their own in a frame that is read again and again.
-TASK_ROWS = 20_000
-
-
-def spread(df: DataFrame, rows: int) -> DataFrame:
-    """A frame of that many rows dealt evenly over the cores, for work that passes over it again and again.
-
-    A pass lasts as long as its fullest core, and files leave tasks of any number and size. Up to
-    `TASK_ROWS` rows the frame stays as it is; a task gets about as many, or more once all cores have one.
-    Rows are sorted within their task, so the layout does not depend on the order in which they arrive.
-    """
-    parts = min(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
-    return df.repartition(parts).sortWithinPartitions(*df.columns) if parts > 1 else df
