@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,18 +51,40 @@ def drop_fields(items: Column, *fields: str) -> Column:
     return F.transform(items, lambda x: x.dropFields(*fields))
 
 
-# The pieces of a Python literal (text in either quotes, numbers, words, the rest), and the
-# words that JSON spells otherwise.
-_PIECES = (
-    r"(?s)'(?:[^'\\]++|\\.)*+'|" + r'"(?:[^"\\]++|\\.)*+"|' + r"[-+]?[0-9][0-9.eE+_-]*+|[A-Za-z_][A-Za-z0-9_]*+|"
-    + r"""[-+](?![0-9])|[^'"A-Za-z0-9_+-]++"""
-)
+# A text in double quotes, and the same without the code of a character; a text in single quotes without
+# a bare double quote; what a text that is all literals consists of. Groups repeat without going back, so matching is linear.
+_DOUBLE = r'"(?:[^"\\]++|\\.)*+"'
+_UNCODED = r"""(?:[^"\\]++|\\(?!x[0-9a-fA-F]{2}).)*+"""
+_UNQUOTED = r"""(?:[^'"\\]++|\\.)*+"""
+_WHOLE = rf"""(?s)\A(?:[^'"]++|'(?:[^'\\]++|\\.)*+'|{_DOUBLE})*+\z"""
+# Where a match ends inside a text, the next one begins there (\G), and any other at the start (\A).
+_BARE_QUOTE = (
+    rf"""(?s)\G((?:\A(?:[^'"]++|{_DOUBLE}|'{_UNQUOTED}')*+'{_UNQUOTED}|"""
+    rf"""(?!\A){_UNQUOTED}(?:'(?:[^'"]++|{_DOUBLE}|'{_UNQUOTED}')*+'{_UNQUOTED})?+))\""""
+)
+_CODE = (
+    rf"""(?s)\G((?:\A(?:[^"]++|"{_UNCODED}")*+"{_UNCODED}|"""
+    rf"""(?!\A){_UNCODED}(?:"(?:[^"]++|"{_UNCODED}")*+"{_UNCODED})?+))\\x([0-9a-fA-F]{{2}})"""
+)
+_SINGLE = rf"""(?s)\G((?:[^'"]++|{_DOUBLE})*+)'((?:[^'\\]++|\\.)*+)'"""
+# Words that JSON spells otherwise.
 _WORDS = {"None": "null", "True": "true", "False": "false"}
 
 
-def _replaced(text: Column, mark: str, by: str) -> Column:
-    """Replace a pattern unless an odd number of backslashes comes before it."""
-    return F.regexp_replace(text, r"(?<!\\)((?:\\\\)*)" + mark, by)
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What `use` makes of a value, which is computed once however often it is named there."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _outside(skipped: str, wanted: str) -> str:
+    """Pattern of something outside of texts in double quotes: what comes before it, then itself."""
+    return rf"(?s)\G((?:{skipped}|{_DOUBLE})*+){wanted}"
+
+
+def _word(word: str) -> str:
+    """Pattern of a word among the numbers, words, signs and the rest."""
+    others = rf"[-+]?[0-9][0-9.eE+_-]*+|[-+]|(?!{word}(?![A-Za-z0-9_]))[A-Za-z_][A-Za-z0-9_]*+"
+    return _outside(rf"""[^"A-Za-z0-9_+-]++|{others}""", word)
 
 
 def python_text_to_json(text: Column) -> Column:
@@ -68,24 +92,34 @@ def python_text_to_json(text: Column) -> Column:
 
     Texts keep what they hold: apostrophes, double quotes and words like None are only touched outside
     of them. Tuples become lists, and a comma before a closing bracket goes.
+
+    Every step is one pass over the whole text, left out where the text has nothing for it.
     """
-    pieces = F.regexp_extract_all(text, F.lit(_PIECES), F.lit(0))
-
-    def inside(piece: Column) -> Column:
-        inner = _replaced(F.substring(piece, F.lit(2), F.length(piece) - 2), r"\\'", "$1'")
-        return _replaced(inner, r"\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
-
-    def spelt(piece: Column) -> Column:
-        single = F.concat(F.lit('"'), _replaced(inside(piece), '"', r"$1\\" + '"'), F.lit('"'))
-        double = F.concat(F.lit('"'), inside(piece), F.lit('"'))
-        word = piece
-        for python, json in _WORDS.items():
-            word = F.when(piece == python, F.lit(json)).otherwise(word)
-        other = F.regexp_replace(F.translate(piece, "()", "[]"), r",(\s*[\]}])", "$1")
-        return F.when(piece.startswith("'"), single).when(piece.startswith('"'), double).when(piece.rlike("^[A-Za-z_]"), word).otherwise(other)
-
-    whole = F.length(F.array_join(pieces, "")) == F.length(text)
-    return F.when(whole, F.array_join(F.transform(pieces, spelt), ""))
+
+    def has(mark: str) -> Callable[[Column], Column]:
+        return lambda t: t.contains(mark)
+
+    steps = [
+        (lambda t: t.contains("'") & t.contains('"'), _BARE_QUOTE, r"$1\\" + '"'),
+        (has("'"), _SINGLE, '$1"$2"'),
+        # Unless an even number of backslashes comes before the apostrophe.
+        (has(r"\'"), r"(?<!\\)((?:\\\\)*)\\'", "$1'"),
+        (has(r"\x"), _CODE, r"$1\\u00$2"),
+        *[(has(python), _word(python), f"$1{json}") for python, json in _WORDS.items()],
+        (has("("), _outside(r'[^"(]++', r"\("), "$1["),
+        (has(")"), _outside(r'[^")]++', r"\)"), "$1]"),
+        (lambda t: t.rlike(r",\s*[\]}]"), _outside(r"""[^",]++|,(?!\s*[\]}])""", ","), "$1"),
+    ]
+
+    def changed(whole: Column) -> Column:
+        for needed, pattern, by in steps:
+            whole = _once(whole, lambda t: F.when(needed(t), F.regexp_replace(t, pattern, by)).otherwise(t))
+        return whole
+
+    def checked(t: Column) -> Column:
+        return _once(F.regexp_extract(t, _WHOLE, 0), lambda whole: F.when(F.length(whole) == F.length(t), changed(whole)))
+
+    return _once(text, checked)
 
 
 def parse_python_text(text: Column, schema) -> Column:

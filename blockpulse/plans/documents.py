@@ -130,8 +130,9 @@ def repair_json(spark, sf):
     python_text = F.replace(F.replace(as_json, F.lit('"'), F.lit("'")), F.lit("null"), F.lit("None"))
     text = F.when(F.col("scrape_id") % 19 == 0, F.lit("[{'name': 'cut")).otherwise(python_text)
     rows = payloads(spark, sf).select("scrape_id", text.alias("schools_text"))
-    parsed = nested.parse_python_text(F.col("schools_text"), f"array<{ls.SCHOOL}>")
-    return rows.select("scrape_id", *_school_columns(doc.school_summary(parsed)))
+    # A column of its own: the summary names the list six times, and each would parse the text again.
+    parsed = rows.select("scrape_id", nested.parse_python_text(F.col("schools_text"), f"array<{ls.SCHOOL}>").alias("schools"))
+    return parsed.select("scrape_id", *_school_columns(doc.school_summary(F.col("schools"))))
 
 
 def _literal_facts(rows):

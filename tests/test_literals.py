@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry_points
 from blockpulse.functions import nested
 from blockpulse.operators import series as ser
 
@@ -55,6 +56,40 @@ def test_texts_that_never_end(spark, text):
     assert row.j is None
 
 
+@pytest.mark.parametrize(
+    ("text", "json_text"),
+    [
+        # Code points, quotes and words right beside each other, in both kinds of quotes.
+        (r"""['\x41\x42"', "\x43'\\x44"]""", r"""["\u0041\u0042\"", "\u0043'\\x44"]"""),
+        (r"""['""', 'a"b\"c', "d", '"']""", r"""["\"\"", "a\"b\"c", "d", "\""]"""),
+        (r"""['\\', 'It\'s\\\'', "\'"]""", r"""["\\", "It's\\'", "'"]"""),
+        # Words are words only between what is no letter, digit or underscore; numbers end before them.
+        ("[None,None1,_None,1None,NoneNone,True,éFalse]", "[null,None1,_None,1null,NoneNone,true,éfalse]"),
+        ("((1,), (), {'a': (2, )}, ',)', \",]\",)", """[[1], [], {"a": [2 ]}, ",)", ",]"]"""),
+        # Outside of texts a backslash means nothing.
+        (r"[\x41, '\x41']", r"""[\x41, "\u0041"]"""),
+        ("", ""),
+    ],
+)
+def test_texts_keep_what_they_hold(spark, text, json_text):
+    row = spark.createDataFrame([(text,)], "t string").select(nested.python_text_to_json(F.col("t")).alias("j")).first()
+    assert row.j == json_text
+
+
+def test_bytes_that_are_no_text(spark):
+    rows = spark.createDataFrame([(bytearray(b"['caf\xe9']"),)], "b binary").selectExpr("CAST(b AS STRING) AS t")
+    assert rows.select(nested.python_text_to_json(F.col("t")).alias("j")).first().j is None
+
+
+def test_a_text_is_converted_and_parsed_once(spark, sf):
+    """The summary has four columns and names the parsed list six times."""
+    plan = entry_points.queries()["repair_json"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1
+    # One look for each step, none of them on a piece of the text.
+    assert "regexp_extract_all" not in plan
+    assert plan.count("regexp_replace(") == 10
+
+
 @pytest.mark.parametrize("period", [2, 4, 7, 12])
 def test_seasons(spark, period):
     rng = np.random.default_rng(period)
