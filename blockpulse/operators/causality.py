@@ -274,7 +274,8 @@ def _adf_test(long: DataFrame, keys: list[str], most_lags: int | None) -> DataFr
         .withColumn("v", _adf_vector(F.col("used_lag")))
     )
     result = gram(refit, [*keys, "used_lag"], "v").withColumn("_r", _adf("gram", "n", "used_lag"))
-    tested = result.where(~F.isnan("_r.statistic")).select(
+    # A statistic that Python could not compute arrives as NULL.
+    tested = result.where(F.col("_r.statistic").isNotNull() & ~F.isnan("_r.statistic")).select(
         *keys, "used_lag", "n", F.col("_r.statistic").alias("statistic"), F.col("_r.p_value").alias("p_value")
     )
     status = F.when(F.col("statistic").isNull(), "untestable").otherwise("tested")

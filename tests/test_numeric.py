@@ -199,6 +199,14 @@ def test_untestable_series_stay(spark):
     assert ("walk", 0, False) in stopped
 
 
+def test_untestable_series_have_no_figures(spark):
+    """Two changes fit exactly; what rounding leaves of the residuals makes no fit of them."""
+    rng = np.random.default_rng(11)
+    rows = [(f"s{i}", date(2020, 1, 1 + t), float(v)) for i in range(40) for t, v in enumerate(rng.normal(size=3))]
+    tests = cau.adf_test(spark.createDataFrame(rows, "series_id string, ts date, value double")).collect()
+    assert {tuple(r)[1:] for r in tests} == {(None, None, None, None, "untestable")} and len(tests) == 40
+
+
 def test_lag_limit_is_an_argument(spark):
     long = _series(spark, {"noise": np.random.default_rng(4).normal(size=300)})
     assert cau.adf_test(long, most_lags=1).first()["used_lag"] <= 1
